@@ -15,15 +15,20 @@ INCOME = "Receita"
 EXPENSE = "Despesa"
 
 
-def dimension(silver: DataFrame, col: str, key: str, name: str, small: int = 500_000) -> DataFrame:
+def dimension(
+    silver: DataFrame, col: str, key: str, name: str, bounded: bool = False, small: int = 500_000
+) -> DataFrame:
     """Distinct non-NULL labels numbered 1..n in ascending order.
 
-    The distinct labels are written once. Up to ``small`` of them are numbered by a
-    plain window; beyond that the numbering is distributed.
+    ``bounded`` says the labels come from a fixed recode list, so a plain window
+    over the distinct set is safe. Free-text labels are written once and counted;
+    up to ``small`` of them use the same window, more are numbered in parallel.
     """
-    labels = stage(silver.select(F.col(col).alias(name)).where(F.col(col).isNotNull()).distinct(), name)
-    if labels.count() > small:
-        return global_row_number(labels, [name], key).select(F.col(key), F.col(name))
+    labels = silver.select(F.col(col).alias(name)).where(F.col(col).isNotNull()).distinct()
+    if not bounded:
+        labels = stage(labels, name)
+        if labels.count() > small:
+            return global_row_number(labels, [name], key).select(F.col(key), F.col(name))
     return labels.select(F.row_number().over(Window.orderBy(name)).cast("bigint").alias(key), name)
 
 
@@ -36,7 +41,7 @@ def category_group(c: Column) -> Column:
 
 
 def category_dimension(silver: DataFrame) -> DataFrame:
-    return dimension(silver, "categoria", "sk_categoria", "nome_categoria").withColumn(
+    return dimension(silver, "categoria", "sk_categoria", "nome_categoria", bounded=True).withColumn(
         "grupo_categoria", category_group(F.col("nome_categoria"))
     )
 
@@ -102,7 +107,7 @@ class Star:
         self.silver = stage(silver, "silver")
         self.cost_centres = dimension(self.silver, "centro_custo", "sk_centro_custo", "nome_centro_custo")
         self.categories = category_dimension(self.silver)
-        self.types = dimension(self.silver, "tipo", "sk_tipo", "tipo")
+        self.types = dimension(self.silver, "tipo", "sk_tipo", "tipo", bounded=True)
         self.dates = date_dimension(self.silver)
 
     @property

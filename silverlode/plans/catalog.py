@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("ledger",)
+MODULES = ("ledger", "federation", "change")
 
 
 def _merged(attr: str) -> dict:

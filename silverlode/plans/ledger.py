@@ -243,7 +243,7 @@ def dim_category(spark, sf_dir):
 
 
 def dim_type(spark, sf_dir):
-    return star.dimension(silver(spark, sf_dir), "tipo", "sk_tipo", "tipo")
+    return star.dimension(silver(spark, sf_dir), "tipo", "sk_tipo", "tipo", bounded=True)
 
 
 def dim_date(spark, sf_dir):
