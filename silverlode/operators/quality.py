@@ -75,18 +75,18 @@ def gate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def publish_if_clean(df: DataFrame, rules: Sequence[Rule], path: str) -> dict[str, int]:
-    """Write the valid rows unless a ``fail`` rule is broken; return violation counts.
+    """Write the valid rows unless a ``fail`` rule is broken.
 
-    The counts ride along with the write as observed metrics, so publishing takes
-    one pass; only ``fail`` rules need a check before anything is written.
+    Returns the rows checked under ``rows`` and the violations under each rule name.
+    They ride along with the write as observed metrics, so publishing takes one
+    pass; only ``fail`` rules need a check before anything is written.
     """
     if any(r.action == "fail" for r in rules) and not gate(df, rules).first()["publish"]:
         raise ExpectationFailed(", ".join(r.name for r in rules if r.action == "fail"))
-    if not rules:
-        df.write.mode("overwrite").parquet(path)
-        return {}
     seen = Observation()
-    observed = df.observe(seen, *[F.count_if(~r.holds).alias(r.name) for r in rules])
+    observed = df.observe(
+        seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(~r.holds).alias(r.name) for r in rules]
+    )
     expect_valid(observed, rules).write.mode("overwrite").parquet(path)
     return seen.get
 

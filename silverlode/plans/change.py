@@ -209,8 +209,9 @@ def sink_overwrite_roundtrip(spark, sf_dir):
     """The second write replaces rows and schema of the first."""
     path = scratch_path(spark, "replace")
     write_replace(feed(spark, sf_dir), path)
-    write_replace(revenue_by_day(valid_orders(spark, sf_dir)), path, ["data_pedido"])
-    return portable(spark.read.parquet(path))
+    by_day = revenue_by_day(valid_orders(spark, sf_dir)).withColumn("ano", F.year("data_pedido"))
+    write_replace(by_day, path, ["ano"])
+    return portable(spark.read.parquet(path).drop("ano"))
 
 
 def sink_append_roundtrip(spark, sf_dir):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.quality import Rule, publish_if_clean, rule_metrics
+from ..operators.quality import Rule, publish_if_clean
 
 
 def open_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -42,8 +42,12 @@ def run_expectations(stream: DataFrame, rules: Sequence[Rule], target: str, metr
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        publish_if_clean(batch, rules, f"{target}/batch_id={batch_id}")
-        rule_metrics(batch, rules).coalesce(1).write.mode("overwrite").parquet(f"{metrics}/batch_id={batch_id}")
+        seen = publish_if_clean(batch, rules, f"{target}/batch_id={batch_id}")
+        lines = [(r.name, r.action, seen["rows"], seen["rows"] - seen[r.name], seen[r.name]) for r in rules]
+        report = batch.sparkSession.createDataFrame(
+            lines, "rule string, action string, checked long, passed long, failed long"
+        )
+        report.coalesce(1).write.mode("overwrite").parquet(f"{metrics}/batch_id={batch_id}")
 
     query = (
         stream.writeStream.foreachBatch(publish)
