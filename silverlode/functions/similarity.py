@@ -20,8 +20,7 @@ def trigrams(c: Column) -> Column:
 
 def jaccard(a: Column, b: Column) -> Column:
     """Share of common elements of two distinct arrays; NULL if either is NULL."""
-    common = F.size(F.array_intersect(a, b))
-    return common / (F.size(a) + F.size(b) - common)
+    return F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
 
 
 def similarity(a: Column, b: Column) -> Column:
