@@ -27,14 +27,13 @@ def classify(c: Column, keywords: Mapping[str, Sequence[str]], default: str) ->
     in, one label out), no model call per row.
     """
     found = words(c)
-    labels = list(keywords)
+
+    def hits(options: Sequence[str]) -> Column:
+        return F.size(F.filter(found, lambda w: w.isin(*options)))
+
     scored = [
-        F.struct(
-            F.size(F.filter(found, lambda w, k=list(keywords[label]): w.isin(*k))).alias("hits"),
-            F.lit(-i).alias("rank"),
-            F.lit(label).alias("label"),
-        )
-        for i, label in enumerate(labels)
+        F.struct(hits(options).alias("hits"), F.lit(-i).alias("rank"), F.lit(label).alias("label"))
+        for i, (label, options) in enumerate(keywords.items())
     ]
     best = F.array_max(F.array(*scored))
     return F.when(best["hits"] > 0, best["label"]).otherwise(F.lit(default))

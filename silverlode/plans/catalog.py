@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("ledger", "federation", "change", "credit", "matching")
+MODULES = ("ledger", "federation", "change", "credit", "matching", "comments", "scans", "models")
 
 
 def _merged(attr: str) -> dict:

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
 from ..operators import matching
-from ..session import scratch_path, stage
-from ..sources.readers import read_json_array
+from ..session import stage
 from .common import sql_initcap, sql_round, table
 
 # How hexadecimal digits are spelled as letters and as numbers.
@@ -16,6 +15,7 @@ HEX, LETTERS = "0123456789abcdef", "aeiouablmnrstdcv"
 HEX_ALPHA, NUMBERS = "abcdef", "012345"
 DOMAINS = ["gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "empresa.com"]
 SOURCE_A, SOURCE_B = "bronze_customer_postgresql", "bronze_customer_json"
+# schema of the second registry's files
 JSON_SCHEMA = "nome string, email string, phone string, address string"
 
 
@@ -64,6 +64,7 @@ def registry_b(spark, sf_dir) -> DataFrame:
     plain = F.concat(F.lit("("), F.substring("phone", 1, 2), F.lit(") "), F.substring("phone", 3, 9))
     street = F.concat(F.lit("rua "), "street", F.lit(", "), (k % 900 + 1).cast("string"))
     return _people(spark, sf_dir).select(
+        k.alias("customer_id"),
         F.concat(first, F.lit(" "), last).alias("nome"),
         F.concat(user, F.lit("@"), domain).alias("email"),
         F.when(k % 13 == 0, F.lit("000")).when(k % 4 < 2, plain).otherwise(F.reverse("phone")).alias("phone"),
@@ -175,17 +176,6 @@ def match_best(spark, sf_dir):
     return best.select("id_js", "nome_js", "id_pg", "nome_pg", F.col("regra_match").cast("bigint").alias("regra_match"))
 
 
-def src_json(spark, sf_dir):
-    """Second registry written as JSON array files and scanned back."""
-    path = scratch_path(spark, "json")
-    rows = registry_b(spark, sf_dir).withColumn("_file", F.crc32("email") % 16)
-    arrays = rows.groupBy("_file", F.crc32("nome").alias("_g") % 64).agg(
-        F.to_json(F.collect_list(F.struct("nome", "email", "phone", "address"))).alias("value")
-    )
-    arrays.write.partitionBy("_file", "_g").text(path)
-    return read_json_array(spark, path, JSON_SCHEMA, ["nome", "email", "phone", "address"])
-
-
 QUERIES = {
     f.__name__: f
     for f in (match_xref, match_pairs, match_blocked_pairs, match_signals, match_cascade, match_best)

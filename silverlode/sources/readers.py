@@ -11,14 +11,14 @@ from pyspark.sql import types as T
 
 
 def read_raw_csv(
-    spark: SparkSession, path: str, columns: Sequence[str], rescue: str | None = "_rescued"
+    spark: SparkSession, path: str, columns: Sequence[str], rescue: str | None = "_rescued", header: bool = True
 ) -> DataFrame:
-    """CSV with header, every column as text, nothing inferred.
+    """CSV, every column as text, nothing inferred.
 
     A record that does not fit the columns is kept whole in ``rescue``.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
     if rescue:
         schema = schema.add(rescue, T.StringType())
         reader = reader.option("columnNameOfCorruptRecord", rescue)
