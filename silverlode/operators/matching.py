@@ -12,10 +12,9 @@ matches without it:
 * each rule works on the distinct (name, field) values of a registry, so copies of
   a record are compared once, with their smallest id;
 * two values can only be similar if they share one of their first few trigrams in a
-  fixed global order (prefix filtering: ``n - ceil(t * n) + 1`` of ``n``), so values
-  meet in an equi-join on hashed keys that combine a name trigram with a trigram of
-  the other field, its digits and its domain. For the phone rule a key is the phone
-  with two name trigrams, because a placeholder phone may be shared by many;
+  fixed global order (prefix filtering: ``n - ceil(t * n) + 1`` of ``n``, one more for
+  each further trigram asked for), so values meet in an equi-join on hashed keys that
+  combine trigrams of the name and of the other field with its digits and domain;
 * candidates are verified with the full similarity, so the keys decide only which
   pairs are looked at, never which pairs match.
 """
@@ -83,10 +82,28 @@ def _guarded(a: str, b: str) -> Column:
 
 
 def _prefix(tokens: str, shared: int, threshold: float) -> Column:
-    """Leading token hashes of which two similar sets share at least ``shared``."""
-    hashes = F.array_sort(F.transform(tokens, lambda t: F.xxhash64(t)))
+    """Leading token hashes of which two similar sets share at least ``shared``.
+
+    Any fixed order is correct. Pieces at the start of a word come last in it: there
+    are few of them and many values share them, so they make poor join keys.
+    """
+    late = F.lit(1 << 62)
+    order = F.array_sort(
+        F.transform(
+            tokens,
+            lambda t: F.shiftrightunsigned(F.xxhash64(t), 2) + F.when(t.startswith(" "), late).otherwise(F.lit(0)),
+        )
+    )
     n = F.size(tokens)
-    return F.slice(hashes, 1, n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + shared)
+    return F.slice(order, 1, n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + shared)
+
+
+def _each_pair(df: DataFrame, prefix: str, single: str) -> DataFrame:
+    """One row per pair ``_a < _b`` of prefix tokens, or the token itself where it is the only one."""
+    rest = [c for c in df.columns if c not in (prefix, single)]
+    first = df.select(*rest, single, prefix, F.explode(prefix).alias("_a"))
+    both = first.select(*rest, single, "_a", F.explode(prefix).alias("_b"))
+    return both.where((F.col("_a") < F.col("_b")) | F.col(single)).drop(single)
 
 
 def _values(registry: DataFrame, rule: int) -> DataFrame:
@@ -106,25 +123,38 @@ def _values(registry: DataFrame, rule: int) -> DataFrame:
 
 
 def _keys(values: DataFrame, rule: int, threshold: float) -> DataFrame:
-    """(id, _key) rows under which values of two registries have to meet."""
-    if rule == 2:
-        first = _prefix("_t_full_name", 2, threshold)
-        names = values.select("id", "valor", (F.size("_t_full_name") == 1).alias("_one"), first.alias("_p"))
-        pairs = names.select("id", "valor", "_one", "_p", F.explode("_p").alias("_a")).select(
-            "id", "valor", "_one", "_a", F.explode("_p").alias("_b")
+    """(id, _key) rows under which values of two registries have to meet.
+
+    An e-mail usually repeats the name, so a name piece says little beyond an e-mail
+    piece; rule 1 therefore takes two e-mail pieces and one name piece. A placeholder
+    phone may be shared by many, so rule 2 takes two name pieces.
+    """
+    name, value = "_t_full_name", "_t_valor"
+    if rule == 3:
+        prefixes = values.select(
+            "id",
+            F.col("_g_valor").alias("_g"),
+            _prefix(name, 1, threshold).alias("_p"),
+            _prefix(value, 1, threshold).alias("_q"),
         )
-        kept = pairs.where((F.col("_a") < F.col("_b")) | F.col("_one"))
-        return kept.select("id", F.xxhash64("valor", "_a", "_b").alias("_key"))
+        crossed = prefixes.select("id", "_g", "_q", F.explode("_p").alias("_a")).select(
+            "id", "_g", "_a", F.explode("_q").alias("_b")
+        )
+        return crossed.select("id", F.xxhash64("_g", "_a", "_b").alias("_key"))
+    if rule == 2:
+        alone = (F.size(name) == 1).alias("_one")
+        pairs = _each_pair(values.select("id", "valor", _prefix(name, 2, threshold).alias("_p"), alone), "_p", "_one")
+        return pairs.select("id", F.xxhash64("valor", "_a", "_b").alias("_key"))
     prefixes = values.select(
         "id",
         F.col("_g_valor").alias("_g"),
-        _prefix("_t_full_name", 1, threshold).alias("_p"),
-        _prefix("_t_valor", 1, threshold).alias("_q"),
-    )
-    crossed = prefixes.select("id", "_g", "_q", F.explode("_p").alias("_a")).select(
-        "id", "_g", "_a", F.explode("_q").alias("_b")
+        _prefix(name, 1, threshold).alias("_n"),
+        _prefix(value, 2, threshold).alias("_p"),
+        (F.size(value) == 1).alias("_one"),
     )
-    return crossed.select("id", F.xxhash64("_g", "_a", "_b").alias("_key"))
+    pairs = _each_pair(prefixes, "_p", "_one")
+    crossed = pairs.select("id", "_g", "_a", "_b", F.explode("_n").alias("_c"))
+    return crossed.select("id", F.xxhash64("_g", "_a", "_b", "_c").alias("_key"))
 
 
 def candidates(left: DataFrame, right: DataFrame, rule: int, threshold: float = THRESHOLD) -> DataFrame:

@@ -20,23 +20,27 @@ def sentences(c: Column) -> Column:
     return F.transform(F.split(c, r"[.!?\n]+"), lambda s: F.trim(s))
 
 
-def classify(c: Column, keywords: Mapping[str, Sequence[str]], default: str) -> Column:
+def classify(
+    df: DataFrame, text: str, keywords: Mapping[str, Sequence[str]], default: str, out: str = "tipo"
+) -> DataFrame:
     """Label whose keywords occur most often; the earlier label on a tie, ``default`` without any.
 
     Deterministic stand-in for a hosted classifier: same contract (text and labels
     in, one label out), no model call per row.
     """
-    found = words(c)
 
     def hits(options: Sequence[str]) -> Column:
-        return F.size(F.filter(found, lambda w: w.isin(*options)))
+        return F.size(F.filter("_words", lambda w: w.isin(*options)))
 
     scored = [
         F.struct(hits(options).alias("hits"), F.lit(-i).alias("rank"), F.lit(label).alias("label"))
         for i, (label, options) in enumerate(keywords.items())
     ]
-    best = F.array_max(F.array(*scored))
-    return F.when(best["hits"] > 0, best["label"]).otherwise(F.lit(default))
+    best = F.col("_best")
+    # never NULL by type too: a later join then adds no null test that would repeat all this
+    label = F.coalesce(F.when(best["hits"] > 0, best["label"]), F.lit(default))
+    ranked = df.withColumn("_words", words(F.col(text))).withColumn("_best", F.array_max(F.array(*scored)))
+    return ranked.withColumn(out, label).drop("_words", "_best")
 
 
 def concat_parts(
@@ -58,18 +62,17 @@ def concat_parts(
 def extractive_summary(df: DataFrame, group: str, text: str, key: str, k: int = 2) -> DataFrame:
     """The ``k`` most typical sentences per group: highest mean frequency of their words.
 
-    Word totals per group are combined on the map side. Only (sentence, word count)
-    rows travel to meet them; sentence text is fetched for the winners alone.
+    Word totals are combined on the map side and usually small enough to travel to the
+    sentences, whose words then never leave their task: the sums per sentence are
+    complete before the shuffle. Sentence text is fetched for the winners alone.
     """
     split = df.select(group, key, F.posexplode(sentences(F.col(text))).alias("pos", "frase"))
-    per_sentence = split.select(group, key, "pos", F.explode(words(F.col("frase"))).alias("w")).groupBy(
-        group, key, "pos", "w"
-    ).agg(F.count(F.lit(1)).alias("n"))
-    totals = per_sentence.groupBy(group, "w").agg(F.sum("n").alias("tf"))
+    spoken = split.select(group, key, "pos", F.explode(words(F.col("frase"))).alias("w"))
+    totals = spoken.groupBy(group, "w").agg(F.count(F.lit(1)).alias("tf"))
     scores = (
-        per_sentence.join(totals, [group, "w"])
+        spoken.join(totals, [group, "w"])
         .groupBy(group, key, "pos")
-        .agg((F.sum(F.col("n") * F.col("tf")).cast("double") / F.sum("n")).alias("score"))
+        .agg((F.sum("tf").cast("double") / F.count(F.lit(1))).alias("score"))
     )
     winners = top_k_per_group(scores, [group], [F.desc("score"), F.col(key), F.col("pos")], k)
     return (

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import evaluate, textops
+from ..session import spread
 from .common import sql_list, sql_round, table
 from .credit import SQL_DECIDED, SQL_LATE, SQL_MEAN, SQL_NEW, decided_portfolio
 
@@ -19,8 +20,8 @@ DEFAULT = "duvida"
 
 
 def classified(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.withColumn("tipo", textops.classify(F.col("text"), KEYWORDS, DEFAULT))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return textops.classify(docs, "text", KEYWORDS, DEFAULT)
 
 
 SQL_WORDS = r"list_filter(regexp_split_to_array(lower({x}), '[^\p{{L}}]+'), lambda w: w <> '')"

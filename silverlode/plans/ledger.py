@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fold, money, multi_date, recode, tidy, title
 from ..operators import clean, metrics, quality, star
+from ..session import spread
 from .common import portable, sql_fold, sql_initcap, sql_list, sql_round, sql_text, table
 
 # Spellings the generated ledger cycles through.
@@ -23,7 +24,11 @@ RAW_EXPENSE = ["Despesa", "DESPESA", "despesa "]
 
 def bronze_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-text ledger with mixed formats, gaps, unknown labels and exact copies."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(
+        table(spark, sf_dir, "orders").select(
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+        )
+    )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     k = F.col("o_orderkey")
     seg = F.col("c_mktsegment")
