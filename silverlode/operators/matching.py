@@ -68,7 +68,8 @@ def _tokens(name: str, email: str | None = None, address: str | None = None) ->
     out = {f"_t_{name}": trigrams(F.lower(name))}
     if email:
         out[f"_t_{email}"] = trigrams(email_user(F.col(email)))
-        out[f"_g_{email}"] = F.concat_ws("#", email_domain(F.col(email)), digits(F.col(email)))
+        # NULL without a domain, so such an address is similar to none
+        out[f"_g_{email}"] = F.concat(email_domain(F.col(email)), F.lit("#"), digits(F.col(email)))
     if address:
         out[f"_t_{address}"] = trigrams(F.col(address))
         out[f"_g_{address}"] = digits(F.col(address))
@@ -115,8 +116,7 @@ def _values(registry: DataFrame, rule: int) -> DataFrame:
         .agg(F.min("registro_id").alias("id"), F.count(F.lit(1)).alias("registros"))
     )
     if rule == 1:
-        with_domain = distinct.where(email_domain(F.col("valor")).isNotNull())
-        return with_domain.withColumns(_tokens("full_name", email="valor"))
+        return distinct.withColumns(_tokens("full_name", email="valor")).where(F.col("_g_valor").isNotNull())
     if rule == 2:
         return distinct.withColumns(_tokens("full_name"))
     return distinct.withColumns(_tokens("full_name", address="valor"))
