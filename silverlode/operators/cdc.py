@@ -89,9 +89,10 @@ def _neighbour(
     inside = Window.partitionBy(*keys, "_range").orderBy(seq)
     across = Window.partitionBy(*keys).orderBy("_range")
     pick = F.min_by if edge is F.min else F.max_by
-    edges = events.groupBy(*keys, "_range").agg(pick(value, F.col(seq)).alias("_edge"))
-    hops = edges.select(*keys, "_range", step("_edge").over(across).alias("_hop"))
     local = events.withColumn("_local", step(value).over(inside))
+    # grouped like the window above, so the edges reuse its shuffle
+    edges = local.groupBy(*keys, "_range").agg(pick(value, F.col(seq)).alias("_edge"))
+    hops = edges.select(*keys, "_range", step("_edge").over(across).alias("_hop"))
     same = [local[k].eqNullSafe(hops[k]) for k in keys] + [local["_range"] == hops["_range"]]
     joined = local.join(hops, same, "left").select(local["*"], hops["_hop"])
     return joined.withColumn(out, F.coalesce("_local", "_hop")).drop("_local", "_hop")

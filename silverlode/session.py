@@ -48,8 +48,8 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared scratch folder."""
-    return f"{scratch_root(spark)}/silverlode/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared scratch folder, grouped by application for clean-up."""
+    return f"{scratch_root(spark)}/silverlode/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
