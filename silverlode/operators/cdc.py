@@ -56,11 +56,13 @@ def scd2(
     drop: Sequence[str] = (),
     parts: int | None = None,
     collapse: bool = False,
+    unique_sequence: bool = False,
 ) -> DataFrame:
     """History: a version per non-delete event with ``__START_AT`` and ``__END_AT``.
 
     A version ends where the key's next event starts; a delete closes without opening.
-    ``collapse`` merges consecutive events with the same payload.
+    ``collapse`` merges consecutive events with the same payload. ``unique_sequence``
+    states that a key never repeats a sequence number, which saves one shuffle.
 
     A single key may own a large share of the feed, so a key's events are not sorted
     in one task. The sequence axis is cut into ``parts`` ranges of near-equal size;
@@ -70,7 +72,8 @@ def scd2(
     """
     parts = parts or int(feed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = order_cuts(feed, seq, parts)
-    events = distinct_events(feed, keys, seq, delete_when).withColumn("_range", range_bucket(F.col(seq), cuts))
+    events = feed if unique_sequence else distinct_events(feed, keys, seq, delete_when)
+    events = events.withColumn("_range", range_bucket(F.col(seq), cuts))
     shown = [c for c in feed.columns if c not in (*keys, seq, *drop)]
     if collapse:
         events = _without_repeats(events, keys, seq, delete_when, shown)

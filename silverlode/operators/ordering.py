@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,119 +58,125 @@ def range_bucket(c: Column, cuts: list) -> Column:
     block_no = passed(F.array(*[F.lit(b[-1]) for b in blocks]))
     nested = F.array(*[F.array(*[F.lit(x) for x in b]) for b in blocks])
     inside = F.coalesce(passed(F.get(nested, block_no)), F.lit(0))
-    return block_no * width + inside
+    return F.least(block_no * width + inside, F.lit(len(cuts)))  # the last block may be short
 
 
 def exact_quantiles(
     df: DataFrame, wanted: dict[str, Sequence[float]], gather: int = 200_000
 ) -> dict[str, list[float | None]]:
-    """Exact linearly interpolated quantiles of several numeric columns.
-
-    Returns plain numbers. The built-in exact ``percentile`` keeps every distinct
-    value in one buffer, so it is only used once the candidates for a rank number
-    at most ``gather`` rows. Before that, each pass brackets the rank between two
-    ``percentile_approx`` values and counts exactly how many rows lie below and
-    inside the bracket; a pass is one scan with partial aggregation, shrinks the
-    bracket about a thousandfold and moves only a handful of numbers.
+    """Exact linearly interpolated quantiles of several numeric columns, as plain numbers.
+
+    The built-in exact ``percentile`` keeps one counter per distinct value in a single
+    buffer, so it serves columns with at most about ``gather`` distinct values. For the
+    others each pass brackets every rank between two ``percentile_approx`` values and
+    counts exactly how many rows lie before, on and between them. A pass is two scans of
+    one column with partial aggregation, moves a handful of numbers and shrinks the
+    bracket at least a hundredfold; the last ``gather`` candidates are sorted.
     """
     cols = list(wanted)
-    head = df.agg(*[F.count(c).alias(c) for c in cols]).first()
-    counts = {c: head[c] for c in cols}
-    small = [c for c in cols if counts[c] <= gather]
+    head = df.agg(
+        *[F.count(c).alias(f"n_{c}") for c in cols], *[F.approx_count_distinct(c).alias(f"d_{c}") for c in cols]
+    ).first()
+    few = [c for c in cols if head[f"d_{c}"] <= gather]
     found: dict[str, list[float | None]] = {}
-    if small:
+    if few:
         exact = df.agg(
-            *[F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, wanted[c]))).alias(c) for c in small]
+            *[F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, wanted[c]))).alias(c) for c in few]
         ).first()
-        found.update({c: list(exact[c]) if exact[c] is not None else [None] * len(wanted[c]) for c in small})
+        found.update({c: list(exact[c]) if exact[c] is not None else [None] * len(wanted[c]) for c in few})
     for c in cols:
         if c not in found:
-            found[c] = _refine(df.select(F.col(c).cast("double").alias("x")), counts[c], wanted[c], gather)
+            values = df.select(F.col(c).cast("double").alias("x")).where(F.col("x").isNotNull())
+            found[c] = _refine(values, head[f"n_{c}"], wanted[c], gather)
     return found
 
 
+class _Bracket(NamedTuple):
+    """Closed value range known to hold a rank, rows before it and rows in it."""
+
+    low: float
+    high: float
+    before: int
+    rows: int
+
+    @property
+    def holds(self) -> Column:
+        return F.col("x").between(F.lit(self.low), F.lit(self.high))
+
+
 def _refine(values: DataFrame, n: int, probs: Sequence[float], gather: int) -> list[float]:
-    values = values.where(F.col("x").isNotNull())
     spots = [p * (n - 1) for p in probs]
-    ranks = sorted({r for s in spots for r in (math.floor(s), math.ceil(s))})
-    # rank -> (low, high, rows below low, rows in [low, high])
-    brackets: dict[int, tuple[float, float, int, int]] = dict.fromkeys(ranks, (-math.inf, math.inf, 0, n))
+    searched = {r: _Bracket(-math.inf, math.inf, 0, n) for s in spots for r in (math.floor(s), math.ceil(s))}
     at: dict[int, float] = {}
-    while len(at) < len(ranks):
-        open_ranks = [r for r in ranks if r not in at]
-        guesses = _approximate(values, {r: brackets[r] for r in open_ranks})
-        counted = values.agg(
-            *[
-                F.array(
-                    F.count_if(F.col("x") < lo), F.count_if((F.col("x") >= lo) & (F.col("x") <= hi))
-                ).alias(str(r))
-                for r, (lo, hi) in guesses.items()
-            ]
-        ).first()
-        for r, (lo, hi) in guesses.items():
-            below, inside = counted[str(r)]
-            old_lo, old_hi, old_below, old_inside = brackets[r]
-            if r < below:  # the rank lies in front of the guess
-                nxt = (old_lo, float(_down(lo)), old_below, below - old_below)
-            elif r >= below + inside:  # the rank lies behind it
-                nxt = (float(_up(hi)), old_hi, below + inside, old_below + old_inside - below - inside)
-            else:
-                nxt = (lo, hi, below, inside)
-            brackets[r] = nxt
-            if nxt[0] == nxt[1]:
-                at[r] = nxt[0]
-        ready = [r for r in open_ranks if r not in at and brackets[r][3] <= gather]
+    while searched:
+        ready = {r: b for r, b in searched.items() if b.rows <= gather}
         if ready:
-            at.update(_finish(values, {r: brackets[r] for r in ready}))
+            at.update(_pick(values, ready))
+        else:
+            _narrow(values, searched, at)
+        searched = {r: b for r, b in searched.items() if r not in at}
     return [at[math.floor(s)] + (at[math.ceil(s)] - at[math.floor(s)]) * (s - math.floor(s)) for s in spots]
 
 
-def _up(x: float) -> float:
-    return math.nextafter(x, math.inf)
-
-
-def _down(x: float) -> float:
-    return math.nextafter(x, -math.inf)
-
-
-def _within(lo: float, hi: float) -> Column:
-    return F.col("x").between(F.lit(lo), F.lit(hi))
-
-
-def _approximate(values: DataFrame, brackets: dict) -> dict[int, tuple[float, float]]:
-    """Narrower bracket per rank from an approximate percentile inside the old one."""
-    row = values.agg(
+def _narrow(values: DataFrame, searched: dict[int, _Bracket], at: dict[int, float]) -> None:
+    """One pass: a tighter bracket for every rank, or its value in ``at``."""
+    guesses = _guess(values, searched)
+    x = F.col("x")
+    counted = values.agg(
         *[
-            F.percentile_approx(
-                F.when(_within(lo, hi), F.col("x")),
-                [max(0.0, (r - below) / inside - 0.0005), min(1.0, (r - below + 1) / inside + 0.0005)],
-                10_000,
+            F.array(
+                F.count_if(x < lo), F.count_if(x == lo), F.count_if((x > lo) & (x < hi)), F.count_if((x == hi) & (x > lo))
             ).alias(str(r))
-            for r, (lo, hi, below, inside) in brackets.items()
+            for r, (lo, hi) in guesses.items()
         ]
     ).first()
-    return {r: tuple(row[str(r)]) for r in brackets}
+    for r, (lo, hi) in guesses.items():
+        old = searched[r]
+        below, on_low, between, on_high = counted[str(r)]
+        inner, upper = below + on_low, below + on_low + between
+        if r < below:
+            searched[r] = _Bracket(old.low, math.nextafter(lo, -math.inf), old.before, below - old.before)
+        elif r < inner:
+            at[r] = lo
+        elif r < upper:
+            searched[r] = _Bracket(math.nextafter(lo, math.inf), math.nextafter(hi, -math.inf), inner, between)
+        elif r < upper + on_high:
+            at[r] = hi
+        else:
+            passed = upper + on_high
+            searched[r] = _Bracket(math.nextafter(hi, math.inf), old.high, passed, old.before + old.rows - passed)
+
+
+def _guess(values: DataFrame, searched: dict[int, _Bracket]) -> dict[int, tuple[float, float]]:
+    """Approximate values a little before and after each rank; one sketch per bracket."""
+    margin = 0.002
+    by_bracket: dict[_Bracket, list[int]] = {}
+    for r, b in searched.items():
+        by_bracket.setdefault(b, []).append(r)
+
+    def shares(b: _Bracket, ranks: list[int]) -> list[float]:
+        around = [((r - b.before) / b.rows - margin, (r + 1 - b.before) / b.rows + margin) for r in ranks]
+        return [min(1.0, max(0.0, p)) for pair in around for p in pair]
 
-
-def _finish(values: DataFrame, brackets: dict) -> dict[int, float]:
-    """Pick the row of each rank among at most ``gather`` candidates."""
     row = values.agg(
         *[
-            F.percentile(
-                F.when(_within(lo, hi), F.col("x")),
-                F.lit((r - below) / (inside - 1) if inside > 1 else 0.0),
-            ).alias(str(r))
-            for r, (lo, hi, below, inside) in brackets.items()
+            F.percentile_approx(F.when(b.holds, F.col("x")), shares(b, ranks), 2000).alias(str(i))
+            for i, (b, ranks) in enumerate(by_bracket.items())
         ]
     ).first()
-    # the exact percentile at a whole rank may carry rounding of the interpolation weight
-    near = values.agg(
+    return {
+        r: (row[str(i)][2 * j], row[str(i)][2 * j + 1])
+        for i, ranks in enumerate(by_bracket.values())
+        for j, r in enumerate(ranks)
+    }
+
+
+def _pick(values: DataFrame, ready: dict[int, _Bracket]) -> dict[int, float]:
+    """The value at each rank from the few rows left in its bracket."""
+    row = values.agg(
         *[
-            F.min_by(
-                F.when(_within(lo, hi), F.col("x")),
-                F.when(_within(lo, hi), F.abs(F.col("x") - F.lit(row[str(r)]))),
-            ).alias(str(r))
-            for r, (lo, hi, _, _) in brackets.items()
+            F.get(F.sort_array(F.collect_list(F.when(b.holds, F.col("x")))), F.lit(r - b.before)).alias(str(r))
+            for r, b in ready.items()
         ]
     ).first()
-    return {r: near[str(r)] for r in brackets}
+    return {r: row[str(r)] for r in ready}

@@ -97,7 +97,11 @@ def cdc_scd1(spark, sf_dir):
 
 
 def cdc_scd2(spark, sf_dir):
-    return portable(cdc.scd2(feed(spark, sf_dir), KEYS, "sequencia", _deleted(), ["operacao", "sequencia"]))
+    """Event ids are unique, so the feed meets ``unique_sequence``."""
+    history = cdc.scd2(
+        feed(spark, sf_dir), KEYS, "sequencia", _deleted(), ["operacao", "sequencia"], unique_sequence=True
+    )
+    return portable(history)
 
 
 def cdc_out_of_order(spark, sf_dir):

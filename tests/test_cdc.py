@@ -89,6 +89,8 @@ def test_scd2_against_brute_force_with_a_hot_key(spark, rows, parts, collapse):
     got = cdc.scd2(df, *spec(), drop=["operacao", "sequencia"], parts=parts, collapse=collapse)
     want = sorted(expected, key=lambda r: [(v is not None, v) for v in r])
     assert rows(got, "cliente_id", "nome", "__START_AT", "__END_AT") == want
+    quick = cdc.scd2(df, *spec(), drop=["operacao", "sequencia"], parts=parts, collapse=collapse, unique_sequence=True)
+    assert rows(quick) == rows(got)
 
 
 def test_merge_ignores_late_events(spark, rows):

@@ -22,13 +22,15 @@ def test_global_row_number_empty(spark):
     assert global_row_number(df, ["a"], "n").count() == 0
 
 
-@pytest.mark.parametrize("shape", ["uniform", "hot", "two_values", "heavy_tail"])
+@pytest.mark.parametrize("shape", ["uniform", "hot", "two_values", "between_ties", "heavy_tail"])
 def test_quantiles_by_refinement(spark, shape):
     rnd = np.random.default_rng(5)
     values = {
         "uniform": rnd.uniform(-5, 5, 5000),
         "hot": np.where(rnd.uniform(0, 1, 5000) < 0.4, 7.25, rnd.normal(0, 3, 5000)),
         "two_values": np.where(rnd.uniform(0, 1, 5000) < 0.5, 1.0, 2.0),
+        # the median lies right behind the edge of a tie that holds almost half of the rows
+        "between_ties": np.concatenate([np.full(2498, 1.0), rnd.uniform(1.5, 2.0, 500), np.full(2002, 3.0)]),
         "heavy_tail": rnd.lognormal(8, 2, 5000),
     }[shape]
     probs = [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]
