@@ -213,13 +213,18 @@ sig AS (SELECT *, sim_nome >= 0.6 AS nome_ok, sim_email >= 0.6 AS email_ok, sim_
 casc AS (SELECT *, CASE WHEN nome_ok AND email_ok THEN 1 WHEN nome_ok AND telefone_igual THEN 2
   WHEN nome_ok AND endereco_ok THEN 3 END AS regra_match FROM sig)"""
 _CASC = f"WITH {SQL_XREF}{SQL_TOKENS}, {_SQL_BEST_PER_RULE}"
-# the best match straight from the definition: every pair of records is compared
-_ALL_PAIRS_BEST = f"""WITH {SQL_XREF}{SQL_TOKENS}, pairs AS (SELECT a.registro_id AS id_pg, a.full_name AS nome_pg,
-    b.registro_id AS id_js, b.full_name AS nome_js, {_sim("a.tn", "b.tn")} AS sn,
-    CASE WHEN a.dom = b.dom AND a.de = b.de AND {_sim("a.te", "b.te")} >= 0.6 THEN 1 WHEN a.phone = b.phone THEN 2
-      WHEN a.da = b.da AND {_sim("a.ta", "b.ta")} >= 0.6 THEN 3 END AS regra_match FROM ta a, tb b)
-  SELECT id_js, nome_js, id_pg, nome_pg, regra_match FROM (SELECT *, row_number() OVER (
-    PARTITION BY id_js ORDER BY regra_match, sn DESC, id_pg) AS rn FROM pairs WHERE sn >= 0.6 AND regra_match IS NOT NULL) WHERE rn = 1"""
+# the best match straight from the definition, over every pair of records that shares
+# what its rule demands exactly: domain and digits, the phone, or the address digits
+_ALL_PAIRS_BEST = f"""WITH {SQL_XREF}{SQL_TOKENS}, pairs AS (
+    SELECT 1 AS regra_match, a.registro_id AS id_pg, b.registro_id AS id_js, {_sim("a.tn", "b.tn")} AS sn
+    FROM ta a JOIN tb b ON a.dom = b.dom AND a.de = b.de WHERE {_sim("a.tn", "b.tn")} >= 0.6 AND {_sim("a.te", "b.te")} >= 0.6
+    UNION ALL SELECT 2, a.registro_id, b.registro_id, {_sim("a.tn", "b.tn")}
+    FROM ta a JOIN tb b ON a.phone = b.phone WHERE {_sim("a.tn", "b.tn")} >= 0.6
+    UNION ALL SELECT 3, a.registro_id, b.registro_id, {_sim("a.tn", "b.tn")}
+    FROM ta a JOIN tb b ON a.da = b.da WHERE {_sim("a.tn", "b.tn")} >= 0.6 AND {_sim("a.ta", "b.ta")} >= 0.6),
+  best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_js ORDER BY regra_match, sn DESC, id_pg) AS rn FROM pairs) WHERE rn = 1)
+  SELECT id_js, b.full_name AS nome_js, id_pg, a.full_name AS nome_pg, regra_match
+  FROM best JOIN ta a ON id_pg = a.registro_id JOIN tb b ON id_js = b.registro_id"""
 
 ORACLE = {
     "match_xref": f"WITH {SQL_XREF} SELECT * FROM xa UNION ALL SELECT * FROM xb",
