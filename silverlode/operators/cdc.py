@@ -7,6 +7,7 @@ Order is decided by the sequence alone, never by arrival.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,36 +76,43 @@ def scd2(
     events = feed if unique_sequence else distinct_events(feed, keys, seq, delete_when)
     events = events.withColumn("_range", range_bucket(F.col(seq), cuts))
     shown = [c for c in feed.columns if c not in (*keys, seq, *drop)]
-    if collapse:
-        events = _without_repeats(events, keys, seq, delete_when, shown)
-    events = _neighbour(events, keys, seq, F.lead, F.min, "__END_AT", F.col(seq))
-    return events.where(~F.coalesce(delete_when, F.lit(False))).select(
-        *[F.col(c) for c in feed.columns if c not in drop],
-        F.col(seq).alias("__START_AT"),
-        "__END_AT",
+
+    def history(some: DataFrame, by: Sequence[str]) -> DataFrame:
+        if collapse:
+            some = _without_repeats(some, by, seq, delete_when, shown)
+        ended = _neighbour(some, by, seq, F.lead, F.min_by, "__END_AT", F.col(seq))
+        return ended.where(~F.coalesce(delete_when, F.lit(False))).select(
+            *[F.col(c) for c in feed.columns if c not in drop],
+            F.col(seq).alias("__START_AT"),
+            "__END_AT",
+        )
+
+    # Plain key equality lets the join keep the window's partitioning. Keys with a NULL
+    # in them, usually none, go through a struct, whose NULL members compare as equal.
+    nameless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return history(events.where(~nameless), keys).unionByName(
+        history(events.where(nameless).withColumn("_key", F.struct(*keys)), ["_key"])
     )
 
 
 def _neighbour(
-    events: DataFrame, keys: Sequence[str], seq: str, step, edge, out: str, value: Column
+    events: DataFrame, by: Sequence[str], seq: str, step, edge, out: str, value: Column
 ) -> DataFrame:
-    """Value of the next (``lead``/``min``) or previous (``lag``/``max``) event of the key."""
-    inside = Window.partitionBy(*keys, "_range").orderBy(seq)
-    across = Window.partitionBy(*keys).orderBy("_range")
-    pick = F.min_by if edge is F.min else F.max_by
+    """Value of the next (``lead``, ``min_by``) or previous (``lag``, ``max_by``) event of the key."""
+    inside = Window.partitionBy(*by, "_range").orderBy(seq)
+    across = Window.partitionBy(*by).orderBy("_range")
     local = events.withColumn("_local", step(value).over(inside))
     # grouped like the window above, so the edges reuse its shuffle
-    edges = local.groupBy(*keys, "_range").agg(pick(value, F.col(seq)).alias("_edge"))
-    hops = edges.select(*keys, "_range", step("_edge").over(across).alias("_hop"))
-    same = [local[k].eqNullSafe(hops[k]) for k in keys] + [local["_range"] == hops["_range"]]
-    joined = local.join(hops, same, "left").select(local["*"], hops["_hop"])
+    edges = local.groupBy(*by, "_range").agg(edge(value, F.col(seq)).alias("_edge"))
+    hops = edges.select(*by, "_range", step("_edge").over(across).alias("_hop"))
+    joined = local.join(hops, [*by, "_range"], "left")
     return joined.withColumn(out, F.coalesce("_local", "_hop")).drop("_local", "_hop")
 
 
 def _without_repeats(
-    events: DataFrame, keys: Sequence[str], seq: str, delete_when: Column, shown: Sequence[str]
+    events: DataFrame, by: Sequence[str], seq: str, delete_when: Column, shown: Sequence[str]
 ) -> DataFrame:
     """Drop events whose payload and liveness equal those of the event before."""
     print_ = F.struct(F.coalesce(delete_when, F.lit(False)).alias("_dead"), *shown)
-    marked = _neighbour(events, keys, seq, F.lag, F.max, "_prev", print_)
+    marked = _neighbour(events, by, seq, F.lag, F.max_by, "_prev", print_)
     return marked.where(~F.coalesce(F.col("_prev") == print_, F.lit(False))).drop("_prev")

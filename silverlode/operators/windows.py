@@ -17,8 +17,8 @@ def versus_group_mean(df: DataFrame, group: str, value: str) -> DataFrame:
     of a group to one task; the aggregate holds one row per group, and Spark splits
     a skewed group of the row side at run time.
     """
-    means = df.groupBy(group).agg(ratio(F.sum(value), F.count(value)).alias("_mean"))
-    return df.join(means, group).select(
+    means = df.groupBy(F.col(group).alias("_group")).agg(ratio(F.sum(value), F.count(value)).alias("_mean"))
+    return df.join(means, F.col(group).eqNullSafe(F.col("_group"))).select(
         *df.columns,
         round_to(F.col("_mean"), 2).alias("media_grupo"),
         round_to(ratio(F.col(value), F.col("_mean")) * 100 - 100, 1).alias("pct_vs_grupo"),

@@ -99,3 +99,21 @@ def test_merge_ignores_late_events(spark, rows):
     merged = cdc.merge_scd1(state, df.where("sequencia <= 3"), *spec())
     assert rows(merged) == rows(cdc.latest_events(df, *spec()))
     assert rows(merged.where("operacao = 'D'"), "cliente_id") == [(103,)]  # the tombstone stays
+
+
+def test_a_null_key_is_a_key(spark, rows):
+    events = [(None, "a", "x", "I", i) for i in range(1, 9)]
+    df = spark.createDataFrame(events, FEED)
+    got = cdc.scd2(df, *spec(), drop=["operacao", "sequencia"], parts=4)
+    assert rows(got, "__START_AT", "__END_AT") == [(i, i + 1 if i < 8 else None) for i in range(1, 9)]
+
+
+def test_history_shuffles_the_feed_once(spark):
+    df = spark.createDataFrame(EVENTS, FEED)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = cdc.scd2(df, *spec(), parts=2, unique_sequence=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    feed_side = plan[plan.index("SortMergeJoin") :].split("Window")[0]
+    assert "Exchange" not in feed_side  # the join keeps the window's partitioning

@@ -77,6 +77,8 @@ def test_windows(spark, rows):
         ("A", 1, 320.0), ("A", 2, 875.25), ("A", 3, 2025.25), ("B", 1, 1.0),
     ]
     assert rows(windows.versus_group_mean(df, "g", "v").where("g = 'A' and m = 1"), "media_grupo", "pct_vs_grupo") == [(675.08, -52.6)]
+    nameless = spark.createDataFrame([(None, 1.0), (None, 3.0)], "g string, v double")
+    assert rows(windows.versus_group_mean(nameless, "g", "v"), "media_grupo") == [(2.0,), (2.0,)]
     assert rows(windows.top_k_per_group(df, ["g"], [F.desc("v")], 1), "g", "m") == [("A", 3), ("B", 1)]
     assert "GroupLimit" in windows.top_k_per_group(df, ["g"], [F.desc("v")], 1)._jdf.queryExecution().toString()
 
