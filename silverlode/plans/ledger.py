@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fold, money, multi_date, recode, tidy, title
 from ..operators import clean, metrics, quality, star
-from ..session import spread
+from ..session import spread, stage
 from .common import portable, sql_fold, sql_initcap, sql_list, sql_round, sql_text, table
 
 # Spellings the generated ledger cycles through.
@@ -140,8 +140,13 @@ fact AS (SELECT id_lancamento, CAST(strftime(data_lancamento, '%Y%m%d') AS BIGIN
   JOIN dim_cat ON categoria = nome_categoria JOIN dim_type t ON s.tipo = t.tipo)"""
 
 
+def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze as the stored layer it is: later layers read its files, not its making."""
+    return stage(bronze_ledger(spark, sf_dir), "bronze")
+
+
 def silver(spark: SparkSession, sf_dir: str, on_missing_date: str = "drop") -> DataFrame:
-    return clean.silver_ledger(bronze_ledger(spark, sf_dir), on_missing_date)
+    return clean.silver_ledger(bronze_table(spark, sf_dir), on_missing_date)
 
 
 def gold(spark: SparkSession, sf_dir: str) -> star.Star:
@@ -207,7 +212,7 @@ def clean_recode(spark, sf_dir):
 
 
 def clean_drop_unusable(spark, sf_dir):
-    rows = bronze_ledger(spark, sf_dir).select(*clean.ledger_columns())
+    rows = bronze_table(spark, sf_dir).select(*clean.ledger_columns())
     kept = clean.drop_unusable(rows, ["data_lancamento", "valor"])
     return portable(kept.select("id_lancamento", "data_lancamento", "valor"))
 
@@ -316,10 +321,11 @@ def dq_fact_orphans(spark, sf_dir):
 
 
 def dq_layer_counts(spark, sf_dir):
-    g = gold(spark, sf_dir)
+    bronze = bronze_table(spark, sf_dir)
+    g = star.Star(clean.silver_ledger(bronze))
     return quality.layer_counts(
         {
-            "bronze": bronze_ledger(spark, sf_dir),
+            "bronze": bronze,
             "silver": g.silver,
             "dim_centro_custo": g.cost_centres,
             "dim_categoria": g.categories,
