@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe
+from silverlode.llm import bpe, leaks, token_files
 from silverlode.plans.common import table
 
 
@@ -20,5 +20,17 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_round_trip(table(spark, sf_dir, "documents"), tokenizer_spec())
 
 
-QUERIES = {"op10_bpe_codec": op10_bpe_codec}
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.written_and_read(table(spark, sf_dir, "documents"), tokenizer_spec())
+
+
+def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {
+    "op4_token_files": op4_token_files,
+    "op7_benchmark_leaks": op7_benchmark_leaks,
+    "op10_bpe_codec": op10_bpe_codec,
+}
 ORACLE: dict[str, str] = {}
