@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe, leaks, token_files
+from silverlode.llm import bpe, copies, leaks, token_files
 from silverlode.plans.common import table
 
 
@@ -28,9 +28,14 @@ def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copies.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_token_files": op4_token_files,
     "op7_benchmark_leaks": op7_benchmark_leaks,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_bpe_codec": op10_bpe_codec,
 }
 ORACLE: dict[str, str] = {}
