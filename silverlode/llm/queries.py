@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe, copies, leaks, token_files
+from silverlode.llm import bpe, copies, leaks, private, token_files
 from silverlode.plans.common import table
 
 
@@ -20,6 +20,10 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_round_trip(table(spark, sf_dir, "documents"), tokenizer_spec())
 
 
+def op2_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.find_private(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_and_read(table(spark, sf_dir, "documents"), tokenizer_spec())
 
@@ -33,6 +37,7 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_private_spans": op2_private_spans,
     "op4_token_files": op4_token_files,
     "op7_benchmark_leaks": op7_benchmark_leaks,
     "op9_near_duplicates": op9_near_duplicates,
