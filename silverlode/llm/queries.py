@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe, copies, leaks, private, token_files
+from silverlode.llm import bpe, copies, leaks, neighbours, private, token_files
 from silverlode.plans.common import table
 
 
@@ -28,6 +28,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_and_read(table(spark, sf_dir, "documents"), tokenizer_spec())
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -39,6 +43,7 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_private_spans": op2_private_spans,
     "op4_token_files": op4_token_files,
+    "op5_nearest": op5_nearest,
     "op7_benchmark_leaks": op7_benchmark_leaks,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_bpe_codec": op10_bpe_codec,
