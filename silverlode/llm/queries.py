@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe, copies, leaks, neighbours, private, token_files
+from silverlode.llm import bpe, copies, leaks, neighbours, pieces, private, quality, token_files
 from silverlode.plans.common import table
 
 
@@ -24,6 +24,12 @@ def op2_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.find_private(table(spark, sf_dir, "documents"))
 
 
+def op3_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces and scores of the file, read as a unigram vocabulary."""
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return pieces.token_counts(table(spark, sf_dir, "documents"), model)
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_and_read(table(spark, sf_dir, "documents"), tokenizer_spec())
 
@@ -40,11 +46,17 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_private_spans": op2_private_spans,
+    "op3_piece_counts": op3_piece_counts,
     "op4_token_files": op4_token_files,
     "op5_nearest": op5_nearest,
     "op7_benchmark_leaks": op7_benchmark_leaks,
+    "op8_quality": op8_quality,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_bpe_codec": op10_bpe_codec,
 }
