@@ -6,8 +6,9 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from silverlode.llm import bpe, copies, leaks, neighbours, pieces, private, quality, token_files
+from silverlode.llm import bpe, copies, language, leaks, licences, neighbours, pieces, private, quality, token_files
 from silverlode.plans.common import table
 
 
@@ -20,6 +21,15 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_round_trip(table(spark, sf_dir, "documents"), tokenizer_spec())
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and every page; learned from the documents' own labels."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    rows = language.document_rows(docs).unionByName(language.page_rows(pages))
+    out = language.judged(rows, language.learned_from(docs))
+    is_doc = F.col("origin") == "documents"
+    return out.select("origin", F.when(is_doc, F.col("id")).alias("doc_id"), F.when(~is_doc, F.col("id")).alias("page_id"), "lang", "posterior", "accepted")
+
+
 def op2_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.find_private(table(spark, sf_dir, "documents"))
 
@@ -50,11 +60,17 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_language": op1_language,
     "op2_private_spans": op2_private_spans,
     "op3_piece_counts": op3_piece_counts,
     "op4_token_files": op4_token_files,
     "op5_nearest": op5_nearest,
+    "op6_licences": op6_licences,
     "op7_benchmark_leaks": op7_benchmark_leaks,
     "op8_quality": op8_quality,
     "op9_near_duplicates": op9_near_duplicates,
