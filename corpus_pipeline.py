@@ -3,20 +3,51 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from silverlode.llm import bpe
+from silverlode.llm import bpe, copies, language, leaks, private
+from silverlode.llm.common import without
 from silverlode.llm.queries import tokenizer_spec
 from silverlode.session import scratch_path
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language the labelled texts speak; those that cannot be judged go."""
+    seen = language.judged(language.document_rows(docs), language.learned_from(docs))
+    return without(docs, seen.where("not accepted"), "doc_id", "text")
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates."""
+    gone = copies.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+
+
+def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    return without(docs, leaks.hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "doc_id", "text")
+
+
+def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with its personal data replaced by the kind; n_chars follows the text."""
+    return private.masked(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of encoding and decoding every document that is left."""
     return bpe.encode_round_trip(docs, tokenizer_spec())
 
 
-STAGES = [("tokens", tokens)]
+STAGES = [
+    ("language", known_language),
+    ("near_duplicates", one_of_each),
+    ("decontamination", unleaked),
+    ("private_data", masked),
+    ("tokens", tokens),
+]
 
-#: The stages learn models and encode texts, which SQL cannot say; tests compare with brute force.
+#: The stages learn models, decode sequences and encode texts, which SQL cannot say; the
+#: tests compare each of them with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,6 +18,22 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
+def copy_of(text: str) -> Column:
+    """Hash of a text that, with the id, tells rows of one id apart; NULL counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+
+
+def without(df: DataFrame, gone: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows of ``df`` whose id and text hash are not in ``gone`` (id, copy); all columns as they are.
+
+    ``gone`` is broadcast only where Spark measures it as small.
+    """
+    mark = "_copy_of_row"
+    left = df.withColumn(mark, copy_of(text))
+    right = gone.select(F.col("id").alias("_gone_id"), F.col("copy").alias("_gone_copy")).distinct()
+    return left.join(right, (left[mark] == right["_gone_copy"]) & left[key].eqNullSafe(right["_gone_id"]), "left_anti").drop(mark)
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; a NULL counts as the empty text."""
     return [t or "" for t in batch.column(name).to_pylist()]
@@ -40,14 +56,3 @@ class WordCache(dict):
                 self.clear()
             self[word] = value
         return value
-
-
-def map_batches(df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch | dict], schema: str) -> DataFrame:
-    """``mapInArrow`` for a function that turns one batch into one batch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield rows(b)
-
-    return df.mapInArrow(run, schema)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import WordCache, picked, texts_of
+from silverlode.llm.common import WordCache, copy_of, picked, texts_of
 from silverlode.session import stage
 
 WORDS = 5
@@ -203,7 +203,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     one node of the graph. A row with a NULL id links nothing: component_id is NULL and it
     is kept. Very long texts are used whole.
     """
-    docs = picked(df, doc_id=key, text=text).withColumn("copy", F.xxhash64(F.coalesce("text", F.lit("")))).select("doc_id", "copy", "text")
+    docs = picked(df, doc_id=key, text=text).withColumn("copy", copy_of("text")).select("doc_id", "copy", "text")
     sketch = stage(sketches(docs), "sketches")
     real = sketch.where("n > 0 and doc_id is not null")
     classes = stage(real.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "copy")).alias("r")).select("d1", "d2", F.col("r.doc_id").alias("rep"), F.col("r.copy").alias("rep_copy")), "classes")

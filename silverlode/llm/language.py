@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import WordCache, picked, texts_of
+from silverlode.llm.common import WordCache, copy_of, picked, texts_of
 from silverlode.session import stage
 
 #: Labelled texts learned from at most (smallest hash of the id), and code points of each.
@@ -101,10 +101,10 @@ def learned_from(labelled: DataFrame, key: str = "doc_id", text: str = "text", l
 
 
 def evidence(rows: DataFrame, model: TextModel) -> DataFrame:
-    """(origin, id, host, domain, declared, suffix, likely, judged) of (origin, id, text, url, host)."""
+    """(origin, id, copy, host, domain, declared, suffix, likely, judged) of (origin, id, copy, text, url, host)."""
     named = F.lower(F.coalesce(F.nullif(F.regexp_extract("url", HOST, 1), F.lit("")), "host"))
     declared = F.lower(F.nullif(F.regexp_extract(F.substring("text", 1, 4096), DECLARED, 1), F.lit("")))
-    facts = rows.select("origin", "id", "text", named.alias("host"), declared.alias("declared"), F.col("url").isNotNull().alias("page"))
+    facts = rows.select("origin", "id", "copy", "text", named.alias("host"), declared.alias("declared"), F.col("url").isNotNull().alias("page"))
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,9 +115,9 @@ def evidence(rows: DataFrame, model: TextModel) -> DataFrame:
                 scores, n = m.text(NOT_PROSE.sub(" ", t) if page else t)
                 likely.append(scores)
                 judged.append(n)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("origin", "id", "host", "declared")), pa.array(likely, pa.list_(pa.float64())), pa.array(judged, pa.int64())], ["origin", "id", "host", "declared", "likely", "judged"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("origin", "id", "copy", "host", "declared")), pa.array(likely, pa.list_(pa.float64())), pa.array(judged, pa.int64())], ["origin", "id", "copy", "host", "declared", "likely", "judged"])
 
-    out = facts.mapInArrow(run, "origin string, id long, host string, declared string, likely array<double>, judged long")
+    out = facts.mapInArrow(run, "origin string, id long, copy long, host string, declared string, likely array<double>, judged long")
     parts = F.split("host", r"\.")
     domain = F.when(F.size(parts) >= 2, F.array_join(F.slice(parts, -2, 2), ".")).otherwise(F.col("host"))
     suffix = F.when(F.size(parts) >= 2, F.create_map(*[F.lit(x) for kv in SUFFIX_LANGUAGE.items() for x in kv])[F.element_at(parts, -1)])
@@ -140,14 +140,14 @@ def shares(scores: list[Column]) -> list[Column]:
 
 
 def judged(rows: DataFrame, model: TextModel) -> DataFrame:
-    """(origin, id, lang, posterior, accepted), one per row of (origin, id, text, url, host).
+    """(origin, id, copy, lang, posterior, accepted), one per row of (origin, id, copy, text, url, host).
 
     NULL or empty texts have no judged word: lang NULL, posterior 0, rejected. Rows
     without host form no group; their prior is that of all rows. Repeated rows stay and count.
     """
     languages = model.languages
     if not languages:
-        return rows.select("origin", "id", F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted"))
+        return rows.select("origin", "id", "copy", F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted"))
     k = len(languages)
     seen = stage(evidence(rows, model), "evidence")
     text = [F.col("likely")[i] for i in range(k)]
@@ -174,14 +174,14 @@ def judged(rows: DataFrame, model: TextModel) -> DataFrame:
     total = [F.col(f"own{i}") + F.log(F.coalesce(F.col(f"prior{i}"), F.lit(every[i]))) for i in range(k)]
     ranked = F.array_max(F.array(*[F.struct(p.alias("posterior"), F.lit(x).alias("lang")) for p, x in zip(shares(total), languages, strict=True)]))
     both = both.withColumn("best", F.when(F.col("judged") > 0, ranked))
-    return both.select("origin", "id", F.col("best.lang").alias("lang"), F.coalesce("best.posterior", F.lit(0.0)).alias("posterior"), F.coalesce(F.col("best.posterior") >= ACCEPT, F.lit(False)).alias("accepted"))
+    return both.select("origin", "id", "copy", F.col("best.lang").alias("lang"), F.coalesce("best.posterior", F.lit(0.0)).alias("posterior"), F.coalesce(F.col("best.posterior") >= ACCEPT, F.lit(False)).alias("accepted"))
 
 
 def document_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Documents as rows to judge; their source stands for the host."""
-    return picked(docs, id=key, text=text, host=source).select(F.lit("documents").alias("origin"), F.col("id").cast("long").alias("id"), "text", F.lit(None).cast("string").alias("url"), "host")
+    return picked(docs, id=key, text=text, host=source).select(F.lit("documents").alias("origin"), F.col("id").cast("long").alias("id"), copy_of("text").alias("copy"), "text", F.lit(None).cast("string").alias("url"), "host")
 
 
 def page_rows(pages: DataFrame, key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
     """Web pages as rows to judge."""
-    return picked(pages, id=key, text=html, url=url).select(F.lit("pages").alias("origin"), F.col("id").cast("long").alias("id"), "text", F.coalesce("url", F.lit("")).alias("url"), F.lit(None).cast("string").alias("host"))
+    return picked(pages, id=key, text=html, url=url).select(F.lit("pages").alias("origin"), F.col("id").cast("long").alias("id"), copy_of("text").alias("copy"), "text", F.coalesce("url", F.lit("")).alias("url"), F.lit(None).cast("string").alias("host"))

@@ -15,7 +15,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import picked
+from silverlode.llm.common import copy_of, picked
 from silverlode.session import stage
 
 WINDOW = 10
@@ -48,14 +48,9 @@ def item_windows(bench: DataFrame, window: int = WINDOW) -> DataFrame:
     return cut.groupBy("win").agg(F.collect_set(F.col("item_id").cast("string")).alias("items")).withColumn("len", F.size("win"))
 
 
-def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
-
-    NULL and wordless texts and items have no windows. NULL item ids count as no item
-    id in ``n_items`` but their windows still hit. Repeated rows and repeated ids stay
-    rows of their own: documents are told apart by id and text.
-    """
-    d = picked(docs, doc_id=key, text=text).withColumn("copy", F.xxhash64(F.coalesce("text", F.lit(""))))
+def hits(docs: DataFrame, bench: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(id, copy, n_hit, items) of the documents that hold a window, told apart by id and text hash."""
+    d = picked(docs, doc_id=key, text=text).withColumn("copy", copy_of("text"))
     wins = stage(item_windows(picked(bench, item_id=item, text=item_text), window).withColumn("win_id", F.xxhash64("win")), "windows")
     lengths = sorted(r[0] for r in wins.select(F.least("len", F.lit(SHINGLE))).distinct().collect())  # five values at most
     if not lengths:
@@ -72,7 +67,9 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, key:
         placed = words.select("doc_id", "copy", F.posexplode(shingles(F.col("words"), lengths[0])).alias("pos", "h"))
     else:
         placed = words.select("doc_id", "copy", F.explode(found).alias("s")).select("doc_id", "copy", "s.pos", "s.h")
-    met = stage(placed.join(parts.select("h").distinct(), "h"), "met")
+    # written, so that Spark knows its size before it plans the join: broadcast while small
+    wanted = stage(parts.select("h").distinct(), "wanted")
+    met = stage(placed.join(wanted, "h"), "met")
 
     # the rarest shingle of a window is its prefix; ties go to the smaller hash
     rarity = met.groupBy("h").agg(F.count("*").alias("n"))
@@ -87,13 +84,22 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, key:
     held = held.select("doc_id", "copy", "maybe", words_of(F.col("text")).alias("words"))
     sure = F.filter("maybe", lambda m: (m["start"] + F.size(m["win"]) <= F.size("words")) & (F.slice("words", m["start"] + 1, F.size(m["win"])) == m["win"]))
     held = held.select("doc_id", "copy", sure.alias("sure")).where(F.size("sure") > 0)
-    hits = F.size(F.array_distinct(F.flatten(F.transform("sure", lambda m: F.sequence(m["start"], m["start"] + F.size(m["win"]) - 1)))))
+    n_hit = F.size(F.array_distinct(F.flatten(F.transform("sure", lambda m: F.sequence(m["start"], m["start"] + F.size(m["win"]) - 1)))))
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("sure", lambda m: m["items"]))))
-    result = held.select(F.col("doc_id").alias("id"), F.col("copy").alias("same"), hits.cast("long").alias("n_hit"), items.alias("items"))
-    result = stage(result, "hits")
+    return stage(held.select(F.col("doc_id").alias("id"), "copy", n_hit.cast("long").alias("n_hit"), items.alias("items")), "hits")
+
 
-    every = d.select("doc_id", "copy", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    out = every.join(result, F.expr("copy = same and doc_id <=> id"), "left")
+def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+
+    NULL and wordless texts and items have no windows. NULL item ids count as no item
+    id in ``n_items`` but their windows still hit. Repeated rows and repeated ids stay
+    rows of their own: documents are told apart by id and text.
+    """
+    found = hits(docs, bench, window, key, text, item, item_text).withColumnRenamed("copy", "same")
+    every = picked(docs, doc_id=key, text=text)
+    every = every.select("doc_id", copy_of("text").alias("copy"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    out = every.join(found, F.expr("copy = same and doc_id <=> id"), "left")
     return out.select(
         "doc_id",
         "n_words",
