@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.llm import bpe, copies, language, leaks, private
-from silverlode.llm.common import without
+from silverlode.llm.common import importable, without
 from silverlode.llm.queries import tokenizer_spec
 from silverlode.session import scratch_path
 
@@ -38,12 +40,21 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_round_trip(docs, tokenizer_spec())
 
 
+def _ready(stage):
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("language", known_language),
-    ("near_duplicates", one_of_each),
-    ("decontamination", unleaked),
-    ("private_data", masked),
-    ("tokens", tokens),
+    ("language", _ready(known_language)),
+    ("near_duplicates", _ready(one_of_each)),
+    ("decontamination", _ready(unleaked)),
+    ("private_data", _ready(masked)),
+    ("tokens", _ready(tokens)),
 ]
 
 #: The stages learn models, decode sequences and encode texts, which SQL cannot say; the

@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers of this session import the package from where the driver has it.
+
+    Enough where executors see the driver's folders; elsewhere ship it with --py-files.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def picked(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named input columns, under the operator's own names.
 

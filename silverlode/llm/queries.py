@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import wraps
 from pathlib import Path
 
 import public_tokenizers
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.llm import bpe, copies, language, leaks, licences, neighbours, pieces, private, quality, token_files
+from silverlode.llm.common import importable
 from silverlode.plans.common import table
 
 
@@ -64,16 +66,20 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(table(spark, sf_dir, "documents"))
 
 
+def _ready(query):
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
-    "op1_language": op1_language,
-    "op2_private_spans": op2_private_spans,
-    "op3_piece_counts": op3_piece_counts,
-    "op4_token_files": op4_token_files,
-    "op5_nearest": op5_nearest,
-    "op6_licences": op6_licences,
-    "op7_benchmark_leaks": op7_benchmark_leaks,
-    "op8_quality": op8_quality,
-    "op9_near_duplicates": op9_near_duplicates,
-    "op10_bpe_codec": op10_bpe_codec,
-}
+    f.__name__: _ready(f)
+    for f in (
+        op1_language, op2_private_spans, op3_piece_counts, op4_token_files, op5_nearest,
+        op6_licences, op7_benchmark_leaks, op8_quality, op9_near_duplicates, op10_bpe_codec,
+    )
+}
 ORACLE: dict[str, str] = {}
