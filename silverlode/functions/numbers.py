@@ -17,12 +17,12 @@ def round_to(c: Column, places: int) -> Column:
 
 
 def bands(c: Column, cuts: list[tuple[float, str]], last: str) -> Column:
-    """First band whose upper bound (inclusive) holds ``c``; NULL stays NULL."""
+    """First band whose upper bound (inclusive) holds ``c``; NULL goes to the ``last`` band."""
     out = None
     for upper, label in cuts:
         test = c <= F.lit(upper)
         out = F.when(test, F.lit(label)) if out is None else out.when(test, F.lit(label))
-    return F.when(c.isNotNull(), out.otherwise(F.lit(last)))
+    return F.lit(last) if out is None else out.otherwise(F.lit(last))
 
 
 def sigmoid(c: Column) -> Column:

@@ -30,11 +30,22 @@ def hash_bucket(key: str, buckets: int = 5) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets))
 
 
+def sample_rows(df: DataFrame, key: str, share: float, salt: str = "a") -> DataFrame:
+    """About ``share`` of the rows, by a hash of the key: the same rows on any layout and in any engine."""
+    drawn = F.conv(F.substring(F.md5(F.concat(F.lit(salt), F.col(key).cast("string"))), 1, 8), 16, 10).cast("bigint")
+    return df.where(drawn < int(share * (1 << 32)))
+
+
 def split(df: DataFrame, bucket: Column, test: int = 2) -> tuple[DataFrame, DataFrame]:
     """(train, test) by bucket number: two filters, the same rows on every run."""
     return df.where(bucket != test), df.where(bucket == test)
 
 
+def _flag(condition: Column) -> Column:
+    """1 or 0; an unknown condition is 0."""
+    return F.when(condition, 1).otherwise(0)
+
+
 def credit_features(df: DataFrame) -> DataFrame:
     """The eight model features, plus the label if the input has one."""
     monthly_due = F.col("renda_mensal") * F.col("prazo_meses") / 12
@@ -45,9 +56,9 @@ def credit_features(df: DataFrame) -> DataFrame:
         round_to(ratio(F.col("valor_emprestimo"), monthly_due), 4).alias("comprometimento"),
         round_to(F.ln(F.nullif(F.col("renda_mensal"), F.lit(0.0))), 4).alias("renda_log"),
         round_to(F.col("tempo_relacionamento_meses") / 12, 2).alias("relacionamento_anos"),
-        (F.col("canal") == "App").cast("int").alias("canal_app"),
-        (F.col("canal") == "Web").cast("int").alias("canal_web"),
-        (F.col("atrasos_previos") > 0).cast("int").alias("tem_atraso"),
+        _flag(F.col("canal") == "App").alias("canal_app"),
+        _flag(F.col("canal") == "Web").alias("canal_web"),
+        _flag(F.col("atrasos_previos") > 0).alias("tem_atraso"),
         *([LABEL] if LABEL in df.columns else []),
     )
 

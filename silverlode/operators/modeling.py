@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml import Pipeline as Stages
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import HashingTF, IDF, Imputer, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +17,18 @@ from ..functions.numbers import round_to
 
 
 def _fit(df: DataFrame, cols: Sequence[str], estimator) -> PipelineModel:
-    gather = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip")
-    return Stages(stages=[gather, estimator]).fit(df)
+    """Missing features take the training median, which the model keeps, so every row gets a score.
+
+    A feature without any training value is filled with 0.
+    """
+    known = df.agg(*[F.count(c).alias(c) for c in cols]).first()
+    empty = [c for c in cols if not known[c]]
+    if empty:
+        df = df.fillna(0, subset=empty)
+    filled = [f"_filled_{c}" for c in cols]
+    fill = Imputer(strategy="median", inputCols=list(cols), outputCols=filled)
+    gather = VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="error")
+    return Stages(stages=[fill, gather, estimator]).fit(df)
 
 
 def fit_logistic(df: DataFrame, cols: Sequence[str], label: str, max_iter: int = 100) -> PipelineModel:

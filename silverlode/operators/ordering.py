@@ -33,8 +33,7 @@ def global_row_number(df: DataFrame, order: Sequence[str], out: str) -> DataFram
 
 def order_cuts(df: DataFrame, col: str, parts: int) -> list:
     """At most ``parts - 1`` cut points that split ``col`` into near-equal ranges."""
-    parts = max(1, min(parts, 1000))
-    if parts == 1:
+    if parts <= 1:
         return []
     grid = [i / parts for i in range(1, parts)]
     row = df.agg(F.percentile_approx(col, grid, 10 * parts).alias("cuts")).first()
@@ -61,33 +60,21 @@ def range_bucket(c: Column, cuts: list) -> Column:
     return F.least(block_no * width + inside, F.lit(len(cuts)))  # the last block may be short
 
 
-def exact_quantiles(
-    df: DataFrame, wanted: dict[str, Sequence[float]], gather: int = 200_000
-) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[str, list[float | None]]:
     """Exact linearly interpolated quantiles of several numeric columns, as plain numbers.
 
-    The built-in exact ``percentile`` keeps one counter per distinct value in a single
-    buffer, so it serves columns with at most about ``gather`` distinct values. For the
-    others each pass brackets every rank between two ``percentile_approx`` values and
-    counts exactly how many rows lie before, on and between them. A pass is two scans of
-    one column with partial aggregation, moves a handful of numbers and shrinks the
-    bracket at least a hundredfold; the last ``gather`` candidates are sorted.
+    Each pass brackets every rank between two ``percentile_approx`` values and counts
+    exactly how many rows lie before, on and between them, until each rank's value is
+    known. A pass is two scans of one column with partial aggregation, moves a handful of
+    numbers and shrinks the brackets at least a hundredfold. NULL and NaN are no values;
+    infinities are. A column without values has NULL quantiles.
     """
-    cols = list(wanted)
-    head = df.agg(
-        *[F.count(c).alias(f"n_{c}") for c in cols], *[F.approx_count_distinct(c).alias(f"d_{c}") for c in cols]
-    ).first()
-    few = [c for c in cols if head[f"d_{c}"] <= gather]
+    real = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in wanted}
+    counts = df.agg(*[F.count(x).alias(c) for c, x in real.items()]).first()
     found: dict[str, list[float | None]] = {}
-    if few:
-        exact = df.agg(
-            *[F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, wanted[c]))).alias(c) for c in few]
-        ).first()
-        found.update({c: list(exact[c]) if exact[c] is not None else [None] * len(wanted[c]) for c in few})
-    for c in cols:
-        if c not in found:
-            values = df.select(F.col(c).cast("double").alias("x")).where(F.col("x").isNotNull())
-            found[c] = _refine(values, head[f"n_{c}"], wanted[c], gather)
+    for c, x in real.items():
+        values = df.select(x.alias("x")).where(F.col("x").isNotNull())
+        found[c] = _refine(values, counts[c], wanted[c]) if counts[c] else [None] * len(wanted[c])
     return found
 
 
@@ -104,18 +91,18 @@ class _Bracket(NamedTuple):
         return F.col("x").between(F.lit(self.low), F.lit(self.high))
 
 
-def _refine(values: DataFrame, n: int, probs: Sequence[float], gather: int) -> list[float]:
+def _refine(values: DataFrame, n: int, probs: Sequence[float]) -> list[float]:
     spots = [p * (n - 1) for p in probs]
     searched = {r: _Bracket(-math.inf, math.inf, 0, n) for s in spots for r in (math.floor(s), math.ceil(s))}
     at: dict[int, float] = {}
     while searched:
-        ready = {r: b for r, b in searched.items() if b.rows <= gather}
-        if ready:
-            at.update(_pick(values, ready))
-        else:
-            _narrow(values, searched, at)
+        _narrow(values, searched, at)
         searched = {r: b for r, b in searched.items() if r not in at}
-    return [at[math.floor(s)] + (at[math.ceil(s)] - at[math.floor(s)]) * (s - math.floor(s)) for s in spots]
+
+    def between(low: float, high: float, share: float) -> float:
+        return low if low == high else low + (high - low) * share
+
+    return [between(at[math.floor(s)], at[math.ceil(s)], s - math.floor(s)) for s in spots]
 
 
 def _narrow(values: DataFrame, searched: dict[int, _Bracket], at: dict[int, float]) -> None:
@@ -169,14 +156,3 @@ def _guess(values: DataFrame, searched: dict[int, _Bracket]) -> dict[int, tuple[
         for i, ranks in enumerate(by_bracket.values())
         for j, r in enumerate(ranks)
     }
-
-
-def _pick(values: DataFrame, ready: dict[int, _Bracket]) -> dict[int, float]:
-    """The value at each rank from the few rows left in its bracket."""
-    row = values.agg(
-        *[
-            F.get(F.sort_array(F.collect_list(F.when(b.holds, F.col("x")))), F.lit(r - b.before)).alias(str(r))
-            for r, b in ready.items()
-        ]
-    ).first()
-    return {r: row[str(r)] for r in ready}

@@ -16,19 +16,16 @@ EXPENSE = "Despesa"
 
 
 def dimension(
-    silver: DataFrame, col: str, key: str, name: str, bounded: bool = False, small: int = 500_000
+    silver: DataFrame, col: str, key: str, name: str, bounded: bool = False
 ) -> DataFrame:
     """Distinct non-NULL labels numbered 1..n in ascending order.
 
     ``bounded`` says the labels come from a fixed recode list, so a plain window
-    over the distinct set is safe. Free-text labels are written once and counted;
-    up to ``small`` of them use the same window, more are numbered in parallel.
+    over the distinct set is safe. Free-text labels are numbered in parallel.
     """
     labels = silver.select(F.col(col).alias(name)).where(F.col(col).isNotNull()).distinct()
     if not bounded:
-        labels = stage(labels, name)
-        if labels.count() > small:
-            return global_row_number(labels, [name], key).select(F.col(key), F.col(name))
+        return global_row_number(labels, [name], key).select(F.col(key), F.col(name))
     return labels.select(F.row_number().over(Window.orderBy(name)).cast("bigint").alias(key), name)
 
 

@@ -145,11 +145,16 @@ def gold_revenue_by_day(spark, sf_dir):
 # --- streaming --------------------------------------------------------------
 
 
-def _land(df: DataFrame, name: str, files: int, by: str) -> str:
-    """Write a feed as several landing files, newest range first so order must not matter."""
+def _land(df: DataFrame, name: str, by: str) -> tuple[str, int]:
+    """Write a feed as landing files, newest first so order must not matter; (folder, files per batch).
+
+    The files follow the feed's own size: as many ranges as the shuffle makes of it. A
+    micro-batch takes a quarter of them.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.repartitionByRange(files, F.desc(by)).write.parquet(path)
-    return path
+    df.repartitionByRange(F.desc(by)).write.parquet(path)
+    landed = df.sparkSession.read.schema(df.schema).parquet(path).select(F.col("_metadata.file_path")).distinct().count()
+    return path, max(1, -(-landed // 4))
 
 
 def stream_ingest(spark, sf_dir):
@@ -164,9 +169,9 @@ def stream_ingest(spark, sf_dir):
 
 def _ingested_orders(spark, sf_dir) -> tuple[DataFrame, str]:
     rows = orders(spark, sf_dir)
-    landing = _land(rows, "orders", 4, "data_pedido")
+    landing, per_batch = _land(rows, "orders", "data_pedido")
     target, metrics, checkpoint = (scratch_path(spark, n) for n in ("silver", "metrics", "offsets"))
-    stream = ingest.open_stream(spark, landing, rows.schema, files_per_batch=2)
+    stream = ingest.open_stream(spark, landing, rows.schema, files_per_batch=per_batch)
     ingest.run_expectations(stream, order_rules(), target, metrics, checkpoint)
     return spark.read.parquet(target).drop("batch_id"), metrics
 
@@ -186,11 +191,11 @@ def stream_gold_by_product(spark, sf_dir):
 
 def _stream_cdc(spark: SparkSession, sf_dir: str, scd_type: int, runs: int = 1) -> DataFrame:
     rows = feed(spark, sf_dir)
-    landing = _land(rows, "feed", 4, "sequencia")
+    landing, per_batch = _land(rows, "feed", "sequencia")
     flow = stream_cdc.Flow(KEYS, "sequencia", _deleted(), scd_type, ["operacao", "sequencia"])
     for _ in range(runs):  # a full refresh is a new log and a new checkpoint over the same input
         log, checkpoint = scratch_path(spark, "log"), scratch_path(spark, "offsets")
-        stream_cdc.run_cdc(ingest.open_stream(spark, landing, rows.schema, files_per_batch=1), flow, log, checkpoint)
+        stream_cdc.run_cdc(ingest.open_stream(spark, landing, rows.schema, files_per_batch=per_batch), flow, log, checkpoint)
     return portable(stream_cdc.read_target(spark, flow, log))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fold, money, multi_date, recode, tidy, title
 from ..operators import clean, metrics, quality, star
-from ..session import spread, stage
+from ..session import stage
 from .common import portable, sql_fold, sql_initcap, sql_list, sql_round, sql_text, table
 
 # Spellings the generated ledger cycles through.
@@ -24,10 +24,8 @@ RAW_EXPENSE = ["Despesa", "DESPESA", "despesa "]
 
 def bronze_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-text ledger with mixed formats, gaps, unknown labels and exact copies."""
-    orders = spread(
-        table(spark, sf_dir, "orders").select(
-            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
-        )
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     k = F.col("o_orderkey")
@@ -146,7 +144,7 @@ def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str, on_missing_date: str = "drop") -> DataFrame:
-    return clean.silver_ledger(bronze_table(spark, sf_dir), on_missing_date)
+    return clean.silver_ledger(bronze_ledger(spark, sf_dir), on_missing_date)
 
 
 def gold(spark: SparkSession, sf_dir: str) -> star.Star:
@@ -212,7 +210,7 @@ def clean_recode(spark, sf_dir):
 
 
 def clean_drop_unusable(spark, sf_dir):
-    rows = bronze_table(spark, sf_dir).select(*clean.ledger_columns())
+    rows = bronze_ledger(spark, sf_dir).select(*clean.ledger_columns())
     kept = clean.drop_unusable(rows, ["data_lancamento", "valor"])
     return portable(kept.select("id_lancamento", "data_lancamento", "valor"))
 
@@ -312,12 +310,18 @@ def dq_duplicate_keys(spark, sf_dir):
 
 
 def dq_fact_orphans(spark, sf_dir):
-    """Key gaps of the fact plus the silver rows its inner joins lost, by dimension."""
+    """Key gaps of the fact plus, for each dimension, the silver rows its inner join loses."""
     g = gold(spark, sf_dir)
     keys = ["sk_centro_custo", "sk_categoria", "sk_data", "sk_tipo"]
-    lost = quality.orphans(g.silver, g.types.withColumnRenamed("tipo", "nome_tipo"), "tipo", "nome_tipo")
-    lost_row = lost.agg(F.count(F.lit(1)).alias("n"))
-    return quality.fact_key_report(g.fact, keys).withColumn("linhas_sem_tipo", lost_row.scalar())
+    lost = {
+        "centro_custo": quality.orphans(g.silver, g.cost_centres, "centro_custo", "nome_centro_custo"),
+        "categoria": quality.orphans(g.silver, g.categories, "categoria", "nome_categoria"),
+        "tipo": quality.orphans(g.silver, g.types.withColumnRenamed("tipo", "nome_tipo"), "tipo", "nome_tipo"),
+    }
+    report = quality.fact_key_report(g.fact, keys)
+    for name, rows in lost.items():
+        report = report.withColumn(f"linhas_sem_{name}", rows.agg(F.count(F.lit(1)).alias("n")).scalar())
+    return report
 
 
 def dq_layer_counts(spark, sf_dir):
@@ -416,6 +420,8 @@ ORACLE = {
         count(*) FILTER (sk_categoria IS NULL) AS sk_categoria_faltando,
         count(*) FILTER (sk_data IS NULL) AS sk_data_faltando,
         count(*) FILTER (sk_tipo IS NULL) AS sk_tipo_faltando,
+        (SELECT count(*) FROM silver WHERE centro_custo IS NULL) AS linhas_sem_centro_custo,
+        (SELECT count(*) FROM silver WHERE categoria IS NULL) AS linhas_sem_categoria,
         (SELECT count(*) FROM silver WHERE tipo IS NULL) AS linhas_sem_tipo FROM fact""",
     "dq_layer_counts": f"""WITH {SQL_STAR} SELECT 'bronze' AS camada, count(*) AS linhas FROM bronze
         UNION ALL SELECT 'silver', count(*) FROM silver

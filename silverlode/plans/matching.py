@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
 from ..operators import matching
-from ..session import spread, stage
+from ..session import stage
 from .common import sql_initcap, sql_round, table
 
 # How hexadecimal digits are spelled as letters and as numbers.
@@ -27,7 +27,7 @@ def _people(spark, sf_dir) -> DataFrame:
     def letters(start: int, size: int):
         return F.translate(F.substring("h", start, size), HEX, LETTERS)
 
-    return spread(table(spark, sf_dir, "customer").select("c_custkey")).select(k.alias("k"), h.alias("h")).select(
+    return table(spark, sf_dir, "customer").select("c_custkey").select(k.alias("k"), h.alias("h")).select(
         "k", "h",
         letters(1, 6).alias("first"),
         letters(7, 8).alias("last"),

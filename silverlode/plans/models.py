@@ -58,10 +58,6 @@ def _registry(spark, sf_dir) -> str:
     return root
 
 
-def model_alias_resolve(spark, sf_dir):
-    return modeling.aliases(spark, _registry(spark, sf_dir))
-
-
 def score_portfolio(spark, sf_dir):
     """New customers scored by whatever version the champion alias names."""
     model, version = modeling.load_alias(spark, _registry(spark, sf_dir), "champion")
@@ -83,7 +79,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         ml_logistic_scores, ml_forest_scores, ml_compare, ml_importances, ml_coefficients,
-        model_alias_resolve, score_portfolio, text_classify_ml,
+        score_portfolio, text_classify_ml,
     )
 }
 ORACLE: dict[str, str] = {}

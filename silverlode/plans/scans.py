@@ -13,7 +13,8 @@ from .ledger import SQL_BRONZE, bronze_ledger
 from .matching import JSON_SCHEMA, SQL_XREF, registry_b
 
 LOAD_TIME = "2026-01-31 06:00:00"
-JSON_OBJECTS = 256
+# objects of one array file: a few megabytes, so a billion rows make some ten thousand files
+JSON_OBJECTS = 50_000
 
 
 def src_csv_raw(spark, sf_dir):
@@ -41,7 +42,7 @@ def src_json(spark, sf_dir):
     part = F.floor(F.col("customer_id") / JSON_OBJECTS)
     item = F.struct("nome", "email", "phone", "address")
     arrays = registry_b(spark, sf_dir).groupBy(part.alias("parte")).agg(F.to_json(F.collect_list(item)).alias("value"))
-    arrays.write.partitionBy("parte").text(path)
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return readers.read_json_array(spark, path, JSON_SCHEMA, ["nome", "email", "phone", "address"])
 
 

@@ -62,14 +62,3 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy work on a few big files more tasks than the files allow.
-
-    A Parquet row group cannot be split, so one file keeps one core busy. Inputs with
-    at least one file per core, the normal case on a cluster, pass through unchanged.
-    ``df`` must be a scan, already reduced to the columns needed.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -1,83 +1,11 @@
-"""Deterministic synthetic columns and controlled dirt.
-
-Draws are functions of a row key and a seed, not of partition order, so the same
-key gets the same values on any cluster layout and after any retry.
-"""
+"""Controlled dirt for test tables: a function of a row key, not of partition order."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def uniform(key: Column, seed: int, stream: str) -> Column:
-    """Pseudo-random double in (0, 1) for a key, one independent sequence per ``stream``."""
-    bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(seed), F.lit(stream)), 12)
-    return (bits.cast("double") + 0.5) / float(1 << 52)
-
-
-def uniform_int(u: Column, low: int, high: int) -> Column:
-    """Integer in [low, high)."""
-    return (F.floor(u * (high - low)) + low).cast("int")
-
-
-def normal(u1: Column, u2: Column, mean: float = 0.0, sd: float = 1.0) -> Column:
-    """Normal draw from two uniforms (Box-Muller)."""
-    return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * math.pi * u2) * sd + mean
-
-
-def poisson(u: Column, mean: float) -> Column:
-    """Poisson draw by inverting the distribution function."""
-    term = total = math.exp(-mean)
-    out, k = None, 0
-    while total < 1.0 - 1e-12:
-        out = F.when(u <= total, k) if out is None else out.when(u <= total, k)
-        k += 1
-        term *= mean / k
-        total += term
-    return out.otherwise(k)
-
-
-def choice(u: Column, options: list) -> Column:
-    return F.element_at(F.array(*map(F.lit, options)), uniform_int(u, 1, len(options) + 1))
-
-
-def synthetic_customers(keys: DataFrame, key: str, seed: int = 42) -> DataFrame:
-    """Credit customers with income, score and default risk drawn per key."""
-
-    def u(stream: str) -> Column:
-        return uniform(F.col(key), seed, stream)
-
-    drawn = keys.select(
-        F.format_string("C%09d", F.col(key)).alias("cliente_id"),
-        uniform_int(u("idade"), 18, 76).alias("idade"),
-        F.round(F.exp(normal(u("r1"), u("r2"), 8.3, 0.5)), 2).alias("renda_mensal"),
-        uniform_int(u("score"), 300, 901).cast("double").alias("score_bureau"),
-        poisson(u("atrasos"), 0.8).alias("atrasos_previos"),
-        uniform_int(u("tempo"), 1, 240).alias("tempo_relacionamento_meses"),
-        choice(u("prazo"), [12, 24, 36, 48, 60]).alias("prazo_meses"),
-        (u("fator") * 10 + 2).alias("_factor"),
-        choice(u("canal"), ["App", "app", "APP", "Web", "web", "Agencia", "agencia", " Agencia "]).alias("canal"),
-        u("alvo").alias("_u"),
-    )
-    amount = F.round(F.col("renda_mensal") * F.col("_factor"), 2)
-    risk = default_risk(
-        F.col("score_bureau"), F.col("atrasos_previos"), amount, F.col("renda_mensal"), F.col("prazo_meses")
-    )
-    return drawn.select(
-        "*", amount.alias("valor_emprestimo"), (F.col("_u") < risk).cast("int").alias("inadimplente")
-    ).drop("_factor", "_u")
-
-
-def default_risk(score: Column, late: Column, amount: Column, income: Column, term: Column) -> Column:
-    """Default probability: worse with a low score, late payments and heavy instalments."""
-    load = amount / (income * term / 12)
-    logit = F.lit(-2.4) - 0.007 * (score - 600) + 0.5 * late + 0.15 * load
-    return 1 / (1 + F.exp(-logit))
-
-
 def inject_dirt(
     df: DataFrame,
     key: Column,

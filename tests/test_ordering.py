@@ -35,9 +35,15 @@ def test_quantiles_by_refinement(spark, shape):
     }[shape]
     probs = [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(5)
-    got = exact_quantiles(df, {"x": probs}, gather=50)["x"]
+    got = exact_quantiles(df, {"x": probs})["x"]
     assert got == pytest.approx(list(np.quantile(values, probs)), rel=1e-12)
-    assert exact_quantiles(df, {"x": probs})["x"] == pytest.approx(got, rel=1e-12)
+    assert exact_quantiles(df.repartition(2), {"x": probs})["x"] == got  # to the last bit, on any layout
+
+
+def test_quantiles_skip_nan_and_keep_infinities(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(v,) for v in [nan, -inf, 1.0, 2.0, inf, nan, None, inf]], "x double")
+    assert exact_quantiles(df, {"x": [0.0, 0.25, 0.5, 0.75, 1.0]})["x"] == [-inf, 1.0, 2.0, inf, inf]
 
 
 def test_quantiles_of_nothing(spark):

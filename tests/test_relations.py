@@ -150,18 +150,6 @@ def test_replace_sink_changes_the_schema(spark, tmp_path):
     assert spark.read.parquet(path).columns == ["novo"] and spark.read.parquet(path).count() == 2
 
 
-def test_generator_ignores_layout(spark, rows):
-    keys = spark.range(2000).withColumnRenamed("id", "k")
-    a = generate.synthetic_customers(keys.repartition(7), "k")
-    b = generate.synthetic_customers(keys.coalesce(1), "k")
-    assert rows(a) == rows(b)
-    stats = a.agg(F.avg("atrasos_previos"), F.avg("score_bureau"), F.avg(F.ln("renda_mensal")), F.avg("inadimplente")).first()
-    assert stats[0] == pytest.approx(0.8, abs=0.08) and stats[1] == pytest.approx(600, abs=12)
-    assert stats[2] == pytest.approx(8.3, abs=0.05) and 0.1 < stats[3] < 0.4
-    other = generate.synthetic_customers(keys, "k", seed=43)
-    assert a.exceptAll(other).count() == 2000
-
-
 def test_inject_dirt(spark):
     df = spark.range(100).select("id", F.lit(2.0).alias("x"))
     dirty = generate.inject_dirt(df, F.col("id"), nulls={"x": (10, 3)}, outliers={"x": (20, 1, 50.0)}, copies=(25, 0))

@@ -36,7 +36,7 @@ def test_dimensions(spark, rows):
 def test_numbering_in_parallel_equals_window(spark, rows):
     df = spark.createDataFrame([(f"l{i % 97:03d}",) for i in range(500)] + [(None,)], "x string")
     a = star.dimension(df, "x", "sk", "nome")
-    b = star.dimension(df, "x", "sk", "nome", small=10)
+    b = star.dimension(df, "x", "sk", "nome", bounded=True)
     assert rows(a) == rows(b) and a.count() == 97
 
 
