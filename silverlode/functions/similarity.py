@@ -39,5 +39,10 @@ def email_user(c: Column) -> Column:
     return F.regexp_replace(F.substring_index(c, "@", 1), "[^a-z0-9]", "")
 
 
+def email_whole(c: Column) -> Column:
+    """The e-mail as one string, its user part without separators."""
+    return F.concat(email_user(c), F.coalesce(F.concat(F.lit("@"), email_domain(c)), F.lit("")))
+
+
 def email_domain(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("@")), F.substring_index(c, "@", -1))

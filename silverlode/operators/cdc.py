@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .clean import row_print
 from .ordering import order_cuts, range_bucket
 
 
@@ -22,10 +23,11 @@ def latest_events(feed: DataFrame, keys: Sequence[str], seq: str, delete_when: C
     order, and applying it to its own output plus new events gives the same answer
     as applying it to all events. Equal sequences: a delete wins.
     """
-    payload = [c for c in feed.columns if c not in (*keys, seq)]
+    payload = [c for c in feed.columns if c not in keys]
     dead = F.coalesce(delete_when, F.lit(False))
-    newest = F.max(F.struct(F.col(seq), dead.alias("_dead"), *payload)).alias("_e")
-    picked = feed.groupBy(*keys).agg(newest)
+    # equal sequences of one kind: decided by a print of the payload, which may hold maps
+    order = F.struct(F.col(seq), dead, row_print(feed, [c for c in payload if c != seq]))
+    picked = feed.groupBy(*keys).agg(F.max_by(F.struct(*payload), order).alias("_e"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"_e.{c}").alias(c) for c in feed.columns])
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import fold, money, multi_date, recode, tidy, title
 from ..session import stage
@@ -89,6 +90,22 @@ def drop_unusable(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(required))
 
 
+def has_map(kind: T.DataType) -> bool:
+    """Whether a type holds a map anywhere; such values have no order."""
+    if isinstance(kind, T.MapType):
+        return True
+    if isinstance(kind, T.ArrayType):
+        return has_map(kind.elementType)
+    return isinstance(kind, T.StructType) and any(has_map(f.dataType) for f in kind.fields)
+
+
+def row_print(df: DataFrame, cols: Sequence[str]) -> Column:
+    """64-bit print of the columns; maps count by their JSON text."""
+    maps = [c for c in cols if has_map(df.schema[c].dataType)]
+    rest = [F.col(c) for c in cols if c not in maps]
+    return F.xxhash64(*rest, *([F.to_json(F.struct(*maps))] if maps else []), F.lit(0))
+
+
 def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the first by ``order``, any remaining tie by the row itself.
 
@@ -97,7 +114,9 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     """
     rest = [c for c in df.columns if c not in keys]
     ranked = [o.alias(f"_o{i}") for i, o in enumerate(order)]
-    best = F.min(F.struct(*ranked, *[F.col(c) for c in rest])).alias("_best")
+    plain = [c for c in rest if not has_map(df.schema[c].dataType)]
+    ties = [*map(F.col, plain), *([row_print(df, rest)] if len(plain) < len(rest) else [])]
+    best = F.min_by(F.struct(*rest), F.struct(*ranked, *ties)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
 
 

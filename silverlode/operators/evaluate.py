@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio, round_to
+from ..session import stage
+from .ordering import order_cuts, range_bucket
 
 # Cost of a missed default and of a needless review.
 COST_FALSE_NEGATIVE = 10_000
@@ -72,16 +74,18 @@ def best_threshold(costs: DataFrame) -> DataFrame:
 def auc(scored: DataFrame) -> DataFrame:
     """Exact ROC area: the chance that a positive outranks a negative, ties counting half.
 
-    Rows are first counted per distinct score. Scores are then laid into 2**16 equal
-    slices: running counts inside a slice plus the totals of the slices before it
-    give every score its rank, and only the slice totals pass through one task.
+    Rows are first counted per distinct score. The scores are then cut into slices of
+    near-equal counts: running counts inside a slice plus the totals of the slices before
+    it give every score its rank, and only the slice totals pass through one task.
     """
     per_score = (
         scored.where(F.col("proba").isNotNull() & F.col("real").isNotNull())
         .groupBy("proba")
         .agg(F.count_if(F.col("real") == 1).alias("_p"), F.count_if(F.col("real") == 0).alias("_n"))
-        .withColumn("_slice", F.floor(F.col("proba") * 65536))
     )
+    per_score = stage(per_score, "scores")
+    cuts = order_cuts(per_score, "proba", int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    per_score = per_score.withColumn("_slice", range_bucket(F.col("proba"), cuts))
     slices = per_score.groupBy("_slice").agg(F.sum("_n").alias("_total"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.select("_slice", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))

@@ -2,9 +2,10 @@
 
 Two records are the same customer by the first rule that holds: similar name and
 similar e-mail (1), similar name and equal phone (2), similar name and similar
-address (3). Similar means trigram similarity of at least the threshold; e-mails
-must also share domain and digits, addresses their digits, so neighbouring house
-numbers or numbered mailboxes do not count as spelling variants.
+address (3). Similar means trigram similarity of at least the threshold, of whole
+e-mails without the separators of their user part, of whole addresses; both must also
+share their digits, so neighbouring house numbers or numbered mailboxes do not count
+as spelling variants.
 
 Comparing every pair of records is quadratic. The plan here returns the same
 matches without it:
@@ -14,7 +15,9 @@ matches without it:
 * two values can only be similar if they share one of their first few trigrams in a
   fixed global order (prefix filtering: ``n - ceil(t * n) + 1`` of ``n``, one more for
   each further trigram asked for), so values meet in an equi-join on hashed keys that
-  combine trigrams of the name and of the other field with its digits and domain;
+  combine trigrams of the name and of the other field with its digits;
+* the order puts the trigrams that the registries use most last, counted over both, so
+  a frequent domain or surname hardly ever becomes a key;
 * candidates are verified with the full similarity, so the keys decide only which
   pairs are looked at, never which pairs match.
 """
@@ -24,14 +27,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import edit_similarity, email_domain, email_user, jaccard, trigrams
+from ..functions.similarity import edit_similarity, email_whole, jaccard, trigrams
 from ..functions.text import compact_email, digits, title
+from ..session import stage
 from .clean import dedupe_by_key
 from .ordering import global_row_number
 
 # Fixed value: similarity from which two texts count as the same.
 THRESHOLD = 0.6
 FIELDS = {1: "email", 2: "phone", 3: "endereco"}
+#: Trigrams that go last in the order: the most frequent, and those after them.
+MOST_FREQUENT, FREQUENT = 32, 512
 
 
 def harmonise_split_names(df: DataFrame, source: str, prefix: str) -> DataFrame:
@@ -67,9 +73,8 @@ def _tokens(name: str, email: str | None = None, address: str | None = None) ->
     """Trigram sets and guards of the given columns, to be computed once per row."""
     out = {f"_t_{name}": trigrams(F.lower(name))}
     if email:
-        out[f"_t_{email}"] = trigrams(email_user(F.col(email)))
-        # NULL without a domain, so such an address is similar to none
-        out[f"_g_{email}"] = F.concat(email_domain(F.col(email)), F.lit("#"), digits(F.col(email)))
+        out[f"_t_{email}"] = trigrams(email_whole(F.col(email)))
+        out[f"_g_{email}"] = digits(F.col(email))
     if address:
         out[f"_t_{address}"] = trigrams(F.col(address))
         out[f"_g_{address}"] = digits(F.col(address))
@@ -82,19 +87,25 @@ def _guarded(a: str, b: str) -> Column:
     return F.coalesce(F.when(F.col(f"_g_{a}") == F.col(f"_g_{b}"), alike), F.lit(0.0))
 
 
-def _prefix(tokens: str, shared: int, threshold: float) -> Column:
+def frequent_tokens(left: DataFrame, right: DataFrame, tokens: str) -> list[str]:
+    """At most ``FREQUENT`` tokens of two tables of values, the most frequent first."""
+    used = left.select(F.explode(tokens).alias("t")).unionByName(right.select(F.explode(tokens).alias("t")))
+    top = used.groupBy("t").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "t").limit(FREQUENT)
+    return [r["t"] for r in top.collect()]
+
+
+def _prefix(tokens: str, shared: int, threshold: float, frequent: list[str]) -> Column:
     """Leading token hashes of which two similar sets share at least ``shared``.
 
-    Any fixed order is correct. Pieces at the start of a word come last in it: there
-    are few of them and many values share them, so they make poor join keys.
+    Any fixed order is correct; rare tokens first makes selective keys.
     """
-    late = F.lit(1 << 62)
-    order = F.array_sort(
-        F.transform(
-            tokens,
-            lambda t: F.shiftrightunsigned(F.xxhash64(t), 2) + F.when(t.startswith(" "), late).otherwise(F.lit(0)),
-        )
-    )
+
+    def late(t: Column) -> Column:
+        tier = F.when(t.isin(frequent[:MOST_FREQUENT]), 2) if frequent else F.when(F.lit(False), 2)
+        common = t.startswith(" ") | t.isin(frequent) if frequent else t.startswith(" ")
+        return tier.when(common, 1).otherwise(0).cast("bigint") * F.lit(1 << 61)
+
+    order = F.array_sort(F.transform(tokens, lambda t: F.shiftrightunsigned(F.xxhash64(t), 3) + late(t)))
     n = F.size(tokens)
     return F.slice(order, 1, n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + shared)
 
@@ -116,13 +127,13 @@ def _values(registry: DataFrame, rule: int) -> DataFrame:
         .agg(F.min("registro_id").alias("id"), F.count(F.lit(1)).alias("registros"))
     )
     if rule == 1:
-        return distinct.withColumns(_tokens("full_name", email="valor")).where(F.col("_g_valor").isNotNull())
+        return distinct.withColumns(_tokens("full_name", email="valor"))
     if rule == 2:
         return distinct.withColumns(_tokens("full_name"))
     return distinct.withColumns(_tokens("full_name", address="valor"))
 
 
-def _keys(values: DataFrame, rule: int, threshold: float) -> DataFrame:
+def _keys(values: DataFrame, rule: int, threshold: float, names: list[str], others: list[str]) -> DataFrame:
     """(id, _key) rows under which values of two registries have to meet.
 
     An e-mail usually repeats the name, so a name piece says little beyond an e-mail
@@ -134,8 +145,8 @@ def _keys(values: DataFrame, rule: int, threshold: float) -> DataFrame:
         prefixes = values.select(
             "id",
             F.col("_g_valor").alias("_g"),
-            _prefix(name, 1, threshold).alias("_p"),
-            _prefix(value, 1, threshold).alias("_q"),
+            _prefix(name, 1, threshold, names).alias("_p"),
+            _prefix(value, 1, threshold, others).alias("_q"),
         )
         crossed = prefixes.select("id", "_g", "_q", F.explode("_p").alias("_a")).select(
             "id", "_g", "_a", F.explode("_q").alias("_b")
@@ -143,13 +154,13 @@ def _keys(values: DataFrame, rule: int, threshold: float) -> DataFrame:
         return crossed.select("id", F.xxhash64("_g", "_a", "_b").alias("_key"))
     if rule == 2:
         alone = (F.size(name) == 1).alias("_one")
-        pairs = _each_pair(values.select("id", "valor", _prefix(name, 2, threshold).alias("_p"), alone), "_p", "_one")
+        pairs = _each_pair(values.select("id", "valor", _prefix(name, 2, threshold, names).alias("_p"), alone), "_p", "_one")
         return pairs.select("id", F.xxhash64("valor", "_a", "_b").alias("_key"))
     prefixes = values.select(
         "id",
         F.col("_g_valor").alias("_g"),
-        _prefix(name, 1, threshold).alias("_n"),
-        _prefix(value, 2, threshold).alias("_p"),
+        _prefix(name, 1, threshold, names).alias("_n"),
+        _prefix(value, 2, threshold, others).alias("_p"),
         (F.size(value) == 1).alias("_one"),
     )
     pairs = _each_pair(prefixes, "_p", "_one")
@@ -159,14 +170,17 @@ def _keys(values: DataFrame, rule: int, threshold: float) -> DataFrame:
 
 def candidates(left: DataFrame, right: DataFrame, rule: int, threshold: float = THRESHOLD) -> DataFrame:
     """Distinct (id_a, id_b) of values that share a key."""
-    a = _keys(left, rule, threshold).withColumnRenamed("id", "id_a")
-    b = _keys(right, rule, threshold).withColumnRenamed("id", "id_b")
+    names = frequent_tokens(left, right, "_t_full_name")
+    others = [] if rule == 2 else frequent_tokens(left, right, "_t_valor")
+    a = _keys(left, rule, threshold, names, others).withColumnRenamed("id", "id_a")
+    b = _keys(right, rule, threshold, names, others).withColumnRenamed("id", "id_b")
     return a.join(b, "_key").select("id_a", "id_b").distinct()
 
 
 def matching_values(a: DataFrame, b: DataFrame, rule: int, threshold: float = THRESHOLD) -> DataFrame:
     """Verified pairs of distinct values of two registries under one rule."""
-    left, right = _values(a, rule), _values(b, rule)
+    # written once: counting tokens, making keys and verifying read them
+    left, right = (stage(_values(r, rule), f"values_{rule}") for r in (a, b))
 
     def side(df: DataFrame, s: str) -> DataFrame:
         return df.select(*[F.col(c).alias(f"{c}_{s}") for c in df.columns])
@@ -200,19 +214,21 @@ def best_values(a: DataFrame, b: DataFrame, rule: int, threshold: float = THRESH
 def signals(a: DataFrame, b: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Each record of ``b`` with its best partner per rule and every similarity signal.
 
-    At most three rows per record, however many copies either registry holds.
+    At most three rows per record, however many copies either registry holds; a record
+    without any partner has one row, whose partner columns are NULL.
     """
     found = None
     for rule, field in FIELDS.items():
         best = best_values(a, b, rule, threshold).withColumnRenamed("valor", field)
-        rows = b.join(best, ["full_name", field]).select(*b.columns, "id_a")
+        rows = b.join(best, ["full_name", field]).select(F.col("registro_id").alias("_js"), "id_a")
         found = rows if found is None else found.unionByName(rows)
 
     def side(df: DataFrame, s: str) -> DataFrame:
         names = {"source_name": "source", "registro_id": "id", "full_name": "nome", "email": "email", "phone": "phone", "endereco": "endereco"}
-        return df.select(*[F.col(c).alias(f"{n}_{s}") for c, n in names.items()], *[c for c in df.columns if c == "id_a"])
+        return df.select(*[F.col(c).alias(f"{n}_{s}") for c, n in names.items()])
 
-    pairs = side(found.distinct(), "js").join(side(a, "pg"), F.col("id_a") == F.col("id_pg")).drop("id_a")
+    linked = side(b, "js").join(found.distinct(), F.col("id_js") == F.col("_js"), "left")
+    pairs = linked.join(side(a, "pg"), F.col("id_a") == F.col("id_pg"), "left").drop("id_a", "_js")
     tokens = {k: v for s in ("js", "pg") for k, v in _tokens(f"nome_{s}", f"email_{s}", f"endereco_{s}").items()}
     sims = pairs.withColumns(tokens).select(
         *pairs.columns,

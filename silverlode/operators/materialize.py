@@ -35,12 +35,46 @@ def persistent_view(spark: SparkSession, name: str, query: str) -> DataFrame:
 def refresh_snapshot(
     spark: SparkSession, name: str, build: Callable[[SparkSession], DataFrame], root: str | None = None
 ) -> DataFrame:
-    """Recompute ``build`` and point ``name`` at the new version.
+    """Recompute ``build`` into a new version folder below ``root`` and point ``name`` at it.
 
-    ``build`` receives the session and must read persistent inputs itself; that is
-    what lets another session, or a later run, refresh the same snapshot.
+    ``build`` receives the session and must read persistent inputs itself; that is what
+    lets another session, or a later run, refresh the same snapshot. ``root`` is a durable
+    folder of the snapshot's own; it outlives the job, and a session without the view
+    takes the newest version from :func:`current_snapshot`. The version before the newest
+    stays for readers that have already planned on it; older ones are removed. Without
+    ``root`` the snapshot lives in the scratch area, as long as that does.
     """
-    path = scratch_path(spark, f"snapshot/{name}") if root is None else root
-    build(spark).write.mode("errorifexists").parquet(path)
+    home = (root or scratch_path(spark, f"snapshot/{name}")).rstrip("/")
+    known = _versions(spark, home)
+    path = f"{home}/v={(known[-1] if known else 0) + 1:010d}"
+    build(spark).write.mode("overwrite").parquet(path)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    folder = _folder(spark, home)
+    for version in known[:-1]:
+        folder.delete(_path(spark, f"{home}/v={version:010d}"), True)
     return spark.table(name)
+
+
+def current_snapshot(spark: SparkSession, root: str) -> DataFrame:
+    """Newest complete version below ``root``, without any catalog."""
+    known = _versions(spark, root.rstrip("/"))
+    if not known:
+        raise FileNotFoundError(f"no complete snapshot below {root}")
+    return spark.read.parquet(f"{root.rstrip('/')}/v={known[-1]:010d}")
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _folder(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, home: str) -> list[int]:
+    """Numbers of the versions that were written to the end, ascending."""
+    folder = _folder(spark, home)
+    if not folder.exists(_path(spark, home)):
+        return []
+    found = [s.getPath() for s in folder.listStatus(_path(spark, home)) if s.getPath().getName().startswith("v=")]
+    return sorted(int(p.getName()[2:]) for p in found if folder.exists(_path(spark, f"{p}/_SUCCESS")))

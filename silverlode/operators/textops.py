@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
+from ..session import stage
 from .windows import top_k_per_group
 
 
@@ -62,12 +63,12 @@ def concat_parts(
 def extractive_summary(df: DataFrame, group: str, text: str, key: str, k: int = 2) -> DataFrame:
     """The ``k`` most typical sentences per group: highest mean frequency of their words.
 
-    Word totals are combined on the map side and usually small enough to travel to the
-    sentences, whose words then never leave their task: the sums per sentence are
-    complete before the shuffle. Sentence text is fetched for the winners alone.
+    The words are written once with their sentence. Word totals are combined on the map
+    side and usually small enough to travel to them. A winner's sentence is cut from its
+    own text, which is fetched by key.
     """
     split = df.select(group, key, F.posexplode(sentences(F.col(text))).alias("pos", "frase"))
-    spoken = split.select(group, key, "pos", F.explode(words(F.col("frase"))).alias("w"))
+    spoken = stage(split.select(group, key, "pos", F.explode(words(F.col("frase"))).alias("w")), "words")
     totals = spoken.groupBy(group, "w").agg(F.count(F.lit(1)).alias("tf"))
     scores = (
         spoken.join(totals, [group, "w"])
@@ -75,7 +76,7 @@ def extractive_summary(df: DataFrame, group: str, text: str, key: str, k: int =
         .agg((F.sum("tf").cast("double") / F.count(F.lit(1))).alias("score"))
     )
     winners = top_k_per_group(scores, [group], [F.desc("score"), F.col(key), F.col("pos")], k)
-    return (
-        winners.join(split.select(key, "pos", "frase"), [key, "pos"])
-        .select(group, "posicao", key, "pos", round_to(F.col("score"), 4).alias("score"), "frase")
+    sentence = F.get(sentences(F.col(text)), F.col("pos")).alias("frase")
+    return winners.join(df.select(key, text), key).select(
+        group, "posicao", key, "pos", round_to(F.col("score"), 4).alias("score"), sentence
     )

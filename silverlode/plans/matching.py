@@ -14,6 +14,7 @@ from .common import sql_initcap, sql_round, table
 HEX, LETTERS = "0123456789abcdef", "aeiouablmnrstdcv"
 HEX_ALPHA, NUMBERS = "abcdef", "012345"
 DOMAINS = ["gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "empresa.com"]
+# Labels of the two sources.
 SOURCE_A, SOURCE_B = "bronze_customer_postgresql", "bronze_customer_json"
 # schema of the second registry's files
 JSON_SCHEMA = "nome string, email string, phone string, address string"
@@ -102,11 +103,10 @@ def _tri(x: str) -> str:
     return f"CASE WHEN length({x}) > 0 THEN list_distinct(list_transform(range(1, length({x}) + 1), lambda i: substr('  ' || {x}, i, 3))) END"
 
 
-_USER = "regexp_replace(split_part(email, '@', 1), '[^a-z0-9]', '', 'g')"
+_USER = "regexp_replace(split_part(email, '@', 1), '[^a-z0-9]', '', 'g') || CASE WHEN contains(email, '@') THEN '@' || string_split(email, '@')[-1] ELSE '' END"
 SQL_TOKENS = "".join(
     f""",
-t{s} AS (SELECT *, {_tri("lower(full_name)")} AS tn, {_tri(_USER)} AS te, {_tri("endereco")} AS ta,
-  CASE WHEN contains(email, '@') THEN string_split(email, '@')[-1] END AS dom,
+t{s} AS (SELECT *, {_tri("lower(full_name)")} AS tn, {_tri(f"({_USER})")} AS te, {_tri("endereco")} AS ta,
   regexp_replace(email, '[^0-9]', '', 'g') AS de, regexp_replace(endereco, '[^0-9]', '', 'g') AS da FROM x{s})"""
     for s in "ab"
 )
@@ -193,31 +193,31 @@ def _sql_rule(rule: int, field: str, extra: str, on: str, sim: str) -> str:
 
 _PAIRS = " UNION ALL ".join(
     (
-        _sql_rule(1, "email", "te, dom, de", "a.dom = b.dom AND a.de = b.de", _sim("a.te", "b.te")),
+        _sql_rule(1, "email", "te, de", "a.de = b.de", _sim("a.te", "b.te")),
         _sql_rule(2, "phone", "1 AS one", "a.v = b.v", "1.0::DOUBLE"),
         _sql_rule(3, "endereco", "ta, da", "a.da = b.da", _sim("a.ta", "b.ta")),
     )
 )
 _SQL_BEST_PER_RULE = f"""pairs AS MATERIALIZED ({_PAIRS}),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY regra, nome_js, valor_js ORDER BY sn DESC, id_pg) AS rn FROM pairs) WHERE rn = 1),
-linked AS (SELECT DISTINCT b.registro_id AS id_js, best.id_pg FROM tb b JOIN best ON b.full_name = best.nome_js
+linked AS (SELECT DISTINCT b.registro_id AS id_js, best.id_pg FROM tb b LEFT JOIN best ON b.full_name = best.nome_js
   AND CASE regra WHEN 1 THEN b.email WHEN 2 THEN b.phone ELSE b.endereco END = best.valor_js),
 sig0 AS (SELECT l.id_js, l.id_pg, a.source_name AS source_pg, b.source_name AS source_js, a.full_name AS nome_pg, b.full_name AS nome_js,
   a.email AS email_pg, b.email AS email_js, {_sim("a.tn", "b.tn")} AS sim_nome,
   1.0::DOUBLE - levenshtein(lower(a.full_name), lower(b.full_name)) / greatest(length(a.full_name), length(b.full_name))::DOUBLE AS sim_edicao_nome,
-  CASE WHEN a.dom = b.dom AND a.de = b.de THEN coalesce({_sim("a.te", "b.te")}, 0) ELSE 0 END AS sim_email,
+  CASE WHEN a.de = b.de THEN coalesce({_sim("a.te", "b.te")}, 0) ELSE 0 END AS sim_email,
   CASE WHEN a.da = b.da THEN coalesce({_sim("a.ta", "b.ta")}, 0) ELSE 0 END AS sim_endereco,
   coalesce(a.phone = b.phone, false) AS telefone_igual
-  FROM linked l JOIN ta a ON l.id_pg = a.registro_id JOIN tb b ON l.id_js = b.registro_id),
+  FROM linked l LEFT JOIN ta a ON l.id_pg = a.registro_id JOIN tb b ON l.id_js = b.registro_id),
 sig AS (SELECT *, sim_nome >= 0.6 AS nome_ok, sim_email >= 0.6 AS email_ok, sim_endereco >= 0.6 AS endereco_ok FROM sig0),
 casc AS (SELECT *, CASE WHEN nome_ok AND email_ok THEN 1 WHEN nome_ok AND telefone_igual THEN 2
   WHEN nome_ok AND endereco_ok THEN 3 END AS regra_match FROM sig)"""
 _CASC = f"WITH {SQL_XREF}{SQL_TOKENS}, {_SQL_BEST_PER_RULE}"
 # the best match straight from the definition, over every pair of records that shares
-# what its rule demands exactly: domain and digits, the phone, or the address digits
+# what its rule demands exactly: the digits, the phone, or the address digits
 _ALL_PAIRS_BEST = f"""WITH {SQL_XREF}{SQL_TOKENS}, pairs AS (
     SELECT 1 AS regra_match, a.registro_id AS id_pg, b.registro_id AS id_js, {_sim("a.tn", "b.tn")} AS sn
-    FROM ta a JOIN tb b ON a.dom = b.dom AND a.de = b.de WHERE {_sim("a.tn", "b.tn")} >= 0.6 AND {_sim("a.te", "b.te")} >= 0.6
+    FROM ta a JOIN tb b ON a.de = b.de WHERE {_sim("a.tn", "b.tn")} >= 0.6 AND {_sim("a.te", "b.te")} >= 0.6
     UNION ALL SELECT 2, a.registro_id, b.registro_id, {_sim("a.tn", "b.tn")}
     FROM ta a JOIN tb b ON a.phone = b.phone WHERE {_sim("a.tn", "b.tn")} >= 0.6
     UNION ALL SELECT 3, a.registro_id, b.registro_id, {_sim("a.tn", "b.tn")}

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from silverlode.operators import cdc
+from silverlode.operators import cdc, clean
 
 FEED = "cliente_id int, nome string, cidade string, operacao string, sequencia int"
 EVENTS = [
@@ -117,3 +117,12 @@ def test_history_shuffles_the_feed_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     feed_side = plan[plan.index("SortMergeJoin") :].split("Window")[0]
     assert "Exchange" not in feed_side  # the join keeps the window's partitioning
+
+
+def test_payloads_with_maps(spark):
+    """Maps have no order; the sequence decides, then the delete, then a print of the row."""
+    feed = spark.createDataFrame([(1, 5, "U", {"a": 1}), (1, 7, "U", {"b": 2}), (2, 3, "U", {"c": 3}), (2, 3, "D", None)], "k int, seq int, op string, m map<string,int>")
+    got = {r["k"]: r["m"] for r in cdc.scd1(feed, ["k"], "seq", F.col("op") == "D").collect()}
+    assert got == {1: {"b": 2}}
+    one = clean.dedupe_by_key(feed, ["k"], [-F.col("seq")])
+    assert {r["k"]: r["seq"] for r in one.collect()} == {1: 7, 2: 3}

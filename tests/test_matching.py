@@ -27,13 +27,16 @@ def user(e):
     return "".join(c for c in e.split("@")[0] if c.isalnum())
 
 
+def whole(e):
+    return user(e) + ("@" + e.split("@")[-1] if "@" in e else "")
+
+
 def rule_of(a, b):
     """Definition: compare two records field by field."""
     if jac(tri(a[2].lower()), tri(b[2].lower())) < 0.6:
         return None
-    if a[3] and b[3] and "@" in a[3] and "@" in b[3]:
-        if a[3].split("@")[-1] == b[3].split("@")[-1] and digs(a[3]) == digs(b[3]) and jac(tri(user(a[3])), tri(user(b[3]))) >= 0.6:
-            return 1
+    if a[3] and b[3] and digs(a[3]) == digs(b[3]) and jac(tri(whole(a[3])), tri(whole(b[3]))) >= 0.6:
+        return 1
     if a[4] is not None and a[4] == b[4]:
         return 2
     if a[5] and b[5] and digs(a[5]) == digs(b[5]) and jac(tri(a[5]), tri(b[5])) >= 0.6:
@@ -104,6 +107,14 @@ def test_blocked_equals_all_pairs(spark, seed):
     assert run(spark, a, b) == brute(a, b)
 
 
+def test_domains_may_differ_and_nobody_is_left_out(spark):
+    a = [("a", "PG-1", "Joao Silva", "joao.silva@gmail.com", "1", "rua a"), ("a", "PG-2", "Ana Souza", "ana.souza@gmail.com", "2", "rua b")]
+    b = [("b", f"JS-{i}", n, e, None, None) for i, (n, e) in enumerate([("Joao Silva", "joao.silva@gmial.com"), ("Joao Silva", "joao.silva@gmail.com.br"), ("Ana Souza", "ana.souza2@gmail.com"), ("Helena Dias", "helena.dias@outlook.com")])]
+    da, db = spark.createDataFrame(a, XREF), spark.createDataFrame(b, XREF)
+    rows = {r["id_js"]: (r["regra_match"], r["id_pg"]) for r in m.cascade(m.signals(da, db)).collect()}
+    assert rows == {"JS-0": (1, "PG-1"), "JS-1": (1, "PG-1"), "JS-2": (None, None), "JS-3": (None, None)}
+
+
 def test_copies_are_compared_once(spark):
     a = [("a", f"PG-{i:03d}", "Ana Souza", "ana@a.com", "1", "rua a, 1") for i in range(50)]
     b = [("b", f"JS-{i:03d}", "Ana Souza", "ana@a.com", "1", "rua a, 1") for i in range(40)]

@@ -1,7 +1,4 @@
-"""Registered queries against their SQL twins on the smallest tables.
-
-A cross-section runs by default; ``FULL_ORACLE=1`` runs them all.
-"""
+"""Registered queries against their SQL twins on the smallest tables."""
 
 import math
 import os
@@ -13,12 +10,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-SAMPLE = [
-    "silver_ledger", "fact_build", "metric_net_by_month", "dq_fact_orphans", "join_fanout_sum", "mv_refresh",
-    "cdc_scd2", "expect_warn", "silver_customers", "auc_rank", "psi_quartile", "match_best",
-    "text_concat_by_group", "src_csv_raw",
-]
-NAMES = sorted(entry.oracle_sql()) if os.environ.get("FULL_ORACLE") else SAMPLE
+NAMES = sorted(entry.oracle_sql())
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 

@@ -114,6 +114,19 @@ def test_snapshot_is_stale_until_refreshed(spark, tmp_path):
     assert spark.table("mv_rows").first()["n"] == 5
 
 
+def test_snapshot_outlives_its_view(spark, tmp_path):
+    """Refreshed three times on one durable folder: the newest counts, one older version stays."""
+    root = str(tmp_path / "mv")
+    for n in (2, 3, 4):
+        materialize.refresh_snapshot(spark, "mv_durable", lambda s, n=n: s.range(n), root)
+        assert spark.table("mv_durable").count() == n == materialize.current_snapshot(spark, root).count()
+    assert sorted(p.name for p in (tmp_path / "mv").iterdir()) == ["v=0000000002", "v=0000000003"]
+    (tmp_path / "mv" / "v=0000000009").mkdir()  # an unfinished version is no version
+    assert materialize.current_snapshot(spark, root).count() == 4
+    with pytest.raises(FileNotFoundError):
+        materialize.current_snapshot(spark, str(tmp_path / "none"))
+
+
 def test_view_scopes(spark):
     materialize.live_view(spark.range(4), "v_session")
     materialize.live_view(spark.range(4), "v_global", scope="global")
