@@ -49,9 +49,9 @@ def refresh_snapshot(
     path = f"{home}/v={(known[-1] if known else 0) + 1:010d}"
     build(spark).write.mode("overwrite").parquet(path)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
-    folder = _folder(spark, home)
+    files = folder(spark, home)
     for version in known[:-1]:
-        folder.delete(_path(spark, f"{home}/v={version:010d}"), True)
+        files.delete(hadoop_path(spark, f"{home}/v={version:010d}"), True)
     return spark.table(name)
 
 
@@ -63,18 +63,18 @@ def current_snapshot(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/v={known[-1]:010d}")
 
 
-def _path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def _folder(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def folder(spark: SparkSession, path: str):
+    return hadoop_path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def _versions(spark: SparkSession, home: str) -> list[int]:
     """Numbers of the versions that were written to the end, ascending."""
-    folder = _folder(spark, home)
-    if not folder.exists(_path(spark, home)):
+    files = folder(spark, home)
+    if not files.exists(hadoop_path(spark, home)):
         return []
-    found = [s.getPath() for s in folder.listStatus(_path(spark, home)) if s.getPath().getName().startswith("v=")]
-    return sorted(int(p.getName()[2:]) for p in found if folder.exists(_path(spark, f"{p}/_SUCCESS")))
+    found = [s.getPath() for s in files.listStatus(hadoop_path(spark, home)) if s.getPath().getName().startswith("v=")]
+    return sorted(int(p.getName()[2:]) for p in found if files.exists(hadoop_path(spark, f"{p}/_SUCCESS")))

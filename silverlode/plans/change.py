@@ -193,10 +193,10 @@ def _stream_cdc(spark: SparkSession, sf_dir: str, scd_type: int, runs: int = 1)
     rows = feed(spark, sf_dir)
     landing, per_batch = _land(rows, "feed", "sequencia")
     flow = stream_cdc.Flow(KEYS, "sequencia", _deleted(), scd_type, ["operacao", "sequencia"])
-    for _ in range(runs):  # a full refresh is a new log and a new checkpoint over the same input
-        log, checkpoint = scratch_path(spark, "log"), scratch_path(spark, "offsets")
-        stream_cdc.run_cdc(ingest.open_stream(spark, landing, rows.schema, files_per_batch=per_batch), flow, log, checkpoint)
-    return portable(stream_cdc.read_target(spark, flow, log))
+    for _ in range(runs):  # a full refresh is a new target and a new checkpoint over the same input
+        target, checkpoint = scratch_path(spark, "target"), scratch_path(spark, "offsets")
+        stream_cdc.run_cdc(ingest.open_stream(spark, landing, rows.schema, files_per_batch=per_batch), flow, target, checkpoint, buckets=8)
+    return portable(stream_cdc.read_target(spark, flow, target))
 
 
 def stream_cdc_scd1(spark, sf_dir):

@@ -1,22 +1,24 @@
-"""Incremental change-data-capture.
-
-Every micro-batch is reduced to what can still matter (per key for type 1, per key
-and sequence for type 2) and written to its own folder of a change log. Deletes
-stay in the log as tombstones, so an event that arrives late can never revive a
-deleted key. A batch costs what the batch holds, never a rewrite of the target;
-the current table is the same reduction over the log, and ``compact`` folds old
-batches together when the log grows.
+"""Incremental change-data-capture into a stored target.
+
+Every micro-batch is reduced to what can still matter (per key for type 1, per key and
+sequence for type 2), together with what the target holds for the same key buckets, and
+those buckets are written anew as one version. Buckets that a batch does not touch keep
+their files. Deletes stay in the target as tombstones, so an event that arrives late can
+never revive a deleted key. A version carries its batch's number: a batch that is retried
+reads the versions before it and replaces its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cdc
+from ..operators.materialize import folder, hadoop_path
+from ..session import stage
 
 
 @dataclass(frozen=True)
@@ -38,11 +40,11 @@ class Flow:
         return build(events, self.keys, self.sequence_by, self.delete_when, self.drop)
 
 
-def run_cdc(stream: DataFrame, flow: Flow, log: str, checkpoint: str) -> None:
+def run_cdc(stream: DataFrame, flow: Flow, target: str, checkpoint: str, buckets: int = 64) -> None:
     """Apply everything that arrived since the last run, then stop."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        flow.reduce(batch).write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+        apply_batch(batch, batch_id, flow, target, buckets)
 
     query = (
         stream.writeStream.foreachBatch(apply)
@@ -53,14 +55,51 @@ def run_cdc(stream: DataFrame, flow: Flow, log: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def read_log(spark: SparkSession, log: str) -> DataFrame:
-    return spark.read.parquet(log).drop("batch_id")
-
-
-def read_target(spark: SparkSession, flow: Flow, log: str) -> DataFrame:
-    return flow.target(read_log(spark, log))
-
-
-def compact(spark: SparkSession, flow: Flow, log: str, compacted: str) -> None:
-    """Write the reduced log to a new folder; later runs continue from there."""
-    flow.reduce(read_log(spark, log)).withColumn("batch_id", F.lit(-1)).write.partitionBy("batch_id").parquet(compacted)
+def apply_batch(batch: DataFrame, batch_id: int, flow: Flow, target: str, buckets: int) -> None:
+    """Merge a batch into the key buckets it touches; ``buckets`` never changes for a target."""
+    spark = batch.sparkSession
+    number = F.pmod(F.xxhash64(*flow.keys), F.lit(buckets)).cast("int")
+    changed = stage(flow.reduce(batch).withColumn("bucket", number), "changed")
+    touched = [r["bucket"] for r in changed.select("bucket").distinct().collect()]  # at most ``buckets``
+    if not touched:
+        return
+    rows = changed.drop("bucket")
+    old = _stored(spark, target, touched, batch_id)
+    if old is not None:
+        rows = rows.unionByName(old)
+    merged = flow.reduce(rows).withColumn("bucket", number).repartition("bucket")
+    merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/v={batch_id:010d}")
+    _forget(spark, target)
+
+
+def read_target(spark: SparkSession, flow: Flow, target: str) -> DataFrame:
+    """The current table: a projection of the stored rows for type 1, the history for type 2."""
+    return flow.target(_stored(spark, target))
+
+
+def _newest(spark: SparkSession, target: str, before: int | None = None) -> dict[int, list[int]]:
+    """Complete versions of each bucket, ascending, from the folder names alone."""
+    files, found = folder(spark, target), {}
+    for v in files.listStatus(hadoop_path(spark, target)) if files.exists(hadoop_path(spark, target)) else []:
+        name = v.getPath().getName()
+        if name.startswith("v=") and files.exists(hadoop_path(spark, f"{v.getPath()}/_SUCCESS")):
+            if before is None or int(name[2:]) < before:
+                for b in files.listStatus(v.getPath()):
+                    if b.getPath().getName().startswith("bucket="):
+                        found.setdefault(int(b.getPath().getName()[7:]), []).append(int(name[2:]))
+    return {b: sorted(vs) for b, vs in found.items()}
+
+
+def _stored(spark: SparkSession, target: str, only: Iterable[int] | None = None, before: int | None = None) -> DataFrame | None:
+    newest = _newest(spark, target, before)
+    wanted = newest if only is None else newest.keys() & set(only)
+    paths = [f"{target}/v={newest[b][-1]:010d}/bucket={b}" for b in sorted(wanted)]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def _forget(spark: SparkSession, target: str) -> None:
+    """Remove what two later versions of a bucket have replaced; readers may still be on the last one."""
+    files = folder(spark, target)
+    for b, versions in _newest(spark, target).items():
+        for v in versions[:-2]:
+            files.delete(hadoop_path(spark, f"{target}/v={v:010d}/bucket={b}"), True)

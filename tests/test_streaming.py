@@ -59,14 +59,21 @@ def test_stream_equals_batch_in_any_arrival_order(spark, tmp_path, rows, scd_typ
     build = cdc.scd1 if scd_type == 1 else cdc.scd2
     batch = build(spark.createDataFrame(EVENTS, FEED), f.keys, f.sequence_by, f.delete_when, f.drop)
     assert rows(stream_cdc.read_target(spark, f, log)) == rows(batch)
-    compacted = str(tmp_path / "compacted")
-    stream_cdc.compact(spark, f, log, compacted)
-    assert rows(stream_cdc.read_target(spark, f, compacted)) == rows(batch)
 
 
-def test_retried_batch_replaces_itself(spark, tmp_path):
-    path = str(tmp_path / "log/batch_id=0")
+def test_batches_rewrite_only_the_buckets_they_touch(spark, tmp_path):
+    target, f = str(tmp_path / "target"), flow(1)
     df = spark.createDataFrame(EVENTS, FEED)
-    for _ in range(2):
-        flow(1).reduce(df).write.mode("overwrite").parquet(path)
-    assert spark.read.parquet(str(tmp_path / "log")).count() == 4
+    buckets = lambda v: {p.name for p in (tmp_path / f"target/v={v:010d}").glob("bucket=*")}
+    stream_cdc.apply_batch(df, 0, f, target, 8)
+    one = df.where("cliente_id = 101").withColumn("sequencia", F.lit(9)).withColumn("cidade", F.lit("Uberaba"))
+    for _ in range(2):  # a retried batch replaces its own version
+        stream_cdc.apply_batch(one, 1, f, target, 8)
+    assert len(buckets(1)) == 1 < len(buckets(0))
+    got = {r["cliente_id"]: r["cidade"] for r in stream_cdc.read_target(spark, f, target).collect()}
+    assert got[101] == "Uberaba" and 103 not in got and len(got) == 3
+    stream_cdc.apply_batch(df.where("cliente_id = 101"), 2, f, target, 8)  # late: changes nothing
+    assert {r["cliente_id"]: r["cidade"] for r in stream_cdc.read_target(spark, f, target).collect()} == got
+    assert not buckets(1) & buckets(0)  # the version before the last two is gone
+    stream_cdc.apply_batch(df.limit(0), 3, f, target, 8)
+    assert not (tmp_path / "target/v=0000000003").exists()
