@@ -11,6 +11,7 @@ from silverlode.llm import bpe, copies, language, leaks, private
 from silverlode.llm.common import importable, without
 from silverlode.llm.queries import tokenizer_spec
 from silverlode.session import scratch_path
+from silverlode.session import stage as write_once
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +22,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates."""
-    gone = copies.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    gone = write_once(copies.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct(), "gone")
     return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
 
 

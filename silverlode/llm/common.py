@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from silverlode.session import stage
+
 
 def importable(spark: SparkSession) -> None:
     """Let Python workers of this session import the package from where the driver has it.
@@ -39,11 +41,12 @@ def copy_of(text: str) -> Column:
 def without(df: DataFrame, gone: DataFrame, key: str, text: str) -> DataFrame:
     """Rows of ``df`` whose id and text hash are not in ``gone`` (id, copy); all columns as they are.
 
-    ``gone`` is broadcast only where Spark measures it as small.
+    ``gone`` is written first, so Spark knows its size when it plans: it is broadcast
+    where that is small and meets the rows in a shuffle otherwise.
     """
     mark = "_copy_of_row"
     left = df.withColumn(mark, copy_of(text))
-    right = gone.select(F.col("id").alias("_gone_id"), F.col("copy").alias("_gone_copy")).distinct()
+    right = stage(gone.select(F.col("id").alias("_gone_id"), F.col("copy").alias("_gone_copy")).distinct(), "gone")
     return left.join(right, (left[mark] == right["_gone_copy"]) & left[key].eqNullSafe(right["_gone_id"]), "left_anti").drop(mark)
 
 
