@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 from pathlib import Path
+from string import ascii_lowercase, ascii_uppercase
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -82,4 +83,38 @@ QUERIES = {
         op6_licences, op7_benchmark_leaks, op8_quality, op9_near_duplicates, op10_bpe_codec,
     )
 }
-ORACLE: dict[str, str] = {}
+_LOWER = f"translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}')"
+
+
+def _words(between: str) -> str:
+    return f"list_filter(regexp_split_to_array({_LOWER}, '{between}'), lambda x: x <> '')"
+
+
+_LEAK_WORDS = _words(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_LEAKS = f"""WITH items AS (SELECT item_id, {_LEAK_WORDS} AS w FROM benchmark),
+  sized AS (SELECT item_id, w, least(len(w), {leaks.WINDOW}) AS size FROM items WHERE len(w) > 0),
+  wins AS (SELECT DISTINCT item_id, size, list_slice(w, i, i + size - 1) AS win
+    FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM sized)),
+  docs AS (SELECT row_number() OVER () AS r, doc_id, {_LEAK_WORDS} AS w FROM documents),
+  places AS (SELECT r, size, w, unnest(range(1, len(w) - size + 2)) AS i
+    FROM docs, (SELECT DISTINCT size FROM wins) WHERE len(w) >= size),
+  met AS (SELECT r, i, p.size, item_id FROM (SELECT r, size, i, list_slice(w, i, i + size - 1) AS win FROM places) p
+    JOIN wins ON p.size = wins.size AND p.win = wins.win),
+  hit AS (SELECT r, count(DISTINCT pos) AS n FROM (SELECT r, unnest(range(i, i + size)) AS pos FROM met) GROUP BY r),
+  named AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY r)
+  SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+  FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)"""
+# all pairs that share a shingle, then everything reachable: the definition, for tables of test size
+_COPIES = f"""WITH RECURSIVE docs AS (SELECT doc_id, {_words(r"[\x20\x09-\x0D]+")} AS w FROM documents),
+  cut AS (SELECT doc_id, CASE WHEN len(w) >= {copies.WORDS} THEN list_distinct(list_transform(range(1, len(w) - {copies.WORDS} + 2),
+      lambda i: array_to_string(list_slice(w, i, i + {copies.WORDS} - 1), ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM docs),
+  each AS (SELECT doc_id, len(s) AS n, unnest(s) AS s FROM cut),
+  links AS MATERIALIZED (SELECT a.doc_id AS x, b.doc_id AS y FROM each a JOIN each b ON a.s = b.s AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {copies.PERCENT} * (a.n + b.n - count(*))),
+  reach AS (SELECT doc_id AS x, doc_id AS y FROM docs UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+  least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+  SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM cut JOIN least ON doc_id = x"""
+ORACLE: dict[str, str] = {"op7_benchmark_leaks": _LEAKS, "op9_near_duplicates": _COPIES}
