@@ -7,7 +7,6 @@ Order is decided by the sequence alone, never by arrival.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,12 +88,8 @@ def scd2(
             "__END_AT",
         )
 
-    # Plain key equality lets the join keep the window's partitioning. Keys with a NULL
-    # in them, usually none, go through a struct, whose NULL members compare as equal.
-    nameless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    return history(events.where(~nameless), keys).unionByName(
-        history(events.where(nameless).withColumn("_key", F.struct(*keys)), ["_key"])
-    )
+    # one struct for the key: its NULL members compare as equal, in windows and in the join
+    return history(events.withColumn("_key", F.struct(*keys)), ["_key"])
 
 
 def _neighbour(

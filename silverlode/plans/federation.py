@@ -217,23 +217,23 @@ def window_running_total(spark, sf_dir):
 
 
 def stg_completed(spark, sf_dir):
-    view = materialize.live_view(staged_completed(transactions(spark, sf_dir)), "stg_transacoes")
+    view = materialize.live_view(staged_completed(transactions(spark, sf_dir)), "vendas_completas")
     return portable(view)
 
 
 def view_global_enriched(spark, sf_dir):
     """Read through another session, which only a global view allows."""
     rows = enriched(transactions(spark, sf_dir), clients(spark, sf_dir), branches(spark, sf_dir))
-    materialize.live_view(rows, "transacoes_enriquecidas", scope="global")
-    return portable(spark.newSession().table("global_temp.transacoes_enriquecidas").groupBy("cidade", "canal").agg(
+    materialize.live_view(rows, "vendas_por_canal", scope="global")
+    return portable(spark.newSession().table("global_temp.vendas_por_canal").groupBy("cidade", "canal").agg(
         F.sum("valor").alias("total"), F.count(F.lit(1)).alias("qtd")))
 
 
 def view_live(spark, sf_dir):
-    materialize.live_view(sales(spark, sf_dir), "vendas_lojas")
-    materialize.live_view(contracts(spark, sf_dir), "contratos_credito")
+    materialize.live_view(sales(spark, sf_dir), "compras")
+    materialize.live_view(contracts(spark, sf_dir), "contratos")
     live = materialize.live_view(
-        joins.join_sum(spark.table("vendas_lojas"), spark.table("contratos_credito"), "cliente_id", "cidade",
+        joins.join_sum(spark.table("compras"), spark.table("contratos"), "cliente_id", "cidade",
                        "valor_venda", "valor_contratado"), "vw_resumo_cidade")
     return portable(live)
 

@@ -112,8 +112,8 @@ SQL_CLEAN = f"""clean AS (SELECT trim(id_lancamento) AS id_lancamento, {_SQL_DAT
 SQL_SILVER = f"""{SQL_BRONZE}, {SQL_CLEAN}, silver AS (SELECT DISTINCT * FROM clean
   WHERE data_lancamento IS NOT NULL AND valor IS NOT NULL)"""
 SQL_GROUP = (
-    "CASE WHEN categoria IN ('Vendas', 'Receita de Servicos', 'Juros', 'Investimentos') THEN 'Receita' "
-    "WHEN categoria IN ('Folha de Pagamento', 'Viagens') THEN 'Pessoas' ELSE 'Operacional' END"
+    f"CASE WHEN categoria IN ({', '.join(map(sql_text, star.REVENUE_CATEGORIES))}) THEN 'Receita' "
+    f"WHEN categoria IN ({', '.join(map(sql_text, star.PEOPLE_CATEGORIES))}) THEN 'Pessoas' ELSE 'Operacional' END"
 )
 
 
