@@ -50,6 +50,18 @@ def without(df: DataFrame, gone: DataFrame, key: str, text: str) -> DataFrame:
     return left.join(right, (left[mark] == right["_gone_copy"]) & left[key].eqNullSafe(right["_gone_id"]), "left_anti").drop(mark)
 
 
+def bounded_sample(df: DataFrame, turn: Column, most: int) -> DataFrame:
+    """All rows while there are at most ``most``, else about that many, chosen by a hash of the row.
+
+    No task and no driver sorts for it. The same rows on any layout; only where copies of
+    one row exceed the bound does the limit choose among them.
+    """
+    n = df.count()
+    if n <= most:
+        return df
+    return df.where(F.pmod(turn, F.lit(1 << 30)) < int(0.95 * most / n * (1 << 30))).limit(most)
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; a NULL counts as the empty text."""
     return [t or "" for t in batch.column(name).to_pylist()]

@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import WordCache, copy_of, picked, texts_of
+from silverlode.llm.common import WordCache, bounded_sample, copy_of, picked, texts_of
 from silverlode.session import stage
 
-#: Labelled texts learned from at most (smallest hash of the id), and code points of each.
+#: Labelled texts learned from at most, chosen by a hash, and code points of each.
 FIT_ROWS, FIT_CHARS = 2_000, 4_000
 #: Added to every trigram count.
 SMOOTH = 0.5
@@ -96,7 +96,7 @@ def learn(rows: list[tuple[str, str]]) -> TextModel:
 def learned_from(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> TextModel:
     """Model of a bounded sample of labelled rows; NULL labels teach nothing."""
     d = picked(labelled, id=key, text=text, lang=lang).where("lang is not null")
-    few = d.select("lang", F.substring("text", 1, FIT_CHARS).alias("text"), F.xxhash64("id", "text").alias("turn")).orderBy("turn", "lang", "text").limit(FIT_ROWS)
+    few = bounded_sample(d, F.xxhash64("id", "text"), FIT_ROWS).select("lang", F.substring("text", 1, FIT_CHARS).alias("text"))
     return learn([(r["lang"], r["text"]) for r in few.collect()])
 
 

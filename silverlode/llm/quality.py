@@ -20,10 +20,10 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import picked, texts_of
+from silverlode.llm.common import bounded_sample, picked, texts_of
 from silverlode.session import stage
 
-#: Labelled rows the model is fitted on at most: those with the smallest hash of the id.
+#: Labelled rows the model is fitted on at most, chosen by a hash of the id.
 FIT_ROWS = 20_000
 TREES, DEPTH, SEED = 12, 3, 7
 #: Weight of the L1 penalty.
@@ -151,8 +151,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     stats = stage(statistics(docs, key, text), "statistics")
     known = picked(labels, doc_id=key, label=label).where("label in (0, 1) and doc_id is not null")
     taught = stats.join(known, "doc_id").where(~held_out())
-    # ties of the hash go by id and statistics, so the choice does not depend on the layout
-    few = taught.orderBy(F.xxhash64("doc_id"), "doc_id", *STATISTICS).limit(FIT_ROWS)
+    few = bounded_sample(taught, F.xxhash64("doc_id"), FIT_ROWS)
     model = fit(stage(few.select(*STATISTICS, F.col("label").cast("double").alias("label")), "fit-rows"))
     out = stats.select("doc_id", held_out().alias("held_out"), model.score().alias("score"))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
