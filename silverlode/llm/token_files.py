@@ -38,7 +38,7 @@ GAMMA = 2
 #: Documents whose ids are read at once.
 READ_DOCS = 256
 #: Chunks of texts whose ids a worker keeps.
-KEPT_CHUNKS = 500_000
+KEPT_CHUNKS = 800_000
 
 HEAD = struct.Struct("<8sIIIIQ")  # magic, width, keys, levels, bits, ids
 MAGIC = b"SLIDX001"
@@ -71,7 +71,17 @@ class BlankSplitEncoder:
         self.later: dict[str, bytes | None] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list[bytes] = []
+        for at in range(0, len(texts), 4096):  # the library's result objects are large
+            found = self.tok.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)
+            out += [np.array(e.ids, self.kind).tobytes() for e in found]
+        return out
+
+    def _missing(self, parts: list[str]) -> tuple[list[bytes | None], list[str]]:
+        """What is known of a cut text, and the later pieces that are not."""
+        known = list(map(self.later.get, parts))
+        known[0] = self.first.get(parts[0])
+        return known, [c for c, v in zip(parts[1:], known[1:], strict=True) if v is None] if None in known else []
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
@@ -80,25 +90,32 @@ class BlankSplitEncoder:
         if len(self.first) + len(self.later) > KEPT_CHUNKS:
             self.first.clear()
             self.later.clear()
-        whole = [any(s in t for s in self.special) for t in texts]
-        cut: list[list[str]] = []
+        out: list[bytes] = [b""] * len(texts)
+        whole: list[int] = []
+        open_: list[tuple[int, list[str]]] = []
         heads: set[str] = set()
         rests: set[str] = set()
-        for t, w in zip(texts, whole, strict=True):
-            parts = [""] if w else t.split(" ")
-            rest = set(parts[1:])
-            if any(not c or c[0].isspace() for c in rest.difference(self.later)):
-                parts = self.gap(t)  # several white-space characters in a row
-                rest = set(parts[1:])
-            heads.add(parts[0])
-            rests |= rest.difference(self.later)
-            cut.append(parts)
-        heads -= self.first.keys()
-        for kept, new, blank in ((self.first, sorted(heads), ""), (self.later, sorted(rests), " ")):
-            kept.update(zip(new, self._raw([blank + c for c in new]), strict=True))
-        out = [b"".join([self.first[p[0]], *map(self.later.__getitem__, p[1:])]) for p in cut]
-        for i in [i for i, w in enumerate(whole) if w]:
-            out[i] = self._raw([texts[i]])[0]
+        for i, t in enumerate(texts):
+            if any(s in t for s in self.special):
+                whole.append(i)
+                continue
+            parts = t.split(" ")
+            known, new = self._missing(parts)
+            if any(not c or c[0].isspace() for c in new):  # several white-space characters in a row
+                parts = self.gap(t)
+                known, new = self._missing(parts)
+            if None in known:
+                heads.add(parts[0])
+                rests.update(new)
+                open_.append((i, parts))
+            else:
+                out[i] = b"".join(known)
+        for kept, found, blank in ((self.first, list(heads - self.first.keys()), ""), (self.later, list(rests), " ")):
+            kept.update(zip(found, self._raw([blank + c for c in found]), strict=True))
+        for i, parts in open_:
+            out[i] = b"".join([self.first[parts[0]], *map(self.later.__getitem__, parts[1:])])
+        for i, raw in zip(whole, self._raw([texts[i] for i in whole]), strict=True):
+            out[i] = raw
         return out
 
 
