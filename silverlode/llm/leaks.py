@@ -83,10 +83,11 @@ def hits(docs: DataFrame, bench: DataFrame, window: int = WINDOW, key: str = "do
     held = d.join(maybe.withColumnRenamed("doc_id", "id").withColumnRenamed("copy", "same"), F.expr("copy = same and doc_id <=> id")).dropDuplicates(["doc_id", "copy"])
     held = held.select("doc_id", "copy", "maybe", words_of(F.col("text")).alias("words"))
     sure = F.filter("maybe", lambda m: (m["start"] + F.size(m["win"]) <= F.size("words")) & (F.slice("words", m["start"] + 1, F.size(m["win"])) == m["win"]))
-    held = held.select("doc_id", "copy", sure.alias("sure")).where(F.size("sure") > 0)
+    # a filter here would be pushed below and cut the text anew for every candidate
+    held = held.select("doc_id", "copy", sure.alias("sure"))
     n_hit = F.size(F.array_distinct(F.flatten(F.transform("sure", lambda m: F.sequence(m["start"], m["start"] + F.size(m["win"]) - 1)))))
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("sure", lambda m: m["items"]))))
-    return stage(held.select(F.col("doc_id").alias("id"), "copy", n_hit.cast("long").alias("n_hit"), items.alias("items")), "hits")
+    return stage(held.select(F.col("doc_id").alias("id"), "copy", n_hit.cast("long").alias("n_hit"), items.alias("items")), "hits").where("n_hit > 0")
 
 
 def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
