@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.llm.common import WordCache, picked, texts_of
+from silverlode.session import stage
 
 #: How the byte-level scheme cuts a text into words before merging (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -36,6 +37,12 @@ LEXICON_BYTES = 64
 #: Words one task counts before it passes its counts on.
 COUNTER_WORDS = 400_000
 
+#: Marks that end a word of letters without needing the pattern.
+END_MARKS = frozenset(".,;:!?")
+ID_BITS = 20
+ID_MASK = (1 << ID_BITS) - 1
+NEVER = 1 << 60
+
 
 def byte_symbols() -> list[str]:
     """The printable stand-in of each byte: printable Latin-1 stands for itself, the rest follows from 256."""
@@ -58,10 +65,12 @@ class Merges:
         vocab = data["model"]["vocab"]
         byte_of = {c: bytes([b]) for b, c in enumerate(byte_symbols())}
         self.first = [vocab[c] for c in byte_symbols()]
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
+        # pair of ids to rank and merged id, both packed in one number; the smallest is the lowest rank
+        self.rank: dict[int, int] = {}
         for i, pair in enumerate(data["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.rank[vocab[a], vocab[b]] = (i, vocab[a + b])
+            self.rank[vocab[a] << ID_BITS | vocab[b]] = i << ID_BITS | vocab[a + b]
+        self.byte_pairs = [self.rank.get(a << ID_BITS | b, NEVER) for a in self.first for b in self.first]
         self.bytes_of = {i: b"".join(byte_of[c] for c in t) for t, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         for t, i in self.special.items():
@@ -70,15 +79,21 @@ class Merges:
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: always the lowest-ranked pair, the leftmost of equals."""
-        ids, rank = [self.first[b] for b in word], self.rank
+        ids, get, pairs = list(map(self.first.__getitem__, word)), self.rank.get, self.byte_pairs
         if len(ids) > 40:
             return self._merge_long(ids)
-        while len(ids) > 1:
-            best = min(((rank[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in rank), default=None)
-            if best is None:
+        ranks = [pairs[a << 8 | b] for a, b in zip(word, word[1:])]
+        while ranks:
+            low = min(ranks)
+            if low == NEVER:
                 break
-            i = best[1]
-            ids[i : i + 2] = [rank[ids[i], ids[i + 1]][1]]
+            i, new = ranks.index(low), low & ID_MASK
+            ids[i] = new
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << ID_BITS | new, NEVER)
+            if i < len(ranks):
+                ranks[i] = get(new << ID_BITS | ids[i + 1], NEVER)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -88,8 +103,8 @@ class Merges:
 
         def offer(i: int) -> None:
             j = right[i]
-            if j < n and (m := rank.get((ids[i], ids[j]))):
-                heapq.heappush(heap, (m[0], i, ids[i], ids[j], m[1]))
+            if j < n and (m := rank.get(ids[i] << ID_BITS | ids[j])) is not None:
+                heapq.heappush(heap, (m >> ID_BITS, i, ids[i], ids[j], m & ID_MASK))
 
         for i in range(n - 1):
             offer(i)
@@ -175,24 +190,28 @@ class Lexicon:
             setattr(self, name, whole[at : at + 4 * size].cast("I"))
             at += 4 * size
         self.labels = at
+        self.known: dict[int, dict[int, tuple[int, int]]] = {}
+
+    def _open(self, s: int) -> dict[int, tuple[int, int]]:
+        """Arcs of a state, read from the map on the first visit."""
+        arcs = range(self.first[s] >> 1, self.first[s + 1] >> 1)
+        self.known[s] = {self.map[self.labels + k]: (self.targets[k], self.outputs[k]) for k in arcs}
+        return self.known[s]
 
     def ids(self, word: bytes) -> list[int] | None:
         """Ids of ``word``, or None where the automaton does not accept it."""
-        s, number, find, first, labels = self.root, 0, self.map.find, self.first, self.labels
+        s, number, known = self.root, 0, self.known
         for b in word:
-            k = find(BYTE[b], labels + (first[s] >> 1), labels + (first[s + 1] >> 1))
-            if k < 0:
+            step = (known.get(s) or self._open(s)).get(b)
+            if step is None:
                 return None
-            number += self.outputs[k - labels]
-            s = self.targets[k - labels]
-        if not first[s] & 1:
+            s, before = step
+            number += before
+        if not self.first[s] & 1:
             return None
         return self.flat[self.offsets[number] : self.offsets[number + 1]].tolist()
 
 
-BYTE = [bytes([b]) for b in range(256)]
-
-
 class Codec:
     """Encode and decode texts; exact with and without a lexicon."""
 
@@ -202,7 +221,8 @@ class Codec:
         self.words = regex.compile(PATTERN).findall
         self.gap = regex.compile(r" (?=\S)").split
         self.first = WordCache(lambda c: self._chunk(c))
-        self.later = WordCache(lambda c: self._later(c))
+        self.later = WordCache(lambda c: self._later(c), most=900_000)
+        self.joined = WordCache(lambda w: ",".join(map(str, self.word_ids(w))), most=400_000)
         self.bytes_of = {str(i): b for i, b in self.merges.bytes_of.items()}
 
     def word_ids(self, word: str) -> list[int]:
@@ -210,35 +230,49 @@ class Codec:
         found = self.lexicon.ids(raw) if self.lexicon and len(raw) <= LEXICON_BYTES else None
         return self.merges.merge(raw) if found is None else found
 
+    def cut(self, chunk: str) -> list[str]:
+        """Words of a chunk that stood after a blank; letters with a mark behind them need no pattern."""
+        if chunk.isalpha():
+            return [" " + chunk]
+        if chunk[-1:] in END_MARKS and chunk[:-1].isalpha():
+            return [" " + chunk[:-1], chunk[-1]]
+        return self.words(" " + chunk)
+
     def _chunk(self, chunk: str) -> str:
-        return ",".join(str(i) for w in self.words(chunk) for i in self.word_ids(w))
+        return ",".join(map(self.joined.__getitem__, self.words(chunk)))
 
     def _later(self, chunk: str) -> str:
         """A chunk that stood after a blank. White space next to that blank would belong to one word with it."""
         if not chunk or chunk[0].isspace():
             raise Adjoining
-        return self._chunk(" " + chunk)
+        return ",".join(map(self.joined.__getitem__, self.cut(chunk)))
 
-    def _plain(self, text: str) -> str:
+    def _plain(self, text: str) -> list[str]:
         head, *rest = text.split(" ")
         try:
-            if not head:  # starts with a blank: the first chunk is empty
-                return ",".join(map(self.later.__getitem__, rest)) if rest else ""
-            return ",".join([self.first[head], *map(self.later.__getitem__, rest)])
+            later = list(map(self.later.__getitem__, rest))
         except Adjoining:
             # a blank before a visible character always starts a word, other blanks need the pattern
             head, *rest = self.gap(text)
-            return ",".join(filter(None, [self.first[head], *(self._chunk(" " + c) if c[:1].isspace() else self.later[c] for c in rest)]))
+            later = [self._chunk(" " + c) if c[:1].isspace() else self.later[c] for c in rest]
+        return [self.first[head], *later] if head else later
 
-    def encode_joined(self, text: str) -> str:
-        """Decimal ids joined by commas."""
+    def encode_parts(self, text: str) -> list[str]:
+        """Decimal ids joined by commas, in parts of a chunk or a special string each."""
         if not text:
-            return ""
+            return []
         m = self.merges
         if m.cut is None or not any(s in text for s in m.special):
             return self._plain(text)
-        parts = (str(m.special[p]) if p in m.special else self._plain(p) for p in m.cut.split(text) if p)
-        return ",".join(filter(None, parts))
+        out: list[str] = []
+        for p in m.cut.split(text):
+            if p:
+                out += [str(m.special[p])] if p in m.special else self._plain(p)
+        return out
+
+    def encode_joined(self, text: str) -> str:
+        """Decimal ids joined by commas."""
+        return ",".join(self.encode_parts(text))
 
     def encode(self, text: str) -> list[int]:
         joined = self.encode_joined(text)
@@ -267,15 +301,16 @@ def count_words(df: DataFrame, spec: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(found.value)
 
-        def handed(chunks: Counter) -> pa.RecordBatch:
-            words: Counter = Counter()
-            for (later, chunk), n in chunks.items():
-                for w in codec.words(" " + chunk if later else chunk):
-                    if len(w) <= LEXICON_BYTES:
-                        words[w] += n
-            return pa.RecordBatch.from_pydict({"word": pa.array(list(words), pa.string()), "n": pa.array(list(words.values()), pa.int64())})
+        def handed() -> pa.RecordBatch:
+            words: dict[str, int] = {}
+            for found, cut in ((later, codec.cut), (heads, codec.words)):
+                for chunk, n in found.items():
+                    for w in cut(chunk):
+                        words[w] = words.get(w, 0) + n
+                found.clear()
+            short = {w: n for w, n in words.items() if len(w) <= LEXICON_BYTES}
+            return pa.RecordBatch.from_pydict({"word": pa.array(list(short), pa.string()), "n": pa.array(list(short.values()), pa.int64())})
 
-        # a chunk after a blank holds the blank, so the counts are those of _plain's usual way
         later: Counter = Counter()
         heads: Counter = Counter()
         for b in batches:
@@ -284,19 +319,29 @@ def count_words(df: DataFrame, spec: str, text: str = "text") -> DataFrame:
                 heads[head] += 1
                 later.update(rest)
                 if len(later) + len(heads) > COUNTER_WORDS:
-                    yield handed({(True, c): n for c, n in later.items()} | {(False, c): n for c, n in heads.items()})
-                    later, heads = Counter(), Counter()
+                    yield handed()
         if later or heads:
-            yield handed({(True, c): n for c, n in later.items()} | {(False, c): n for c, n in heads.items()})
+            yield handed()
 
     return picked(df, text=text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def corpus_lexicon(df: DataFrame, spec: str, text: str = "text", words: int = LEXICON_WORDS) -> bytes:
-    """Lexicon of the ``words`` most frequent words of all texts (ties: smaller word)."""
-    top = count_words(df, spec, text).orderBy(F.desc("n"), "word").limit(words)
+    """Lexicon of the most frequent words of all texts, at most ``words`` of them.
+
+    Frequencies fall into steps of an eighth of an octave, a few hundred at most; the
+    lexicon takes whole steps from the top while they fit.
+    """
+    counts = stage(count_words(df, spec, text).withColumn("step", F.floor(F.log2("n") * 8).cast("int")), "words")
+    least, total = None, 0
+    for step, n in sorted(map(tuple, counts.groupBy("step").count().collect()), reverse=True):
+        total += n
+        if total > words:
+            break
+        least = step
+    top = counts.where(F.col("step") >= least).select("word") if least is not None else counts.limit(0).select("word")
     merges = Merges(spec)
-    entries = sorted({r["word"].encode() for r in top.select("word").collect()})
+    entries = sorted(r["word"].encode() for r in top.collect())
     return build_lexicon((w, merges.merge(w)) for w in entries if w)
 
 
