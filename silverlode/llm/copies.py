@@ -3,9 +3,9 @@
 Documents with equal shingle sets become one class first. Each class gets ``BANDS`` band
 keys of ``ROWS`` universal-hash minima. In every bucket the class with the smallest id is
 the hub and all others are compared with it, so a bucket costs its size, not its square.
-What the hub does not settle - buckets that still hold several components - is compared
-across components only, block by block, with signatures deciding what reaches the
-full-set check. Every pair that shares a bucket is thus either compared or already in one
+Buckets that still hold several components then try the members that most signatures
+agree with as further hubs. What is left is compared across components only, block by
+block, with signatures deciding what reaches the full-set check. Every pair that shares a bucket is thus either compared or already in one
 component. A pair at 0.75 shares no bucket with a chance of 2e-5.
 
 Components come from alternating large-star and small-star steps (Kiveris et al. 2014).
@@ -27,16 +27,17 @@ from silverlode.session import stage
 WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 40, 5
-#: Share of equal minima below which a pair is not checked on full sets: five standard
-#: deviations under 0.75 for 200 minima.
-SIGNATURE_LEAST = 0.75 - 5 * (0.75 * 0.25 / (BANDS * ROWS)) ** 0.5
+#: Minima of a document: the first make the bands, all of them the signature, a byte each.
+MINIMA = 512
+#: Share of equal signature bytes below which a pair is not checked on full sets: four
+#: standard deviations under what 0.75 gives, a chance of 3e-5 at 0.75.
+SIGNATURE_LEAST = 0.75 + 0.25 / 256 - 4 * (0.75 * 0.25 / MINIMA) ** 0.5
 #: Members of a bucket compared in one go.
 BLOCK = 1024
-SIG_BYTES = 2 * BANDS * ROWS
 
 _rng = np.random.default_rng(20240)
-MULTIPLIERS = _rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-ADDENDS = _rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2)
+MULTIPLIERS = _rng.integers(0, 1 << 31, MINIMA, np.uint32) * np.uint32(2) + np.uint32(1)
+ADDENDS = _rng.integers(0, 1 << 32, MINIMA, np.uint32)
 POWERS = [np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(WORDS)]
 
 
@@ -63,18 +64,19 @@ class Shingler:
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:
-    """Smallest value of each universal hash over a non-empty set."""
-    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    """Smallest value of each universal hash, modulo 2**32, over a non-empty set."""
+    x = (shingles >> np.uint64(32)).astype(np.uint32)
+    low = np.full(MINIMA, np.iinfo(np.uint32).max, np.uint32)
     with np.errstate(over="ignore"):
-        for i in range(0, len(shingles), 256):
-            np.minimum(low, (shingles[i : i + 256, None] * MULTIPLIERS + ADDENDS).min(0), out=low)
-    return low >> np.uint64(32)
+        for i in range(0, len(x), 128):
+            np.minimum(low, (x[i : i + 128, None] * MULTIPLIERS + ADDENDS).min(0), out=low)
+    return low
 
 
 def band_keys(low: np.ndarray) -> np.ndarray:
     keys = np.arange(BANDS, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        for column in low.reshape(BANDS, ROWS).T:
+        for column in low[: BANDS * ROWS].reshape(BANDS, ROWS).T.astype(np.uint64):
             keys = (keys * np.uint64(0x9E3779B97F4A7C15) ^ column) * np.uint64(0xBF58476D1CE4E5B9)
             keys ^= keys >> np.uint64(32)
     return keys.view(np.int64)
@@ -97,7 +99,7 @@ def sketches(df: DataFrame) -> DataFrame:
                     d2.append(int.from_bytes(digest[8:], "little", signed=True))
                     low = minima(s) if len(s) else None
                     bands.append(None if low is None else band_keys(low))
-                    sig.append(None if low is None else (low & np.uint64(0xFFFF)).astype(np.uint16).tobytes())
+                    sig.append(None if low is None else (low & np.uint32(0xFF)).astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
                     ["doc_id", "copy", "n", "d1", "d2", "bands", "sig"],
@@ -109,7 +111,7 @@ def sketches(df: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (a, b) among the pairs (a, a_copy, b, b_copy), decided on full shingle sets."""
     need = pairs.select(F.col("a").alias("id"), F.col("a_copy").alias("c")).union(pairs.select("b", "b_copy")).distinct()
-    texts = stage(docs.join(need, F.expr("doc_id = id and copy = c")).select("id", "c", "text"), "pair-texts")
+    texts = stage(docs.join(need, F.expr("doc_id = id and copy = c")).select("id", "c", "text").dropDuplicates(["id", "c"]), "pair-texts")
     left = texts.toDF("a", "a_copy", "a_text")
     right = texts.toDF("b", "b_copy", "b_text")
     both = pairs.join(left, ["a", "a_copy"]).join(right, ["b", "b_copy"]).select("a", "b", "a_text", "b_text")
@@ -158,25 +160,36 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(e.select("b", "b").distinct())
 
 
-def across(open_rows: DataFrame) -> DataFrame:
+def across(open_rows: DataFrame, hubs: bool) -> DataFrame:
     """Pairs (a, a_copy, b, b_copy) of one bucket whose components differ and whose signatures agree.
 
-    ``open_rows``: key, u_block, v_block, side ("u" or "v"), doc_id, copy, n, component, sig;
-    every group (key, u_block, v_block) is small enough for one task.
+    ``open_rows``: key, u_block, v_block, side (0 or 1), doc_id, copy, n, component, sig;
+    every group (key, u_block, v_block) is small enough for one task. With ``hubs`` each
+    row of side 0 meets one hub only: again and again the row of side 1 that most of the
+    rest agree with.
     """
 
     def pairs(group: pa.Table) -> pa.RecordBatch:
         side = np.asarray(group["side"])
         ids, copies, n, comp = (np.asarray(group[c]) for c in ("doc_id", "copy", "n", "component"))
-        sig = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint16).reshape(len(ids), -1)
+        sig = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint8).reshape(len(ids), -1)
         u, v = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        a, b = [], []
-        for i in u:
-            near = v[(comp[v] != comp[i]) & (100 * np.minimum(n[v], n[i]) >= PERCENT * np.maximum(n[v], n[i]))]
-            near = near[(sig[near] == sig[i]).mean(1) >= SIGNATURE_LEAST] if len(near) else near
-            a += [i] * len(near)
-            b += near.tolist()
-        return pa.RecordBatch.from_arrays([pa.array(ids[a] if a else [], pa.int64()), pa.array(copies[a] if a else [], pa.int64()), pa.array(ids[b] if b else [], pa.int64()), pa.array(copies[b] if b else [], pa.int64())], ["a", "a_copy", "b", "b_copy"])
+        like = np.zeros((len(u), len(v)), np.float32)
+        for row, i in enumerate(u):
+            may = (comp[v] != comp[i]) & (100 * np.minimum(n[v], n[i]) >= PERCENT * np.maximum(n[v], n[i]))
+            like[row, may] = (sig[v[may]] == sig[i]).mean(1)
+        near = like >= SIGNATURE_LEAST
+        if hubs:
+            left, chosen = near.any(1), np.zeros_like(near)
+            while left.any():
+                hub = ((like >= PERCENT / 100) * 2.0 + near)[left].sum(0).argmax()
+                met = left & near[:, hub]
+                chosen[met, hub] = True
+                left &= ~met
+            near = chosen
+        a, b = np.nonzero(near)
+        a, b = u[a], v[b]
+        return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(copies[a]), pa.array(ids[b]), pa.array(copies[b])], ["a", "a_copy", "b", "b_copy"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None  # the group that may go on in the next batch
@@ -204,38 +217,27 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     is kept. Very long texts are used whole.
     """
     docs = picked(df, doc_id=key, text=text).withColumn("copy", copy_of("text")).select("doc_id", "copy", "text")
-    sketch = stage(sketches(docs), "sketches")
+    sketch = stage(sketches(docs).withColumn("row", F.monotonically_increasing_id()), "sketches")
     real = sketch.where("n > 0 and doc_id is not null")
-    classes = stage(real.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "copy")).alias("r")).select("d1", "d2", F.col("r.doc_id").alias("rep"), F.col("r.copy").alias("rep_copy")), "classes")
-    nodes = real.join(classes.withColumnRenamed("rep_copy", "c"), F.expr("doc_id = rep and copy = c")).select("doc_id", "copy", "n", "bands", "sig").dropDuplicates(["doc_id", "copy"])
-    nodes = stage(nodes, "nodes")
-    member = nodes.select("doc_id", "copy", "n", F.explode("bands").alias("key"))
+    classes = real.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "copy", "row")).alias("r"))
+    classes = stage(classes.select("d1", "d2", F.col("r.doc_id").alias("rep"), F.col("r.row").alias("row")), "classes")
+    nodes = stage(real.join(classes.select("row"), "row").select("doc_id", "copy", "n", "bands", "sig"), "nodes")
+    # dealt by bucket once; finding the hub and meeting it use the same exchange
+    member = nodes.select("doc_id", "copy", "n", F.explode("bands").alias("key")).repartition("key")
     buckets = member.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("doc_id", "copy", "n")).alias("hub")).where("size > 1")
-    buckets = stage(buckets, "buckets")
     placed = stage(member.join(buckets, "key").select("key", "doc_id", "copy", "n", "hub"), "members")
 
-    hub_pairs = placed.where("(doc_id <> hub.doc_id or copy <> hub.copy) and 100 * least(n, hub.n) >= 75 * greatest(n, hub.n)".replace("75", str(PERCENT)))
+    hub_pairs = placed.where("doc_id <> hub.doc_id or copy <> hub.copy").where(100 * F.least("n", "hub.n") >= PERCENT * F.greatest("n", "hub.n"))
     hub_pairs = hub_pairs.select(F.col("doc_id").alias("a"), F.col("copy").alias("a_copy"), F.col("hub.doc_id").alias("b"), F.col("hub.copy").alias("b_copy")).distinct()
     links = stage(verified(by_signature(hub_pairs, nodes), docs), "links")
     found = stage(components(links), "components")
-
-    # buckets that still hold several components
-    located = placed.join(found, F.expr("doc_id = node"), "left").withColumn("component", F.coalesce("component", "doc_id"))
-    located = located.select("key", "doc_id", "copy", "n", "component", (F.col("doc_id") == F.col("hub.doc_id")).alias("is_hub"))
-    located = stage(located, "located")
-    spread = located.groupBy("key").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"), F.max(F.when(F.col("is_hub"), F.col("component"))).alias("hub_component")
-    ).where("lo <> hi")
-    sizes = located.join(spread, "key").where("component <> hub_component").groupBy("key").agg(F.count("*").alias("us"))
-    opened = located.join(spread, "key").join(sizes, "key").where("not is_hub").join(nodes.select("doc_id", "copy", "sig"), ["doc_id", "copy"])
-    blocks_u = F.ceil(F.col("us") / BLOCK).cast("int")
-    blocks_v = F.ceil(F.col("size") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    common = ["key", "doc_id", "copy", "n", "component", "sig"]
-    u = opened.where("component <> hub_component").select(*common, F.lit(0).alias("side"), (mine % blocks_u).cast("int").alias("u_block"), F.explode(F.sequence(F.lit(0), blocks_v - 1)).alias("v_block"))
-    v = opened.select(*common, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), blocks_u - 1)).alias("u_block"), (mine % blocks_v).cast("int").alias("v_block"))
-    more = stage(across(u.unionByName(v).select("key", "u_block", "v_block", "side", "doc_id", "copy", "n", "component", "sig")).distinct(), "across")
-    if not more.isEmpty():
+    tried = None
+    for hubs in (True, False):
+        more = across(opened(placed, nodes, found), hubs).distinct()
+        more = stage(more if tried is None else more.join(tried, ["a", "a_copy", "b", "b_copy"], "left_anti"), "across")
+        if more.isEmpty():
+            break
+        tried = more
         extra = verified(more, docs)
         found = stage(components(found.where("node <> component").toDF("a", "b").union(extra)), "components")
 
@@ -247,6 +249,29 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def opened(placed: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows for :func:`across`: members of buckets that hold several components, without the hubs.
+
+    Side 0 is what lies outside the hub's component, side 1 is everybody; either side is
+    dealt out in blocks, and each block of one side meets each of the other.
+    """
+    located = placed.join(found, F.expr("doc_id = node"), "left").withColumn("component", F.coalesce("component", "doc_id"))
+    located = stage(located.select("key", "doc_id", "copy", "n", "component", ((F.col("doc_id") == F.col("hub.doc_id")) & (F.col("copy") == F.col("hub.copy"))).alias("is_hub")), "located")
+    several = located.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"), F.max(F.when(F.col("is_hub"), F.col("component"))).alias("hub_component")
+    ).where("lo <> hi")
+    several = stage(several, "several")
+    outside = located.join(several, "key").where("component <> hub_component").groupBy("key").agg(F.count("*").alias("us"))
+    rows = located.join(several.join(outside, "key"), "key").where("not is_hub").join(nodes.select("doc_id", "copy", "sig"), ["doc_id", "copy"])
+    blocks_u = F.ceil(F.col("us") / BLOCK).cast("int")
+    blocks_v = F.ceil(F.col("size") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    common = ["key", "doc_id", "copy", "n", "component", "sig"]
+    u = rows.where("component <> hub_component").select(*common, F.lit(0).alias("side"), (mine % blocks_u).cast("int").alias("u_block"), F.explode(F.sequence(F.lit(0), blocks_v - 1)).alias("v_block"))
+    v = rows.select(*common, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), blocks_u - 1)).alias("u_block"), (mine % blocks_v).cast("int").alias("v_block"))
+    return u.unionByName(v).select("key", "u_block", "v_block", "side", "doc_id", "copy", "n", "component", "sig")
+
+
 def by_signature(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose signatures agree often enough for a full-set check to be worth it."""
     sig = nodes.select("doc_id", "copy", "sig")
@@ -254,7 +279,7 @@ def by_signature(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(b.num_rows, -1) for c in ("a_sig", "b_sig"))
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("a_sig", "b_sig"))
             yield b.select(["a", "a_copy", "b", "b_copy"]).filter(pa.array((x == y).mean(1) >= SIGNATURE_LEAST)) if b.num_rows else b.select(["a", "a_copy", "b", "b_copy"])
 
     return both.select("a", "a_copy", "b", "b_copy", "a_sig", "b_sig").mapInArrow(run, "a long, a_copy long, b long, b_copy long")
