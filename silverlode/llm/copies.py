@@ -163,8 +163,8 @@ def components(edges: DataFrame) -> DataFrame:
 def across(open_rows: DataFrame, hubs: bool) -> DataFrame:
     """Pairs (a, a_copy, b, b_copy) of one bucket whose components differ and whose signatures agree.
 
-    ``open_rows``: key, u_block, v_block, side (0 or 1), doc_id, copy, n, component, sig;
-    every group (key, u_block, v_block) is small enough for one task. With ``hubs`` each
+    ``open_rows``: key, u_block, v_block, side (0 or 1), doc_id, copy, n, component, sig,
+    bands; a pair that shares several buckets is named by the first only, and every group (key, u_block, v_block) is small enough for one task. With ``hubs`` each
     row of side 0 meets one hub only: again and again the row of side 1 that most of the
     rest agree with.
     """
@@ -179,6 +179,14 @@ def across(open_rows: DataFrame, hubs: bool) -> DataFrame:
             may = (comp[v] != comp[i]) & (100 * np.minimum(n[v], n[i]) >= PERCENT * np.maximum(n[v], n[i]))
             like[row, may] = (sig[v[may]] == sig[i]).mean(1)
         near = like >= SIGNATURE_LEAST
+        if not hubs:
+            bands = np.asarray(group["bands"].combine_chunks().flatten()).reshape(len(ids), -1)
+            key = group["key"][0].as_py()
+            for row, i in enumerate(u):
+                of = np.flatnonzero(near[row])
+                if len(of):
+                    first = (bands[v[of]] == bands[i]).argmax(1)
+                    near[row, of] = bands[i][first] == key
         if hubs:
             left, chosen = near.any(1), np.zeros_like(near)
             while left.any():
@@ -262,14 +270,14 @@ def opened(placed: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     ).where("lo <> hi")
     several = stage(several, "several")
     outside = located.join(several, "key").where("component <> hub_component").groupBy("key").agg(F.count("*").alias("us"))
-    rows = located.join(several.join(outside, "key"), "key").where("not is_hub").join(nodes.select("doc_id", "copy", "sig"), ["doc_id", "copy"])
+    rows = located.join(several.join(outside, "key"), "key").where("not is_hub").join(nodes.select("doc_id", "copy", "sig", "bands"), ["doc_id", "copy"])
     blocks_u = F.ceil(F.col("us") / BLOCK).cast("int")
     blocks_v = F.ceil(F.col("size") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    common = ["key", "doc_id", "copy", "n", "component", "sig"]
+    common = ["key", "doc_id", "copy", "n", "component", "sig", "bands"]
     u = rows.where("component <> hub_component").select(*common, F.lit(0).alias("side"), (mine % blocks_u).cast("int").alias("u_block"), F.explode(F.sequence(F.lit(0), blocks_v - 1)).alias("v_block"))
     v = rows.select(*common, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), blocks_u - 1)).alias("u_block"), (mine % blocks_v).cast("int").alias("v_block"))
-    return u.unionByName(v).select("key", "u_block", "v_block", "side", "doc_id", "copy", "n", "component", "sig")
+    return u.unionByName(v).select("key", "u_block", "v_block", "side", "doc_id", "copy", "n", "component", "sig", "bands")
 
 
 def by_signature(pairs: DataFrame, nodes: DataFrame) -> DataFrame:

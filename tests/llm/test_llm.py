@@ -317,10 +317,11 @@ def test_chain_that_the_hub_does_not_reach(sp):
 def test_blocks_find_all_pairs_across_components(sp):
     rng = np.random.default_rng(1)
     sig = rng.integers(0, 1 << 8, copies.MINIMA, np.uint8)
-    rows = [(1, 0, 0, side, i, i, 10, i % 2, bytearray(sig.tobytes())) for i in range(4) for side in (0, 1)]
-    df = sp.createDataFrame(rows, "key long, u_block int, v_block int, side int, doc_id long, copy long, n long, component long, sig binary")
+    rows = [(key, 0, 0, side, i, i, 10, i % 2, bytearray(sig.tobytes()), [1, 7]) for key in (1, 7) for i in range(4) for side in (0, 1)]
+    df = sp.createDataFrame(rows, "key long, u_block int, v_block int, side int, doc_id long, copy long, n long, component long, sig binary, bands array<long>")
     pairs = {(r.a, r.b) for r in copies.across(df, hubs=False).collect()}
-    assert len(copies.across(df, hubs=True).collect()) == 4
+    assert len(copies.across(df, hubs=False).collect()) == len(pairs)  # not once more for the second bucket
+    assert len(copies.across(df, hubs=True).collect()) == 8
     assert pairs == {(a, b) for a in range(4) for b in range(4) if a % 2 != b % 2}
 
 
