@@ -29,6 +29,8 @@ FIT_ROWS, FIT_CHARS = 2_000, 4_000
 SMOOTH = 0.5
 #: A text's evidence is that of so many words at most: words of a text are not independent.
 WORDS_COUNTED = 25.0
+#: Letters of one word at most; a longer run without blanks counts as several words.
+WORD_LETTERS = 20
 #: How often a declared language is right, and a country suffix.
 MARKUP_RIGHT, SUFFIX_RIGHT = 0.9, 0.7
 #: Rows whose weight the wider level has in a host's and in a domain's prior.
@@ -58,24 +60,28 @@ class TextModel:
     def __reduce__(self):
         return TextModel, (self.languages, self.table, self.unseen)
 
-    def _word(self, chunk: str) -> np.ndarray | None:
-        """Sum over the letters of a chunk, or None without any known trigram."""
-        total, known = np.zeros(len(self.languages)), False
-        for w in LETTERS.findall(chunk.lower()[:200]):
-            for g in trigrams(w):
-                row = self.table.get(g)
-                known |= row is not None
-                total += self.unseen if row is None else row
-        return total if known else None
+    def _word(self, chunk: str) -> tuple[np.ndarray, int] | None:
+        """(sum over the letters of a chunk, words it counts as), or None without any known trigram.
+
+        A chunk without blanks may be a whole text: it counts as a word for each begun
+        ``WORD_LETTERS`` letters, so that its weight is that of its letters.
+        """
+        runs = LETTERS.findall(chunk.lower())
+        counts = Counter(g for w in runs for g in trigrams(w))
+        rows = [(self.table.get(g), n) for g, n in counts.items()]
+        if all(row is None for row, _ in rows):
+            return None
+        total = sum(((self.unseen if row is None else row) * n for row, n in rows), np.zeros(len(self.languages)))
+        return total, -(-sum(map(len, runs)) // WORD_LETTERS)
 
     def text(self, text: str) -> tuple[np.ndarray, int]:
         """(log-likelihoods, words judged) of a whole text."""
         found = [v for v in map(self.words.__getitem__, text.split()) if v is not None]
         if not found:
             return np.zeros(len(self.languages)), 0
-        total = np.sum(found, 0)
-        total *= min(1.0, WORDS_COUNTED / len(found))
-        return total - total.max(), len(found)
+        n = sum(words for _, words in found)
+        total = np.sum([v for v, _ in found], 0) * min(1.0, WORDS_COUNTED / n)
+        return total - total.max(), n
 
 
 def learn(rows: list[tuple[str, str]]) -> TextModel:

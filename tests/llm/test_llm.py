@@ -431,6 +431,17 @@ def test_language_evidence(sp, messy, nothing):
     assert language.judged(language.document_rows(messy), language.learn([])).where("accepted").count() == 0
 
 
+def test_language_of_long_text_without_blanks():
+    model = language.learn([("en", "the and with this that " * 20), ("de", "und der die mit nicht " * 20)])
+    for start in ("0123456789" * 30, "-" * 500, "http://" + "9" * 250 + "/"):
+        scores, n = model.text(start + ",und,der,die,mit,nicht" * 5)
+        assert n > 0 and model.languages[int(np.argmax(scores))] == "de"
+    scores, _ = model.text("theand" * 20 + "/" * 200 + "undderdiemitnicht" * 60)
+    assert model.languages[int(np.argmax(scores))] == "de"
+    # a run weighs as much as its letters, not as one word
+    assert model.text("und der die mit nicht " * 40 + "qthe" * 500)[1] == 300
+
+
 # --- 6: licences -----------------------------------------------------------------------
 
 
