@@ -1,7 +1,8 @@
 """Language of documents and pages by Bayesian fusion of four kinds of evidence.
 
 * text: naive Bayes over letter trigrams of words, learned from labelled texts;
-* markup: the language a page declares, trusted as often as a reliability says;
+* markup: the language a page declares, wherever its <html> stands, trusted as often as a
+  reliability says; documents declare none;
 * address: a country suffix of the host, trusted less;
 * host: what the host's other rows look like, shrunk towards its registered domain and
   that towards all rows. These priors are grouped sums over all rows.
@@ -109,8 +110,10 @@ def learned_from(labelled: DataFrame, key: str = "doc_id", text: str = "text", l
 def evidence(rows: DataFrame, model: TextModel) -> DataFrame:
     """(origin, id, copy, host, domain, declared, suffix, likely, judged) of (origin, id, copy, text, url, host)."""
     named = F.lower(F.coalesce(F.nullif(F.regexp_extract("url", HOST, 1), F.lit("")), "host"))
-    declared = F.lower(F.nullif(F.regexp_extract(F.substring("text", 1, 4096), DECLARED, 1), F.lit("")))
-    facts = rows.select("origin", "id", "copy", "text", named.alias("host"), declared.alias("declared"), F.col("url").isNotNull().alias("page"))
+    page = F.col("url").isNotNull()
+    # a declaration may follow a preamble of any length; documents have no markup to declare in
+    declared = F.when(page, F.lower(F.nullif(F.regexp_extract("text", DECLARED, 1), F.lit(""))))
+    facts = rows.select("origin", "id", "copy", "text", named.alias("host"), declared.alias("declared"), page.alias("page"))
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

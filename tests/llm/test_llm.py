@@ -442,6 +442,14 @@ def test_language_of_long_text_without_blanks():
     assert model.text("und der die mit nicht " * 40 + "qthe" * 500)[1] == 300
 
 
+def test_language_declared_after_a_long_preamble(sp):
+    model = language.learn([("en", "the and with this that " * 20), ("de", "und der die mit nicht " * 20)])
+    preambles = ["", "<!-- " + "x " * 5_000 + "-->", " " * 5_000, "<script>" + "var a;" * 2_000 + "</script>"]
+    pages = sp.createDataFrame([(i, p + '<html class="a" lang="de"><p>the</p>', "http://a.example.com/") for i, p in enumerate(preambles)], "page_id long, html string, url string")
+    assert [r.declared for r in language.evidence(language.page_rows(pages), model).collect()] == ["de"] * 4
+    assert len({r.posterior for r in language.judged(language.page_rows(pages), model).collect()}) == 1
+
+
 # --- 6: licences -----------------------------------------------------------------------
 
 
