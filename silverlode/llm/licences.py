@@ -1,18 +1,24 @@
-"""License statements: winnowed fingerprints pick templates, banded alignment measures them.
-
-Templates and documents are sequences of words without case and edge punctuation. Word
-n-grams are hashed and winnowed (Schleimer et al. 2003), so a shared run of
-``GRAM + WINDOW - 1`` words always shares a fingerprint. Fingerprints of the templates
-form an inverted index; each hit says where in the document its template would lie.
-Around each such place the words are aligned within a band, and the best alignment says
-how much of the template is there and which code points it spans.
+"""License statements, notices and whole license texts, measured by alignment.
+
+Templates and documents are sequences of words without case and edge punctuation. A
+template is looked for wherever a stretch of the document holds enough of its words, a
+condition that every alignment of ``COVERAGE`` meets:
+
+* up to ``SHORT`` words, the template is aligned within a band at every place of such a
+  stretch, and it is named only if its version and variant words align and no other
+  variant word stands between;
+* longer texts take the longest common subsequence of the stretch that shares most runs of
+  ``GRAM`` words with them.
+
+Of finds that overlap the one with more matched words stays, so that the best alignment
+tells neighbouring licenses apart.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
+from importlib.resources import files
 
 import numpy as np
 import pyarrow as pa
@@ -21,43 +27,83 @@ from pyspark.sql import DataFrame
 
 from silverlode.llm.common import WordCache, picked, texts_of
 
-GRAM, WINDOW = 3, 2
+GRAM = 3
 #: Words an alignment may shift against the template.
 BAND = 4
 #: Share of a template's words that must align.
 COVERAGE = 0.8
+#: Words of a template aligned at every place; in longer ones a seventh of the words may be put in.
+SHORT, LONG_SLACK = 64, 7
+#: Words that make another license of the same wording; words with digits do so too.
+VARIANTS = {"affero", "alike", "commercial", "derivatives", "documentation", "lesser", "library", "nc", "nd", "noderivatives", "noncommercial", "sa", "sharealike"}
 EDGES = "\"'`,;:!?#$%&*<>[](){}|."
 
-#: License statements by name (fixed values: the usual public wordings).
-TEMPLATES = {
-    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+
+def _gnu(license: str, version: str, program: str = "program", free: str = "free software:", tail: str = "or (at your option) any later version.") -> str:
+    return f"This {program} is {free} you can redistribute it and/or modify it under the terms of the GNU {license} as published by the Free Software Foundation, either version {version} of the License, {tail}"
+
+
+def _only(license: str, version: str) -> str:
+    return f"This program is free software; you can redistribute it and/or modify it under the terms of the GNU {license} version {version} as published by the Free Software Foundation."
+
+
+def _work(license: str, version: str) -> str:
+    return f"This work is licensed under the GNU {license}, version {version}."
+
+
+def _commons(variant: str) -> str:
+    return f"This work is licensed under a Creative Commons Attribution{variant} 4.0 International License."
+
+
+#: License statements and notices by name (fixed values: the usual public wordings).
+STATEMENTS = {
+    "AGPL-3.0": _work("Affero General Public License", "3"),
+    "AGPL-3.0-notice": _gnu("Affero General Public License", "3"),
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+    "Apache-2.0-notice": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0',
     "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following two conditions are met",
     "BSD-3-Clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-4.0": _commons(""),
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-NC-4.0-notice": _commons("-NonCommercial"),
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-NC-ND-4.0-notice": _commons("-NonCommercial-NoDerivatives"),
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-SA-4.0-notice": _commons("-NonCommercial-ShareAlike"),
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-ND-4.0-notice": _commons("-NoDerivatives"),
+    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-SA-4.0-notice": _commons("-ShareAlike"),
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "EPL-1.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    "EPL-2.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "GPL-2.0": _work("General Public License", "2"),
+    "GPL-2.0-notice": _gnu("General Public License", "2", free="free software;"),
+    "GPL-2.0-only-notice": _only("General Public License", "2"),
+    "GPL-3.0": _work("General Public License", "3"),
+    "GPL-3.0-notice": _gnu("General Public License", "3"),
+    "GPL-3.0-only-notice": _only("General Public License", "3"),
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    "LGPL-2.0-notice": _gnu("Library General Public License", "2", "library", "free software;"),
+    "LGPL-2.1": _work("Lesser General Public License", "2.1"),
+    "LGPL-2.1-notice": _gnu("Lesser General Public License", "2.1", "library", "free software;"),
+    "LGPL-3.0": _work("Lesser General Public License", "3"),
+    "LGPL-3.0-notice": _gnu("Lesser General Public License", "3", "library"),
     "MIT": "Released under the MIT License.",
     "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+    "MPL-1.1-notice": 'The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License"); you may not use this file except in compliance with the License.',
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+#: Whole license texts, from the files of ``licence_texts``.
+FULL = {f"{f.name.removesuffix('.txt')}-full": f.read_text(encoding="utf-8") for f in files("silverlode.llm").joinpath("licence_texts").iterdir() if f.name.endswith(".txt")}
+TEMPLATES = STATEMENTS | FULL
 
 
 def plain(chunk: str) -> str:
     return chunk.strip(EDGES).lower()
 
 
-def winnowed(hashes: np.ndarray) -> np.ndarray:
-    """Places kept: of every ``WINDOW`` neighbours the smallest hash, the rightmost of equals."""
-    n = len(hashes)
-    if n <= WINDOW:
-        return np.arange(n)[-1:] if n and n < WINDOW else np.array([n - 1 - int(hashes[::-1].argmin())]) if n else np.zeros(0, np.int64)
-    windows = np.lib.stride_tricks.sliding_window_view(hashes, WINDOW)[:, ::-1]
-    return np.unique(np.arange(len(windows)) + WINDOW - 1 - windows.argmin(1))
-
-
 def gram_hashes(ids: np.ndarray) -> np.ndarray:
     n = len(ids) - GRAM + 1
     if n <= 0:
@@ -75,19 +121,21 @@ def word_hash(chunk: str) -> int:
     return xxhash.xxh3_64_intdigest(w) if w else 0
 
 
-def aligned(template: list[int], words: list[int], band: int = BAND) -> tuple[int, int, int]:
+def aligned(template: list[int], words: list[int], band: int = BAND, at: int | None = None) -> tuple[int, int, int]:
     """(words matched, first, last + 1) of the best alignment of a template in a window of words.
 
     Longest common subsequence within a band around the diagonal that starts at word
-    ``band``; of equal counts the tightest span wins, then the first.
+    ``at``, or ``band`` if not given; before the window, where it is negative. Of equal
+    counts the tightest span wins, then the first.
     """
     m, n = len(template), len(words)
+    at = band if at is None else at
     best = (0, 0, 0)
     # row[j]: (matches, -start) of the best alignment that ends before word j
     row: dict[int, tuple[int, int]] = {}
     for i in range(m):
         new: dict[int, tuple[int, int]] = {}
-        for j in range(max(0, i - band + band), min(n, i + 2 * band + 1)):
+        for j in range(max(0, i + at - band), min(n, i + at + band + 1)):
             left, up = new.get(j - 1, (0, -n)), row.get(j, (0, -n))
             here = max(left, up)
             if words[j] == template[i]:
@@ -101,19 +149,104 @@ def aligned(template: list[int], words: list[int], band: int = BAND) -> tuple[in
     return best
 
 
+def common(masks: dict[int, int], m: int, words: list[int]) -> int:
+    """Length of the longest common subsequence of a template of ``m`` words, given by the places of each word as bits, and words."""
+    full = (1 << m) - 1
+    row = full  # zero bits count the matches (Hyyrö 2004)
+    for w in words:
+        u = row & masks.get(w, 0)
+        if u:
+            row = ((row + u) | (row - u)) & full
+    return m - row.bit_count()
+
+
+def marked(word: str) -> bool:
+    return any(c.isdigit() for c in word) or varied(word)
+
+
+def varied(word: str) -> bool:
+    return not VARIANTS.isdisjoint(word.split("-"))
+
+
+class Template:
+    """Words of a template and what finding it needs."""
+
+    def __init__(self, text: str):
+        words = [w for w in map(plain, text.split()) if w]
+        self.seq = list(map(word_hash, words))
+        self.m = len(words)
+        # the float product that the coverage is compared by, so that equal shares pass
+        self.need = next((n for n in range(self.m + 1) if self.m and n / self.m >= COVERAGE), self.m + 1)
+        self.short = self.m <= SHORT
+        self.marks = [word_hash(w) for w in words if marked(w)] if self.short else []
+        self.masks: dict[int, int] = {}
+        for i, h in enumerate([] if self.short else self.seq):
+            self.masks[h] = self.masks.get(h, 0) | 1 << i
+        self.words = np.unique(np.array(self.seq, np.uint64))
+        self.grams = np.unique(gram_hashes(np.array(self.seq, np.uint64)))
+
+
 class Scanner:
-    """Templates and their inverted index of fingerprints."""
+    """Templates and the counts of their words."""
 
     def __init__(self, templates: dict[str, str]):
         self.words = WordCache(word_hash)
         self.names = sorted(templates)
-        self.sequences = [[h for h in map(word_hash, templates[x].split()) if h] for x in self.names]
-        self.index: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for t, seq in enumerate(self.sequences):
-            # a template's own grams are all kept: short templates have few
-            for at, h in enumerate(gram_hashes(np.array(seq, np.uint64)).tolist()):
-                self.index[h].append((t, at))
-        self.known = np.array(sorted(self.index), np.uint64)
+        self.templates = [Template(templates[x]) for x in self.names]
+        self.known = np.unique(np.concatenate([t.words for t in self.templates])) if templates else np.zeros(0, np.uint64)
+        self.counts = np.zeros((len(self.names), len(self.known)), np.float32)
+        for c, t in zip(self.counts, self.templates, strict=True):
+            np.add.at(c, np.searchsorted(self.known, np.array(t.seq, np.uint64)), 1)
+        self.need = np.array([t.need for t in self.templates])
+
+    def short_finds(self, t: Template, ids: np.ndarray, varies: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(words matched, first, last + 1) at every place where the words around are enough."""
+        m, n = t.m, len(ids)
+        sums = np.concatenate([[0], np.isin(ids, t.words).cumsum()])
+        at = np.arange(-m, n)
+        enough = sums[np.clip(at + m + BAND, 0, n)] - sums[np.clip(at - BAND, 0, n)] >= t.need
+        for h in set(t.marks):
+            one = np.concatenate([[0], (ids == h).cumsum()])
+            enough &= one[np.clip(at + m + BAND, 0, n)] > one[np.clip(at - BAND, 0, n)]
+        own = set(t.seq)
+        for start in at[enough].tolist():
+            lo = max(0, start - BAND)
+            k, a, b = aligned(t.seq, ids[lo : start + m + BAND].tolist(), BAND, start - lo)
+            if k < t.need:
+                continue
+            span = ids[lo + a : lo + b].tolist()
+            left = iter(span)
+            # the marks stand there in their order, and no other variant's word
+            if all(h in left for h in t.marks) and not any(v and h not in own for v, h in zip(varies[lo + a : lo + b].tolist(), span, strict=True)):
+                yield k, lo + a, lo + b
+
+    def long_finds(self, t: Template, ids: np.ndarray, grams: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(words matched, first, last + 1) of each stretch that holds a long template, apart from each other."""
+        width = t.m + max(2 * BAND, t.m // LONG_SLACK)
+        inside = np.concatenate([[0], np.isin(ids, t.words).cumsum()])
+        hits = np.isin(grams, t.grams)
+        runs = np.concatenate([[0], hits.cumsum()])
+        todo = [(0, len(ids))]
+        while todo:
+            lo, hi = todo.pop()
+            if inside[hi] - inside[lo] < t.need:
+                continue
+            at = np.arange(lo, max(lo, hi - width) + 1)
+            ends = np.minimum(at + width, hi)
+            enough = inside[ends] - inside[at] >= t.need
+            if not enough.any():
+                continue
+            shared = np.where(enough, runs[np.maximum(at, ends - GRAM + 1)] - runs[at], -1)
+            a = int(at[shared.argmax()])
+            b = min(a + width, hi)
+            places = a + np.flatnonzero(hits[a : b - GRAM + 1])
+            if not len(places):
+                continue
+            a, b = int(places[0]), int(places[-1]) + GRAM
+            k = common(t.masks, t.m, ids[a:b].tolist()) if b - a >= t.need else 0
+            if k >= t.need:
+                yield k, a, b
+            todo += [(lo, a), (b, hi)]
 
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
         """(name, coverage, start, end) in code points, each place once, by start.
@@ -124,35 +257,31 @@ class Scanner:
         hashed = np.fromiter(map(self.words.__getitem__, chunks), np.uint64, len(chunks))
         real = np.flatnonzero(hashed)  # chunks of marks alone are no words
         ids = hashed[real]
-        grams = gram_hashes(ids)
-        if not len(grams):
+        if not len(ids) or not len(self.known):
             return []
-        kept = winnowed(grams)
-        where = np.searchsorted(self.known, grams[kept])
-        hit = (where < len(self.known)) & (self.known[np.minimum(where, len(self.known) - 1)] == grams[kept])
-        kept = kept[hit]
-        if not len(kept):
+        where = np.minimum(np.searchsorted(self.known, ids), len(self.known) - 1)
+        present = np.zeros(len(self.known), np.float32)
+        present[where[self.known[where] == ids]] = 1
+        likely = np.flatnonzero(self.counts @ present >= self.need).tolist()
+        if not likely:
             return []
-        starts: dict[tuple[int, int], int] = {}
-        for at in kept.tolist():
-            for t, off in self.index[int(grams[at])]:
-                starts[t, (at - off) // (BAND + 1)] = at - off
-        found = []
-        for (t, _), start in starts.items():
-            seq = self.sequences[t]
-            lo = max(0, start - BAND)
-            n, a, b = aligned(seq, ids[lo : start + len(seq) + BAND].tolist())
-            if n / len(seq) >= COVERAGE:
-                found.append((n, n / len(seq), -(b - a), -t, lo + a, lo + b))
+        varies = np.array([varied(plain(chunks[i])) for i in real.tolist()])
+        grams = gram_hashes(ids)
+        found = set()
+        for i in likely:
+            t = self.templates[i]
+            for n, a, b in self.short_finds(t, ids, varies) if t.short else self.long_finds(t, ids, grams):
+                found.add((n, n / t.m, a - b, -i, -a, b))
         places = None
         taken: list[tuple[int, int]] = []
         out = []
-        for n, cover, _, t, a, b in sorted(found, reverse=True):
+        for _, cover, _, i, a, b in sorted(found, reverse=True):
+            a = -a
             if all(b <= x or y <= a for x, y in taken):
                 taken.append((a, b))
                 if places is None:
                     places = [m.span() for m in re.finditer(r"\S+", text)]
-                out.append((self.names[-t], cover, places[real[a]][0], places[real[b - 1]][1]))
+                out.append((self.names[-i], cover, places[real[a]][0], places[real[b - 1]][1]))
         return sorted(out, key=lambda x: (x[2], x[3], x[0]))
 
 

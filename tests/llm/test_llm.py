@@ -480,6 +480,25 @@ def test_alignment_equals_longest_common_subsequence():
         assert n == table[-1][-1] and (n == 0 or w[a] in t and w[b - 1] in t)
 
 
+def test_licence_names_of_neighbours():
+    s = licences.Scanner(licences.TEMPLATES)
+    names = lambda text: [x[0] for x in s.scan(f"some words {text} and more")]
+    assert names("This work is licensed under the GNU General Public License, version 2.") == ["GPL-2.0"]
+    assert names("This work is licensed under the GNU General Public License, version 7.") == []
+    assert names("This work is licensed under the GNU Lesser General Public License, version 3.") == ["LGPL-3.0"]
+    assert names("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.") == ["CC-BY-SA-4.0-notice"]
+    assert names("This work is licensed under a Creative Commons Attribution-Other 3.0 International License.") == []
+    real = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    assert names(real) == ["GPL-3.0-notice"]
+    assert names(real.replace("GNU General", "GNU Affero General")) == ["AGPL-3.0-notice"]
+    assert names(real.replace("software:", "software;").replace("version 3", "version 2")) == ["GPL-2.0-notice"]
+    for name, text in licences.FULL.items():
+        words = text.split()
+        del words[9::17]
+        found = s.scan("some words before " + " ".join(words) + " and after")
+        assert [x[0] for x in found] == [name] and found[0][1] > 0.9
+
+
 def test_licence_rows(messy, nothing):
     assert licences.licences(messy).where("n_found > 0").count() == 0
     assert licences.licences(messy).count() == messy.count() and licences.licences(nothing).count() == 0
