@@ -121,15 +121,14 @@ def word_hash(chunk: str) -> int:
     return xxhash.xxh3_64_intdigest(w) if w else 0
 
 
-def aligned(template: list[int], words: list[int], band: int = BAND, at: int | None = None) -> tuple[int, int, int]:
+def aligned(template: list[int], words: list[int], band: int = BAND, at: int = 0) -> tuple[int, int, int]:
     """(words matched, first, last + 1) of the best alignment of a template in a window of words.
 
     Longest common subsequence within a band around the diagonal that starts at word
-    ``at``, or ``band`` if not given; before the window, where it is negative. Of equal
-    counts the tightest span wins, then the first.
+    ``at``, before the window where that is negative; of equal counts the tightest span
+    wins, then the first.
     """
     m, n = len(template), len(words)
-    at = band if at is None else at
     best = (0, 0, 0)
     # row[j]: (matches, -start) of the best alignment that ends before word j
     row: dict[int, tuple[int, int]] = {}

@@ -499,6 +499,53 @@ def test_licence_names_of_neighbours():
         assert [x[0] for x in found] == [name] and found[0][1] > 0.9
 
 
+def test_altered_and_truncated_statements_equal_brute_force():
+    rnd = random.Random(6)
+    s = licences.Scanner(licences.STATEMENTS)
+    assert s.scan("granted, free of charge, to any person obtaining a copy of this software and associated documentation files")[0][:2] == ("MIT-text", 0.85)
+    assert s.scan("Licensed under the old License, Version 2.0.")[0][0] == "Apache-2.0"
+    assert s.scan("Released under OUR MIT License")[0][:2] == ("MIT", 0.8)
+
+    def brute(text):
+        words = [w for w in map(licences.plain, text.split()) if w]
+        ids, found = list(map(licences.word_hash, words)), set()
+        for k, t in enumerate(s.templates):
+            for start in range(-t.m, len(ids)):
+                lo = max(0, start - licences.BAND)
+                n, a, b = licences.aligned(t.seq, ids[lo : max(lo, start + t.m + licences.BAND)], licences.BAND, start - lo)
+                span = words[lo + a : lo + b]
+                left = iter(span)
+                own = {licences.plain(w) for w in licences.STATEMENTS[s.names[k]].split()}
+                if n / t.m >= licences.COVERAGE and all(w in left for w in map(licences.plain, licences.STATEMENTS[s.names[k]].split()) if licences.marked(w)) and all(w in own for w in span if licences.varied(w)):
+                    found.add((n, n / t.m, a - b, -k, -lo - a, lo + b))
+        out = []
+        for _, cover, _, k, a, b in sorted(found, reverse=True):
+            if all(b <= x or y <= -a for _, _, x, y in out):
+                out.append((s.names[-k], cover, -a, b))
+        return sorted(out, key=lambda x: (x[2], x[3], x[0]))
+
+    found = 0
+    for i, text in enumerate(licences.STATEMENTS.values()):
+        for form in {i % 4, i // 4 % 4}:
+            words = text.split()
+            for _ in range(max(1, len(words) // 9)):
+                at = rnd.randrange(len(words))
+                if form == 1:
+                    words[at] = "other"
+                elif form == 2:
+                    words.insert(at, "more")
+                elif form == 3:
+                    del words[at]
+            cut = rnd.randint(0, len(words) // 6) if i % 2 else 0
+            text_now = " ".join(words[cut:] + ["the", "end", "of", "a"] + words[: len(words) - cut])
+            want, chunks = brute(text_now), text_now.split()
+            ends = [m.span() for m in re.finditer(r"\S+", text_now)]
+            real = [k for k, c in enumerate(chunks) if licences.plain(c)]
+            assert s.scan(text_now) == [(x, c, ends[real[a]][0], ends[real[b - 1]][1]) for x, c, a, b in want]
+            found += len(want)
+    assert found > 60
+
+
 def test_licence_rows(messy, nothing):
     assert licences.licences(messy).where("n_found > 0").count() == 0
     assert licences.licences(messy).count() == messy.count() and licences.licences(nothing).count() == 0
