@@ -1,11 +1,12 @@
 """Approximate nearest neighbours by inner product over shifted Hilbert orderings.
 
-Vectors are lifted to the unit sphere, which turns the largest inner product into the
-smallest distance, and projected on ``CURVES`` random bases of ``DIMS`` directions. Each
-projection is shifted and ordered along a Hilbert curve, and each ordering is cut into
-ranges of equal counts. A query meets all vectors of its own and of the two neighbouring
-ranges on every curve; what the curves find is merged and ranked by the exact product of
-the original vectors. Ranges are dealt out in blocks of bounded size.
+Vectors are dealt into bands of similar norm, in which the inner product orders nearly as
+the direction does. Directions are projected on ``CURVES`` random bases of ``DIMS``
+directions. Each projection is shifted and ordered along a Hilbert curve, and each ordering
+is cut into ranges of equal counts, band by band. A query meets, in every band, all vectors
+of its own and of the two neighbouring ranges on every curve; what the curves find is merged
+and ranked by the exact product of the original vectors. Ranges are dealt out in blocks of
+bounded size.
 
 Equal vectors form one class, which takes part once and is expanded to ids at the end.
 """
@@ -30,10 +31,12 @@ BITS = 10
 #: Ranges of a curve at most, and the vectors a range has at least. A range holds 1/40 of
 #: the vectors, so that the recall does not fall as the table grows.
 RANGES, RANGE_LEAST = 40, 256
+#: The longest norm of a band is at most so many times its shortest.
+NORM_RATIO = 1.5
 #: Vectors and queries of one block.
 BLOCK, QUERY_BLOCK = 4096, 1024
 SEED = 11
-GROUP = ("width", "curve", "place", "block", "query_block")
+GROUP = ("band", "curve", "place", "block", "query_block")
 
 
 def hilbert(x: np.ndarray, bits: int) -> np.ndarray:
@@ -80,13 +83,10 @@ def curve_codes(points: np.ndarray) -> np.ndarray:
     return out
 
 
-def lifted(vectors: np.ndarray, longest: float, query: bool) -> np.ndarray:
-    """Points on the unit sphere whose products order as the original inner products do."""
-    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-    if query:
-        return np.hstack([vectors / norms, np.zeros_like(norms)])
-    scaled = vectors / longest
-    return np.hstack([scaled, np.sqrt(np.maximum(0, 1 - (scaled**2).sum(1, keepdims=True)))])
+def directions(vectors: np.ndarray) -> np.ndarray:
+    """Unit vectors, with a last coordinate of 0."""
+    scaled = vectors / np.abs(vectors).max(1, keepdims=True)
+    return np.hstack([scaled / np.linalg.norm(scaled, axis=1, keepdims=True), np.zeros((len(vectors), 1))])
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -133,79 +133,86 @@ def nearest(df: DataFrame, k: int = K, every: int = 20, key: str = "vec_id", vec
     asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "h1", "h2")
     flags = asked.select("h1", "h2").distinct().withColumn("asks", F.lit(True))
     classes = classes.join(flags, ["h1", "h2"], "left").select("h1", "h2", F.col("ids")[0].alias("cid"), "ids", "vec", F.coalesce("asks", F.lit(False)).alias("asks"))
-    classes = stage(classes, "classes")
-    # one row per vector length
-    longest = {r[0]: (r[1] ** 0.5, r[2]) for r in classes.groupBy(F.size("vec")).agg(F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)), F.count("*")).collect()}
+    # logarithm of the norm, without overflow
+    top = F.array_max(F.transform(v, F.abs))
+    norm = F.log(top) + F.log(F.aggregate(v, F.lit(0.0), lambda a, x: a + (x / top) * (x / top))) / 2
+    classes = stage(classes.withColumn("norm", norm), "classes")
+    longest = classes.groupBy(F.size("vec").alias("width")).agg(F.max("norm").alias("longest"))
+    step = F.floor((F.col("longest") - F.col("norm")) / float(np.log(NORM_RATIO))).cast("int")
+    stepped = classes.withColumn("width", F.size("vec")).join(F.broadcast(longest), "width").select("cid", "vec", "asks", step.alias("step"))
+    # one row per vector length and step of the norm
+    counts = sorted((r[0], r[1], r[2]) for r in stepped.groupBy(F.size("vec"), "step").count().collect())
+    band_of = {(w, at): i for i, (w, at, _) in enumerate(counts)}
+    bands: dict[int, list[int]] = {}
+    for (w, _), i in band_of.items():
+        bands.setdefault(w, []).append(i)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             width = np.asarray(pa.compute.list_value_length(b.column(1)))
             for w in np.unique(width):
                 t = b.filter(pa.array(width == w))
-                m = matrix(t.column(1))
-                own, ask = curve_codes(lifted(m, longest[int(w)][0], False)), curve_codes(lifted(m, longest[int(w)][0], True))
-                yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), t.column(2), pa.array(list(own), pa.list_(pa.int64())), pa.array(list(ask), pa.list_(pa.int64()))], ["cid", "vec", "asks", "own", "ask"])
-
-    codes = stage(classes.select("cid", "vec", "asks").mapInArrow(coded, "cid long, vec array<double>, asks boolean, own array<long>, ask array<long>"), "codes")
-    # borders of the ranges: at most CURVES * RANGES numbers for each vector length
-    ranges = {w: max(1, min(RANGES, n // RANGE_LEAST)) for w, (_, n) in longest.items()}
-    borders: dict[int, np.ndarray] = {}
-    for w, n in ranges.items():
-        cuts = [i / n for i in range(1, n)]
-        sorted_codes = codes.where(F.size("vec") == w).select(F.posexplode("own").alias("curve", "code")).groupBy("curve")
-        found = {r[0]: r[1] for r in sorted_codes.agg(F.percentile_approx("code", F.array(*map(F.lit, cuts)), 10_000)).collect()} if cuts else {}
-        borders[w] = np.array([found.get(c, []) for c in range(CURVES)], np.int64).reshape(CURVES, -1)
-
-    def places(codes: np.ndarray, width: int) -> np.ndarray:
-        return np.stack([np.searchsorted(borders[width][c], codes[:, c], "right") for c in range(CURVES)], 1)
+                code = curve_codes(directions(matrix(t.column(1))))
+                band = [band_of[int(w), x] for x in t.column(3).to_pylist()]
+                yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), t.column(2), pa.array(band, pa.int32()), pa.array(list(code), pa.list_(pa.int64()))], ["cid", "vec", "asks", "band", "code"])
+
+    codes = stage(stepped.mapInArrow(coded, "cid long, vec array<double>, asks boolean, band int, code array<long>"), "codes")
+    # borders of the ranges: at most CURVES * RANGES numbers for each band; one range needs one curve
+    ranges = [max(1, min(RANGES, n // RANGE_LEAST)) for _, _, n in counts]
+    borders: list[np.ndarray] = []
+    for i, n in enumerate(ranges):
+        cuts = [x / n for x in range(1, n)]
+        sorted_codes = codes.where(F.col("band") == i).select(F.posexplode("code").alias("curve", "at")).groupBy("curve")
+        found = {r[0]: r[1] for r in sorted_codes.agg(F.percentile_approx("at", F.array(*map(F.lit, cuts)), 10_000)).collect()} if cuts else {}
+        borders.append(np.array([found.get(c, []) for c in range(CURVES if cuts else 1)], np.int64).reshape(CURVES if cuts else 1, -1))
+
+    def places(codes: np.ndarray, band: int) -> np.ndarray:
+        return np.stack([np.searchsorted(cuts, codes[:, c], "right") for c, cuts in enumerate(borders[band])], 1)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
-            width = np.asarray(b.column("width"))
-            own, ask = (np.asarray(b.column(c).flatten()).reshape(b.num_rows, -1) for c in ("own", "ask"))
-            asks = np.asarray(b.column("asks"))
+            width, band, asks = (np.asarray(b.column(c)) for c in ("width", "band", "asks"))
+            code = np.asarray(b.column("code").flatten()).reshape(b.num_rows, -1)
             for w in np.unique(width):
-                s = sums.setdefault(int(w), np.zeros((2, CURVES, ranges[int(w)]), np.int64))
-                of = width == w
-                p, a = places(own[of], int(w)), places(ask[of & asks], int(w))
-                for c in range(CURVES):
-                    s[0, c] += np.bincount(p[:, c], minlength=ranges[int(w)])
-                    s[1, c] += np.bincount(a[:, c], minlength=ranges[int(w)])
-        for w, s in sums.items():
+                for i in bands[int(w)]:
+                    for side, of in ((0, band == i), (1, (width == w) & asks)):
+                        if of.any():
+                            s = sums.setdefault(i, np.zeros((2, len(borders[i]), ranges[i]), np.int64))
+                            for c, p in enumerate(places(code[of], i).T):
+                                s[side, c] += np.bincount(p, minlength=ranges[i])
+        for i, s in sums.items():
             c, r = (x.ravel() for x in np.indices(s.shape[1:]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c), w), pa.int32()), pa.array(c, pa.int32()), pa.array(r, pa.int32()), pa.array(s[0].ravel()), pa.array(s[1].ravel())], ["width", "curve", "place", "n", "q"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c), i), pa.int32()), pa.array(c, pa.int32()), pa.array(r, pa.int32()), pa.array(s[0].ravel()), pa.array(s[1].ravel())], ["band", "curve", "place", "n", "q"])
 
-    tally = codes.select(F.size("vec").alias("width"), "own", "ask", "asks").mapInArrow(counted, "width int, curve int, place int, n long, q long")
+    tally = codes.select(F.size("vec").alias("width"), "band", "code", "asks").mapInArrow(counted, "band int, curve int, place int, n long, q long")
     blocks = {}
-    totals = {(r[0], r[1], r[2]): (r[3], r[4]) for r in tally.groupBy("width", "curve", "place").agg(F.sum("n"), F.sum("q")).collect()}
-    for (w, c, p), (n, _) in totals.items():
-        q = sum(totals.get((w, c, p + d), (0, 0))[1] for d in (-1, 0, 1))
-        blocks[w, c, p] = (-(-n // BLOCK), -(-q // QUERY_BLOCK))
+    totals = {(r[0], r[1], r[2]): (r[3], r[4]) for r in tally.groupBy("band", "curve", "place").agg(F.sum("n"), F.sum("q")).collect()}
+    for (i, c, p), (n, _) in totals.items():
+        q = sum(totals.get((i, c, p + d), (0, 0))[1] for d in (-1, 0, 1))
+        blocks[i, c, p] = (-(-n // BLOCK), -(-q // QUERY_BLOCK))
     shared = spark.sparkContext.broadcast(blocks)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                b = whole.slice(at, 512)
+            for start in range(0, whole.num_rows, 512):
+                b = whole.slice(start, 512)
                 width = np.asarray(pa.compute.list_value_length(b.column("vec")))
-                own, ask = (np.asarray(b.column(c).flatten()).reshape(b.num_rows, -1) for c in ("own", "ask"))
-                cid, asks = np.asarray(b.column("cid")), np.asarray(b.column("asks"))
+                code = np.asarray(b.column("code").flatten()).reshape(b.num_rows, -1)
+                cid, asks, band = (np.asarray(b.column(c)) for c in ("cid", "asks", "band"))
                 rows: list[tuple] = []
                 for w in np.unique(width):
-                    of = np.flatnonzero(width == w)
-                    for side, p in ((0, places(own[of], int(w))), (1, places(ask[of], int(w)))):
-                        for i, at_curve in zip(of, p, strict=True):
-                            if side and not asks[i]:
-                                continue
-                            turn = int(cid[i]) * 0x9E3779B97F4A7C15 >> 17
-                            for c, s in enumerate(at_curve.tolist()):
-                                for d in (-1, 0, 1) if side else (0,):
-                                    cb, qb = shared.value.get((int(w), c, s + d), (0, 0))
-                                    if cb and qb:
-                                        for j in range(cb if side else qb):
-                                            own_block = turn % (qb if side else cb)
-                                            rows.append((int(w), c, s + d, *((j, own_block) if side else (own_block, j)), side, int(i)))
+                    for at in bands[int(w)]:
+                        for side, of in ((0, np.flatnonzero(band == at)), (1, np.flatnonzero((width == w) & asks))):
+                            for i, at_curve in zip(of, places(code[of], at), strict=True):
+                                turn = int(cid[i]) * 0x9E3779B97F4A7C15 >> 17
+                                for c, s in enumerate(at_curve.tolist()):
+                                    for d in (-1, 0, 1) if side else (0,):
+                                        cb, qb = shared.value.get((at, c, s + d), (0, 0))
+                                        if cb and qb:
+                                            for j in range(cb if side else qb):
+                                                own_block = turn % (qb if side else cb)
+                                                rows.append((at, c, s + d, *((j, own_block) if side else (own_block, j)), side, int(i)))
                 if rows:
                     cols = list(zip(*rows, strict=True))
                     take = pa.array(cols[6])

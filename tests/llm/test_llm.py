@@ -372,6 +372,27 @@ def test_recall_and_curve(sp):
     assert hit >= 0.9 * 20 * (ids % 20 == 0).sum()
 
 
+def recall(sp, vectors):
+    df = sp.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = defaultdict(set)
+    for r in neighbours.nearest(df, every=100).collect():
+        found[r.query_id].add(r.vec_id)
+    hit, asked = 0, range(0, len(vectors), 100)
+    for q in asked:
+        s = vectors @ vectors[q]
+        s[q] = -np.inf
+        hit += len(found[q] & set(np.argsort(-s)[:20].tolist()))
+    return hit / (20 * len(asked))
+
+
+def test_recall_with_forty_ranges_and_unequal_norms(sp):
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(10_400, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    assert recall(sp, np.vstack([10 * v[:1], v[1:]])) >= 0.9
+    assert recall(sp, v * rng.lognormal(0, 1, (len(v), 1))) >= 0.9
+
+
 # --- 8: quality ------------------------------------------------------------------------
 
 
