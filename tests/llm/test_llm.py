@@ -389,6 +389,8 @@ def test_recall_with_forty_ranges_and_unequal_norms(sp):
     rng = np.random.default_rng(5)
     v = rng.normal(size=(10_400, 64))
     v /= np.linalg.norm(v, axis=1, keepdims=True)
+    assert len(v) // neighbours.RANGE_LEAST >= neighbours.RANGES
+    assert recall(sp, v) >= 0.9
     assert recall(sp, np.vstack([10 * v[:1], v[1:]])) >= 0.9
     assert recall(sp, v * rng.lognormal(0, 1, (len(v), 1))) >= 0.9
 
