@@ -14,18 +14,18 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import WordCache, bounded_sample, copy_of, picked, texts_of
+from silverlode.llm.common import WordCache, copy_of, picked, texts_of
 from silverlode.session import stage
 
-#: Labelled texts learned from at most, chosen by a hash, and code points of each.
-FIT_ROWS, FIT_CHARS = 2_000, 4_000
+#: Labelled texts learned from, about; each language has a share of them, chosen by a hash.
+FIT_ROWS = 2_000
 #: Added to every trigram count.
 SMOOTH = 0.5
 #: A text's evidence is that of so many words at most: words of a text are not independent.
@@ -85,14 +85,19 @@ class TextModel:
         return total - total.max(), n
 
 
-def learn(rows: list[tuple[str, str]]) -> TextModel:
-    """Model of (language, text) rows, a bounded list. Without rows no language is known."""
+def grams_of(rows: Iterable[tuple[str, str]]) -> dict[str, Counter]:
+    """Trigrams of the words of (language, text) rows, for each language."""
     counts: dict[str, Counter] = defaultdict(Counter)
     for language, text in rows:
         words = Counter(LETTERS.findall((text or "").lower()))
         for w, n in words.items():
             for g in trigrams(w):
                 counts[language][g] += n
+    return counts
+
+
+def modelled(counts: dict[str, Counter]) -> TextModel:
+    """Model of trigram counts. Without any no language is known."""
     languages = sorted(counts)
     grams = sorted(set().union(*counts.values())) if counts else []
     sizes = np.array([sum(counts[x].values()) for x in languages]) + SMOOTH * (len(grams) + 1)
@@ -100,11 +105,54 @@ def learn(rows: list[tuple[str, str]]) -> TextModel:
     return TextModel(languages, table, np.log(SMOOTH / sizes))
 
 
+def learn(rows: list[tuple[str, str]]) -> TextModel:
+    """Model of (language, text) rows, a bounded list. Without rows no language is known."""
+    return modelled(grams_of(rows))
+
+
+def fair_share(sizes: list[int], most: int) -> int:
+    """Rows each language may keep, so that all together have about ``most``; at least 1."""
+    left = most
+    for i, n in enumerate(sorted(sizes)):
+        share = left // (len(sizes) - i)
+        if n > share:
+            return max(1, share)
+        left -= n
+    return max(1, max(sizes, default=1))
+
+
+def fitted_rows(d: DataFrame) -> DataFrame:
+    """All (id, text, lang) rows while there are at most ``FIT_ROWS``, else a share of each language.
+
+    Rows are chosen by a hash, the same on any layout, without sorting. Copies of a row
+    count once. A language with no more texts than its share keeps all of them.
+    """
+    if d.count() <= FIT_ROWS:
+        return d
+    # hashes cut into 2**30 turns; the threshold of a language admits about its share
+    turn = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
+    sizes = d.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("id", "text")).alias("n"), F.min(turn).alias("least"))
+    sizes = stage(sizes, "languages")
+    share = fair_share([r["n"] for r in sizes.select("n").collect()], FIT_ROWS)
+    below = F.when(F.col("n") <= share, F.lit(1 << 30)).otherwise(F.greatest(F.col("least") + 1, (F.lit(float(share)) / F.col("n") * (1 << 30)).cast("long")))
+    sizes = sizes.select(F.col("lang").alias("of"), below.alias("below"))
+    return d.join(F.broadcast(sizes), (F.col("lang") == F.col("of")) & (turn < F.col("below"))).select("id", "text", "lang").distinct()
+
+
 def learned_from(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> TextModel:
-    """Model of a bounded sample of labelled rows; NULL labels teach nothing."""
+    """Model of whole texts of a bounded sample of labelled rows; NULL labels teach nothing."""
     d = picked(labelled, id=key, text=text, lang=lang).where("lang is not null")
-    few = bounded_sample(d, F.xxhash64("id", "text"), FIT_ROWS).select("lang", F.substring("text", 1, FIT_CHARS).alias("text"))
-    return learn([(r["lang"], r["text"]) for r in few.collect()])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for language, grams in grams_of(zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True)).items():
+                yield pa.RecordBatch.from_arrays([pa.array([language] * len(grams), pa.string()), pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], ["lang", "gram", "n"])
+
+    counts: dict[str, Counter] = defaultdict(Counter)
+    found = fitted_rows(d).select("lang", "text").mapInArrow(counted, "lang string, gram string, n long")
+    for r in found.groupBy("lang", "gram").agg(F.sum("n").alias("n")).collect():
+        counts[r["lang"]][r["gram"]] = r["n"]
+    return modelled(counts)
 
 
 def evidence(rows: DataFrame, model: TextModel) -> DataFrame:

@@ -473,6 +473,15 @@ def test_language_declared_after_a_long_preamble(sp):
     assert len({r.posterior for r in language.judged(language.page_rows(pages), model).collect()}) == 1
 
 
+def test_every_language_is_learned_from_whole_texts(sp):
+    rows = [(i, f"the and with this that {i}", "en") for i in range(6_000)] + [(9_000, "1 " * 3_000 + "слово", "ru"), (9_001, "und der die", "de")]
+    model = language.learned_from(sp.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["de", "en", "ru"]
+    scores, n = model.text("слово слово")
+    assert n == 2 and model.languages[int(np.argmax(scores))] == "ru"
+    assert language.fair_share([6_000, 1, 1], 2_000) == 1_998 and language.fair_share([3, 4], 2_000) == 4
+
+
 # --- 6: licences -----------------------------------------------------------------------
 
 
