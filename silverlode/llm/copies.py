@@ -237,7 +237,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
     hub_pairs = placed.where("doc_id <> hub.doc_id or copy <> hub.copy").where(100 * F.least("n", "hub.n") >= PERCENT * F.greatest("n", "hub.n"))
     hub_pairs = hub_pairs.select(F.col("doc_id").alias("a"), F.col("copy").alias("a_copy"), F.col("hub.doc_id").alias("b"), F.col("hub.copy").alias("b_copy")).distinct()
-    links = stage(verified(by_signature(hub_pairs, nodes), docs), "links")
+    # an id with several texts is one node, which joins their classes
+    several = real.groupBy("doc_id").agg(F.min(F.struct("d1", "d2")).alias("lo"), F.max(F.struct("d1", "d2")).alias("hi")).where("lo <> hi").select("doc_id")
+    same_id = real.join(several, "doc_id").join(classes.select("d1", "d2", "rep"), ["d1", "d2"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
+    links = stage(verified(by_signature(hub_pairs, nodes), docs).union(same_id), "links")
     found = stage(components(links), "components")
     tried = None
     for hubs in (True, False):
@@ -251,7 +254,6 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
     out = sketch.select("doc_id", "n", "d1", "d2").join(classes.select("d1", "d2", "rep"), ["d1", "d2"], "left")
     out = out.join(found, F.expr("rep = node"), "left")
-    # rows of one id may lie in several classes; the smallest component they reach is in the edges already
     component = F.when(F.col("n") > 0, F.coalesce("component", "rep")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(component)
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -332,6 +332,13 @@ def test_components_of_a_path_and_a_star(sp):
     assert copies.components(sp.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_id_with_a_copied_and_an_own_text_is_one_node(sp):
+    copied, own = "these are the words of the third document here", "nobody else has ever written this other text so far"
+    docs = sp.createDataFrame([(3, copied), (5, copied), (5, own), (7, "quite another text that has nothing in common")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in copies.near_duplicates(docs).collect())
+    assert got == [(3, 3, True), (5, 3, False), (5, 3, False), (7, 7, True)]
+
+
 # --- 5: neighbours ---------------------------------------------------------------------
 
 
