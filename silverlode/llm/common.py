@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silverlode.session import stage
@@ -84,3 +84,25 @@ class WordCache(dict):
                 self.clear()
             self[word] = value
         return value
+
+
+def carried(df: DataFrame, order: list, values: dict[str, Column], fold: Callable[[Column], Column] = F.sum, drop: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with, for each name, the fold of its value over all rows that come before.
+
+    The order is that of the whole table, whatever its keys: Spark's range sort places the
+    rows, each partition folds its own, and what the partitions before it hold (one row
+    per partition) is added. So a key that owns a third of the rows is still spread out;
+    what concerns one key alone is the difference to the key's first row. ``fold`` is
+    ``F.sum`` or ``F.bit_xor``; columns in ``drop`` serve the order only and are not kept.
+    """
+    both = Column.bitwiseXOR if fold is F.bit_xor else Column.__add__
+    folded = [f"_fold_{c}" for c in values]
+    placed = df.withColumns({f"_fold_{c}": v for c, v in values.items()}).sort(*order).withColumn("_at", F.monotonically_increasing_id()).drop(*drop)
+    placed = stage(placed, "carried").withColumn("_part", F.shiftright("_at", 33))
+    earlier = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("_part").agg(*[fold(F.col(c)).alias(c) for c in folded])
+    parts_before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_part", *[F.coalesce(fold(F.col(c)).over(parts_before), F.lit(0)).alias(f"{c}_off") for c in folded])
+    within = placed.withColumns({f"{c}_in": F.coalesce(fold(F.col(c)).over(earlier), F.lit(0)) for c in folded})
+    out = within.join(offsets, "_part")
+    return out.withColumns({c: both(F.col(f"_fold_{c}_in"), F.col(f"_fold_{c}_off")) for c in values}).drop("_part", "_at", *folded, *[f"{c}_in" for c in folded], *[f"{c}_off" for c in folded])

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import bpe, copies, language, leaks, licences, neighbours, pieces, private, quality, token_files
+from silverlode.llm import bpe, copies, language, leaks, licences, neighbours, pieces, private, quality, token_files, trie
 from silverlode.llm.common import importable
 from silverlode.plans.common import table
 
@@ -67,6 +67,10 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def _ready(query):
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +85,7 @@ QUERIES = {
     for f in (
         op1_language, op2_private_spans, op3_piece_counts, op4_token_files, op5_nearest,
         op6_licences, op7_benchmark_leaks, op8_quality, op9_near_duplicates, op10_bpe_codec,
+        op13_conversation_trie,
     )
 }
 _LOWER = f"translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}')"
@@ -117,4 +122,23 @@ _COPIES = f"""WITH RECURSIVE docs AS (SELECT doc_id, {_words(r"[\x20\x09-\x0D]+"
   reach AS (SELECT doc_id AS x, doc_id AS y FROM docs UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
   least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
   SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM cut JOIN least ON doc_id = x"""
-ORACLE: dict[str, str] = {"op7_benchmark_leaks": _LEAKS, "op9_near_duplicates": _COPIES}
+# crc32, bit by bit, of a number's decimal text
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii((c::VARCHAR)[i])::BIGINT)),
+    lambda s, byte: list_reduce(list_prepend(xor(s, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))))"""
+_TRIE = f"""WITH own AS (SELECT conv_id AS c, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, ''))
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+  opened AS (SELECT c, turns, {_CRC} % {trie.OPENINGS} AS h FROM own),
+  rebuilt AS (SELECT o.c, list_concat(coalesce(f.turns[1:o.h], []), o.turns[o.h + 1:]) AS path
+    FROM opened o LEFT JOIN own f ON f.c = o.c - o.c % {trie.FAMILY}),
+  members AS (SELECT c, d, path[1:d] AS k, len(path) = d AS ends FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM rebuilt)),
+  nodes AS (SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CASE WHEN ends THEN c::VARCHAR END, ',' ORDER BY c), '') AS ids
+    FROM members GROUP BY k, d),
+  kids AS (SELECT k[1:d - 1] AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+  weighed AS (SELECT nodes.k, d, conv_id, n_convs, ids, coalesce(kids.n, 0) AS n_children,
+    CASE WHEN d > 0 THEN (n_convs - 1) * strlen(nodes.k[d].x) ELSE 0 END AS w FROM nodes LEFT JOIN kids USING (k)),
+  sums AS (SELECT k[1:top] AS k, count_if(n_children = 0) AS n_leaves, sum(w) AS saved
+    FROM (SELECT *, unnest(range(0, d + 1)) AS top FROM weighed) GROUP BY k[1:top])
+  SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves::BIGINT AS n_leaves,
+    s.saved::BIGINT AS saved_tokens, sha256(n.ids) AS ends_sha256
+  FROM weighed n JOIN sums s ON s.k = n.k LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.k = n.k[1:n.d - 1]"""
+ORACLE: dict[str, str] = {"op7_benchmark_leaks": _LEAKS, "op9_near_duplicates": _COPIES, "op13_conversation_trie": _TRIE}
