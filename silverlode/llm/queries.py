@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import bpe, copies, language, leaks, licences, neighbours, pieces, private, quality, token_files, trie
+from silverlode.llm import bpe, copies, language, leaks, licences, neighbours, pieces, private, quality, search, token_files, trie
 from silverlode.llm.common import importable
 from silverlode.plans.common import table
 
@@ -67,6 +67,10 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -85,7 +89,7 @@ QUERIES = {
     for f in (
         op1_language, op2_private_spans, op3_piece_counts, op4_token_files, op5_nearest,
         op6_licences, op7_benchmark_leaks, op8_quality, op9_near_duplicates, op10_bpe_codec,
-        op13_conversation_trie,
+        op12_ranked_search, op13_conversation_trie,
     )
 }
 _LOWER = f"translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}')"
@@ -141,4 +145,20 @@ _TRIE = f"""WITH own AS (SELECT conv_id AS c, list(struct_pack(r := coalesce(rol
   SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves::BIGINT AS n_leaves,
     s.saved::BIGINT AS saved_tokens, sha256(n.ids) AS ends_sha256
   FROM weighed n JOIN sums s ON s.k = n.k LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.k = n.k[1:n.d - 1]"""
-ORACLE: dict[str, str] = {"op7_benchmark_leaks": _LEAKS, "op9_near_duplicates": _COPIES, "op13_conversation_trie": _TRIE}
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_RANKED = f"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+  total AS (SELECT count(*) AS N, sum(len(t))::BIGINT AS L FROM docs WHERE len(t) > 0),
+  tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(t) AS t FROM docs) GROUP BY ALL),
+  weight AS (SELECT t, CAST(floor(1000 * ln((2 * N + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY t, N),
+  items AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS t FROM benchmark),
+  asked AS (SELECT DISTINCT q, item_id, unnest(t) AS t FROM items),
+  scored AS (SELECT q, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(docs.t) * N) // L)))) AS BIGINT) AS score
+    FROM asked JOIN weight USING (t) JOIN tf USING (t) JOIN docs USING (r), total GROUP BY q, item_id, r, doc_id)
+  SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+  FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scored WHERE score > 0) WHERE rank <= {search.BEST}"""
+ORACLE: dict[str, str] = {
+    "op12_ranked_search": _RANKED,
+    "op7_benchmark_leaks": _LEAKS,
+    "op9_near_duplicates": _COPIES,
+    "op13_conversation_trie": _TRIE,
+}
