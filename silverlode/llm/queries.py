@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import bpe, copies, language, leaks, licences, neighbours, pieces, private, quality, search, token_files, trie
+from silverlode.llm import bpe, classes, copies, language, leaks, licences, neighbours, pieces, private, quality, search, token_files, trie
 from silverlode.llm.common import importable
 from silverlode.plans.common import table
 
@@ -67,6 +67,10 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(table(spark, sf_dir, "documents"))
 
 
+def op11_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classes.class_scores(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -89,7 +93,7 @@ QUERIES = {
     for f in (
         op1_language, op2_private_spans, op3_piece_counts, op4_token_files, op5_nearest,
         op6_licences, op7_benchmark_leaks, op8_quality, op9_near_duplicates, op10_bpe_codec,
-        op12_ranked_search, op13_conversation_trie,
+        op11_class_scores, op12_ranked_search, op13_conversation_trie,
     )
 }
 _LOWER = f"translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}')"
