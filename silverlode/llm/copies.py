@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.llm.common import WordCache, copy_of, picked, texts_of
+from silverlode.operators.ordering import global_row_number
 from silverlode.session import stage
 
 WORDS = 5
@@ -259,6 +260,32 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``df``, all columns: one of each group of near-duplicates, the one with the smallest id.
+
+    Ids need not be unique: a further text of an id, and a text without an id, is a document
+    of its own and stands behind all ids. Of rows with one id and one text a single one
+    stays, the first by its other columns. Empty texts are no copies of each other.
+    """
+    mine = {"_id_of_row": F.col(f"`{key}`").cast("long"), "_copy_of_row": copy_of(text)}
+    rows = df.withColumns(mine)
+    keys = stage(rows.groupBy(*mine).agg(F.count("*").alias("n")), "keys")
+    first = keys.where("_id_of_row is not null").groupBy("_id_of_row").agg(F.min("_copy_of_row").alias("_copy_of_row"))
+    further = global_row_number(keys.drop("n").join(first, list(mine), "left_anti"), list(mine), "number")
+    most = keys.agg(F.greatest(F.coalesce(F.max("_id_of_row"), F.lit(0)), F.lit(0))).first()[0]
+    further = stage(further.select(F.col("_id_of_row").alias("_of_id"), F.col("_copy_of_row").alias("_of_copy"), (F.col("number") + most).alias("_node_of_row")), "further-texts")
+    same = lambda d, t: d["_id_of_row"].eqNullSafe(t["_of_id"]) & (d["_copy_of_row"] == t["_of_copy"])
+    named = rows.join(further, same(rows, further), "left").drop("_of_id", "_of_copy")
+    named = named.withColumn("_node_of_row", F.coalesce("_node_of_row", "_id_of_row"))
+    gone = stage(near_duplicates(named, "_node_of_row", text).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    left = named.join(gone, named["_node_of_row"] == gone["_gone"], "left_anti").drop("_node_of_row")
+    again = stage(keys.where("n > 1").select(F.col("_id_of_row").alias("_of_id"), F.col("_copy_of_row").alias("_of_copy")), "repeated")
+    once = left.join(again, same(left, again), "left_anti")
+    others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in (key, text)], F.lit(0)))
+    single = left.join(again, same(left, again), "left_semi").groupBy(*mine).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), others).alias("row"))
+    return once.select(*[F.col(f"`{c}`") for c in df.columns]).unionByName(single.select("row.*"))
+
+
 def opened(placed: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     """Rows for :func:`across`: members of buckets that hold several components, without the hubs.
 

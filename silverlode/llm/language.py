@@ -5,9 +5,15 @@
   reliability says; documents declare none;
 * address: a country suffix of the host, trusted less;
 * host: what the host's other rows look like, shrunk towards its registered domain and
-  that towards all rows. These priors are grouped sums over all rows.
+  that towards all rows. These priors are grouped sums over all rows, less the row's own part.
 
 A row is rejected when no word of it can be judged or no language reaches ``ACCEPT``.
+
+Edge cases. NULL, empty and wordless texts are rejected, without a language. Very long texts
+are read whole, a declaration behind any length of attributes too. Of equally likely languages
+the alphabetically last is named. Repeated rows are judged alike and count as often as they
+stand in the priors, once in the fit. Empty tables give none; without labels all is rejected.
+Columns with clashing names are not read.
 """
 
 from __future__ import annotations
@@ -21,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import WordCache, copy_of, picked, texts_of
+from silverlode.llm.common import copy_of, picked, texts_of
 from silverlode.session import stage
 
 #: Labelled texts learned from, about; each language has a share of them, chosen by a hash.
@@ -39,7 +45,7 @@ HOST_SHRINK, DOMAIN_SHRINK = 20.0, 50.0
 ACCEPT = 0.5
 #: Languages that country suffixes speak for (fixed values).
 SUFFIX_LANGUAGE = {"at": "de", "de": "de", "es": "es", "fr": "fr", "mx": "es", "uk": "en", "us": "en"}
-DECLARED = r"(?i)<html[^>]{0,400}?\blang\s*=\s*[\"']?([a-z]{2,3})"
+DECLARED = r"(?i)<html[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})"
 HOST = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 NOT_PROSE = re.compile(r"<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>|&[a-zA-Z#0-9]{1,10};", re.S | re.I)
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -50,39 +56,74 @@ def trigrams(word: str) -> list[str]:
     return [w[i : i + 3] for i in range(len(w) - 2)]
 
 
+_kinds: list[np.ndarray] = []
+
+
+def kinds() -> np.ndarray:
+    """For every code point: 1 for a letter, 2 for white space, else 0."""
+    if not _kinds:
+        signs = map(chr, range(0x110000))
+        _kinds.append(np.fromiter((2 if c.isspace() else c.isalnum() and not c.isdecimal() for c in signs), np.int8, 0x110000))
+    return _kinds[0]
+
+
 class TextModel:
-    """Log-likelihood of words in each language."""
+    """Log-likelihood of texts in each language, by the trigrams of their words."""
 
     def __init__(self, languages: list[str], table: dict[str, np.ndarray], unseen: np.ndarray):
-        self.languages, self.table, self.unseen = languages, table, unseen
-        self.rows: list[np.ndarray] = []
-        self.words = WordCache(self._word, most=300_000)
+        self.languages = languages
+        grams = sorted(table, key=self._packed)
+        self.known = np.array([self._packed(g) for g in grams], np.int64)
+        self.logs = np.array([table[g] for g in grams] + [unseen], float).reshape(len(grams) + 1, len(languages))
 
-    def __reduce__(self):
-        return TextModel, (self.languages, self.table, self.unseen)
+    @staticmethod
+    def _packed(gram: str) -> int:
+        return ord(gram[0]) << 42 | ord(gram[1]) << 21 | ord(gram[2])
 
-    def _word(self, chunk: str) -> tuple[np.ndarray, int] | None:
-        """(sum over the letters of a chunk, words it counts as), or None without any known trigram.
+    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(log-likelihoods, words judged) of whole texts.
 
-        A chunk without blanks may be a whole text: it counts as a word for each begun
-        ``WORD_LETTERS`` letters, so that its weight is that of its letters.
+        A chunk without blanks counts where one of its trigrams is known. It may be a whole
+        text: it counts as a word for each begun ``WORD_LETTERS`` letters, so that its
+        weight is that of its letters.
         """
-        runs = LETTERS.findall(chunk.lower())
-        counts = Counter(g for w in runs for g in trigrams(w))
-        rows = [(self.table.get(g), n) for g, n in counts.items()]
-        if all(row is None for row, _ in rows):
-            return None
-        total = sum(((self.unseen if row is None else row) * n for row, n in rows), np.zeros(len(self.languages)))
-        return total, -(-sum(map(len, runs)) // WORD_LETTERS)
+        scores, judged = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64)
+        lowered = [t.lower() for t in texts]
+        sizes = np.array([len(t) for t in lowered], np.int64)
+        # about a million characters at a time; a longer text is one part
+        part = (np.cumsum(sizes) - sizes) // 1_000_000
+        for lo, hi in zip(np.searchsorted(part, np.unique(part)), np.searchsorted(part, np.unique(part), "right"), strict=True):
+            scores[lo:hi], judged[lo:hi] = self._part(lowered[lo:hi], sizes[lo:hi])
+        return scores, judged
+
+    def _part(self, lowered: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n, k = len(lowered), len(self.languages)
+        signs = np.frombuffer(" ".join(["", *lowered, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind = kinds()[signs]
+        at = np.flatnonzero(kind == 1)
+        if not len(at) or not len(self.known):
+            return np.zeros((n, k)), np.zeros(n, np.int64)
+        letter = np.where(kind == 1, signs, 32).astype(np.int64)
+        gram = letter[at - 1] << 42 | letter[at] << 21 | letter[at + 1]
+        row = np.minimum(np.searchsorted(self.known, gram), len(self.known) - 1)
+        known = self.known[row] == gram
+        row[~known] = len(self.known)
+        chunk = np.cumsum(kind == 2)[at]
+        first = np.flatnonzero(np.r_[True, np.diff(chunk) != 0])
+        letters = np.diff(np.r_[first, len(at)])
+        counts = np.logical_or.reduceat(known, first)
+        text = np.searchsorted(np.cumsum(sizes + 1), at, "right")  # texts stand behind one blank each
+        kept = np.repeat(counts, letters)
+        text_of, row = text[kept], row[kept]
+        total = np.stack([np.bincount(text_of, self.logs[row, j], n) for j in range(k)], 1).astype(float)
+        words = np.bincount(text[first][counts], -(-letters[counts] // WORD_LETTERS), n)
+        total *= np.minimum(1.0, WORDS_COUNTED / np.maximum(words, 1))[:, None]
+        return np.where(words[:, None] > 0, total - total.max(1, keepdims=True), 0.0), words.astype(np.int64)
 
     def text(self, text: str) -> tuple[np.ndarray, int]:
         """(log-likelihoods, words judged) of a whole text."""
-        found = [v for v in map(self.words.__getitem__, text.split()) if v is not None]
-        if not found:
-            return np.zeros(len(self.languages)), 0
-        n = sum(words for _, words in found)
-        total = np.sum([v for v, _ in found], 0) * min(1.0, WORDS_COUNTED / n)
-        return total - total.max(), n
+        scores, judged = self.texts([text])
+        return scores[0], int(judged[0])
 
 
 def grams_of(rows: Iterable[tuple[str, str]]) -> dict[str, Counter]:
@@ -122,13 +163,13 @@ def fair_share(sizes: list[int], most: int) -> int:
 
 
 def fitted_rows(d: DataFrame) -> DataFrame:
-    """All (id, text, lang) rows while there are at most ``FIT_ROWS``, else a share of each language.
+    """All different (id, text, lang) rows while there are at most ``FIT_ROWS``, else a share of each language.
 
     Rows are chosen by a hash, the same on any layout, without sorting. Copies of a row
     count once. A language with no more texts than its share keeps all of them.
     """
     if d.count() <= FIT_ROWS:
-        return d
+        return d.distinct()
     # hashes cut into 2**30 turns; the threshold of a language admits about its share
     turn = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
     sizes = d.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("id", "text")).alias("n"), F.min(turn).alias("least"))
@@ -136,7 +177,7 @@ def fitted_rows(d: DataFrame) -> DataFrame:
     share = fair_share([r["n"] for r in sizes.select("n").collect()], FIT_ROWS)
     below = F.when(F.col("n") <= share, F.lit(1 << 30)).otherwise(F.greatest(F.col("least") + 1, (F.lit(float(share)) / F.col("n") * (1 << 30)).cast("long")))
     sizes = sizes.select(F.col("lang").alias("of"), below.alias("below"))
-    return d.join(F.broadcast(sizes), (F.col("lang") == F.col("of")) & (turn < F.col("below"))).select("id", "text", "lang").distinct()
+    return d.join(sizes, (F.col("lang") == F.col("of")) & (turn < F.col("below"))).select("id", "text", "lang").distinct()
 
 
 def learned_from(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> TextModel:
@@ -167,11 +208,10 @@ def evidence(rows: DataFrame, model: TextModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            likely, judged = [], []
-            for t, page in zip(texts_of(b), b.column("page").to_pylist(), strict=True):
-                scores, n = m.text(NOT_PROSE.sub(" ", t) if page else t)
-                likely.append(scores)
-                judged.append(n)
+            pages = b.column("page").to_pylist()
+            plain = [NOT_PROSE.sub(" ", t) if page and ("<" in t or "&" in t) else t for t, page in zip(texts_of(b), pages, strict=True)]
+            scores, judged = m.texts(plain)
+            likely = list(scores)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("origin", "id", "copy", "host", "declared")), pa.array(likely, pa.list_(pa.float64())), pa.array(judged, pa.int64())], ["origin", "id", "copy", "host", "declared", "likely", "judged"])
 
     out = facts.mapInArrow(run, "origin string, id long, copy long, host string, declared string, likely array<double>, judged long")
@@ -200,7 +240,7 @@ def judged(rows: DataFrame, model: TextModel) -> DataFrame:
     """(origin, id, copy, lang, posterior, accepted), one per row of (origin, id, copy, text, url, host).
 
     NULL or empty texts have no judged word: lang NULL, posterior 0, rejected. Rows
-    without host form no group; their prior is that of all rows. Repeated rows stay and count.
+    without host form no group; their prior is that of all other rows.
     """
     languages = model.languages
     if not languages:
@@ -211,24 +251,29 @@ def judged(rows: DataFrame, model: TextModel) -> DataFrame:
     markup, suffix = trusted("declared", MARKUP_RIGHT, languages), trusted("suffix", SUFFIX_RIGHT, languages)
     own = [a + b + c for a, b, c in zip(text, markup, suffix, strict=True)]
     seen = seen.withColumns({f"own{i}": c for i, c in enumerate(own)})
-    # soft counts: hosts, then domains, then everything
-    soft = seen.where("judged > 0").select("host", "domain", *[c.alias(f"s{i}") for i, c in enumerate(shares([F.col(f"own{i}") for i in range(k)]))])
-    hosts = soft.groupBy("host", "domain").agg(*[F.sum(f"s{i}").alias(f"h{i}") for i in range(k)])
+    # soft counts: hosts, then domains, then everything; a row's own part is taken out of its priors
+    soft = shares([F.col(f"own{i}") for i in range(k)])
+    seen = seen.withColumns({f"s{i}": F.when(F.col("judged") > 0, c).otherwise(F.lit(0.0)) for i, c in enumerate(soft)})
+    hosts = seen.where("judged > 0").groupBy("host", "domain").agg(*[F.sum(f"s{i}").alias(f"h{i}") for i in range(k)])
     hosts = stage(hosts, "hosts")
     everything = hosts.agg(*[F.coalesce(F.sum(f"h{i}"), F.lit(0.0)) for i in range(k)]).first()
-    every = [(x + 1) / (sum(everything) + k) for x in everything]
     domains = hosts.where("domain is not null").groupBy("domain").agg(*[F.sum(f"h{i}").alias(f"d{i}") for i in range(k)])
-
-    def shrunk(counts: str, weight: float, wider: list[Column]) -> list[Column]:
-        total = sum((F.col(f"{counts}{i}") for i in range(1, k)), F.col(f"{counts}0"))
-        return [(F.col(f"{counts}{i}") + weight * wider[i]) / (total + weight) for i in range(k)]
-
-    domain_prior = shrunk("d", DOMAIN_SHRINK, [F.lit(x) for x in every])
-    domains = domains.select("domain", *[c.alias(f"p{i}") for i, c in enumerate(domain_prior)])
-    host_prior = shrunk("h", HOST_SHRINK, [F.col(f"p{i}") for i in range(k)])
-    priors = hosts.where("host is not null").join(domains, "domain").select("host", *[c.alias(f"prior{i}") for i, c in enumerate(host_prior)])
-    both = seen.join(priors, "host", "left")
-    total = [F.col(f"own{i}") + F.log(F.coalesce(F.col(f"prior{i}"), F.lit(every[i]))) for i in range(k)]
+    both = seen.join(hosts.where("host is not null").join(domains, "domain").drop("domain"), "host", "left")
+
+    def others(of: list[Column]) -> list[Column]:
+        return [F.greatest(F.coalesce(c, F.lit(0.0)) - F.col(f"s{i}"), F.lit(0.0)) for i, c in enumerate(of)]
+
+    def shrunk(counts: list[Column], weight: float, wider: list[Column]) -> list[Column]:
+        total = sum(counts[1:], counts[0])
+        return [(c + weight * w) / (total + weight) for c, w in zip(counts, wider, strict=True)]
+
+    prior = shrunk(others([F.lit(x) for x in everything]), float(k), [F.lit(1.0 / k)] * k)
+    for level, weight in (("d", DOMAIN_SHRINK), ("h", HOST_SHRINK)):
+        names = [f"{level}_prior{i}" for i in range(k)]
+        both = both.withColumns(dict(zip(names, prior, strict=True)))
+        shifted = shrunk(others([F.col(f"{level}{i}") for i in range(k)]), weight, [F.col(c) for c in names])
+        prior = [F.when(F.col("host").isNull(), F.col(c)).otherwise(p) for c, p in zip(names, shifted, strict=True)]
+    total = [F.col(f"own{i}") + F.log(p) for i, p in enumerate(prior)]
     ranked = F.array_max(F.array(*[F.struct(p.alias("posterior"), F.lit(x).alias("lang")) for p, x in zip(shares(total), languages, strict=True)]))
     both = both.withColumn("best", F.when(F.col("judged") > 0, ranked))
     return both.select("origin", "id", "copy", F.col("best.lang").alias("lang"), F.coalesce("best.posterior", F.lit(0.0)).alias("posterior"), F.coalesce(F.col("best.posterior") >= ACCEPT, F.lit(False)).alias("accepted"))

@@ -16,9 +16,12 @@ from __future__ import annotations
 import json
 import os
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +69,7 @@ class BlankSplitEncoder:
         self.special = [t["content"] for t in data.get("added_tokens", [])]
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
+        self.code = "H" if self.width == 2 else "I"
         self.gap = regex.compile(r" (?=\S)").split
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes | None] = {}
@@ -74,7 +78,10 @@ class BlankSplitEncoder:
         out: list[bytes] = []
         for at in range(0, len(texts), 4096):  # the library's result objects are large
             found = self.tok.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)
-            out += [np.array(e.ids, self.kind).tobytes() for e in found]
+            if sys.byteorder == "little":
+                out += [array(self.code, e.ids).tobytes() for e in found]
+            else:
+                out += [np.array(e.ids, self.kind).tobytes() for e in found]
         return out
 
     def _missing(self, parts: list[str]) -> tuple[list[bytes | None], list[str]]:
@@ -88,8 +95,9 @@ class BlankSplitEncoder:
         if not self.pieces:
             return self._raw(texts)
         if len(self.first) + len(self.later) > KEPT_CHUNKS:
+            # frequent pieces come early: the older half stays
             self.first.clear()
-            self.later.clear()
+            self.later = dict(islice(self.later.items(), KEPT_CHUNKS // 2))
         out: list[bytes] = [b""] * len(texts)
         whole: list[int] = []
         open_: list[tuple[int, list[str]]] = []

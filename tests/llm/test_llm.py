@@ -1,6 +1,7 @@
 """The training-data operators against brute force, libraries and edge cases."""
 
 import hashlib
+import math
 import os
 import random
 import re
@@ -461,6 +462,45 @@ def test_language_evidence(sp, messy, nothing):
     assert language.judged(language.document_rows(messy), language.learn([])).where("accepted").count() == 0
 
 
+def test_posteriors_equal_the_definition(sp):
+    """Every row's fused posterior, worked out again in plain Python."""
+    rnd = random.Random(8)
+    vocab = {"en": "the and with this that from".split(), "de": "und der die mit nicht von".split(), "fr": "le les des une avec dans".split()}
+    texts = [" ".join(rnd.choices(vocab[x] + vocab["en"][:2], k=rnd.randint(1, 40))) for x in vocab for _ in range(12)]
+    model = language.learn([(x, " ".join(w) * 3) for x, w in vocab.items()])
+    docs = [(i, t, rnd.choice(["a.example.de", "b.example.de", "other.com", "h", None])) for i, t in enumerate(texts)] + [(90, None, "h"), (91, "42", "h"), (5, texts[5], "h"), (5, texts[5], "h")]
+    pages = [(i, f'<html {"class=c " * (800 if i == 3 else 1)}lang="{rnd.choice(["de", "fr", "xx"])}"><p>{t}</p>', f"https://{rnd.choice(['a.example.de', 'www.x.fr', 'y.org'])}/p") for i, t in enumerate(texts[::3])]
+    rows = language.document_rows(sp.createDataFrame(docs, "doc_id long, text string, source string"))
+    rows = rows.unionByName(language.page_rows(sp.createDataFrame(pages, "page_id long, html string, url string")))
+    got = Counter((r.origin, r.id, r.lang, f"{r.posterior:.9f}", r.accepted) for r in language.judged(rows, model).collect())
+
+    def softmax(x):
+        e = np.exp(np.array(x) - max(x))
+        return e / e.sum()
+
+    facts = []
+    for origin, i, t, host, said in [("documents", i, t, s, None) for i, t, s in docs] + [("pages", i, language.NOT_PROSE.sub(" ", t), u.split("/")[2], re.search('lang="(..)"', t)[1]) for i, t, u in pages]:
+        likely, judged = model.text(t or "")
+        parts = (host or "").split(".")
+        domain = ".".join(parts[-2:]) if len(parts) > 1 else host
+        own = np.array(likely, float)
+        for claim, right in ((said, language.MARKUP_RIGHT), (language.SUFFIX_LANGUAGE.get(parts[-1]) if len(parts) > 1 else None, language.SUFFIX_RIGHT)):
+            if claim in model.languages:
+                own += [math.log(right if x == claim else (1 - right) / 2) for x in model.languages]
+        facts.append((origin, i, host, domain, own, judged, softmax(own) * (judged > 0)))
+    want = Counter()
+    for origin, i, host, domain, own, judged, soft in facts:
+        prior = np.full(3, 1 / 3)
+        levels = [(3.0, lambda f: True)] + ([(language.DOMAIN_SHRINK, lambda f, d=domain: f[3] == d), (language.HOST_SHRINK, lambda f, h=host: f[2] == h)] if host else [])
+        for weight, inside in levels:
+            seen = sum((f[6] for f in facts if inside(f)), np.zeros(3)) - soft
+            prior = (seen + weight * prior) / (seen.sum() + weight)
+        p = softmax(own + np.log(prior))
+        best = int(p.argmax())
+        want[(origin, i, model.languages[best], f"{p[best]:.9f}", bool(p[best] >= language.ACCEPT)) if judged else (origin, i, None, f"{0:.9f}", False)] += 1
+    assert got == want
+
+
 def test_language_of_long_text_without_blanks():
     model = language.learn([("en", "the and with this that " * 20), ("de", "und der die mit nicht " * 20)])
     for start in ("0123456789" * 30, "-" * 500, "http://" + "9" * 250 + "/"):
@@ -497,7 +537,7 @@ def test_licences_by_place_and_coverage():
     for name, text in licences.TEMPLATES.items():
         assert [(x, c) for x, c, _, _ in s.scan(f"some words before {text} and after")] == [(name, 1.0)], name
     name, cover, a, b = s.scan("x\n\nLicensed under the *Apache* License, version 2.0 -- y")[0]
-    assert (name, cover, a, b) == ("Apache-2.0", 1.0, 3, 49)
+    assert (name, cover, a, b) == ("Apache-2.0", 1.0, 3, 51)
     assert s.scan("Licensed under the old town hall clock") == [] and s.scan("") == [] and s.scan("a b") == []
     two = s.scan("Released under the MIT License. " + "filler words here " * 5 + "Released under the MIT License.")
     assert [x[0] for x in two] == ["MIT", "MIT"]
@@ -628,6 +668,15 @@ def test_pipeline_equals_brute_force(sp, spec, hf):
         assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_dedup_stage_goes_by_row(sp):
+    same = "one two three four five six seven eight nine ten"
+    rows = [(5, "a text that no other row has at all", "x"), (5, same, "x"), (3, same + "", "x"), (1, "twice the very same row here", "b"), (1, "twice the very same row here", "a"),
+            (None, same, "x"), (None, "a text without an id but words", "x"), (None, "a text without an id but words", "x"), (7, None, "x"), (8, "", "x"), (8, None, "x")]
+    df = sp.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = Counter(map(tuple, copies.one_of_each(df).collect()))
+    assert got == Counter([rows[0], rows[2], rows[4], rows[6], rows[8], rows[9]]) or got == Counter([rows[0], rows[2], rows[4], rows[6], rows[8], rows[10]])
+
+
 def test_stages_on_messy_rows(sp, messy, nothing):
     for name, stage in corpus_pipeline.STAGES:
         for df in (messy, nothing):
@@ -638,4 +687,4 @@ def test_every_query_is_registered():
     import __spark_entry__ as entry
 
     names = {n for n in entry.queries() if re.match(r"op\d+_", n)}
-    assert len(names) == 10 and "pipeline" in entry.queries() and names == set(queries.QUERIES)
+    assert len(names) == 13 and "pipeline" in entry.queries() and names == set(queries.QUERIES)
