@@ -1,4 +1,10 @@
-"""From raw documents to token ids: each stage works on all that its predecessor kept."""
+"""From raw documents to token ids: each stage works on all that its predecessor kept.
+
+Every stage takes NULL ids, NULL, empty and very long texts and further columns. Rows
+without a judgeable word go in the first stage; of rows that repeat an id and a text one
+stays in the second; rows of one id and different texts are told apart by the text. An
+empty table leaves an empty table.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +17,6 @@ from silverlode.llm import bpe, copies, language, leaks, private
 from silverlode.llm.common import importable, without
 from silverlode.llm.queries import tokenizer_spec
 from silverlode.session import scratch_path
-from silverlode.session import stage as write_once
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +26,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates."""
-    gone = write_once(copies.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    """One document of each group of near-duplicates, also where ids repeat or are missing."""
+    return copies.one_of_each(docs)
 
 
 def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
