@@ -14,6 +14,8 @@ from ..streaming import ingest
 from .common import portable, table
 
 KEYS = ["cliente_id"]
+#: Rows in a bucket of the stored target: small, so that the test tables see it split.
+TARGET_ROWS = 200
 
 
 def _deleted():
@@ -195,7 +197,7 @@ def _stream_cdc(spark: SparkSession, sf_dir: str, scd_type: int, runs: int = 1)
     flow = stream_cdc.Flow(KEYS, "sequencia", _deleted(), scd_type, ["operacao", "sequencia"])
     for _ in range(runs):  # a full refresh is a new target and a new checkpoint over the same input
         target, checkpoint = scratch_path(spark, "target"), scratch_path(spark, "offsets")
-        stream_cdc.run_cdc(ingest.open_stream(spark, landing, rows.schema, files_per_batch=per_batch), flow, target, checkpoint, buckets=8)
+        stream_cdc.run_cdc(ingest.open_stream(spark, landing, rows.schema, files_per_batch=per_batch), flow, target, checkpoint, most=TARGET_ROWS)
     return portable(stream_cdc.read_target(spark, flow, target))
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio, round_to
-from ..operators import joins, materialize, windows
+from ..operators import joins, maintain, materialize, windows
 from ..session import scratch_path
-from ..sources.sinks import write_append, write_replace
+from ..sources.sinks import write_replace
 from .common import portable, sql_initcap, sql_round, table
 
 CHANNELS = ["App", "app", "WEB", "Web", "agencia", "AGENCIA"]
@@ -243,23 +243,28 @@ def _late_rows(bronze: DataFrame) -> DataFrame:
     return bronze.where(F.col("transacao_id") % 10 == 0).withColumn("valor", (F.col("valor") / 2).cast("decimal(12,2)"))
 
 
+def _city_changes(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """What the view by city is summed from; ``rows`` carry a sign."""
+    return rows.where(F.col("status") == "concluida").join(places, "agencia_id").select("cidade", "valor", maintain.SIGN)
+
+
 def _snapshot_and_live(spark: SparkSession, sf_dir: str, refresh: bool) -> DataFrame:
-    bronze = scratch_path(spark, "bronze_transacoes")
-    write_replace(transactions(spark, sf_dir), bronze)
-    view = materialize.persistent_view(spark, "vw_transacoes", f"SELECT * FROM parquet.`{bronze}`")
+    """The base table grows by deliveries; a refresh reads the deliveries it has not seen, nothing else."""
+    bronze, places = scratch_path(spark, "bronze_transacoes"), branches(spark, sf_dir)
+    write_replace(transactions(spark, sf_dir), f"{bronze}/entrega=1")
+    kept = maintain.GroupedView(spark, scratch_path(spark, "mv_receita_cidade"), ["cidade"], {"receita": "valor"})
 
-    def build(s: SparkSession) -> DataFrame:
-        return monthly_by_city(s.read.parquet(bronze), branches(s, sf_dir)).groupBy("cidade").agg(
-            F.sum("receita_mes").alias("receita"))
+    def delivered(number: int) -> DataFrame:
+        return maintain.inserted(spark.read.parquet(f"{bronze}/entrega={number}"))
 
-    snapshot = materialize.refresh_snapshot(spark, "mv_receita_cidade", build)
-    write_append(_late_rows(transactions(spark, sf_dir)), bronze)
+    kept.refresh(_city_changes(delivered(1), places), 1)
+    write_replace(_late_rows(transactions(spark, sf_dir)), f"{bronze}/entrega=2")
     if refresh:
-        snapshot = materialize.refresh_snapshot(spark, "mv_receita_cidade", build)
-    view = spark.table("vw_transacoes")
-    live = monthly_by_city(view, branches(spark, sf_dir)).groupBy("cidade").agg(F.sum("receita_mes").alias("receita_viva"))
+        kept.refresh(_city_changes(delivered(2), places), 2)
+    view = materialize.persistent_view(spark, "vw_transacoes", f"SELECT * FROM parquet.`{bronze}`")
+    live = monthly_by_city(view, places).groupBy("cidade").agg(F.sum("receita_mes").alias("receita_viva"))
     return portable(
-        live.join(snapshot, "cidade").select(
+        live.join(kept.read(), "cidade").select(
             "cidade", "receita_viva", F.col("receita").alias("receita_materializada"),
             (F.col("receita_viva") == F.col("receita")).alias("igual"),
         )
@@ -276,12 +281,33 @@ def mv_refresh(spark, sf_dir):
     return _snapshot_and_live(spark, sf_dir, refresh=True)
 
 
+def mv_refresh_deletes(spark, sf_dir):
+    """A delivery that takes back every seventh transaction and adds late ones; one refresh for both."""
+    kept = maintain.GroupedView(spark, scratch_path(spark, "mv_receita_cidade"), ["cidade"], {"receita": "valor"})
+    rows, places = transactions(spark, sf_dir), branches(spark, sf_dir)
+    kept.refresh(_city_changes(maintain.inserted(rows), places), 1)
+    change = maintain.deleted(rows.where(F.col("transacao_id") % 7 == 0)).unionByName(maintain.inserted(_late_rows(rows)))
+    kept.refresh(_city_changes(change, places), 2)
+    return portable(kept.read(count="qtd"))
+
+
+def mv_join_refresh(spark, sf_dir):
+    """The summary by city over a join, refreshed from new sales, dropped sales and dropped contracts."""
+    sold, agreed = sales(spark, sf_dir), contracts(spark, sf_dir)
+    late, cancelled = F.col("venda_id") % 5 == 0, F.col("venda_id") % 11 == 0
+    kept = maintain.JoinedView(spark, scratch_path(spark, "mv_resumo_cidade"), "cliente_id", "cidade", {"receita_total": "valor_venda"}, {"credito_total": "valor_contratado"})
+    kept.refresh(1, maintain.inserted(sold.where(~late)), maintain.inserted(agreed))
+    kept.refresh(2, maintain.inserted(sold.where(late)))
+    kept.refresh(3, maintain.deleted(sold.where(cancelled)), maintain.deleted(agreed.where("status = 'recusado'")))
+    return portable(kept.read())
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         join_fanout_sum, join_preagg_sum, target_ratio, agg_by_status, agg_avg_ticket, agg_by_catalogue,
         enrich_two_way, enrich_three_way, agg_month_city, window_running_total, stg_completed,
-        view_global_enriched, view_live, mv_snapshot_vs_live, mv_refresh,
+        view_global_enriched, view_live, mv_snapshot_vs_live, mv_refresh, mv_refresh_deletes, mv_join_refresh,
     )
 }
 
@@ -331,6 +357,13 @@ ORACLE = {
     "view_live": f"WITH {SQL_SALES}, {SQL_CONTRACTS}, {SQL_FANOUT} {_RESUMO}",
     "mv_snapshot_vs_live": f"""WITH {_OLD_NEW} SELECT cidade, CAST(novo AS DOUBLE) AS receita_viva,
         CAST(velho AS DOUBLE) AS receita_materializada, novo = velho AS igual FROM t""",
+    "mv_refresh_deletes": f"""WITH {SQL_TX}, {SQL_BRANCHES}, f AS (SELECT agencia_id, valor FROM transacoes
+        WHERE status = 'concluida' AND transacao_id % 7 <> 0 UNION ALL SELECT agencia_id, CAST(valor * 0.5 AS DECIMAL(12,2))
+        FROM transacoes WHERE status = 'concluida' AND transacao_id % 10 = 0)
+        SELECT cidade, CAST(sum(valor) AS DOUBLE) AS receita, count(*) AS qtd FROM f JOIN agencias USING (agencia_id) GROUP BY cidade""",
+    "mv_join_refresh": f"""WITH {SQL_SALES}, {SQL_CONTRACTS} SELECT v.cidade, CAST(sum(valor_venda) AS DOUBLE) AS receita_total,
+        CAST(sum(valor_contratado) AS DOUBLE) AS credito_total FROM vendas v JOIN contratos c ON v.cliente_id = c.cliente_id
+        WHERE venda_id % 11 <> 0 AND status <> 'recusado' GROUP BY v.cidade""",
     "mv_refresh": f"""WITH {_OLD_NEW} SELECT cidade, CAST(novo AS DOUBLE) AS receita_viva,
         CAST(novo AS DOUBLE) AS receita_materializada, true AS igual FROM t""",
 }
