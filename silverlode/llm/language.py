@@ -246,7 +246,7 @@ def judged(rows: DataFrame, model: TextModel) -> DataFrame:
     if not languages:
         return rows.select("origin", "id", "copy", F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted"))
     k = len(languages)
-    seen = stage(evidence(rows, model), "evidence")
+    seen = evidence(rows, model)
     text = [F.col("likely")[i] for i in range(k)]
     markup, suffix = trusted("declared", MARKUP_RIGHT, languages), trusted("suffix", SUFFIX_RIGHT, languages)
     own = [a + b + c for a, b, c in zip(text, markup, suffix, strict=True)]
@@ -254,6 +254,8 @@ def judged(rows: DataFrame, model: TextModel) -> DataFrame:
     # soft counts: hosts, then domains, then everything; a row's own part is taken out of its priors
     soft = shares([F.col(f"own{i}") for i in range(k)])
     seen = seen.withColumns({f"s{i}": F.when(F.col("judged") > 0, c).otherwise(F.lit(0.0)) for i, c in enumerate(soft)})
+    # written with both, so that later expressions start from columns again
+    seen = stage(seen.drop("likely", "declared", "suffix"), "evidence")
     hosts = seen.where("judged > 0").groupBy("host", "domain").agg(*[F.sum(f"s{i}").alias(f"h{i}") for i in range(k)])
     hosts = stage(hosts, "hosts")
     everything = hosts.agg(*[F.coalesce(F.sum(f"h{i}"), F.lit(0.0)) for i in range(k)]).first()
@@ -274,9 +276,12 @@ def judged(rows: DataFrame, model: TextModel) -> DataFrame:
         shifted = shrunk(others([F.col(f"{level}{i}") for i in range(k)]), weight, [F.col(c) for c in names])
         prior = [F.when(F.col("host").isNull(), F.col(c)).otherwise(p) for c, p in zip(names, shifted, strict=True)]
     total = [F.col(f"own{i}") + F.log(p) for i, p in enumerate(prior)]
-    ranked = F.array_max(F.array(*[F.struct(p.alias("posterior"), F.lit(x).alias("lang")) for p, x in zip(shares(total), languages, strict=True)]))
-    both = both.withColumn("best", F.when(F.col("judged") > 0, ranked))
-    return both.select("origin", "id", "copy", F.col("best.lang").alias("lang"), F.coalesce("best.posterior", F.lit(0.0)).alias("posterior"), F.coalesce(F.col("best.posterior") >= ACCEPT, F.lit(False)).alias("accepted"))
+    ranked = F.array_max(F.array(*[F.struct(c.alias("score"), F.lit(x).alias("lang")) for c, x in zip(total, languages, strict=True)]))
+    both = both.withColumns({"best": F.when(F.col("judged") > 0, ranked), "scores": F.array(*total)})
+    share = 1 / F.aggregate("scores", F.lit(0.0), lambda sum_, x: sum_ + F.exp(x - F.col("best.score")))
+    both = both.withColumn("posterior", F.when(F.col("judged") > 0, share).otherwise(F.lit(0.0)))
+    accepted = (F.col("judged") > 0) & (F.col("posterior") >= ACCEPT)
+    return both.select("origin", "id", "copy", F.col("best.lang").alias("lang"), "posterior", accepted.alias("accepted"))
 
 
 def document_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
