@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import WordCache, picked, texts_of
+from silverlode.llm.common import WordCache, kept_for, picked, texts_of
 from silverlode.session import stage
 
 #: How the byte-level scheme cuts a text into words before merging (fixed value).
@@ -345,16 +345,13 @@ def corpus_lexicon(df: DataFrame, spec: str, text: str = "text", words: int = LE
     return build_lexicon((w, merges.merge(w)) for w in entries if w)
 
 
-_codecs: dict[tuple, Codec] = {}
-
-
 def codec_of(spec: str, lexicon: bytes | None) -> Codec:
     """One codec per worker process, so its caches outlive a task; the last one asked for is kept."""
-    key = (hash(spec), hash(lexicon))
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(spec, lexicon)
-    return _codecs[key]
+    kept, key = kept_for("bpe"), (hash(spec), hash(lexicon))
+    if key not in kept:
+        kept.clear()
+        kept[key] = Codec(spec, lexicon)
+    return kept[key]
 
 
 def _mapped(df: DataFrame, spec: str, lexicon: bytes | None, columns: dict[str, str], make, schema: str) -> DataFrame:

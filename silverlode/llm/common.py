@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 from collections.abc import Callable
 from pathlib import Path
@@ -67,6 +70,24 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(name).to_pylist()]
 
 
+_kept: dict[str, dict] = {}
+
+
+def kept_for(operator: str) -> dict:
+    """What a worker process keeps over the tasks of one operator.
+
+    Workers serve one query or stage after another; the first task of another operator
+    drops what the one before has kept and gives the memory back to the system.
+    """
+    if _kept.keys() - {operator}:
+        for other in _kept.keys() - {operator}:
+            del _kept[other]
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # C libraries without it keep the memory for later
+            ctypes.CDLL(None).malloc_trim(0)
+    return _kept.setdefault(operator, {})
+
+
 class WordCache(dict):
     """What ``make`` returns for a word, kept for the next time; emptied when it is full.
 

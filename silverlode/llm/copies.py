@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import WordCache, copy_of, picked, texts_of
+from silverlode.llm.common import WordCache, copy_of, kept_for, picked, texts_of
 from silverlode.operators.ordering import global_row_number
 from silverlode.session import stage
 
@@ -87,10 +87,11 @@ def sketches(df: DataFrame) -> DataFrame:
     """(doc_id, copy, n, d1, d2, bands, sig) of (doc_id, copy, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_for("copies")
         shingler = Shingler()
         for b in batches:
-            for at in range(0, b.num_rows, 2000):
-                part = b.slice(at, 2000)
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
                 n, d1, d2, bands, sig = [], [], [], [], []
                 for t in texts_of(part):
                     s = shingler.sets(t)
@@ -118,16 +119,18 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     both = pairs.join(left, ["a", "a_copy"]).join(right, ["b", "b_copy"]).select("a", "b", "a_text", "b_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_for("copies")
         shingler, last, kept = Shingler(), None, None
         for b in batches:
-            ok = []
-            for x, y in zip(texts_of(b, "a_text"), texts_of(b, "b_text"), strict=True):
-                if y != last:
-                    last, kept = y, shingler.sets(y)
-                s = shingler.sets(x)
-                common = len(s) + len(kept) - len(np.union1d(s, kept))
-                ok.append(100 * common >= PERCENT * (len(s) + len(kept) - common))
-            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            for at in range(0, b.num_rows, 250):
+                part, ok = b.slice(at, 250), []
+                for x, y in zip(texts_of(part, "a_text"), texts_of(part, "b_text"), strict=True):
+                    if y != last:
+                        last, kept = y, shingler.sets(y)
+                    s = shingler.sets(x)
+                    common = len(s) + len(kept) - len(np.union1d(s, kept))
+                    ok.append(100 * common >= PERCENT * (len(s) + len(kept) - common))
+                yield part.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long").where("a <> b").distinct()
 

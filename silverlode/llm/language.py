@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import copy_of, picked, texts_of
+from silverlode.llm.common import copy_of, kept_for, picked, texts_of
 from silverlode.session import stage
 
 #: Labelled texts learned from, about; each language has a share of them, chosen by a hash.
@@ -56,15 +56,13 @@ def trigrams(word: str) -> list[str]:
     return [w[i : i + 3] for i in range(len(w) - 2)]
 
 
-_kinds: list[np.ndarray] = []
-
-
 def kinds() -> np.ndarray:
     """For every code point: 1 for a letter, 2 for white space, else 0."""
-    if not _kinds:
+    kept = kept_for("language")
+    if "kinds" not in kept:
         signs = map(chr, range(0x110000))
-        _kinds.append(np.fromiter((2 if c.isspace() else c.isalnum() and not c.isdecimal() for c in signs), np.int8, 0x110000))
-    return _kinds[0]
+        kept["kinds"] = np.fromiter((2 if c.isspace() else c.isalnum() and not c.isdecimal() for c in signs), np.int8, 0x110000)
+    return kept["kinds"]
 
 
 class TextModel:

@@ -17,7 +17,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from silverlode.llm.common import WordCache, picked, texts_of
+from silverlode.llm.common import WordCache, kept_for, picked, texts_of
 
 UNKNOWN_PENALTY = 10.0
 BLANK = "▁"  # stands for a blank and begins every word
@@ -77,15 +77,13 @@ class Counter:
         return sum(map(self.words.__getitem__, [BLANK + p for p in parts]))
 
 
-_counters: dict[int, Counter] = {}
-
-
 def counter_of(data: bytes) -> Counter:
     """One counter per worker process."""
-    if hash(data) not in _counters:
-        _counters.clear()
-        _counters[hash(data)] = Counter(*read_vocabulary(data))
-    return _counters[hash(data)]
+    kept = kept_for("pieces")
+    if hash(data) not in kept:
+        kept.clear()
+        kept[hash(data)] = Counter(*read_vocabulary(data))
+    return kept[hash(data)]
 
 
 def token_counts(df: DataFrame, model: bytes, key: str = "doc_id", text: str = "text") -> DataFrame:

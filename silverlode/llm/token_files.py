@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import picked, texts_of
+from silverlode.llm.common import kept_for, picked, texts_of
 from silverlode.session import scratch_path, stage
 
 #: Id that ends each document.
@@ -209,15 +209,13 @@ def opened(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path.removeprefix("file:"))
 
 
-_encoders: dict[int, BlankSplitEncoder] = {}
-
-
 def encoder_of(spec: str) -> BlankSplitEncoder:
     """One encoder per worker process; the last one asked for is kept."""
-    if hash(spec) not in _encoders:
-        _encoders.clear()
-        _encoders[hash(spec)] = BlankSplitEncoder(spec)
-    return _encoders[hash(spec)]
+    kept = kept_for("token_files")
+    if hash(spec) not in kept:
+        kept.clear()
+        kept[hash(spec)] = BlankSplitEncoder(spec)
+    return kept[hash(spec)]
 
 
 def total_of(head: bytes) -> int:
