@@ -11,7 +11,7 @@ from ..session import scratch_path
 from ..sources.sinks import write_replace
 from .common import portable, sql_initcap, sql_round, table
 
-CHANNELS = ["App", "app", "WEB", "Web", "agencia", "AGENCIA"]
+CHANNELS = [spelled for name in ("app", "web", "agencia") for spelled in (name.title(), name.upper())]
 
 
 def sales(spark, sf_dir) -> DataFrame:
