@@ -1,22 +1,36 @@
-"""License statements, notices and whole license texts, measured by alignment.
-
-Templates and documents are sequences of words without case and edge punctuation. A
-template is looked for wherever a stretch of the document holds enough of its words, a
-condition that every alignment of ``COVERAGE`` meets:
-
-* up to ``SHORT`` words, the template is aligned within a band at every place of such a
-  stretch, and it is named only if its version and variant words align and no other
-  variant word stands between;
-* longer texts take the longest common subsequence of the stretch that shares most runs of
-  ``GRAM`` words with them.
-
-Of finds that overlap the one with more matched words stays, so that the best alignment
-tells neighbouring licenses apart.
+"""License statements, notices and whole license texts: winnowed fingerprints, banded alignment.
+
+Templates and documents are sequences of words without case and edge punctuation.
+
+* **Fingerprints.** Each template is winnowed: of every few neighbouring words the rarest
+  one is kept with its place. An alignment of ``COVERAGE`` misses ``m - need`` of a
+  template's ``m`` words, the windows are narrow enough to leave more fingerprints than
+  that, so every alignment keeps a known number of them. A fingerprint is one word,
+  because words put in between may break every longer run of an alignment that counts.
+* **Index.** An inverted index leads from a fingerprint to its templates. A document's
+  distinct words are looked up once; templates with too few fingerprints are out, so the
+  cost follows the entries met, not the number of templates.
+* **Places.** Of what is left, a start in the document is a candidate where enough
+  fingerprints stand within the band around its diagonal.
+* **Alignment.** At a candidate the longest common subsequence within the band is counted,
+  and where it covers enough, its span is taken. The band is ``BAND`` words, or a
+  ``SHARE``-th of a longer template, whose starts are tried every eighth of the band.
+
+Statements and notices are named only if their version and variant words align in order
+and no other variant word stands between; whole texts (names in ``-full``), whose numbered
+clauses are full of such words, go by the best alignment. Of finds that overlap the one
+with more matched words stays.
+
+NULL, empty and blank texts hold none. Texts of any length are scanned whole; memory grows
+with the text, not with its finds. Equal finds: higher coverage, tighter span, first name,
+first place. Repeated rows stay, an empty table gives an empty table, other columns are
+not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from importlib.resources import files
 
@@ -27,13 +41,12 @@ from pyspark.sql import DataFrame
 
 from silverlode.llm.common import WordCache, picked, texts_of
 
-GRAM = 3
-#: Words an alignment may shift against the template.
-BAND = 4
+#: Words an alignment may shift against the template; a longer template's own share of words.
+BAND, SHARE = 4, 13
 #: Share of a template's words that must align.
 COVERAGE = 0.8
-#: Words of a template aligned at every place; in longer ones a seventh of the words may be put in.
-SHORT, LONG_SLACK = 64, 7
+#: Ending of the names of whole license texts.
+WHOLE = "-full"
 #: Words that make another license of the same wording; words with digits do so too.
 VARIANTS = {"affero", "alike", "commercial", "derivatives", "documentation", "lesser", "library", "nc", "nd", "noderivatives", "noncommercial", "sa", "sharealike"}
 EDGES = "\"'`,;:!?#$%&*<>[](){}|."
@@ -61,7 +74,7 @@ STATEMENTS = {
     "AGPL-3.0-notice": _gnu("Affero General Public License", "3"),
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0',
-    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following two conditions are met",
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "BSD-3-Clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "CC-BY-4.0": _commons(""),
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
@@ -96,7 +109,7 @@ STATEMENTS = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 #: Whole license texts, from the files of ``licence_texts``.
-FULL = {f"{f.name.removesuffix('.txt')}-full": f.read_text(encoding="utf-8") for f in files("silverlode.llm").joinpath("licence_texts").iterdir() if f.name.endswith(".txt")}
+FULL = {f"{f.name.removesuffix('.txt')}{WHOLE}": f.read_text(encoding="utf-8") for f in files("silverlode.llm").joinpath("licence_texts").iterdir() if f.name.endswith(".txt")}
 TEMPLATES = STATEMENTS | FULL
 
 
@@ -104,18 +117,6 @@ def plain(chunk: str) -> str:
     return chunk.strip(EDGES).lower()
 
 
-def gram_hashes(ids: np.ndarray) -> np.ndarray:
-    n = len(ids) - GRAM + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    with np.errstate(over="ignore"):
-        h = np.zeros(n, np.uint64)
-        for i in range(GRAM):
-            h = (h ^ ids[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        return h
-
-
 def word_hash(chunk: str) -> int:
     w = plain(chunk)
     return xxhash.xxh3_64_intdigest(w) if w else 0
@@ -128,34 +129,42 @@ def aligned(template: list[int], words: list[int], band: int = BAND, at: int = 0
     ``at``, before the window where that is negative; of equal counts the tightest span
     wins, then the first.
     """
-    m, n = len(template), len(words)
-    best = (0, 0, 0)
-    # row[j]: (matches, -start) of the best alignment that ends before word j
-    row: dict[int, tuple[int, int]] = {}
+    m, n, width = len(template), len(words), 2 * band + 1
+    seq = np.asarray(template, np.uint64)
+    # a cell holds (matches, -first word) in one number, 0 without a match
+    unit = n + 2
+    places = np.arange(at - band, at + band + m)
+    real = (places >= 0) & (places < n)
+    padded = np.zeros(len(places), np.uint64)
+    padded[real] = np.asarray(words, np.uint64)[places[real]]
+    row, best = np.zeros(width + 1, np.int64), (0, 0, 0)
     for i in range(m):
-        new: dict[int, tuple[int, int]] = {}
-        for j in range(max(0, i + at - band), min(n, i + at + band + 1)):
-            left, up = new.get(j - 1, (0, -n)), row.get(j, (0, -n))
-            here = max(left, up)
-            if words[j] == template[i]:
-                before = row.get(j - 1, (0, -n))
-                start = before[1] if before[0] else -j
-                here = max(here, (before[0] + 1, start))
-                if here == (before[0] + 1, start) and (here[0], -(j + 1 + here[1])) > (best[0], -(best[2] - best[1])):
-                    best = (here[0], -here[1], j + 1)
-            new[j] = here
-        row = new
+        at_i = slice(i, i + width)
+        here = (padded[at_i] == seq[i]) & real[at_i]
+        more = np.where(here, np.where(row[:-1] > 0, row[:-1] + unit, unit + n - places[at_i]), 0)
+        cells = np.maximum.accumulate(np.maximum(row[1:], more))
+        ends = np.flatnonzero(here & (cells == more))
+        if len(ends):
+            matched, first = more[ends] // unit, n - more[ends] % unit
+            span = places[at_i][ends] + 1 - first
+            x = int(np.argmax(matched * unit - span))
+            if (matched[x], -span[x]) > (best[0], best[1] - best[2]):
+                best = (int(matched[x]), int(first[x]), int(first[x] + span[x]))
+        row = np.append(cells, 0)
     return best
 
 
-def common(masks: dict[int, int], m: int, words: list[int]) -> int:
-    """Length of the longest common subsequence of a template of ``m`` words, given by the places of each word as bits, and words."""
-    full = (1 << m) - 1
+def common(masks: dict[int, int], m: int, words: list[int], band: int, at: int) -> int:
+    """Words that ``aligned`` matches; the template is given by the places of each word as bits."""
+    full, wide = (1 << m) - 1, (1 << (2 * band + 1)) - 1
     row = full  # zero bits count the matches (Hyyrö 2004)
-    for w in words:
-        u = row & masks.get(w, 0)
-        if u:
-            row = ((row + u) | (row - u)) & full
+    for j, w in enumerate(words):
+        mask = masks.get(w)
+        if mask:
+            shift = j - at - band
+            u = row & mask & (wide << shift if shift >= 0 else wide >> -shift)
+            if u:
+                row = ((row + u) | (row - u)) & full
     return m - row.bit_count()
 
 
@@ -170,83 +179,114 @@ def varied(word: str) -> bool:
 class Template:
     """Words of a template and what finding it needs."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, whole: bool = False):
         words = [w for w in map(plain, text.split()) if w]
         self.seq = list(map(word_hash, words))
         self.m = len(words)
         # the float product that the coverage is compared by, so that equal shares pass
         self.need = next((n for n in range(self.m + 1) if self.m and n / self.m >= COVERAGE), self.m + 1)
-        self.short = self.m <= SHORT
-        self.marks = [word_hash(w) for w in words if marked(w)] if self.short else []
+        self.band = max(BAND, self.m // SHARE)
+        self.step = max(1, self.band // 8)
+        self.marks = [] if whole else [word_hash(w) for w in words if marked(w)]
+        self.whole = whole
         self.masks: dict[int, int] = {}
-        for i, h in enumerate([] if self.short else self.seq):
+        for i, h in enumerate(self.seq):
             self.masks[h] = self.masks.get(h, 0) | 1 << i
         self.words = np.unique(np.array(self.seq, np.uint64))
-        self.grams = np.unique(gram_hashes(np.array(self.seq, np.uint64)))
+
+    def winnow(self, frequency: Counter[int]) -> None:
+        """Keep the rarest word of every window; ``least`` of the kept places are in every alignment."""
+        missed = self.m - self.need
+        window = self.m // (missed + 1)
+        order = [(frequency[h], h, -i) for i, h in enumerate(self.seq)]
+        self.places = sorted({-min(order[i : i + window])[2] for i in range(self.m - window + 1)})
+        self.least = len(self.places) - missed
 
 
 class Scanner:
-    """Templates and the counts of their words."""
+    """Templates and the inverted index of their fingerprints."""
 
     def __init__(self, templates: dict[str, str]):
         self.words = WordCache(word_hash)
         self.names = sorted(templates)
-        self.templates = [Template(templates[x]) for x in self.names]
-        self.known = np.unique(np.concatenate([t.words for t in self.templates])) if templates else np.zeros(0, np.uint64)
-        self.counts = np.zeros((len(self.names), len(self.known)), np.float32)
-        for c, t in zip(self.counts, self.templates, strict=True):
-            np.add.at(c, np.searchsorted(self.known, np.array(t.seq, np.uint64)), 1)
-        self.need = np.array([t.need for t in self.templates])
-
-    def short_finds(self, t: Template, ids: np.ndarray, varies: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(words matched, first, last + 1) at every place where the words around are enough."""
-        m, n = t.m, len(ids)
-        sums = np.concatenate([[0], np.isin(ids, t.words).cumsum()])
-        at = np.arange(-m, n)
-        enough = sums[np.clip(at + m + BAND, 0, n)] - sums[np.clip(at - BAND, 0, n)] >= t.need
-        for h in set(t.marks):
-            one = np.concatenate([[0], (ids == h).cumsum()])
-            enough &= one[np.clip(at + m + BAND, 0, n)] > one[np.clip(at - BAND, 0, n)]
-        own = set(t.seq)
-        for start in at[enough].tolist():
-            lo = max(0, start - BAND)
-            k, a, b = aligned(t.seq, ids[lo : start + m + BAND].tolist(), BAND, start - lo)
-            if k < t.need:
+        self.templates = [Template(templates[x], x.endswith(WHOLE)) for x in self.names]
+        frequency = Counter(h for t in self.templates for h in t.seq)
+        postings: dict[int, list[int]] = {}
+        for k, t in enumerate(self.templates):
+            if t.m:
+                t.winnow(frequency)
+                for i in t.places:
+                    postings.setdefault(t.seq[i], []).append(k)
+        self.prints = np.array(sorted(postings), np.uint64)
+        self.offsets = np.cumsum([0, *(len(postings[h]) for h in self.prints.tolist())])
+        self.owners = np.array([k for h in self.prints.tolist() for k in postings[h]], np.int64)
+        self.least = np.array([t.least if t.m else 1 for t in self.templates], np.int64)
+
+    def candidates(self, ids: np.ndarray) -> list[int]:
+        """Templates with enough fingerprints among the words."""
+        if not len(self.prints):
+            return []
+        where = np.minimum(np.searchsorted(self.prints, ids), len(self.prints) - 1)
+        present = np.unique(where[self.prints[where] == ids])
+        if not len(present):
+            return []
+        met = np.concatenate([self.owners[self.offsets[x] : self.offsets[x + 1]] for x in present.tolist()])
+        return np.flatnonzero(np.bincount(met, minlength=len(self.names)) >= self.least).tolist()
+
+    def starts(self, t: Template, ids: np.ndarray) -> list[int]:
+        """Places, before the text too, around whose diagonal enough fingerprints and words stand."""
+        m, n, band = t.m, len(ids), t.band
+        prints: dict[int, list[int]] = {}
+        for i in t.places:
+            prints.setdefault(t.seq[i], []).append(i)
+        by_word = np.argsort(ids, kind="stable")
+        ordered = ids[by_word]
+        count = np.zeros(n + m, np.int32)
+        for h, places in prints.items():
+            word = np.uint64(h)
+            lo, hi = np.searchsorted(ordered, word), np.searchsorted(ordered, word, "right")
+            if lo == hi:
                 continue
+            at = by_word[lo:hi] + m
+            edge = np.bincount(np.maximum(at - band, 0), minlength=n + 2 * m + 1)
+            edge -= np.bincount(np.minimum(at + band + 1, n + 2 * m), minlength=n + 2 * m + 1)
+            near = edge.cumsum() > 0
+            for i in places:
+                count += near[i : i + n + m]
+        at = np.flatnonzero(count >= t.least) - m
+        at = at[at % t.step == 0]
+        first, last = np.clip(at - band, 0, n), np.clip(at + m + band, 0, n)
+        for kind, least in ((t.words, t.need), *(([h], 1) for h in set(t.marks))):
+            sums = np.concatenate([[0], np.isin(ids, np.array(kind, np.uint64)).cumsum()])
+            keep = sums[last] - sums[first] >= least
+            at, first, last = at[keep], first[keep], last[keep]
+        return at.tolist()
+
+    def finds(self, t: Template, ids: np.ndarray, varies: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(words matched, first, last + 1) of the alignments at candidate starts.
+
+        The best come first; a start is passed over if all it can give overlaps a find
+        that matched more words, or as many without a gap.
+        """
+        own, counted = set(t.seq), []
+        for start in self.starts(t, ids):
+            lo = max(0, start - t.band)
+            k = common(t.masks, t.m, ids[lo : start + t.m + t.band].tolist(), t.band, start - lo)
+            if k >= t.need:
+                counted.append((-k, start, lo))
+        seen: list[tuple[int, int, int]] = []
+        for k, start, lo in sorted(counted):
+            hi = min(start + t.m + t.band, len(ids))
+            if any((n > -k or n == -k == b - a) and a - lo < -k and hi - b < -k and a >= lo and b <= hi for n, a, b in seen):
+                continue
+            k, a, b = aligned(t.seq, ids[lo:hi].tolist(), t.band, start - lo)
             span = ids[lo + a : lo + b].tolist()
             left = iter(span)
             # the marks stand there in their order, and no other variant's word
-            if all(h in left for h in t.marks) and not any(v and h not in own for v, h in zip(varies[lo + a : lo + b].tolist(), span, strict=True)):
+            if t.whole or all(h in left for h in t.marks) and not any(v and h not in own for v, h in zip(varies[lo + a : lo + b].tolist(), span, strict=True)):
+                seen.append((k, lo + a, lo + b))
                 yield k, lo + a, lo + b
 
-    def long_finds(self, t: Template, ids: np.ndarray, grams: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(words matched, first, last + 1) of each stretch that holds a long template, apart from each other."""
-        width = t.m + max(2 * BAND, t.m // LONG_SLACK)
-        inside = np.concatenate([[0], np.isin(ids, t.words).cumsum()])
-        hits = np.isin(grams, t.grams)
-        runs = np.concatenate([[0], hits.cumsum()])
-        todo = [(0, len(ids))]
-        while todo:
-            lo, hi = todo.pop()
-            if inside[hi] - inside[lo] < t.need:
-                continue
-            at = np.arange(lo, max(lo, hi - width) + 1)
-            ends = np.minimum(at + width, hi)
-            enough = inside[ends] - inside[at] >= t.need
-            if not enough.any():
-                continue
-            shared = np.where(enough, runs[np.maximum(at, ends - GRAM + 1)] - runs[at], -1)
-            a = int(at[shared.argmax()])
-            b = min(a + width, hi)
-            places = a + np.flatnonzero(hits[a : b - GRAM + 1])
-            if not len(places):
-                continue
-            a, b = int(places[0]), int(places[-1]) + GRAM
-            k = common(t.masks, t.m, ids[a:b].tolist()) if b - a >= t.need else 0
-            if k >= t.need:
-                yield k, a, b
-            todo += [(lo, a), (b, hi)]
-
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
         """(name, coverage, start, end) in code points, each place once, by start.
 
@@ -256,20 +296,14 @@ class Scanner:
         hashed = np.fromiter(map(self.words.__getitem__, chunks), np.uint64, len(chunks))
         real = np.flatnonzero(hashed)  # chunks of marks alone are no words
         ids = hashed[real]
-        if not len(ids) or not len(self.known):
-            return []
-        where = np.minimum(np.searchsorted(self.known, ids), len(self.known) - 1)
-        present = np.zeros(len(self.known), np.float32)
-        present[where[self.known[where] == ids]] = 1
-        likely = np.flatnonzero(self.counts @ present >= self.need).tolist()
+        likely = self.candidates(ids)
         if not likely:
             return []
         varies = np.array([varied(plain(chunks[i])) for i in real.tolist()])
-        grams = gram_hashes(ids)
         found = set()
         for i in likely:
             t = self.templates[i]
-            for n, a, b in self.short_finds(t, ids, varies) if t.short else self.long_finds(t, ids, grams):
+            for n, a, b in self.finds(t, ids, varies):
                 found.add((n, n / t.m, a - b, -i, -a, b))
         places = None
         taken: list[tuple[int, int]] = []

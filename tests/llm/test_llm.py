@@ -625,6 +625,77 @@ def test_altered_and_truncated_statements_equal_brute_force():
     assert found > 60
 
 
+def test_whole_texts_equal_brute_force():
+    """Altered, cut and padded texts: aligning at every tried start, without fingerprints, finds the same."""
+    rnd = random.Random(8)
+    texts = {x: licences.FULL[x] for x in ("BSD-2-Clause-full", "BSD-3-Clause-full", "ISC-full", "MIT-full", "Unlicense-full")}
+    s = licences.Scanner(texts)
+
+    def brute(ids):
+        found = set()
+        for k, t in enumerate(s.templates):
+            for start in range(-t.m, len(ids)):
+                lo = max(0, start - t.band)
+                window = ids[lo : max(lo, start + t.m + t.band)]
+                if start % t.step == 0 and sum(w in t.masks for w in window) >= t.need:
+                    n, a, b = licences.aligned(t.seq, window, t.band, start - lo)
+                    if n / t.m >= licences.COVERAGE:
+                        found.add((n, n / t.m, a - b, -k, -lo - a, lo + b))
+        out = []
+        for _, cover, _, k, a, b in sorted(found, reverse=True):
+            if all(b <= x or y <= -a for _, _, x, y in out):
+                out.append((s.names[-k], cover, -a, b))
+        return sorted(out, key=lambda x: (x[2], x[3], x[0]))
+
+    found = 0
+    for text in texts.values():
+        words = [w for w in text.split() if licences.plain(w)]
+        for _ in range(len(words) // 15):
+            words[rnd.randrange(len(words))] = "other"
+            words.insert(rnd.randrange(len(words)), "more")
+        now = words[len(words) // 40 :] + ["in", "between"] + text.split()[: len(words) * 9 // 10] + ["the", "end"]
+        chunks = [w for w in now if licences.plain(w)]
+        want = brute([licences.word_hash(w) for w in chunks])
+        ends = [m.span() for m in re.finditer(r"\S+", " ".join(chunks))]
+        assert s.scan(" ".join(chunks)) == [(x, c, ends[a][0], ends[b - 1][1]) for x, c, a, b in want]
+        found += len(want)
+    assert found >= 8
+
+
+def test_every_template_altered_cut_and_padded():
+    s = licences.Scanner(licences.TEMPLATES)
+    for name, text in licences.TEMPLATES.items():
+        t = s.templates[s.names.index(name)]
+        words = [w for w in text.split() if licences.plain(w)]
+        free = [i for i, w in enumerate(words) if licences.word_hash(w) not in t.marks]
+        for i in free[4::9] if t.m > 9 else []:
+            words[i] = "other"
+        cut = t.m // 40
+        assert not t.marks or licences.word_hash(words[0]) not in t.marks
+        found = s.scan(" ".join(["padding"] * 700 + words[cut:] + ["padding"] * 300))
+        assert name in [x[0] for x in found] and len(found) == 1, (name, found)
+
+
+def test_fingerprints_stand_in_every_alignment():
+    """Leave out any ``m - need`` words: what the index asks for is still there, and strangers cost nothing."""
+    rnd = random.Random(9)
+    s = licences.Scanner(licences.TEMPLATES)
+    for k, t in enumerate(s.templates):
+        assert t.least >= 1
+        ids = np.array(t.seq, np.uint64)
+        for _ in range(5):
+            kept = sorted(rnd.sample(range(t.m), t.need))
+            assert k in s.candidates(ids[kept])
+    strangers = {f"zz{i}": " ".join(f"w{i}x{j}" for j in range(30)) for i in range(500)}
+    more = licences.Scanner(licences.TEMPLATES | strangers)
+    text = "some words " + licences.FULL["MIT-full"]
+    assert more.scan(text) == s.scan(text)
+    ids = np.array(s.templates[s.names.index("MIT-full")].seq, np.uint64)
+    assert [more.names[k] for k in more.candidates(ids)] == [s.names[k] for k in s.candidates(ids)]
+    assert s.scan("") == s.scan("   ") == s.scan(" ... !! ") == [] and licences.Scanner({}).scan("a b c") == []
+    assert licences.Scanner({"none": " ; "}).scan("a b c") == []
+
+
 def test_licence_rows(messy, nothing):
     assert licences.licences(messy).where("n_found > 0").count() == 0
     assert licences.licences(messy).count() == messy.count() and licences.licences(nothing).count() == 0
