@@ -1,4 +1,4 @@
-"""Training, comparing, versioning and applying Spark ML models."""
+"""Training, comparing and applying Spark ML models."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml import Pipeline as Stages
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import HashingTF, IDF, Imputer, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,18 +39,6 @@ def fit_forest(df: DataFrame, cols: Sequence[str], label: str, trees: int = 200,
     return _fit(df, cols, RandomForestClassifier(labelCol=label, numTrees=trees, seed=seed))
 
 
-def fit_text_classifier(df: DataFrame, text: str, label: str, buckets: int = 1 << 14) -> PipelineModel:
-    """Hashed word counts, inverse document frequency, logistic regression."""
-    return Stages(
-        stages=[
-            RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"[^\p{L}]+"),
-            HashingTF(inputCol="_words", outputCol="_tf", numFeatures=buckets),
-            IDF(inputCol="_tf", outputCol="features"),
-            LogisticRegression(labelCol=label, maxIter=20, regParam=0.01),
-        ]
-    ).fit(df)
-
-
 def probability() -> Column:
     """Probability of class 1 from a scored table."""
     return vector_to_array(F.col("probability"))[1]
@@ -83,32 +71,3 @@ def importances(spark: SparkSession, model: PipelineModel, cols: Sequence[str])
 
 def coefficients(spark: SparkSession, model: PipelineModel, cols: Sequence[str]) -> DataFrame:
     return _weights(spark, cols, model.stages[-1].coefficients.toArray(), "coeficiente").orderBy("coeficiente")
-
-
-# --- versions and aliases -----------------------------------------------------
-
-
-def save_version(model: PipelineModel, root: str, version: int) -> str:
-    path = f"{root}/v={version}"
-    model.write().save(path)
-    return path
-
-
-def set_alias(spark: SparkSession, root: str, alias: str, version: int) -> None:
-    """Point ``alias`` at a version. Assignments are appended; the newest one counts."""
-    row = spark.range(1).select(
-        F.lit(alias).alias("alias"), F.lit(version).alias("versao"), F.current_timestamp().alias("definido_em")
-    )
-    row.write.mode("append").parquet(f"{root}/aliases")
-
-
-def aliases(spark: SparkSession, root: str) -> DataFrame:
-    log = spark.read.parquet(f"{root}/aliases")
-    return log.groupBy("alias").agg(F.max_by("versao", "definido_em").alias("versao"))
-
-
-def load_alias(spark: SparkSession, root: str, alias: str) -> tuple[PipelineModel, int]:
-    found = aliases(spark, root).where(F.col("alias") == alias).first()
-    if found is None:
-        raise LookupError(f"no version carries the alias {alias!r}")
-    return PipelineModel.load(f"{root}/v={found['versao']}"), found["versao"]

@@ -1,13 +1,15 @@
-"""Spark ML on the credit features: train, compare, explain, version, score."""
+"""Models on the credit features and the texts: train, compare, explain, store, score."""
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, modeling
+from ..operators import bayes, evaluate, modeling
 from ..operators.features import FEATURES, LABEL, credit_features
 from ..session import scratch_path, stage
+from .comments import SQL_WORDS
 from .common import portable, table
 from .credit import SCORE_DATE, portfolio, train_test
 
@@ -47,32 +49,22 @@ def ml_coefficients(spark, sf_dir):
     return modeling.coefficients(spark, modeling.fit_logistic(train, FEATURES, LABEL), FEATURES)
 
 
-def _registry(spark, sf_dir) -> str:
-    """Two versions of the model; the first release is champion until the second replaces it."""
-    train, _ = feature_sets(spark, sf_dir)
-    root = scratch_path(spark, "model")
-    for version, iterations in ((1, 5), (2, 100)):
-        modeling.save_version(modeling.fit_logistic(train, FEATURES, LABEL, iterations), root, version)
-        modeling.set_alias(spark, root, "champion", version)
-    modeling.set_alias(spark, root, "challenger", 1)
-    return root
-
-
 def score_portfolio(spark, sf_dir):
-    """New customers scored by whatever version the champion alias names."""
-    model, version = modeling.load_alias(spark, _registry(spark, sf_dir), "champion")
-    scored = modeling.score(model, credit_features(portfolio(spark, sf_dir)))
-    return portable(evaluate.decide(scored, F.col("p"), 0.2, f"champion v{version}", SCORE_DATE))
+    """New customers scored by the stored model, as a later job would load it."""
+    train, _ = feature_sets(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    modeling.fit_logistic(train, FEATURES, LABEL).write().save(path)
+    scored = modeling.score(PipelineModel.load(path), credit_features(portfolio(spark, sf_dir)))
+    return portable(evaluate.decide(scored, F.col("p"), 0.2, "logistica", SCORE_DATE))
 
 
 def text_classify_ml(spark, sf_dir):
     """Quality label of every document from a model trained on the labelled ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"))
-    model = modeling.fit_text_classifier(stage(docs.join(labels, "doc_id"), "labelled"), "text", "quality")
-    return modeling.score(model, docs).select(
-        "doc_id", (F.col("p") >= 0.5).cast("bigint").alias("quality_previsto"), F.round("p", 4).alias("proba")
-    )
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = bayes.naive_bayes(stage(docs.join(labels, "doc_id"), "labelled"), "text", "quality")
+    shown = F.round(F.col("p")[model.classes.index(1)] if 1 in model.classes else F.lit(0.0), 4)
+    return model.classify(docs, "doc_id", "text").select("doc_id", F.col("classe").cast("bigint").alias("quality_previsto"), shown.alias("proba"))
 
 
 QUERIES = {
@@ -82,4 +74,21 @@ QUERIES = {
         score_portfolio, text_classify_ml,
     )
 }
-ORACLE: dict[str, str] = {}
+
+_B, _U = bayes.BUCKETS, bayes.UNIT
+ORACLE = {
+    "text_classify_ml": f"""WITH w0 AS (SELECT doc_id, unnest({SQL_WORDS.format(x="text")}) AS w FROM documents),
+        w AS (SELECT doc_id, CAST('0x' || substr(md5(w), 1, 7) AS INTEGER) % {_B} AS b, count(*) AS n FROM w0 GROUP BY 1, 2),
+        rotulos AS (SELECT quality AS c, count(*) AS docs FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL GROUP BY 1),
+        vistos AS (SELECT quality AS c, b, sum(n) AS n FROM w JOIN labels USING (doc_id) WHERE quality IS NOT NULL GROUP BY 1, 2),
+        totais AS (SELECT c, docs, coalesce(sum(n), 0) AS t FROM rotulos LEFT JOIN vistos USING (c) GROUP BY 1, 2),
+        pesos AS (SELECT totais.c, g.b, CAST(round(ln((coalesce(n, 0) + 1.0) / CAST(t + {_B} AS DOUBLE)) * {_U}) AS BIGINT) AS peso
+          FROM totais CROSS JOIN (SELECT unnest(range({_B})) AS b) g LEFT JOIN vistos ON vistos.c = totais.c AND vistos.b = g.b),
+        prior AS (SELECT c, CAST(round(ln(CAST(docs AS DOUBLE) / sum(docs) OVER ()) * {_U}) AS BIGINT) AS peso FROM totais),
+        somas AS (SELECT doc_id, c, sum(n * pesos.peso) AS s FROM w JOIN pesos USING (b) GROUP BY 1, 2),
+        nota AS (SELECT doc_id, c, coalesce(s, 0) + prior.peso AS s FROM (SELECT DISTINCT doc_id FROM documents) CROSS JOIN prior LEFT JOIN somas USING (doc_id, c)),
+        melhor AS (SELECT *, max(s) OVER (PARTITION BY doc_id) AS m FROM nota)
+        SELECT doc_id, CAST(min(c) FILTER (s = m) AS BIGINT) AS quality_previsto,
+          round(coalesce(sum(exp(CAST(s - m AS DOUBLE) / {_U})) FILTER (c = 1), 0) / sum(exp(CAST(s - m AS DOUBLE) / {_U})), 4) AS proba
+        FROM melhor GROUP BY 1""",
+}

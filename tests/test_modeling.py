@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from silverlode.operators import evaluate, modeling
@@ -38,20 +39,13 @@ def test_train_compare_explain(spark, sets):
     assert sum(r["importancia"] for r in gains) == pytest.approx(1.0) and gains[0]["feature"] == "score_bureau"
 
 
-def test_alias_follows_the_last_assignment(spark, sets, tmp_path):
+def test_stored_model_scores_alike(sets, tmp_path):
     train, test = sets
-    root = str(tmp_path / "model")
     model = modeling.fit_logistic(train, FEATURES, LABEL, max_iter=3)
-    for version in (1, 2):
-        modeling.save_version(model, root, version)
-        modeling.set_alias(spark, root, "champion", version)
-    modeling.set_alias(spark, root, "champion", 1)
-    loaded, version = modeling.load_alias(spark, root, "champion")
-    assert version == 1
+    model.write().save(str(tmp_path / "model"))
+    loaded = PipelineModel.load(str(tmp_path / "model"))
     before = modeling.score(model, test).select("cliente_id", "p")
     assert before.exceptAll(modeling.score(loaded, test).select("cliente_id", "p")).count() == 0
-    with pytest.raises(LookupError):
-        modeling.load_alias(spark, root, "nobody")
 
 
 def test_every_customer_gets_a_score(spark, sets):
