@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio, round_to
-from ..operators import joins, maintain, materialize, windows
+from ..operators import joins, keys, maintain, materialize, windows
 from ..session import scratch_path
 from ..sources.sinks import write_replace
 from .common import portable, sql_initcap, sql_round, table
@@ -302,12 +302,23 @@ def mv_join_refresh(spark, sf_dir):
     return portable(kept.read())
 
 
+def dim_customer_keys(spark, sf_dir):
+    """Customer keys of two loads: the early buyers keep theirs when all customers follow."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("nome_cliente"))
+    early = table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit("1995-07-01").cast("timestamp")).select("o_custkey")
+    kept = keys.KeyMap(spark, scratch_path(spark, "customer_keys"), ["nome_cliente"], "sk_cliente")
+    kept.load(1, customers.join(early, F.col("c_custkey") == F.col("o_custkey"), "left_semi"))
+    kept.load(2, customers)
+    return kept.read()
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         join_fanout_sum, join_preagg_sum, target_ratio, agg_by_status, agg_avg_ticket, agg_by_catalogue,
         enrich_two_way, enrich_three_way, agg_month_city, window_running_total, stg_completed,
         view_global_enriched, view_live, mv_snapshot_vs_live, mv_refresh, mv_refresh_deletes, mv_join_refresh,
+        dim_customer_keys,
     )
 }
 
@@ -366,4 +377,8 @@ ORACLE = {
         WHERE venda_id % 11 <> 0 AND status <> 'recusado' GROUP BY v.cidade""",
     "mv_refresh": f"""WITH {_OLD_NEW} SELECT cidade, CAST(novo AS DOUBLE) AS receita_viva,
         CAST(novo AS DOUBLE) AS receita_materializada, true AS igual FROM t""",
+    "dim_customer_keys": """WITH nomes AS (SELECT c_name AS nome_cliente, min(CASE WHEN c_custkey IN
+          (SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1995-07-01') THEN 1 ELSE 2 END) AS carga
+          FROM customer WHERE c_name IS NOT NULL GROUP BY 1)
+        SELECT row_number() OVER (ORDER BY carga, nome_cliente) AS sk_cliente, nome_cliente FROM nomes""",
 }
