@@ -65,19 +65,50 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[s
 
     Each pass brackets every rank between two ``percentile_approx`` values and counts
     exactly how many rows lie before, on and between them, until each rank's value is
-    known. A pass is two scans of one column with partial aggregation, moves a handful of
-    numbers and shrinks the brackets at least a hundredfold. NULL and NaN are no values;
-    infinities are. A column without values has NULL quantiles.
+    known. A pass is two scans with partial aggregation for all columns together, moves a
+    handful of numbers and shrinks the brackets at least a hundredfold; the first one also
+    counts the values. NULL and NaN are no values; infinities are. A column without values
+    has NULL quantiles.
     """
-    real = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in wanted}
-    counts = df.agg(*[F.count(x).alias(c) for c, x in real.items()]).first()
-    found: dict[str, list[float | None]] = {}
-    for c, x in real.items():
-        values = df.select(x.alias("x")).where(F.col("x").isNotNull())
-        found[c] = _refine(values, counts[c], wanted[c]) if counts[c] else [None] * len(wanted[c])
+    asked = [(c, probs) for c, probs in wanted.items() if len(probs)]
+    values = df.select(
+        *[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"x{i}") for i, (c, _) in enumerate(asked)]
+    )
+    found: dict[str, list[float | None]] = {c: [] for c in wanted}
+    if not asked:
+        return found
+    row = values.agg(
+        *[F.count(f"x{i}").alias(f"n{i}") for i in range(len(asked))],
+        *[_sketch(F.col(f"x{i}"), [(p, p) for p in probs]).alias(f"q{i}") for i, (_, probs) in enumerate(asked)],
+    ).first()
+    searched: dict[_Rank, _Bracket] = {}
+    guesses: dict[_Rank, tuple[float, float]] = {}
+    for i, (_, probs) in enumerate(asked):
+        n = row[f"n{i}"]
+        for j, p in enumerate(probs if n else ()):
+            for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1))):
+                searched[i, r] = _Bracket(-math.inf, math.inf, 0, n)
+                guesses[i, r] = (row[f"q{i}"][2 * j], row[f"q{i}"][2 * j + 1])
+    at: dict[_Rank, float] = {}
+    while searched:
+        _narrow(values, searched, guesses, at)
+        searched = {r: b for r, b in searched.items() if r not in at}
+        guesses = _guess(values, searched) if searched else {}
+
+    def quantile(i: int, spot: float) -> float:
+        low, high = at[i, math.floor(spot)], at[i, math.ceil(spot)]
+        return low if low == high else low + (high - low) * (spot - math.floor(spot))
+
+    for i, (c, probs) in enumerate(asked):
+        n = row[f"n{i}"]
+        found[c] = [quantile(i, p * (n - 1)) if n else None for p in probs]
     return found
 
 
+#: Number of a column and a rank among its values.
+_Rank = tuple[int, int]
+
+
 class _Bracket(NamedTuple):
     """Closed value range known to hold a rank, rows before it and rows in it."""
 
@@ -86,73 +117,59 @@ class _Bracket(NamedTuple):
     before: int
     rows: int
 
-    @property
-    def holds(self) -> Column:
-        return F.col("x").between(F.lit(self.low), F.lit(self.high))
+    def holds(self, x: Column) -> Column:
+        return x.between(F.lit(self.low), F.lit(self.high))
 
 
-def _refine(values: DataFrame, n: int, probs: Sequence[float]) -> list[float]:
-    spots = [p * (n - 1) for p in probs]
-    searched = {r: _Bracket(-math.inf, math.inf, 0, n) for s in spots for r in (math.floor(s), math.ceil(s))}
-    at: dict[int, float] = {}
-    while searched:
-        _narrow(values, searched, at)
-        searched = {r: b for r, b in searched.items() if r not in at}
-
-    def between(low: float, high: float, share: float) -> float:
-        return low if low == high else low + (high - low) * share
-
-    return [between(at[math.floor(s)], at[math.ceil(s)], s - math.floor(s)) for s in spots]
+def _narrow(
+    values: DataFrame, searched: dict[_Rank, _Bracket], guesses: dict[_Rank, tuple[float, float]], at: dict[_Rank, float]
+) -> None:
+    """One scan: a tighter bracket for every rank, or its value in ``at``."""
+    # neighbouring ranks mostly share their guesses
+    pairs = list(dict.fromkeys((i, *guess) for (i, _), guess in guesses.items()))
 
+    def parts(i: int, lo: float, hi: float) -> Column:
+        x = F.col(f"x{i}")
+        tests = (x < lo, x == lo, (x > lo) & (x < hi), (x == hi) & (x > lo))
+        return F.array(*map(F.count_if, tests))
 
-def _narrow(values: DataFrame, searched: dict[int, _Bracket], at: dict[int, float]) -> None:
-    """One pass: a tighter bracket for every rank, or its value in ``at``."""
-    guesses = _guess(values, searched)
-    x = F.col("x")
-    counted = values.agg(
-        *[
-            F.array(
-                F.count_if(x < lo), F.count_if(x == lo), F.count_if((x > lo) & (x < hi)), F.count_if((x == hi) & (x > lo))
-            ).alias(str(r))
-            for r, (lo, hi) in guesses.items()
-        ]
-    ).first()
-    for r, (lo, hi) in guesses.items():
-        old = searched[r]
-        below, on_low, between, on_high = counted[str(r)]
+    counted = values.agg(*[parts(*pair).alias(str(k)) for k, pair in enumerate(pairs)]).first()
+    for (i, r), (lo, hi) in guesses.items():
+        old = searched[i, r]
+        below, on_low, between, on_high = counted[str(pairs.index((i, lo, hi)))]
         inner, upper = below + on_low, below + on_low + between
         if r < below:
-            searched[r] = _Bracket(old.low, math.nextafter(lo, -math.inf), old.before, below - old.before)
+            searched[i, r] = _Bracket(old.low, math.nextafter(lo, -math.inf), old.before, below - old.before)
         elif r < inner:
-            at[r] = lo
+            at[i, r] = lo
         elif r < upper:
-            searched[r] = _Bracket(math.nextafter(lo, math.inf), math.nextafter(hi, -math.inf), inner, between)
+            searched[i, r] = _Bracket(math.nextafter(lo, math.inf), math.nextafter(hi, -math.inf), inner, between)
         elif r < upper + on_high:
-            at[r] = hi
+            at[i, r] = hi
         else:
             passed = upper + on_high
-            searched[r] = _Bracket(math.nextafter(hi, math.inf), old.high, passed, old.before + old.rows - passed)
+            searched[i, r] = _Bracket(math.nextafter(hi, math.inf), old.high, passed, old.before + old.rows - passed)
 
 
-def _guess(values: DataFrame, searched: dict[int, _Bracket]) -> dict[int, tuple[float, float]]:
-    """Approximate values a little before and after each rank; one sketch per bracket."""
+def _sketch(x: Column, around: Sequence[tuple[float, float]]) -> Column:
+    """Approximate values a little before and after each pair of shares."""
     margin = 0.002
-    by_bracket: dict[_Bracket, list[int]] = {}
-    for r, b in searched.items():
-        by_bracket.setdefault(b, []).append(r)
+    return F.percentile_approx(x, [min(1.0, max(0.0, p)) for a, b in around for p in (a - margin, b + margin)], 2000)
 
-    def shares(b: _Bracket, ranks: list[int]) -> list[float]:
-        around = [((r - b.before) / b.rows - margin, (r + 1 - b.before) / b.rows + margin) for r in ranks]
-        return [min(1.0, max(0.0, p)) for pair in around for p in pair]
 
+def _guess(values: DataFrame, searched: dict[_Rank, _Bracket]) -> dict[_Rank, tuple[float, float]]:
+    """Approximate values around each rank; one sketch per bracket."""
+    by_bracket: dict[tuple[int, _Bracket], list[int]] = {}
+    for (i, r), b in searched.items():
+        by_bracket.setdefault((i, b), []).append(r)
     row = values.agg(
         *[
-            F.percentile_approx(F.when(b.holds, F.col("x")), shares(b, ranks), 2000).alias(str(i))
-            for i, (b, ranks) in enumerate(by_bracket.items())
+            _sketch(F.when(b.holds(F.col(f"x{i}")), F.col(f"x{i}")), [((r - b.before) / b.rows, (r + 1 - b.before) / b.rows) for r in ranks]).alias(str(k))
+            for k, ((i, b), ranks) in enumerate(by_bracket.items())
         ]
     ).first()
     return {
-        r: (row[str(i)][2 * j], row[str(i)][2 * j + 1])
-        for i, ranks in enumerate(by_bracket.values())
+        (i, r): (row[str(k)][2 * j], row[str(k)][2 * j + 1])
+        for k, ((i, _), ranks) in enumerate(by_bracket.items())
         for j, r in enumerate(ranks)
     }

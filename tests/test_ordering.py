@@ -46,6 +46,28 @@ def test_quantiles_skip_nan_and_keep_infinities(spark):
     assert exact_quantiles(df, {"x": [0.0, 0.25, 0.5, 0.75, 1.0]})["x"] == [-inf, 1.0, 2.0, inf, inf]
 
 
+def test_quantiles_of_many_columns_in_the_same_scans(spark):
+    """Copies of a column, an empty one and one that is not asked for anything cost no further job."""
+    probs = [0.1, 0.5, 0.9]
+    base = spark.range(5000).select((F.xxhash64("id") % 1000 / 7).alias("a")).repartition(4)
+    wide = base.select("a", *[(F.col("a") * (i + 1)).alias(f"b{i}") for i in range(5)], F.lit(None).cast("double").alias("none")).cache()
+    wide.count()
+
+    def jobs(wanted):
+        group = f"quantiles {len(wanted)}"
+        spark.sparkContext.setJobGroup(group, group)
+        got = exact_quantiles(wide, wanted)
+        return got, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    one, few = jobs({"a": probs})
+    all_of_them, many = jobs({c: probs if c != "b4" else [] for c in wide.columns})
+    assert many == few and all_of_them["a"] == one["a"] and all_of_them["none"] == [None] * 3 and all_of_them["b4"] == []
+    values = [r["a"] for r in base.collect()]
+    for i in range(4):
+        assert all_of_them[f"b{i}"] == pytest.approx(list(np.quantile(np.array(values) * (i + 1), probs)), rel=1e-12)
+    assert exact_quantiles(wide, {}) == {}
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, {"x": [0.5]})["x"] == [None]
