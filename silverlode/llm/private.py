@@ -1,11 +1,18 @@
 """Personal data: fixed patterns plus a linear-chain conditional random field.
 
 The patterns give the base spans. The field labels what is written like personal data but
-misses a pattern (a phone number without its plus sign, numbers in other groupings). It
-reads words as shapes: digits, lower and upper case letters and marks with capped run
-lengths. It is trained on a small labelled table and decodes with Viterbi, many lines at
-a time. Only words with a digit or an at-sign may carry a label, so a line without one
-needs no decoding: its best path is all outside.
+misses a pattern (a phone number without its plus sign, numbers in other groupings, an
+address with a bracketed "at"). It reads words as shapes: runs of digits by length, of
+letters and of marks as one sign. It is trained on a small labelled table and decodes with
+Viterbi, many lines at a time. Only words with a digit or an at-sign, and those beside a
+bracketed "at", may carry a label, so a line without one needs no decoding: its best path
+is all outside. What the field calls a phone is none if it holds a calendar date or a time
+of day; eight digits that read as a date are taken for one.
+
+NULL and empty texts hold no spans; texts of any length are read whole, line by line.
+Added spans never overlap base spans; of equal paths the one with the earlier label in
+``LABELS`` is taken. Repeated rows stay, an empty table gives an empty table, other columns
+are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -81,21 +88,36 @@ RUNS = re.compile(r"[0-9]+|[a-z]+|[A-Z]+|[^\x00-\x7F]+|(.)\1*", re.S)
 EDGES = "\"'`,;:!?#$%&*<>[]{}|."
 
 
+#: A bracketed "at", and a word that is a calendar date (year, month and day in the usual orders), maybe with a time.
+AT = re.compile(r"[(\[{]at[)\]}]", re.I)
+WRITTEN_AT = re.compile(r"[\w.%+-]+ ?[(\[{]at[)\]}] ?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", re.I)
+_YEAR, _MONTH, _DAY = "(?:19|20)[0-9]{2}", "(?:0?[1-9]|1[0-2])", "(?:0?[1-9]|[12][0-9]|3[01])"
+DATE = re.compile(
+    rf"(?:{_YEAR}([-./]){_MONTH}\1{_DAY}|{_YEAR}(?:0[1-9]|1[0-2])(?:0[1-9]|[12][0-9]|3[01])|{_DAY}([-./]){_MONTH}\2{_YEAR}|{_MONTH}([-./]){_DAY}\3{_YEAR})"
+    r"(?:[T_-]?[0-2][0-9]:?[0-5][0-9](?::?[0-5][0-9])?(?:[.][0-9]+)?Z?)?"
+)
+TIME = re.compile(r"[0-9]:[0-9]")
+
+
+def dated(word: str) -> bool:
+    return bool(DATE.fullmatch(word.strip(EDGES)))
+
+
 def shape(word: str) -> str:
-    """Runs of digits by length up to five, runs of letters and repeated marks as one sign."""
+    """Runs of digits by length up to twelve, runs of letters and repeated marks as one sign."""
 
     def one(m: re.Match) -> str:
         s = m.group()
         c = s[0]
         if "0" <= c <= "9":
-            return f"9{min(len(s), 5)}"
+            return f"9{min(len(s), 12)}"
         if "a" <= c <= "z":
             return "x"
         if "A" <= c <= "Z":
             return "X"
         return c if c < "\x80" else "u"
 
-    return RUNS.sub(one, word[:64])[:32]
+    return RUNS.sub(one, word)
 
 
 def features(words: list[str]) -> list[list[str]]:
@@ -104,12 +126,15 @@ def features(words: list[str]) -> list[list[str]]:
     out = []
     for i, (w, s) in enumerate(zip(words, shapes, strict=True)):
         digits = min(sum(map(str.isdigit, w)), 20)
-        out.append([f"s={s}", f"p={around[i]}|{s}", f"n={s}|{around[i + 2]}", f"d={digits}", f"@={'@' in w}", f"+={w[:1] == '+'}", f"l={sum(map(str.isalpha, w)) > 0}"])
+        out.append([f"s={s}", f"p={around[i]}|{s}", f"n={s}|{around[i + 2]}", f"d={digits}", f"@={'@' in w}", f"+={w[:1] == '+'}", f"l={sum(map(str.isalpha, w)) > 0}", f"a={bool(AT.search(w))}", f"t={dated(w)}"])
     return out
 
 
-def may_carry(word: str) -> bool:
-    return "@" in word or any("0" <= c <= "9" for c in word)
+def carriers(words: list[str]) -> list[bool]:
+    """Which words may carry a label."""
+    own = ["@" in w or bool(DIGITS.search(w) or AT.search(w)) for w in words]
+    alone = [bool(AT.fullmatch(w)) for w in words]
+    return [c or any(alone[max(0, i - 1) : i + 2]) for i, c in enumerate(own)]
 
 
 class Field:
@@ -120,12 +145,12 @@ class Field:
 
     def scores(self, words: list[str]) -> np.ndarray:
         s = np.zeros((len(words), len(LABELS)))
-        for i, f in enumerate(features(words)):
+        for i, (f, may) in enumerate(zip(features(words), carriers(words), strict=True)):
             for x in f:
                 k = self.names.get(x)
                 if k is not None:
                     s[i] += self.emit[k]
-            if not may_carry(words[i]):
+            if not may:
                 s[i, 1:] = -1e9
         return s
 
@@ -163,7 +188,7 @@ def train(rows: list[tuple[list[str], list[int]]], rounds: int = 120, rate: floa
     data = []
     for words, labels in rows:
         ids = [[names.setdefault(x, len(names)) for x in f] for f in features(words)]
-        data.append((np.array(ids), np.array(labels), np.array([not may_carry(w) for w in words])))
+        data.append((np.array(ids), np.array(labels), ~np.array(carriers(words))))
     k = len(LABELS)
     emit, move = np.zeros((len(names), k)), np.zeros((k, k))
     seen_e, seen_m = np.full_like(emit, 1e-6), np.full_like(move, 1e-6)
@@ -231,6 +256,30 @@ room 12 floor 3 house 44
 10. first 11. second 12. third
 about 50% of 1,000,000 rows
 6011000990139424 6011000990139425 4716
+backup 20210512 and 20191231 done
+backup 2021-05-12 10:45 ok
+log 13.05.2022 08:00:01 started
+from 01/02/2003 to 31/12/2004 open
+due 2020-01-31
+20230704 report
+born 07.11.1985 in 1985
+updated 2022-11-30T10:15:00 by 12
+invoice 2019-004512 of 03.04.2019
+isbn 978-3-16-148410-0 page 12
+article 10045321 weighs 300 g
+id 7700123456 and id 88001234
+population 83020000 in 2019
+phone 0151-23456789/phone home
+ring 415.555.2671/phone at noon
+my number 030/phone 1234567/phone works
+call 07700/phone 900123/phone first
+dial 02079460958/phone now
+mobile 5558675309/phone only
+mail jo.doe(at)mail.example.com/email soon
+write to anna[at]example.org/email or ben{at}example.net/email
+contact ben/email (at)/email example.org/email directly
+reach jo/email [at]/email mail.example.net/email please
+we met (at) noon in 2020
 """.strip()
 
 
@@ -248,9 +297,9 @@ def labelled_rows(table: str = LABELLED) -> list[tuple[list[str], list[int]]]:
 
 
 def marked_lines(text: str) -> Iterator[tuple[int, str]]:
-    """Start and text of each line with a digit or an at-sign, each line once."""
+    """Start and text of each line with a digit, an at-sign or a bracketed "at", each line once."""
     after = 0
-    for m in re.finditer(r"[0-9@]", text):
+    for m in re.finditer(r"[0-9@]|(?i:[(\[{]at[)\]}])", text):
         if m.start() < after:
             continue
         lo = text.rfind("\n", after, m.start()) + 1 or after
@@ -266,9 +315,11 @@ def plausible(kind: str, raw: str) -> bool:
     """What the kind's own arithmetic says: the field proposes, check digits and counts decide."""
     digits = "".join(c for c in raw if "0" <= c <= "9")
     if kind == "email":
-        return "@" in raw
+        return "@" in raw or bool(WRITTEN_AT.search(raw))
     if any(map(str.isalpha, raw)):
         return False
+    if kind == "phone" and (TIME.search(raw) or any(map(dated, raw.split()))):
+        return False
     return {"ip": raw.count(".") >= 3, "card": 16 <= len(digits) <= 19 and luhn(digits), "phone": 8 <= len(digits) <= 15}[kind]
 
 
@@ -278,7 +329,7 @@ def added_spans(field: Field, texts: list[str], base: list[dict]) -> list[list[t
     for d, text in enumerate(texts):
         for at, line in marked_lines(text):
             words = [(m.group(), at + m.start()) for m in WORD.finditer(line)]
-            can = [i for i, w in enumerate(words) if may_carry(w[0])]
+            can = np.flatnonzero(carriers([w for w, _ in words])).tolist()
             # words farther off than the window are outside and change no label: cut there
             cuts: list[list[int]] = []
             for i in can:

@@ -218,6 +218,62 @@ def test_field_adds_and_keeps():
     assert base[4]["email"] == [(5, 22)]
 
 
+#: Lines the field has not seen, with what is to be added to the base spans.
+HELD_OUT = """
+please call 020 8123 4567 before ten|phone:020 8123 4567
+office 312-555-0199 or fax 312-555-0142|phone:312-555-0199|phone:312-555-0142
+tel. (212) 555-8899 please|phone:(212) 555-8899
+her number is 646.555.0170 I think|phone:646.555.0170
+phone 07911 123456 today|phone:07911 123456
+mobile 4155550133 only|phone:4155550133
+mail max.m(at)site.example.org soon|email:max.m(at)site.example.org
+write to eve[at]example.com please|email:eve[at]example.com
+contact tom (at) example.net directly|email:tom (at) example.net
+on 2021-05-12 10:45 it failed
+the file 20210512 was kept
+signed 13.05.2022 in town
+from 2018-03-04 to 2019-04-05 closed
+started 11/30/2021 09:15:22 and stopped
+snapshot 20201130 and 20201201 exist
+seen 2023-01-02T03:04:05 again
+in 1999 there were 1200 and 3400 cases
+order 778812 of 14.02.2020 has 3 pieces
+key = "8f14e45fceea167a5a36dedd4bea2543" set
+version 4.1.2 of 2024 needs 16 GB
+number 9807915762804490 is none
+we meet (at) noon
+chapter 7 pages 210 to 231
+""".strip()
+
+
+def test_field_on_held_out_lines():
+    field = private.train(private.labelled_rows())
+    right = added = wanted = 0
+    for line in HELD_OUT.splitlines():
+        text, *want = line.split("|")
+        (more,) = private.added_spans(field, [text], [private.base_spans(text)])
+        got = [f"{k}:{text[a:b]}" for k, a, b in more]
+        right, added, wanted = right + len(set(got) & set(want)), added + len(got), wanted + len(want)
+        assert want or not got, line
+    assert right / added >= 0.9 and right / wanted >= 0.9, (right, added, wanted)
+
+
+def test_dates_are_no_phones():
+    """Every way to write a day of many years, alone and with a time: nothing is added."""
+    field = private.train(private.labelled_rows())
+    texts = []
+    for y in range(1950, 2060, 3):
+        m, d = y % 12 + 1, y % 28 + 1
+        for day in (f"{y}-{m:02}-{d:02}", f"{y}{m:02}{d:02}", f"{d:02}.{m:02}.{y}", f"{m}/{d}/{y}", f"{y}/{m:02}/{d:02}"):
+            texts += [f"{day}", f"call on {day} 10:45 now", f"phone bill {day}, tel {day}", f"{day}T10:45:12"]
+    assert not any(private.added_spans(field, texts, [private.base_spans(t) for t in texts]))
+
+
+def test_shapes_of_long_words_are_whole():
+    long = "a1" * 40
+    assert private.shape(long) != private.shape(long + "@b.c") and private.shape("9" * 13) == private.shape("9" * 12) != private.shape("9" * 8)
+
+
 def test_private_rows(messy, nothing):
     got = private.find_private(messy)
     for r in got.collect():
