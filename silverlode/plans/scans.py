@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import profile
 from ..operators.clean import LEDGER_COLUMNS
 from ..session import scratch_path
-from ..sources import readers
+from ..sources import arrays, readers
 from .common import portable, table
 from .ledger import SQL_BRONZE, bronze_ledger
 from .matching import JSON_SCHEMA, SQL_XREF, registry_b
@@ -41,9 +41,9 @@ def src_json(spark, sf_dir):
     path = scratch_path(spark, "json")
     part = F.floor(F.col("customer_id") / JSON_OBJECTS)
     item = F.struct("nome", "email", "phone", "address")
-    arrays = registry_b(spark, sf_dir).groupBy(part.alias("parte")).agg(F.to_json(F.collect_list(item)).alias("value"))
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
-    return readers.read_json_array(spark, path, JSON_SCHEMA, ["nome", "email", "phone", "address"])
+    files = registry_b(spark, sf_dir).groupBy(part.alias("parte")).agg(F.to_json(F.collect_list(item)).alias("value"))
+    files.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return arrays.read_json_array(spark, path, JSON_SCHEMA, ["nome", "email", "phone", "address"])
 
 
 def src_cast_raw(spark, sf_dir):

@@ -26,7 +26,7 @@ def read_raw_csv(
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str | T.StructType, columns: Sequence[str]) -> DataFrame:
-    """Files that each hold one JSON array of objects."""
+    """Small files that each hold one JSON array of objects, a file a task; ``arrays`` splits large ones."""
     return spark.read.schema(schema).option("multiLine", True).json(path).select(*columns)
 
 
