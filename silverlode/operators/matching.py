@@ -18,18 +18,21 @@ matches without it:
   combine trigrams of the name and of the other field with its digits;
 * the order puts the trigrams that the registries use most last, counted over both, so
   a frequent domain or surname hardly ever becomes a key;
+* values whose trigram counts differ by more than the threshold allows do not meet;
 * candidates are verified with the full similarity, so the keys decide only which
   pairs are looked at, never which pairs match.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import edit_similarity, email_whole, jaccard, trigrams
 from ..functions.text import compact_email, digits, title
-from ..session import stage
+from ..session import scratch_path
 from .clean import dedupe_by_key
 from .ordering import global_row_number
 
@@ -69,16 +72,15 @@ def _contact_columns() -> list[Column]:
     ]
 
 
-def _tokens(name: str, email: str | None = None, address: str | None = None) -> dict[str, Column]:
+def _tokens(name: str, email: str, address: str) -> dict[str, Column]:
     """Trigram sets and guards of the given columns, to be computed once per row."""
-    out = {f"_t_{name}": trigrams(F.lower(name))}
-    if email:
-        out[f"_t_{email}"] = trigrams(email_whole(F.col(email)))
-        out[f"_g_{email}"] = digits(F.col(email))
-    if address:
-        out[f"_t_{address}"] = trigrams(F.col(address))
-        out[f"_g_{address}"] = digits(F.col(address))
-    return out
+    return {
+        f"_t_{name}": trigrams(F.lower(name)),
+        f"_t_{email}": trigrams(email_whole(F.col(email))),
+        f"_g_{email}": digits(F.col(email)),
+        f"_t_{address}": trigrams(F.col(address)),
+        f"_g_{address}": digits(F.col(address)),
+    }
 
 
 def _guarded(a: str, b: str) -> Column:
@@ -87,13 +89,6 @@ def _guarded(a: str, b: str) -> Column:
     return F.coalesce(F.when(F.col(f"_g_{a}") == F.col(f"_g_{b}"), alike), F.lit(0.0))
 
 
-def frequent_tokens(left: DataFrame, right: DataFrame, tokens: str) -> list[str]:
-    """At most ``FREQUENT`` tokens of two tables of values, the most frequent first."""
-    used = left.select(F.explode(tokens).alias("t")).unionByName(right.select(F.explode(tokens).alias("t")))
-    top = used.groupBy("t").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "t").limit(FREQUENT)
-    return [r["t"] for r in top.collect()]
-
-
 def _prefix(tokens: str, shared: int, threshold: float, frequent: list[str]) -> Column:
     """Leading token hashes of which two similar sets share at least ``shared``.
 
@@ -118,74 +113,125 @@ def _each_pair(df: DataFrame, prefix: str, single: str) -> DataFrame:
     return both.where((F.col("_a") < F.col("_b")) | F.col(single)).drop(single)
 
 
-def _values(registry: DataFrame, rule: int) -> DataFrame:
-    """Distinct (name, field) values with smallest id, row count, trigram sets and guard."""
-    distinct = (
-        registry.select("registro_id", "full_name", F.col(FIELDS[rule]).alias("valor"))
-        .where(F.col("full_name").isNotNull() & F.col("valor").isNotNull())
-        .groupBy("full_name", "valor")
-        .agg(F.min("registro_id").alias("id"), F.count(F.lit(1)).alias("registros"))
-    )
-    if rule == 1:
-        return distinct.withColumns(_tokens("full_name", email="valor"))
-    if rule == 2:
-        return distinct.withColumns(_tokens("full_name"))
-    return distinct.withColumns(_tokens("full_name", address="valor"))
+class ValueTables:
+    """Distinct (name, field) values of two registries for the given rules, and their frequent trigrams.
+
+    Both come from one job each for all rules. A value has its smallest id, its number of
+    records, its trigram sets and its guard.
+    """
+
+    def __init__(self, a: DataFrame, b: DataFrame, rules: Sequence[int] = tuple(FIELDS)):
+        fields = F.array(*[F.struct(F.lit(r).alias("regra"), F.col(FIELDS[r]).alias("valor")) for r in rules])
+        sides = [df.select(F.lit(s).alias("lado"), "registro_id", "full_name", F.inline(fields)) for s, df in (("a", a), ("b", b))]
+        distinct = (
+            sides[0].unionByName(sides[1])
+            .where(F.col("full_name").isNotNull() & F.col("valor").isNotNull())
+            .groupBy("lado", "regra", "full_name", "valor")
+            .agg(F.min("registro_id").alias("id"), F.count(F.lit(1)).alias("registros"))
+        )
+        rule, value = F.col("regra"), F.col("valor")
+        tokens = {
+            "_t_full_name": trigrams(F.lower("full_name")),
+            "_t_valor": F.when(rule == 1, trigrams(email_whole(value))).when(rule == 3, trigrams(value)),
+            "_g_valor": F.when(rule != 2, digits(value)),
+        }
+        path = scratch_path(a.sparkSession, "values")
+        distinct.withColumns(tokens).write.partitionBy("regra", "lado").parquet(path)
+        schema = distinct.withColumns(tokens).schema
+        self._table = a.sparkSession.read.schema(schema).parquet(path)
+        self._frequent = self._most_used()
+
+    def side(self, rule: int, name: str) -> DataFrame:
+        return self._table.where((F.col("regra") == rule) & (F.col("lado") == name)).drop("regra", "lado")
+
+    def frequent(self, rule: int, tokens: str) -> list[str]:
+        """At most ``FREQUENT`` trigrams of both registries, the most frequent first."""
+        return self._frequent.get((rule, tokens), [])
+
+    def _most_used(self) -> dict[tuple[int, str], list[str]]:
+        kinds = [self._table.select("regra", F.lit(c).alias("k"), F.explode(c).alias("t")) for c in ("_t_full_name", "_t_valor")]
+        counts = kinds[0].unionByName(kinds[1]).groupBy("regra", "k", "t").agg(F.count(F.lit(1)).alias("n"))
+        place = F.row_number().over(Window.partitionBy("regra", "k").orderBy(F.desc("n"), "t"))
+        out: dict[tuple[int, str], list[str]] = {}
+        # at most FREQUENT rows per rule and kind
+        for r in counts.withColumn("place", place).where(F.col("place") <= FREQUENT).orderBy("place").collect():
+            out.setdefault((r["regra"], r["k"]), []).append(r["t"])
+        return out
 
 
 def _keys(values: DataFrame, rule: int, threshold: float, names: list[str], others: list[str]) -> DataFrame:
-    """(id, _key) rows under which values of two registries have to meet.
+    """(id, _key, _name, _value) rows under which values of two registries have to meet; the last two are trigram counts.
 
     An e-mail usually repeats the name, so a name piece says little beyond an e-mail
     piece; rule 1 therefore takes two e-mail pieces and one name piece. A placeholder
     phone may be shared by many, so rule 2 takes two name pieces.
     """
     name, value = "_t_full_name", "_t_valor"
+    sizes = [F.size(name).alias("_name"), F.size(value).alias("_value")]
+    kept = ["id", "_name", "_value"]
     if rule == 3:
         prefixes = values.select(
             "id",
+            *sizes,
             F.col("_g_valor").alias("_g"),
             _prefix(name, 1, threshold, names).alias("_p"),
             _prefix(value, 1, threshold, others).alias("_q"),
         )
-        crossed = prefixes.select("id", "_g", "_q", F.explode("_p").alias("_a")).select(
-            "id", "_g", "_a", F.explode("_q").alias("_b")
+        crossed = prefixes.select(*kept, "_g", "_q", F.explode("_p").alias("_a")).select(
+            *kept, "_g", "_a", F.explode("_q").alias("_b")
         )
-        return crossed.select("id", F.xxhash64("_g", "_a", "_b").alias("_key"))
+        return crossed.select(*kept, F.xxhash64("_g", "_a", "_b").alias("_key"))
     if rule == 2:
         alone = (F.size(name) == 1).alias("_one")
-        pairs = _each_pair(values.select("id", "valor", _prefix(name, 2, threshold, names).alias("_p"), alone), "_p", "_one")
-        return pairs.select("id", F.xxhash64("valor", "_a", "_b").alias("_key"))
+        pairs = _each_pair(values.select("id", *sizes, "valor", _prefix(name, 2, threshold, names).alias("_p"), alone), "_p", "_one")
+        return pairs.select(*kept, F.xxhash64("valor", "_a", "_b").alias("_key"))
     prefixes = values.select(
         "id",
+        *sizes,
         F.col("_g_valor").alias("_g"),
         _prefix(name, 1, threshold, names).alias("_n"),
         _prefix(value, 2, threshold, others).alias("_p"),
         (F.size(value) == 1).alias("_one"),
     )
     pairs = _each_pair(prefixes, "_p", "_one")
-    crossed = pairs.select("id", "_g", "_a", "_b", F.explode("_n").alias("_c"))
-    return crossed.select("id", F.xxhash64("_g", "_a", "_b", "_c").alias("_key"))
+    crossed = pairs.select(*kept, "_g", "_a", "_b", F.explode("_n").alias("_c"))
+    return crossed.select(*kept, F.xxhash64("_g", "_a", "_b", "_c").alias("_key"))
+
+
+def _near(a: str, b: str, threshold: float) -> Column:
+    """Set sizes that leave room for the similarity; nothing is known of a missing size."""
+    fits = F.least(a, b) >= F.greatest(a, b) * F.lit(threshold) - 1e-9
+    return F.coalesce(fits, F.lit(True))
+
 
+def candidates(tables: ValueTables, rule: int, threshold: float = THRESHOLD) -> DataFrame:
+    """Distinct (id_a, id_b) of values that share a key and are of alike length."""
+    names, others = (tables.frequent(rule, c) for c in ("_t_full_name", "_t_valor"))
 
-def candidates(left: DataFrame, right: DataFrame, rule: int, threshold: float = THRESHOLD) -> DataFrame:
-    """Distinct (id_a, id_b) of values that share a key."""
-    names = frequent_tokens(left, right, "_t_full_name")
-    others = [] if rule == 2 else frequent_tokens(left, right, "_t_valor")
-    a = _keys(left, rule, threshold, names, others).withColumnRenamed("id", "id_a")
-    b = _keys(right, rule, threshold, names, others).withColumnRenamed("id", "id_b")
-    return a.join(b, "_key").select("id_a", "id_b").distinct()
+    def keys(s: str) -> DataFrame:
+        made = _keys(tables.side(rule, s), rule, threshold, names, others)
+        return made.select("_key", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "_name", "_value")])
 
+    met = keys("a").join(keys("b"), "_key").where(_near("_name_a", "_name_b", threshold))
+    if rule != 2:
+        met = met.where(_near("_value_a", "_value_b", threshold))
+    return met.select("id_a", "id_b").distinct()
 
-def matching_values(a: DataFrame, b: DataFrame, rule: int, threshold: float = THRESHOLD) -> DataFrame:
-    """Verified pairs of distinct values of two registries under one rule."""
-    # written once: counting tokens, making keys and verifying read them
-    left, right = (stage(_values(r, rule), f"values_{rule}") for r in (a, b))
+
+def matching_values(
+    a: DataFrame, b: DataFrame, rule: int, threshold: float = THRESHOLD, tables: ValueTables | None = None
+) -> DataFrame:
+    """Verified pairs of distinct values of two registries under one rule.
+
+    ``tables`` are the registries' values, for callers that ask for several rules.
+    """
+    tables = tables or ValueTables(a, b, [rule])
+    left, right = tables.side(rule, "a"), tables.side(rule, "b")
 
     def side(df: DataFrame, s: str) -> DataFrame:
         return df.select(*[F.col(c).alias(f"{c}_{s}") for c in df.columns])
 
-    met = candidates(left, right, rule, threshold)
+    met = candidates(tables, rule, threshold)
     paired = met.join(side(left, "a"), "id_a").join(side(right, "b"), "id_b")
     if rule == 2:
         alike = F.when(F.col("valor_a") == F.col("valor_b"), 1.0).otherwise(0.0)
@@ -200,11 +246,13 @@ def matching_values(a: DataFrame, b: DataFrame, rule: int, threshold: float = TH
     return scored.where((F.col("sim_nome") >= threshold) & (F.col("sim_valor") >= threshold))
 
 
-def best_values(a: DataFrame, b: DataFrame, rule: int, threshold: float = THRESHOLD) -> DataFrame:
+def best_values(
+    a: DataFrame, b: DataFrame, rule: int, threshold: float = THRESHOLD, tables: ValueTables | None = None
+) -> DataFrame:
     """Best partner of each value of ``b`` under one rule: highest name similarity, then smallest id."""
     pick = F.min(F.struct((-F.col("sim_nome")).alias("far"), F.col("id_a").alias("id"))).alias("_best")
     return (
-        matching_values(a, b, rule, threshold)
+        matching_values(a, b, rule, threshold, tables)
         .groupBy("full_name_b", "valor_b")
         .agg(pick)
         .select(F.col("full_name_b").alias("full_name"), F.col("valor_b").alias("valor"), F.col("_best.id").alias("id_a"))
@@ -217,9 +265,9 @@ def signals(a: DataFrame, b: DataFrame, threshold: float = THRESHOLD) -> DataFra
     At most three rows per record, however many copies either registry holds; a record
     without any partner has one row, whose partner columns are NULL.
     """
-    found = None
+    found, tables = None, ValueTables(a, b)
     for rule, field in FIELDS.items():
-        best = best_values(a, b, rule, threshold).withColumnRenamed("valor", field)
+        best = best_values(a, b, rule, threshold, tables).withColumnRenamed("valor", field)
         rows = b.join(best, ["full_name", field]).select(F.col("registro_id").alias("_js"), "id_a")
         found = rows if found is None else found.unionByName(rows)
 
