@@ -132,9 +132,9 @@ def match_xref(spark, sf_dir):
 def match_pairs(spark, sf_dir):
     """Verified value pairs of every rule with their similarities and record counts."""
     a, b = registries(spark, sf_dir)
-    out, tables = None, matching.ValueTables(a, b)
+    out = None
     for rule in matching.FIELDS:
-        rows = matching.matching_values(a, b, rule, tables=tables).select(
+        rows = matching.matching_values(a, b, rule).select(
             F.col("regra").cast("bigint").alias("regra"),
             F.col("full_name_a").alias("nome_pg"), F.col("valor_a").alias("valor_pg"),
             F.col("full_name_b").alias("nome_js"), F.col("valor_b").alias("valor_js"),
