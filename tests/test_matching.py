@@ -139,3 +139,13 @@ def test_harmonise(spark, rows):
     b = spark.createDataFrame([("zeca", "z@z", "1", "r"), ("ana b", "a@a", "2", "s")], "nome string, email string, phone string, address string")
     assert rows(m.harmonise_split_names(a, "s", "PG-")) == [("s", "PG-7", "Ana Souza", "ana@gmail.com", "349", "rua a")]
     assert rows(m.harmonise_full_names(b, "s", "JS-"), "registro_id", "full_name") == [("JS-1", "Ana B"), ("JS-2", "Zeca")]
+
+
+def test_no_side_of_a_join_is_collected_on_the_driver(spark):
+    """Files are small, the keys and trigrams made of them are not: every join has to shuffle."""
+    a = [("a", f"PG-{i}", "Ana Souza", f"ana{i}@a.com", "1", "rua a, 1") for i in range(5)]
+    b = [("b", f"JS-{i}", "Ana Souza", f"ana{i}@a.com", "1", "rua a, 1") for i in range(5)]
+    da, db = spark.createDataFrame(a, XREF), spark.createDataFrame(b, XREF)
+    for df in (*(m.matching_values(da, db, rule) for rule in m.FIELDS), m.signals(da, db)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
