@@ -11,6 +11,11 @@ from ..functions.numbers import round_to
 from ..session import stage
 from .windows import top_k_per_group
 
+#: Share of all words from which on a word is common.
+COMMON = 2e-5
+#: Words of a summary that one task sorts or sums up, about.
+PER_TASK = 8_000_000
+
 
 def words(c: Column) -> Column:
     """Lower-case letter runs of a text."""
@@ -63,20 +68,33 @@ def concat_parts(
 def extractive_summary(df: DataFrame, group: str, text: str, key: str, k: int = 2) -> DataFrame:
     """The ``k`` most typical sentences per group: highest mean frequency of their words.
 
-    The words are written once with their sentence. Word totals are combined on the map
-    side and usually small enough to travel to them. A winner's sentence is cut from its
-    own text, which is fetched by key.
+    The words are written once with their sentence. Totals of common words, at most
+    1 / ``COMMON`` of them, travel to the words; only rarer words meet theirs in a shuffle,
+    so no word gathers more than ``COMMON`` of all rows in a task. A winner's sentence is
+    cut from its own text, which is fetched by key.
     """
     split = df.select(group, key, F.posexplode(sentences(F.col(text))).alias("pos", "frase"))
     spoken = stage(split.select(group, key, "pos", F.explode(words(F.col("frase"))).alias("w")), "words")
-    totals = spoken.groupBy(group, "w").agg(F.count(F.lit(1)).alias("tf"))
+    totals = stage(spoken.groupBy(group, "w").agg(F.count(F.lit(1)).alias("tf")), "totals")
+    n = totals.agg(F.coalesce(F.sum("tf"), F.lit(0))).first()[0]
+    common = F.broadcast(totals.where(F.col("tf") > COMMON * n))
+    rest, rarer = spoken.join(common, [group, "w"], "left_anti"), totals.where(F.col("tf") <= COMMON * n)
+    rare = _spread(rest, n, group, "w").join(_spread(rarer, n, group, "w").hint("merge"), [group, "w"])
+    sentence = [group, key, "pos"]
+    known = spoken.join(common, [group, "w"]).select(*sentence, "tf").unionByName(rare.select(*sentence, "tf"))
     scores = (
-        spoken.join(totals, [group, "w"])
-        .groupBy(group, key, "pos")
+        _spread(known, n, group, key)
+        .groupBy(*sentence)
         .agg((F.sum("tf").cast("double") / F.count(F.lit(1))).alias("score"))
     )
     winners = top_k_per_group(scores, [group], [F.desc("score"), F.col(key), F.col("pos")], k)
-    sentence = F.get(sentences(F.col(text)), F.col("pos")).alias("frase")
+    cut = F.get(sentences(F.col(text)), F.col("pos")).alias("frase")
     return winners.join(df.select(key, text), key).select(
-        group, "posicao", key, "pos", round_to(F.col("score"), 4).alias("score"), sentence
+        group, "posicao", key, "pos", round_to(F.col("score"), 4).alias("score"), cut
     )
+
+
+def _spread(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """``df`` in as many parts as ``rows`` ask for, where the session's number of them is too small."""
+    parts = -(-rows // PER_TASK)
+    return df.repartition(parts, *by) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df

@@ -54,3 +54,19 @@ def test_extractive_summary(spark, rows):
         ("g", 2, 2, 0, "the cat sat"),
         ("h", 1, 3, 0, "um so texto"),
     ]
+
+
+def test_summary_whatever_is_common_and_however_it_is_spread(spark, rows, monkeypatch):
+    """Common words travel, rarer ones are shuffled, parts follow the number of words: same sentences."""
+    texts = [(i, "g" if i % 3 else "h", f"alpha beta w{'abcdefghij'[i % 10]}. alpha gamma {'xyz'[i % 3]}! alpha") for i in range(40)] + [(99, None, "alpha alpha")]
+    df = spark.createDataFrame(texts, "id int, g string, t string")
+    found = {}
+    for common in (2.0, 0.05, 0.0):  # all words rare, some, none
+        monkeypatch.setattr(textops, "COMMON", common)
+        monkeypatch.setattr(textops, "PER_TASK", 10)
+        out = textops.extractive_summary(df, "g", "t", "id", k=3)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression" in plan  # more parts than the session's shuffles make
+        found[common] = rows(out, "g", "posicao", "id", "pos", "score", "frase")
+    assert found[2.0] == found[0.05] == found[0.0]
+    assert found[2.0][0] == ("g", 1, 1, 2, 78.0, "alpha") and len(found[2.0]) == 6
