@@ -59,6 +59,7 @@ def scd2(
     parts: int | None = None,
     collapse: bool = False,
     unique_sequence: bool = False,
+    ranged: DataFrame | None = None,
 ) -> DataFrame:
     """History: a version per non-delete event with ``__START_AT`` and ``__END_AT``.
 
@@ -71,9 +72,11 @@ def scd2(
     events find their successor inside (key, range), and only the last event of a
     range looks up where the key's next non-empty range begins. Any (key, range)
     group holds at most about ``1/parts`` of the feed, whatever the key distribution.
+    The cuts come from a scan of its own, of ``ranged`` where the same events are cheaper
+    to read than the feed is to compute again.
     """
     parts = parts or int(feed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = order_cuts(feed, seq, parts)
+    cuts = order_cuts(feed if ranged is None else ranged, seq, parts)
     events = feed if unique_sequence else distinct_events(feed, keys, seq, delete_when)
     events = events.withColumn("_range", range_bucket(F.col(seq), cuts))
     shown = [c for c in feed.columns if c not in (*keys, seq, *drop)]

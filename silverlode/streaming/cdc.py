@@ -45,9 +45,14 @@ class Flow:
     def distinct(self, events: DataFrame) -> DataFrame:
         return cdc.distinct_events(events, self.keys, self.sequence_by, self.delete_when)
 
-    def chain(self, events: DataFrame) -> DataFrame:
-        """Every event with where it starts and ends, deletes too; one event per key and sequence."""
-        return cdc.scd2(events, self.keys, self.sequence_by, F.lit(False), unique_sequence=True)
+    def chain(self, events: DataFrame, unique: bool) -> DataFrame:
+        """Every event with where it starts and ends, deletes too; one event per key and sequence.
+
+        ``events`` are read twice, so written ones are asked for: first for the ranges of
+        the sequence, then, without repeats unless they are ``unique``, for the chain.
+        """
+        once = events if unique else self.distinct(events)
+        return cdc.scd2(once, self.keys, self.sequence_by, F.lit(False), unique_sequence=True, ranged=events)
 
     def shown(self, versions: DataFrame) -> DataFrame:
         return versions.where(~F.coalesce(self.delete_when, F.lit(False))).drop(*self.drop)
@@ -104,11 +109,11 @@ def _apply_history(batch: DataFrame, batch_id: int, flow: Flow, target: str, tab
         late = None if past is None or late.isEmpty() else stage(_of_keys(past, late, flow.keys), "past")
     if late is not None:  # the whole chain of keys with late events, put together again
         known = known.unionByName(late.drop("__START_AT", "__END_AT"))
-    chain = stage(flow.chain(flow.distinct(known) if before is not None else known), "chain")
+    chain = stage(flow.chain(known, unique=before is None), "chain")
     closed = chain.where(F.col("__END_AT").isNotNull())
     gone = None
     if late is not None:
-        closed, gone = _without(closed, late, flow), _without(late, closed, flow)
+        closed, gone = _only(closed, late, flow)
     # batches of both kinds are complete before the open versions name the batch as applied
     closed.write.mode("overwrite").parquet(f"{target}/closed/v={batch_id:010d}")
     if gone is not None:
@@ -123,15 +128,17 @@ def _of_keys(rows: DataFrame, others: DataFrame, keys: Sequence[str], when: Colu
     return rows.join(right, same if when is None else same & when, "left_semi")
 
 
-def _without(rows: DataFrame, others: DataFrame, flow: Flow) -> DataFrame:
-    """Versions of ``rows`` that ``others`` has not, by key, window and print."""
+def _only(rows: DataFrame, others: DataFrame, flow: Flow) -> tuple[DataFrame, DataFrame]:
+    """Versions of ``rows`` that ``others`` has not, and the reverse, by key, window and print."""
     cols = [c for c in rows.columns if c not in (*flow.keys, "__START_AT", "__END_AT")]
 
-    def name(df: DataFrame) -> Column:
-        return F.struct(*[F.col(k) for k in flow.keys], F.col("__START_AT"), F.col("__END_AT"), row_print(df, cols).alias("_print"))
+    def side(df: DataFrame, s: str) -> DataFrame:
+        name = F.struct(*[F.col(k) for k in flow.keys], F.col("__START_AT"), F.col("__END_AT"), row_print(df, cols).alias("_print"))
+        return df.select(name.alias(f"_name{s}"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias(f"_row{s}"))
 
-    named = rows.withColumn("_name", name(rows))
-    return named.join(others.select(name(others).alias("_other")), F.col("_name") == F.col("_other"), "left_anti").drop("_name")
+    both = side(rows, "0").join(side(others, "1"), F.col("_name0") == F.col("_name1"), "full").where("_name0 IS NULL OR _name1 IS NULL")
+    both = stage(both.select("_row0", "_row1"), "one-sided")
+    return both.where("_row0 IS NOT NULL").select("_row0.*"), both.where("_row1 IS NOT NULL").select("_row1.*")
 
 
 def _closed(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:

@@ -125,3 +125,18 @@ def test_type_1_target_grows_by_splits(spark, tmp_path, rows):
         counts.append(stream_cdc.BucketTable(spark, f"{target}/open", f.keys).layout().buckets)
     assert counts[0] < counts[1] == counts[2] < counts[3]
     assert rows(stream_cdc.read_target(spark, f, target), "cliente_id", "nome") == [(k, "n3") for k in range(400)]
+
+
+def test_merge_looks_for_ranges_in_written_events(spark, tmp_path, monkeypatch):
+    """The cuts of the sequence are taken from files, not from the events reduced a second time."""
+    plans, real = [], cdc.order_cuts
+
+    def watched(df, col, parts):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, col, parts)
+
+    monkeypatch.setattr(cdc, "order_cuts", watched)
+    half = len(EVENTS) // 2
+    for i, events in enumerate((EVENTS[half:], EVENTS[:half])):
+        stream_cdc.apply_batch(spark.createDataFrame(events, FEED), i, flow(2), str(tmp_path / "t"))
+    assert len(plans) == 2 and not any("Aggregate" in p for p in plans)
