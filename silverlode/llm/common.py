@@ -70,6 +70,14 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(name).to_pylist()]
 
 
+def give_back() -> None:
+    """Return free memory to the system: workers wait, idle, while the tasks of later stages need it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # C libraries without it keep the memory for later
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 _kept: dict[str, dict] = {}
 
 
@@ -82,9 +90,7 @@ def kept_for(operator: str) -> dict:
     if _kept.keys() - {operator}:
         for other in _kept.keys() - {operator}:
             del _kept[other]
-        gc.collect()
-        with contextlib.suppress(OSError, AttributeError):  # C libraries without it keep the memory for later
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
     return _kept.setdefault(operator, {})
 
 

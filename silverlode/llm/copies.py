@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import WordCache, copy_of, kept_for, picked, texts_of
+from silverlode.llm.common import WordCache, copy_of, give_back, kept_for, picked, texts_of
 from silverlode.operators.ordering import global_row_number
 from silverlode.session import stage
 
@@ -106,6 +106,8 @@ def sketches(df: DataFrame) -> DataFrame:
                     [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
                     ["doc_id", "copy", "n", "d1", "d2", "bands", "sig"],
                 )
+        b = part = shingler = None
+        give_back()
 
     return df.mapInArrow(run, "doc_id long, copy long, n long, d1 long, d2 long, bands array<long>, sig binary")
 
@@ -131,6 +133,8 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                     common = len(s) + len(kept) - len(np.union1d(s, kept))
                     ok.append(100 * common >= PERCENT * (len(s) + len(kept) - common))
                 yield part.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        b = part = shingler = kept = None
+        give_back()
 
     return both.mapInArrow(run, "a long, b long").where("a <> b").distinct()
 
@@ -215,6 +219,8 @@ def across(open_rows: DataFrame, hubs: bool) -> DataFrame:
             rest = t.slice(edges[-1] if len(edges) else 0)
         if rest is not None and rest.num_rows:
             yield pairs(rest)
+        b = t = rest = None
+        give_back()
 
     group = ["key", "u_block", "v_block"]
     dealt = open_rows.repartition(*group).sortWithinPartitions(*group)
@@ -321,5 +327,7 @@ def by_signature(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         for b in batches:
             x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("a_sig", "b_sig"))
             yield b.select(["a", "a_copy", "b", "b_copy"]).filter(pa.array((x == y).mean(1) >= SIGNATURE_LEAST)) if b.num_rows else b.select(["a", "a_copy", "b", "b_copy"])
+        b = x = y = None
+        give_back()
 
     return both.select("a", "a_copy", "b", "b_copy", "a_sig", "b_sig").mapInArrow(run, "a long, a_copy long, b long, b_copy long")
