@@ -41,7 +41,15 @@ GAMMA = 2
 #: Documents whose ids are read at once.
 READ_DOCS = 256
 #: Chunks of texts whose ids a worker keeps.
-KEPT_CHUNKS = 800_000
+KEPT_CHUNKS = 1_200_000
+#: Marks that end a word of letters.
+END_MARKS = ".,;:!?"
+#: How byte-level vocabularies write a blank.
+BLANK = "\u0120"
+#: Texts cut at once.
+CUT_TEXTS = 256
+#: Chunks encoded as one text.
+JOINED_CHUNKS = 4096
 
 HEAD = struct.Struct("<8sIIIIQ")  # magic, width, keys, levels, bits, ids
 MAGIC = b"SLIDX001"
@@ -72,7 +80,11 @@ class BlankSplitEncoder:
         self.code = "H" if self.width == 2 else "I"
         self.gap = regex.compile(r" (?=\S)").split
         self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes | None] = {}
+        self.later: dict[str, bytes] = {}
+        self.marks = dict(zip(END_MARKS, self._raw(list(END_MARKS)), strict=True))
+        vocab = self.tok.get_vocab()
+        self.opens = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.opens[[i for t, i in vocab.items() if t[:1] == BLANK]] = True
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -84,23 +96,47 @@ class BlankSplitEncoder:
                 out += [np.array(e.ids, self.kind).tobytes() for e in found]
         return out
 
-    def _missing(self, parts: list[str]) -> tuple[list[bytes | None], list[str]]:
-        """What is known of a cut text, and the later pieces that are not."""
+    def _raw_later(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks, each with a blank before it.
+
+        A chunk without a blank inside has only that one, and a word begins there, so many
+        are encoded as one text and cut where tokens begin with a blank.
+        """
+        out: list[bytes] = []
+        for at in range(0, len(chunks), JOINED_CHUNKS):
+            some = chunks[at : at + JOINED_CHUNKS]
+            joined = " " + " ".join(some)
+            found = None
+            if joined.count(" ") == len(some) and not any(s in joined for s in self.special):
+                ids = np.array(self.tok.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.kind)
+                edges = np.flatnonzero(self.opens[ids]) * self.width
+                if len(edges) == len(some):
+                    raw, places = ids.tobytes(), edges.tolist()
+                    found = [raw[a:b] for a, b in zip(places, [*places[1:], len(raw)], strict=True)]
+            out += found or self._raw([" " + c for c in some])
+        return out
+
+    def _looked_up(self, parts: list[str]) -> tuple[list[bytes | None], list[tuple[int, str]]]:
+        """What is known of a cut text, and the places and pieces that are not."""
         known = list(map(self.later.get, parts))
         known[0] = self.first.get(parts[0])
-        return known, [c for c, v in zip(parts[1:], known[1:], strict=True) if v is None] if None in known else []
+        return known, [(k, parts[k]) for k, v in enumerate(known) if v is None] if None in known else []
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
         if not self.pieces:
             return self._raw(texts)
+        return [raw for at in range(0, len(texts), CUT_TEXTS) for raw in self._encode_cut(texts[at : at + CUT_TEXTS])]
+
+    def _encode_cut(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that are cut into chunks; all their chunks are held at once."""
         if len(self.first) + len(self.later) > KEPT_CHUNKS:
             # frequent pieces come early: the older half stays
             self.first.clear()
             self.later = dict(islice(self.later.items(), KEPT_CHUNKS // 2))
         out: list[bytes] = [b""] * len(texts)
         whole: list[int] = []
-        open_: list[tuple[int, list[str]]] = []
+        cut: list[tuple[int, list[bytes | None], list[tuple[int, str]]]] = []
         heads: set[str] = set()
         rests: set[str] = set()
         for i, t in enumerate(texts):
@@ -108,20 +144,28 @@ class BlankSplitEncoder:
                 whole.append(i)
                 continue
             parts = t.split(" ")
-            known, new = self._missing(parts)
-            if any(not c or c[0].isspace() for c in new):  # several white-space characters in a row
+            known, new = self._looked_up(parts)
+            if any(k and (not c or c[0].isspace()) for k, c in new):  # several white-space characters in a row
                 parts = self.gap(t)
-                known, new = self._missing(parts)
-            if None in known:
-                heads.add(parts[0])
-                rests.update(new)
-                open_.append((i, parts))
-            else:
-                out[i] = b"".join(known)
-        for kept, found, blank in ((self.first, list(heads - self.first.keys()), ""), (self.later, list(rests), " ")):
-            kept.update(zip(found, self._raw([blank + c for c in found]), strict=True))
-        for i, parts in open_:
-            out[i] = b"".join([self.first[parts[0]], *map(self.later.__getitem__, parts[1:])])
+                known, new = self._looked_up(parts)
+            for k, c in new:
+                (rests if k else heads).add(c)
+            cut.append((i, known, new))
+        fresh = list(heads)
+        self.first.update(zip(fresh, self._raw(fresh), strict=True))
+        fresh = []
+        for c in rests:
+            word = self.later.get(c[:-1]) if c[-1] in self.marks and c[:-1].isalpha() else None
+            if word is None:
+                fresh.append(c)
+            else:  # a word ends where its letters do
+                self.later[c] = word + self.marks[c[-1]]
+        fresh.sort(key=lambda c: " " in c)  # those with blanks inside come last
+        self.later.update(zip(fresh, self._raw_later(fresh), strict=True))
+        for i, known, new in cut:
+            for k, c in new:
+                known[k] = self.later[c] if k else self.first[c]
+            out[i] = b"".join(known)
         for i, raw in zip(whole, self._raw([texts[i] for i in whole]), strict=True):
             out[i] = raw
         return out

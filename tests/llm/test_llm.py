@@ -145,6 +145,29 @@ def test_other_tokenizers_are_encoded_whole():
     assert np.frombuffer(enc.encode([t])[0], enc.kind).tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_new_chunks_are_encoded_together(spec, hf):
+    class Counted:
+        def __init__(self, tok):
+            self.tok, self.texts = tok, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += len(texts)
+            return self.tok.encode_batch_fast(texts, **options)
+
+    def same(texts):
+        enc = token_files.BlankSplitEncoder(spec)
+        enc.tok = Counted(enc.tok)
+        for t, raw in zip(texts, enc.encode(texts), strict=True):
+            assert np.frombuffer(raw, enc.kind).tolist() == hf.encode(t, add_special_tokens=False).ids, t
+        return enc.tok.texts
+
+    rnd = random.Random(8)
+    plain = [" ".join("a" + "".join(rnd.choice("abcé1'.,\n漢😀") for _ in range(rnd.randint(1, 9))) for _ in range(100)) for _ in range(100)]
+    assert same(plain) <= 110  # heads, and a few texts of all other chunks; one each, they were 9,000
+    signs = " \n\t  \x85\x1caAéß1²Ⅷ'smt.,!_-😀漢́​\r\x0b"
+    same(["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 30))) for _ in range(3000)] + ["a <|endoftext|> b", "", " ", "a  b "])
+
+
 # --- 3: piece counts -------------------------------------------------------------------
 
 
