@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import WordCache, kept_for, picked, texts_of
+from silverlode.llm.common import WordCache, give_back, kept_for, picked, texts_of
 from silverlode.session import stage
 
 #: How the byte-level scheme cuts a text into words before merging (fixed value).
@@ -34,6 +34,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 LEXICON_WORDS = 32_768
 #: Longest lexicon word in bytes.
 LEXICON_BYTES = 64
+#: Chunks whose ids a worker keeps, and other words; frequent ones come early, so the oldest three quarters stay.
+KEPT_CHUNKS = 600_000
+KEPT_WORDS = 50_000
 #: Words one task counts before it passes its counts on.
 COUNTER_WORDS = 400_000
 
@@ -83,16 +86,16 @@ class Merges:
         if len(ids) > 40:
             return self._merge_long(ids)
         ranks = [pairs[a << 8 | b] for a, b in zip(word, word[1:])]
-        while ranks:
-            low = min(ranks)
-            if low == NEVER:
-                break
+        ranks.append(NEVER)  # no pair begins with the last id
+        last = len(ids) - 1
+        while (low := min(ranks)) != NEVER:
             i, new = ranks.index(low), low & ID_MASK
             ids[i] = new
             del ids[i + 1], ranks[i]
+            last -= 1
             if i:
                 ranks[i - 1] = get(ids[i - 1] << ID_BITS | new, NEVER)
-            if i < len(ranks):
+            if i < last:
                 ranks[i] = get(new << ID_BITS | ids[i + 1], NEVER)
         return ids
 
@@ -220,9 +223,9 @@ class Codec:
         self.lexicon = Lexicon(lexicon) if lexicon else None
         self.words = regex.compile(PATTERN).findall
         self.gap = regex.compile(r" (?=\S)").split
-        self.first = WordCache(lambda c: self._chunk(c))
-        self.later = WordCache(lambda c: self._later(c), most=900_000)
-        self.joined = WordCache(lambda w: ",".join(map(str, self.word_ids(w))), most=400_000)
+        self.first = WordCache(lambda c: self._chunk(c), most=KEPT_WORDS)
+        self.later = WordCache(lambda c: self._later(c), most=KEPT_CHUNKS, stay=KEPT_CHUNKS * 3 // 4)
+        self.joined = WordCache(self._word, most=KEPT_WORDS, stay=KEPT_WORDS * 3 // 4)
         self.bytes_of = {str(i): b for i, b in self.merges.bytes_of.items()}
 
     def word_ids(self, word: str) -> list[int]:
@@ -230,6 +233,9 @@ class Codec:
         found = self.lexicon.ids(raw) if self.lexicon and len(raw) <= LEXICON_BYTES else None
         return self.merges.merge(raw) if found is None else found
 
+    def _word(self, word: str) -> str:
+        return ",".join(map(str, self.word_ids(word)))
+
     def cut(self, chunk: str) -> list[str]:
         """Words of a chunk that stood after a blank; letters with a mark behind them need no pattern."""
         if chunk.isalpha():
@@ -245,7 +251,12 @@ class Codec:
         """A chunk that stood after a blank. White space next to that blank would belong to one word with it."""
         if not chunk or chunk[0].isspace():
             raise Adjoining
-        return ",".join(map(self.joined.__getitem__, self.cut(chunk)))
+        if chunk.isalpha():
+            return self._word(" " + chunk)
+        word = chunk[:-1]
+        if chunk[-1] in END_MARKS and word.isalpha():
+            return f"{self.later.get(word) or self._word(" " + word)},{self.joined[chunk[-1]]}"
+        return ",".join(map(self.joined.__getitem__, self.words(" " + chunk)))
 
     def _plain(self, text: str) -> list[str]:
         head, *rest = text.split(" ")
@@ -306,10 +317,10 @@ def count_words(df: DataFrame, spec: str, text: str = "text") -> DataFrame:
             for found, cut in ((later, codec.cut), (heads, codec.words)):
                 for chunk, n in found.items():
                     for w in cut(chunk):
-                        words[w] = words.get(w, 0) + n
+                        if len(w) <= LEXICON_BYTES:
+                            words[w] = words.get(w, 0) + n
                 found.clear()
-            short = {w: n for w, n in words.items() if len(w) <= LEXICON_BYTES}
-            return pa.RecordBatch.from_pydict({"word": pa.array(list(short), pa.string()), "n": pa.array(list(short.values()), pa.int64())})
+            return pa.RecordBatch.from_pydict({"word": pa.array(list(words), pa.string()), "n": pa.array(list(words.values()), pa.int64())})
 
         later: Counter = Counter()
         heads: Counter = Counter()
@@ -322,6 +333,7 @@ def count_words(df: DataFrame, spec: str, text: str = "text") -> DataFrame:
                     yield handed()
         if later or heads:
             yield handed()
+        give_back()
 
     return picked(df, text=text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 

@@ -95,20 +95,23 @@ def kept_for(operator: str) -> dict:
 
 
 class WordCache(dict):
-    """What ``make`` returns for a word, kept for the next time; emptied when it is full.
+    """What ``make`` returns for a word, kept for the next time; when it is full only the oldest ``stay``.
 
     Only short words are kept, so the memory has a bound whatever the texts hold.
     """
 
-    def __init__(self, make: Callable[[str], object], most: int = 400_000, longest: int = 48):
+    def __init__(self, make: Callable[[str], object], most: int = 400_000, longest: int = 48, stay: int = 0):
         super().__init__()
-        self.make, self.most, self.longest = make, most, longest
+        self.make, self.most, self.longest, self.stay = make, most, longest, stay
 
     def __missing__(self, word: str):
         value = self.make(word)
         if len(word) <= self.longest:
             if len(self) >= self.most:
-                self.clear()
+                if not self.stay:
+                    self.clear()
+                while len(self) > self.stay:
+                    self.popitem()
             self[word] = value
         return value
 

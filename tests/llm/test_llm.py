@@ -81,6 +81,17 @@ def test_codec_equals_library(spec, hf):
     assert plain.decode([188, 10**6]) == hf.decode([188], skip_special_tokens=False)
 
 
+def test_codec_keeps_few_chunks_and_the_early_ones(spec, hf, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_CHUNKS", 400)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 40)
+    codec = bpe.Codec(spec)
+    texts = [f"h{i} the of" + "".join(f" w{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + k)}{m}" for k, m in enumerate(["", ",", "7", "-x", "é!"])) for i in range(500)]
+    for t in texts:
+        assert codec.encode(t) == hf.encode(t, add_special_tokens=False).ids, t
+        assert len(codec.later) <= 400 and len(codec.joined) <= 40 and len(codec.first) <= 40
+    assert {"the", "of", "waaa"} <= codec.later.keys()
+
+
 def test_lexicon_is_minimal_and_exact():
     words = [b"lisp", b"lisping", b"list", b"listing", b"wisp", b"wisping", b"wist", b"wisting"]
     data = bpe.build_lexicon((w, [i, i + 1]) for i, w in enumerate(words))
