@@ -2,6 +2,7 @@
 
 Texts are kept as numbers into a dictionary of their block of documents, so a task holds one
 block and a block's words meet the corpus counts in one join, however large the vocabulary.
+Blocks stay where they were read: for scores only sums and rare words move.
 
 Units. What the exchange moves is a unit: a word with at least ``SHARE`` of all training
 tokens (there are at most 1 / ``SHARE``), or all rarer words, unknown ones included, with
@@ -35,11 +36,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import WordCache, picked, texts_of
+from silverlode.llm.common import WordCache, give_back, picked, texts_of
 from silverlode.session import stage
 
 #: Tokens of a block of documents, about; no document is divided.
 BLOCK = 2_000_000
+#: Tokens of a block that are scored at once, about.
+SLICE = 200_000
 #: Part of all training tokens that makes a word a unit of its own.
 SHARE = 1e-4
 #: Units of rarer words, by a hash of the ending.
@@ -126,6 +129,8 @@ def in_blocks(docs: DataFrame) -> DataFrame:
                         words, ids, held, lengths, codes, size = Dictionary(), [], [], [], [], 0
         if ids:
             yield block()
+        del hashes, endings, words, codes
+        give_back()
 
     return docs.mapInArrow(run, "block long, ids array<long>, held array<boolean>, lengths array<long>, codes binary, words binary, endings binary")
 
@@ -197,6 +202,8 @@ def unit_pairs(blocks: DataFrame, units: Units) -> DataFrame:
                 of = units.of(x.words, x.endings)[x.trained]
                 pair, n = np.unique(np.r_[0, of[:-1]][: len(of)] * units.n + of, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(n, pa.int64())], ["pair", "n"])
+                del of, pair, n
+        give_back()
 
     pairs = blocks.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     return pairs.select(F.expr(f"cast(pair DIV {units.n} AS int)").alias("u"), F.expr(f"cast(pair % {units.n} AS int)").alias("v"), "n")
@@ -373,49 +380,104 @@ def learned(blocks: DataFrame, counts: DataFrame) -> tuple[Model, list[float]]:
     return model, history
 
 
+def sliced(lengths: np.ndarray, tokens: int) -> Iterator[slice]:
+    """Slices of consecutive documents of about so many tokens, one document at least."""
+    ends = np.cumsum(lengths)
+    at = 0
+    while at < len(lengths):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] - lengths[at] + tokens, "right")))
+        yield slice(at, to)
+        at = to
+
+
+def frequent_part(blocks: DataFrame, shared) -> DataFrame:
+    """A row per block: its documents, what all but rare words' emissions add to their scores, and the rare words.
+
+    ``rare`` are 32-bit numbers into the block's rare words, ``n_rare`` of them a document;
+    ``classes`` (8 bits) are those words' classes.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            for number, x in zip(b.column("block").to_pylist(), blocks_of(b), strict=True):
+                unit = m.units.of(x.words, x.endings)
+                rare = unit > len(m.units.words)
+                classes = m.classes[unit]
+                n = np.zeros(len(unit), np.int64)
+                n[0] = m.ends
+                own = (unit > 0) & ~rare
+                n[own] = m.units.counts[unit[own] - 1]
+                plain, word = np.where(rare, 0.0, m.plain_scores(n)), np.where(rare, 0.0, m.word_scores(classes, n))
+                places, known = (np.cumsum(rare) - 1).astype(np.int32), (n > 0).astype(np.int64)
+                parts: dict[str, list] = {"n_rare": [], "n_known": [], "base_score": [], "score": []}
+                codes, at = [], 0
+                for docs in sliced(x.lengths, SLICE):
+                    lengths = x.lengths[docs]
+                    c = x.codes[at : at + lengths.sum()]
+                    at += len(c)
+                    starts = np.cumsum(lengths) - lengths
+                    of = classes[c]
+                    full = m.follows[np.r_[0, of[:-1]], of] + word[c]
+                    is_rare = rare[c]
+                    codes.append(places[c[is_rare]])
+                    for name, of_tokens in (("n_rare", is_rare.astype(np.int64)), ("n_known", known[c]), ("base_score", plain[c]), ("score", full)):
+                        parts[name].append(np.add.reduceat(of_tokens, starts))
+                row = {"block": pa.array([number], pa.int64())} | {c: b_of for c, b_of in (("ids", x.ids), ("held", x.held), ("n_tokens", x.lengths))} | {k: np.concatenate(v) for k, v in parts.items()}
+                row = {k: v if k == "block" else pa.ListArray.from_arrays([0, len(v)], pa.array(v)) for k, v in row.items()}
+                row |= {"rare": pa.array([np.concatenate(codes).tobytes()], pa.binary()), "classes": pa.array([classes[rare].astype(np.uint8).tobytes()], pa.binary())}
+                yield pa.RecordBatch.from_arrays(list(row.values()), list(row))
+        give_back()
+
+    schema = "block long, ids array<long>, held array<boolean>, n_tokens array<long>, n_rare array<long>, n_known array<long>, base_score array<double>, score array<double>, rare binary, classes binary"
+    return blocks.mapInArrow(run, schema)
+
+
 def scored(blocks: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
-    """One row per document of the blocks, with the counts of a block's rare words joined to it."""
+    """One row per document of the blocks.
+
+    Where a block lies, all is added up that the model alone tells; only rare words and
+    sums move, and the counts of a block's rare words are joined to them.
+    """
     shared = blocks.sparkSession.sparkContext.broadcast(model)
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = shared.value.units
         for b in batches:
-            for number, x in zip(b.column("block").to_pylist(), blocks_of(b), strict=True):
-                rare = np.flatnonzero(units.of(x.words, x.endings) > len(units.words))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rare), number, np.int64)), pa.array(rare.astype(np.int32)), pa.array(x.words[rare])], ["block", "code", "word"])
+            for number, raw, ends in zip(b.column("block").to_pylist(), b.column("words"), b.column("endings"), strict=True):
+                words = np.frombuffer(raw.as_buffer(), np.int64)
+                rare = words[units.of(words, np.frombuffer(ends.as_buffer(), np.uint16)) > len(units.words)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rare), number, np.int64)), pa.array(np.arange(len(rare), dtype=np.int32)), pa.array(rare)], ["block", "place", "word"])
 
-    wanted = blocks.select("block", "ids", "held", "lengths", "codes", "words", "endings").mapInArrow(asked, "block long, code int, word long")
-    known = wanted.join(counts.select("word", "n"), "word").select("block", "code", "n")
+    wanted = blocks.select("block", "words", "endings").mapInArrow(asked, "block long, place int, word long")
+    known = wanted.join(counts.select("word", "n"), "word").select("block", "place", "n")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         m = shared.value
         rows = []
-        for x in blocks_of(left):
-            unit = m.units.of(x.words, x.endings)
-            n = np.zeros(len(x.words), np.int64)
-            n[0] = m.ends
-            own = (unit > 0) & (unit <= len(m.units.words))
-            n[own] = m.units.counts[unit[own] - 1]
-            n[np.asarray(right["code"])] = np.asarray(right["n"])
-            classes = m.classes[unit]
-            plain, word = m.plain_scores(n), m.word_scores(classes, n)
-            starts = np.cumsum(x.lengths) - x.lengths
-            of = classes[x.codes]
-            full = m.follows[np.r_[0, of[:-1]], of] + word[x.codes]
+        for i in range(left.num_rows):
+            row = {c: left.column(c)[i] for c in left.column_names}
+            of = lambda c: row[c].values.to_numpy(zero_copy_only=False)  # noqa: E731, B023
+            classes, rare = np.frombuffer(row["classes"].as_buffer(), np.uint8), np.frombuffer(row["rare"].as_buffer(), np.int32)
+            n = np.zeros(len(classes), np.int64)
+            n[np.asarray(right["place"])] = np.asarray(right["n"])
+            doc = np.repeat(np.arange(len(row["ids"].values), dtype=np.int32), of("n_rare"))
+            added = lambda x: np.bincount(doc, x[rare], len(row["ids"].values))  # noqa: E731, B023
             rows.append(
                 pa.table(
                     {
-                        "doc_id": x.ids, "held_out": pa.array(x.held), "n_tokens": pa.array(x.lengths),
-                        "n_known": pa.array(np.add.reduceat((n > 0)[x.codes].astype(np.int64), starts)),
-                        "train_tokens": pa.array(np.full(len(starts), m.tokens, np.int64)),
-                        "base_score": pa.array(np.add.reduceat(plain[x.codes], starts)), "score": pa.array(np.add.reduceat(full, starts)),
+                        "doc_id": row["ids"].values, "held_out": row["held"].values, "n_tokens": row["n_tokens"].values,
+                        "n_known": pa.array(of("n_known") + added(n > 0).astype(np.int64)),
+                        "train_tokens": pa.array(np.full(len(row["ids"].values), m.tokens, np.int64)),
+                        "base_score": pa.array(of("base_score") + added(m.plain_scores(n))),
+                        "score": pa.array(of("score") + added(m.word_scores(classes, n))),
                     }
                 )
             )
         return pa.concat_tables(rows)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
+    return frequent_part(blocks, shared).groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
 
 
 def class_scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

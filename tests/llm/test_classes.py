@@ -153,3 +153,19 @@ def test_nothing_to_learn_from(sp):
     out = classes.class_scores(sp.createDataFrame([(i, "some words", 1, 1, "x") for i in only], SCHEMA)).collect()
     assert {(r.n_tokens, r.n_known, r.train_tokens) for r in out} == {(3, 0, 0)}
     assert all(math.isclose(r.base_score, 0) and math.isfinite(r.score) for r in out)
+
+
+def test_only_sums_and_rare_words_move(sp, rows, monkeypatch):
+    """Texts stay where their block is, whose scores are added up in slices of documents."""
+    assert [(s.start, s.stop) for s in classes.sliced(np.array([3, 1, 9, 2, 2, 2]), 4)] == [(0, 2), (2, 3), (3, 5), (5, 6)]
+    monkeypatch.setattr(classes, "PASSES", 1)
+    monkeypatch.setattr(classes, "SHARE", 1e-2)
+    df = sp.createDataFrame(rows, SCHEMA).repartition(2)
+    got = []
+    for size in (200_000, 7):
+        monkeypatch.setattr(classes, "SLICE", size)
+        out = classes.class_scores(df)
+        (line,) = [x for x in out._jdf.queryExecution().analyzed().toString().splitlines() if "FlatMapCoGroupsInArrow" in x]
+        assert "rare#" in line and "codes#" not in line and "words#" not in line
+        got.append(Counter((*r[:5], f"{r[5]:.6g}", f"{r[6]:.6g}") for r in out.collect()))
+    assert got[0] == got[1]
