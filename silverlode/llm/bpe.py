@@ -14,11 +14,14 @@ import hashlib
 import heapq
 import json
 import mmap
+import string
 import struct
 import tempfile
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -34,14 +37,19 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 LEXICON_WORDS = 32_768
 #: Longest lexicon word in bytes.
 LEXICON_BYTES = 64
-#: Chunks whose ids a worker keeps, and other words; frequent ones come early, so the oldest three quarters stay.
-KEPT_CHUNKS = 600_000
+#: Chunks whose ids a worker keeps, and other words; frequent ones come early, so the oldest chunks stay.
+KEPT_CHUNKS = 560_000
 KEPT_WORDS = 50_000
+#: Characters of texts whose new chunks are encoded together, about, and words merged at once.
+SLICE_CHARS = 500_000
+MERGED_AT_ONCE = 20_000
 #: Words one task counts before it passes its counts on.
 COUNTER_WORDS = 400_000
 
-#: Marks that end a word of letters without needing the pattern.
-END_MARKS = frozenset(".,;:!?")
+#: Marks that may end a word of letters: a run of them is one word, so it needs no pattern.
+ANY_MARKS = string.punctuation
+#: Words of so many characters, marks and numbers mostly, are kept one by one.
+SHORT = 3
 ID_BITS = 20
 ID_MASK = (1 << ID_BITS) - 1
 NEVER = 1 << 60
@@ -60,6 +68,44 @@ def byte_symbols() -> list[str]:
     return out
 
 
+class PairTable:
+    """The merge of many pairs of ids at once: an open hash table in two arrays."""
+
+    def __init__(self, rank: dict[int, int]):
+        keys, values = np.fromiter(rank, np.int64, len(rank)), np.fromiter(rank.values(), np.int64, len(rank))
+        self.bits = max(8, int(4 * len(rank)).bit_length())
+        self.keys, self.values = np.full(1 << self.bits, -1), np.full(1 << self.bits, NEVER)
+        self.probes = 0
+        at = self._place(keys)
+        while len(keys):  # a pair whose place is taken tries the next one
+            self.probes += 1
+            free = np.flatnonzero(self.keys[at] < 0)
+            _, one = np.unique(at[free], return_index=True)
+            now = free[one]
+            self.keys[at[now]], self.values[at[now]] = keys[now], values[now]
+            keys, values, at = np.delete(keys, now), np.delete(values, now), np.delete(at, now)
+            at = (at + 1) & len(self.keys) - 1
+
+    def _place(self, pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pairs = left << ID_BITS | right
+        at = self._place(pairs)
+        found = self.keys[at]
+        out = np.where(found == pairs, self.values[at], NEVER)
+        open_ = np.flatnonzero((found != pairs) & (found >= 0))
+        for _ in range(1, self.probes):
+            if not len(open_):
+                break
+            at[open_] = at[open_] + 1 & len(self.keys) - 1
+            found = self.keys[at[open_]]
+            hit = found == pairs[open_]
+            out[open_[hit]] = self.values[at[open_[hit]]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
+
+
 class Merges:
     """Ids, merge ranks and special strings of a byte-level BPE file."""
 
@@ -74,6 +120,7 @@ class Merges:
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.rank[vocab[a] << ID_BITS | vocab[b]] = i << ID_BITS | vocab[a + b]
         self.byte_pairs = [self.rank.get(a << ID_BITS | b, NEVER) for a in self.first for b in self.first]
+        self.table: PairTable | None = None
         self.bytes_of = {i: b"".join(byte_of[c] for c in t) for t, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         for t, i in self.special.items():
@@ -99,6 +146,58 @@ class Merges:
                 ranks[i] = get(new << ID_BITS | ids[i + 1], NEVER)
         return ids
 
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """:meth:`merge` of many words: in each step every word that still has a pair makes its next merge."""
+        out: list = [None] * len(words)
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        for lo in range(0, len(order), MERGED_AT_ONCE):
+            some = order[lo : lo + MERGED_AT_ONCE]
+            while some and len(words[some[-1]]) > 40:
+                out[some[-1]] = self.merge(words[some[-1]])
+                some.pop()
+            if some:
+                self._merge_rows(some, words, out)
+        return out
+
+    def _merge_rows(self, some: list[int], words: list[bytes], out: list) -> None:
+        if self.table is None:
+            self.table, self.first_ids, self.first_pairs = PairTable(self.rank), np.array(self.first, np.int64), np.array(self.byte_pairs, np.int64)
+        sizes = np.fromiter((len(words[i]) for i in some), np.int64, len(some))
+        width = int(sizes.max())
+        raw = np.zeros((len(some), width + 1), np.int64)
+        inside = np.arange(width + 1) < sizes[:, None]
+        raw[inside] = np.frombuffer(b"".join([words[i] for i in some]), np.uint8)
+        ids = np.where(inside, self.first_ids[raw], ID_MASK)  # no id behind the end, so no pair with it
+        ranks = np.full(ids.shape, NEVER)
+        ranks[:, :-1] = np.where(inside[:, 1:], self.first_pairs[raw[:, :-1] << 8 | raw[:, 1:]], NEVER)
+        which = np.array(some)
+        while len(which):
+            at = ranks.argmin(1)  # the leftmost of equals
+            row = np.arange(len(which))
+            low = ranks[row, at]
+            done = low == NEVER
+            if done.any():
+                own = ids[done]
+                there = own != ID_MASK
+                flat, ends = own[there].tolist(), np.cumsum(there.sum(1)).tolist()
+                start = 0
+                for i, end in zip(which[done].tolist(), ends, strict=True):
+                    out[i] = flat[start:end]
+                    start = end
+                more = ~done
+                which, ids, ranks, at, low = which[more], ids[more], ranks[more], at[more], low[more]
+                row = row[: len(which)]
+            if not len(which):
+                break
+            new, columns = low & ID_MASK, np.arange(ids.shape[1])
+            ids[row, at] = new
+            ids = ids[columns != at[:, None] + 1].reshape(len(which), -1)
+            ranks = ranks[columns != at[:, None]].reshape(len(which), -1)
+            # a word's last column is never a place of a pair, so there is one behind each merged id
+            ranks[row, at] = self.table.of(new, ids[row, np.minimum(at + 1, ids.shape[1] - 1)])
+            inner = np.flatnonzero(at)
+            ranks[inner, at[inner] - 1] = self.table.of(ids[inner, at[inner] - 1], new[inner])
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap over a linked list: n log n for words of any length."""
         rank, n = self.rank, len(ids)
@@ -193,40 +292,59 @@ class Lexicon:
             setattr(self, name, whole[at : at + 4 * size].cast("I"))
             at += 4 * size
         self.labels = at
-        self.known: dict[int, dict[int, tuple[int, int]]] = {}
+        self.known: dict[int, dict] = {}
+        self.start = self._state(self.root)
+
+    def _state(self, s: int) -> dict:
+        """A state seen for the first time: only its number, under None."""
+        return self.known.setdefault(s, {None: s})
 
-    def _open(self, s: int) -> dict[int, tuple[int, int]]:
-        """Arcs of a state, read from the map on the first visit."""
-        arcs = range(self.first[s] >> 1, self.first[s + 1] >> 1)
-        self.known[s] = {self.map[self.labels + k]: (self.targets[k], self.outputs[k]) for k in arcs}
-        return self.known[s]
+    def _open(self, state: dict) -> dict:
+        """Arcs of a state by their byte, read from the map on the first visit: (target, output)."""
+        for k in range(self.first[state[None]] >> 1, self.first[state[None] + 1] >> 1):
+            state[self.map[self.labels + k]] = (self._state(self.targets[k]), self.outputs[k])
+        return state
 
     def ids(self, word: bytes) -> list[int] | None:
         """Ids of ``word``, or None where the automaton does not accept it."""
-        s, number, known = self.root, 0, self.known
+        state, number = self.start, 0
         for b in word:
-            step = (known.get(s) or self._open(s)).get(b)
-            if step is None:
+            step = state.get(b)
+            if step is None and (len(state) > 1 or (step := self._open(state).get(b)) is None):
                 return None
-            s, before = step
+            state, before = step
             number += before
-        if not self.first[s] & 1:
+        if not self.first[state[None]] & 1:
             return None
         return self.flat[self.offsets[number] : self.offsets[number + 1]].tolist()
 
 
+words_in = regex.compile(PATTERN).findall
+
+
+def cut(chunk: str) -> list[str]:
+    """Words of a chunk that stood after a blank; letters and a run of marks behind them need no pattern."""
+    if chunk.isalpha():
+        return [" " + chunk]
+    stem = chunk.rstrip(ANY_MARKS)
+    if stem.isalpha():
+        return [" " + stem, chunk[len(stem) :]]
+    return words_in(" " + chunk)
+
+
 class Codec:
     """Encode and decode texts; exact with and without a lexicon."""
 
     def __init__(self, spec: str, lexicon: bytes | None = None):
         self.merges = Merges(spec)
         self.lexicon = Lexicon(lexicon) if lexicon else None
-        self.words = regex.compile(PATTERN).findall
+        self.words = words_in
         self.gap = regex.compile(r" (?=\S)").split
         self.first = WordCache(lambda c: self._chunk(c), most=KEPT_WORDS)
         self.later = WordCache(lambda c: self._later(c), most=KEPT_CHUNKS, stay=KEPT_CHUNKS * 3 // 4)
         self.joined = WordCache(self._word, most=KEPT_WORDS, stay=KEPT_WORDS * 3 // 4)
-        self.bytes_of = {str(i): b for i, b in self.merges.bytes_of.items()}
+        self.decimal = {i: str(i) for i in self.merges.bytes_of}
+        self.bytes_of = {self.decimal[i]: b for i, b in self.merges.bytes_of.items()}
 
     def word_ids(self, word: str) -> list[int]:
         raw = word.encode()
@@ -234,15 +352,68 @@ class Codec:
         return self.merges.merge(raw) if found is None else found
 
     def _word(self, word: str) -> str:
-        return ",".join(map(str, self.word_ids(word)))
+        return ",".join(map(self.decimal.__getitem__, self.word_ids(word)))
 
-    def cut(self, chunk: str) -> list[str]:
-        """Words of a chunk that stood after a blank; letters with a mark behind them need no pattern."""
-        if chunk.isalpha():
-            return [" " + chunk]
-        if chunk[-1:] in END_MARKS and chunk[:-1].isalpha():
-            return [" " + chunk[:-1], chunk[-1]]
-        return self.words(" " + chunk)
+    def _meet(self, new: Iterable[str]) -> dict[str, str]:
+        """Ids of these chunks, all their words together; the cache keeps what it has room for."""
+        later, cuts, words = self.later, {}, {}
+        for c in new:
+            if not c or len(c) > later.longest or c[0].isspace():
+                continue
+            cuts[c] = own = cut(c)
+            for w in own:
+                if w not in words:
+                    words[w] = later.get(w[1:]) if w[0] == " " and w[1:].isalpha() else self.joined[w] if len(w) <= SHORT else None
+        rest = []
+        for w, found in words.items():
+            if found is None:
+                raw = w.encode()
+                ids = self.lexicon.ids(raw) if self.lexicon and len(raw) <= LEXICON_BYTES else None
+                if ids is None:
+                    rest.append((w, raw))
+                else:
+                    words[w] = ",".join(map(self.decimal.__getitem__, ids))
+        for (w, _), ids in zip(rest, self.merges.merge_all([raw for _, raw in rest]), strict=True):
+            words[w] = ",".join(map(self.decimal.__getitem__, ids))
+        met = {c: ",".join([words[w] for w in own]) if len(own) > 1 else words[own[0]] for c, own in cuts.items()}
+        if len(later) < later.most:
+            later.update(islice(met.items(), later.most - len(later)))
+        return met
+
+    def encode_each(self, texts: list[str]) -> Iterator[str]:
+        """:meth:`encode_joined` of each text; the new chunks of neighbours are encoded together."""
+        at = 0
+        while at < len(texts):
+            to, size = at, 0
+            while to < len(texts) and size < SLICE_CHARS:
+                size += len(texts[to])
+                to += 1
+            looked, new = [], {}
+            for t in texts[at:to]:
+                chunks = None if any(s in t for s in self.merges.special) else t.split(" ")
+                found = list(map(self.later.get, chunks or ()))
+                if None in found:
+                    new.update([(c, None) for c, x in zip(chunks, found, strict=True) if x is None])
+                looked.append((t, chunks, found))
+            met = self._meet(new)
+            for t, chunks, found in looked:
+                yield self._completed(t, chunks, found, met)
+            at = to
+
+    def _completed(self, text: str, chunks: list[str] | None, found: list[str | None], met: dict[str, str]) -> str:
+        if chunks is None:
+            return self.encode_joined(text)
+        found[0], i = "", 0
+        try:
+            for _ in range(found.count(None)):
+                i = found.index(None, i + 1)
+                found[i] = met.get(chunks[i]) or self.later[chunks[i]]
+        except Adjoining:
+            return self.encode_joined(text)
+        if chunks[0]:
+            found[0] = self.first[chunks[0]]
+            return ",".join(found)
+        return ",".join(found[1:])
 
     def _chunk(self, chunk: str) -> str:
         return ",".join(map(self.joined.__getitem__, self.words(chunk)))
@@ -253,10 +424,7 @@ class Codec:
             raise Adjoining
         if chunk.isalpha():
             return self._word(" " + chunk)
-        word = chunk[:-1]
-        if chunk[-1] in END_MARKS and word.isalpha():
-            return f"{self.later.get(word) or self._word(" " + word)},{self.joined[chunk[-1]]}"
-        return ",".join(map(self.joined.__getitem__, self.words(" " + chunk)))
+        return ",".join(map(self.joined.__getitem__, cut(chunk)))
 
     def _plain(self, text: str) -> list[str]:
         head, *rest = text.split(" ")
@@ -286,8 +454,7 @@ class Codec:
         return ",".join(self.encode_parts(text))
 
     def encode(self, text: str) -> list[int]:
-        joined = self.encode_joined(text)
-        return [int(i) for i in joined.split(",")] if joined else []
+        return numbers(self.encode_joined(text))
 
     def decode_joined(self, joined: str) -> str:
         return b"".join(map(self.bytes_of.__getitem__, joined.split(","))).decode("utf-8", "replace") if joined else ""
@@ -297,6 +464,10 @@ class Codec:
         return b"".join(self.merges.bytes_of.get(i, b"") for i in ids).decode("utf-8", "replace")
 
 
+def numbers(joined: str) -> list[int]:
+    return [int(i) for i in joined.split(",")] if joined else []
+
+
 class Adjoining(Exception):
     """White space of several characters: blanks cannot be taken one by one."""
 
@@ -307,16 +478,13 @@ def count_words(df: DataFrame, spec: str, text: str = "text") -> DataFrame:
     A task adds up its own words first and hands them on when it holds
     ``COUNTER_WORDS`` of them, so frequent words shuffle a few rows per task.
     """
-    found = df.sparkSession.sparkContext.broadcast(spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(found.value)
-
         def handed() -> pa.RecordBatch:
             words: dict[str, int] = {}
-            for found, cut in ((later, codec.cut), (heads, codec.words)):
+            for found, to_words in ((later, cut), (heads, words_in)):
                 for chunk, n in found.items():
-                    for w in cut(chunk):
+                    for w in to_words(chunk):
                         if len(w) <= LEXICON_BYTES:
                             words[w] = words.get(w, 0) + n
                 found.clear()
@@ -382,7 +550,7 @@ def encode(df: DataFrame, spec: str, lexicon: bytes | None = None, key: str = "d
     """(doc_id, ids): token ids of each whole text. A NULL or empty text has no ids; repeated rows stay."""
 
     def make(codec, b):
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array([codec.encode(t) for t in texts_of(b)], pa.list_(pa.int32()))], ["doc_id", "ids"])
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array([numbers(x) for x in codec.encode_each(texts_of(b))], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return _mapped(df, spec, lexicon, {"doc_id": key, "text": text}, make, "doc_id long, ids array<int>")
 
@@ -405,8 +573,7 @@ def round_trip(df: DataFrame, spec: str, lexicon: bytes | None = None, key: str
 
     def make(codec, b):
         sha, n, ids, back = hashlib.sha256, [], [], []
-        for t in texts_of(b):
-            joined = codec.encode_joined(t)
+        for joined in codec.encode_each(texts_of(b)):
             n.append(joined.count(",") + 1 if joined else 0)
             ids.append(sha(joined.encode()).hexdigest())
             back.append(sha(codec.decode_joined(joined).encode()).hexdigest())

@@ -92,6 +92,28 @@ def test_codec_keeps_few_chunks_and_the_early_ones(spec, hf, monkeypatch):
     assert {"the", "of", "waaa"} <= codec.later.keys()
 
 
+def test_many_words_are_merged_at_once(spec, hf, monkeypatch):
+    merges, rnd = bpe.Merges(spec), random.Random(5)
+    parts = [b"a", b"aa", b" ", b"the", b"ing", b"tion", b"\n", b"--", b"0", b"\xc3\xa9", b"\xff"]
+    words = [b"".join(rnd.choices(parts, k=rnd.randint(1, 16))) for _ in range(5000)] + [rnd.randbytes(n) for n in range(60)]
+    monkeypatch.setattr(bpe, "MERGED_AT_ONCE", 700)
+    assert merges.merge_all(words) == [merges.merge(w) for w in words]
+    assert merges.merge_all([]) == []
+
+    monkeypatch.setattr(bpe, "SLICE_CHARS", 300)
+    monkeypatch.setattr(bpe, "KEPT_CHUNKS", 400)
+    signs = ["word", "'s", "1", "é", "日本", "!", "##", " ", " ", " ", "  ", "\n", " \t", "<|endoftext|>", "x" * 60]
+    texts = ["", " ", "one", " <|endoftext|>"] + ["".join(rnd.choices(signs, k=rnd.randint(1, 40))) for _ in range(1500)]
+    codec = bpe.Codec(spec, bpe.build_lexicon((w, merges.merge(w)) for w in [b" word", b" x"]))
+    one_by_one = []
+    monkeypatch.setattr(codec.merges, "merge", lambda w, merge=codec.merges.merge: one_by_one.append(w) or merge(w))
+    short = [" " + " ".join("".join(rnd.choices("abcdeé", k=rnd.randint(4, 9))) for _ in range(20)) for _ in range(100)]
+    assert [bpe.numbers(x) for x in codec.encode_each(short)] == [hf.encode(t, add_special_tokens=False).ids for t in short]
+    assert not one_by_one  # all went together
+    assert [bpe.numbers(x) for x in codec.encode_each(texts)] == [hf.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(codec.later) <= 400
+
+
 def test_lexicon_is_minimal_and_exact():
     words = [b"lisp", b"lisping", b"list", b"listing", b"wisp", b"wisping", b"wist", b"wisting"]
     data = bpe.build_lexicon((w, [i, i + 1]) for i, w in enumerate(words))
