@@ -149,3 +149,71 @@ def test_no_side_of_a_join_is_collected_on_the_driver(spark):
     for df in (*(m.matching_values(da, db, rule) for rule in m.FIELDS), m.signals(da, db)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def registries(seed, n=60):
+    rnd = random.Random(seed)
+    names = ["ana", "ana s", "x", "xy", "maria silva", "mario silva", "joao paulo souza", "j p souza", "li", ""]
+
+    def record(tag, i):
+        name = rnd.choice(names)
+        if name and rnd.random() < 0.5:
+            at = rnd.randrange(len(name))
+            name = name[:at] + rnd.choice("abk ") + name[at + 1 :]
+        mail = rnd.choice([name.replace(" ", rnd.choice("._")) + rnd.choice(["", "2"]) + "@" + rnd.choice(["a.com", "b.com"]), "..", "", None])
+        return (tag, f"{tag}-{i:03d}", " ".join(name.split()).title(), mail, rnd.choice(["000", "123", "", None]), rnd.choice(["rua a, 1", "rua ab, 1", "av brasil, 20", "", None]))
+
+    return [record("PG", i) for i in range(n)], [record("JS", i) for i in range(n)]
+
+
+@pytest.mark.parametrize("crowded", [(0, 1 << 33), (0, 0)])
+def test_crowded_groups_keep_all_matches(spark, monkeypatch, crowded):
+    """Keys of one and of two trigrams find what whole groups find, sets of a single trigram too."""
+    monkeypatch.setattr(m, "CROWDED", crowded)
+    a, b = registries(7)
+    assert run(spark, a, b) == brute(a, b)
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.9])
+def test_crowded_groups_at_other_thresholds(spark, monkeypatch, threshold):
+    a, b = registries(8)
+    da, db = spark.createDataFrame(a, XREF), spark.createDataFrame(b, XREF)
+
+    def close(x, y):
+        return jac(tri(x[2].lower()), tri(y[2].lower())) >= threshold
+
+    expected = {(x[2], x[4], y[2], y[4]) for x in a for y in b if x[4] is not None and x[4] == y[4] and close(x, y)}
+    monkeypatch.setattr(m, "CROWDED", (0, 0))
+    got = {(r["full_name_a"], r["valor_a"], r["full_name_b"], r["valor_b"]) for r in m.matching_values(da, db, 2, threshold).collect()}
+    assert got == expected
+
+
+def test_a_value_has_few_key_rows(spark):
+    """Keys were 460 rows of an e-mail and name, most of them never to meet: that filled disks."""
+    rows = [("a", f"PG-{i}", f"Joaquim{i:03d} Albuquerque", f"joaquim.albuquerque{i}@empresa.com", str(i), f"rua das flores, {i}") for i in range(20)]
+    df = spark.createDataFrame(rows, XREF)
+    for rule in m.FIELDS:
+        values = m._values(df, rule).withColumn("_n", F.monotonically_increasing_id())
+        everywhere = list(range(m.BUCKETS))
+        counts = [m._keys(values, rule, m.THRESHOLD, [], crowded).count() / 20 for crowded in ([[], []], [everywhere, []], [everywhere, everywhere])]
+        assert counts[0] == 1 and counts[1] <= 10 and counts[2] <= 60
+        assert [t for _, t in m._keys(values, rule, m.THRESHOLD, [], [[], []]).dtypes] == ["bigint"] * 3
+
+
+def test_trigrams_are_not_shuffled(spark):
+    a, b = registries(9, 5)
+    da, db = spark.createDataFrame(a, XREF), spark.createDataFrame(b, XREF)
+    for df in (*(m.matching_values(da, db, rule) for rule in m.FIELDS), m.signals(da, db)):
+        plan = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        moved = [part.split("\n")[1] for part in plan.split("\n\n") if part.split(" ", 1)[-1].startswith("Exchange")]
+        assert len(moved) > 3 and not any("_t_" in columns for columns in moved)
+
+
+def test_sketches_differ_in_no_more_bits_than_sets(spark):
+    rnd = random.Random(3)
+    sets = [[f"t{rnd.randrange(60)}" for _ in range(rnd.randrange(1, 40))] for _ in range(60)]
+    df = spark.createDataFrame([(i, sorted(set(s))) for i, s in enumerate(sets)], "i int, tokens array<string>")
+    for bits in (m.NAME_BITS, m.VALUE_BITS):
+        sketch = {r[0]: r[1] for r in df.select("i", m._sketch("tokens", bits)).collect()}
+        assert all(0 <= v < 1 << bits for v in sketch.values())
+        assert all(bin(sketch[i] ^ sketch[j]).count("1") <= len(set(sets[i]) ^ set(sets[j])) for i in sketch for j in sketch)
